@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing
+from . import linededup, minhash, packing, quality, sharding
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_docs(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
+
+
+def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = linededup.dedup_lines(_docs(spark, sf_dir))
+    return rest.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def op6_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir).select("doc_id", sharding.text_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.xxhash64("text").alias("text_hash"))
+    placed = sharding.shard_rows(docs, [F.col(c) for c in ("text_hash", "text_crc32", "size")])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_superminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_docs(spark, sf_dir))
 
@@ -30,7 +46,10 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_distribution_divergence": op1_distribution_divergence,
+    "op2_line_windows": op2_line_windows,
     "op3_superminhash_near_dedup": op3_superminhash_near_dedup,
     "op4_harmonic_packing": op4_harmonic_packing,
+    "op6_label_propagation": op6_label_propagation,
 }
 SQL: dict[str, str] = {}

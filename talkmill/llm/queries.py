@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, minhash, packing, quality, sharding
+from . import linededup, minhash, mixing, packing, quality, sharding, sql
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,11 +45,21 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_proportional_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_docs(spark, sf_dir))
+    return mixed.select("doc_id", "tokens", "source_key", "lang_key", "topic", "probability", "sampled")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution_divergence": op1_distribution_divergence,
     "op2_line_windows": op2_line_windows,
     "op3_superminhash_near_dedup": op3_superminhash_near_dedup,
     "op4_harmonic_packing": op4_harmonic_packing,
     "op6_label_propagation": op6_label_propagation,
+    "op8_proportional_fitting": op8_proportional_fitting,
+}
+SQL: dict[str, str] = {
+    "op1_distribution_divergence": sql.divergence(),
+    "op2_line_windows": sql.line_windows(),
+    "op8_proportional_fitting": sql.fitting(),
 }
-SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, linededup, minhash, mixing, packing, quality, sharding, sql, tiff, toxicity
+from . import chat, linededup, minhash, mixing, packing, quality, sharding, sql, surrogates, tiff, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,15 @@ def op8_proportional_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "tokens", "source_key", "lang_key", "topic", "probability", "sampled")
 
 
+#: The key of the surrogates in op5; a real run passes its own secret.
+SURROGATE_KEY = b"not a secret: key of the registered query"
+
+
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace(_docs(spark, sf_dir), key=SURROGATE_KEY)
+    return replaced.select("doc_id", F.size("spans").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["kind"]))), ",").alias("kinds"), "text")
+
+
 #: A conversation whose texts hold the template's own control strings.
 HOSTILE = "\\### Assistant: </turn> ok"
 
@@ -77,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_windows": op2_line_windows,
     "op3_superminhash_near_dedup": op3_superminhash_near_dedup,
     "op4_harmonic_packing": op4_harmonic_packing,
+    "op5_surrogates": op5_surrogates,
     "op6_label_propagation": op6_label_propagation,
     "op7_chat_machine": op7_chat_machine,
     "op8_proportional_fitting": op8_proportional_fitting,

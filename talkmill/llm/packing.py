@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import ready
 
-#: Words whose ids a worker remembers, at most.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker remembers, about; words first met later are encoded anew in each batch.
+CACHE_WORDS = 600_000
 #: Rows and ids in a batch that a worker hands back, at most about.
 BATCH_ROWS, BATCH_IDS = 4096, 1 << 20
 
@@ -21,43 +22,71 @@ _tokenizers: dict[str, tuple] = {}
 
 
 class WordIds:
-    """Ids of texts by one tokenizer that drops white space, so that ids of a text are those of its words in turn; ids of words are remembered.
+    """Ids of texts by one tokenizer that lower-cases, drops white space and marks the last id of a word, so that a text's ids are those of its words in turn; ids of words are remembered.
 
-    Texts in which a special token is spelled out, and words that the tokenizer doesn't cut at line ends, are encoded whole.
+    Texts in which a special token is spelled out are encoded whole. Ids are kept as bytes of 32-bit numbers.
     """
 
+    #: Punctuation between an ASCII letter and white space, which the tokenizer cuts off as one word.
+    TAIL = re.compile(rb"(?<=[a-z])[!-/:-@\[-`{-~]+(?=[ \t-\r]|\Z)")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, list[int]] = {}
-
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        names = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(names.values()) + 1, bool)
+        self.last[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def _letters(self, new: list[bytes], to: dict[bytes, bytes]) -> list[bytes]:
+        """Encodes words of letters alone, many at once: each ends where an id is marked so. Gives back those for which that doesn't hold."""
+        groups = [new[i : i + 1000] for i in range(0, len(new), 1000)]
+        left = []
+        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<i4")
+            ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+            if len(ends) != len(group) or len(ids) * 4 != ends[-1]:
+                left += group
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(group, ends.tolist()):
+                to[word] = raw[at:end]
+                at = end
+        return left
+
+    def _others(self, new: list[bytes], to: dict[bytes, bytes]) -> None:
         for at in range(0, len(new), 512):
-            part = [w.decode() for w in new[at : at + 512]]
+            group = new[at : at + 512]
+            part = [w.decode() for w in group]
             starts = np.cumsum([0, *(len(w) + 1 for w in part)])
             encoded = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
-            ids = encoded.ids
             owner = np.searchsorted(starts, [o[0] for o in encoded.offsets], "right") - 1
-            cut = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
-            self.known.update((w, ids[cut[i] : cut[i + 1]]) for i, w in enumerate(new[at : at + 512]))
-
-    def __call__(self, text: str) -> np.ndarray:
-        raw = text.encode("utf-8", "surrogatepass")
-        if any(s in raw for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-        parts = raw.split()
+            cut = (np.searchsorted(owner, np.arange(len(part) + 1)) * 4).tolist()
+            raw = np.array(encoded.ids, "<i4").tobytes()
+            to.update((w, raw[cut[i] : cut[i + 1]]) for i, w in enumerate(group))
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        split = []
+        for text in texts:
+            raw = text.encode().lower()
+            split.append(None if any(s in raw for s in self.special) else self.TAIL.sub(rb" \g<0>", raw).split())
         known = self.known
-        if new := [w for w in dict.fromkeys(parts) if w not in known]:
-            self.learn(new)
-            known = self.known
-            if any(w not in known for w in parts):  # the cache was emptied on the way
-                self.learn(list(dict.fromkeys(parts)))
-                known = self.known
-        return np.fromiter(itertools.chain.from_iterable(map(known.__getitem__, parts)), np.int32)
+        new = list({w for words in split if words for w in words}.difference(known))
+        if new:
+            letters = [w for w in new if w.decode().isalpha()]
+            self._others([*set(new).difference(letters), *self._letters(letters, known)], known)
+        out = []
+        for text, words in zip(texts, split):
+            if words is None:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32))
+            else:
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4"))
+        if len(known) > CACHE_WORDS:
+            for word in new:
+                del known[word]
+        return out
 
 
 def tokenizer(path: str) -> WordIds:
@@ -67,6 +96,18 @@ def tokenizer(path: str) -> WordIds:
     return _tokenizers[path]
 
 
+def encoded_parts(texts: pa.Array, encode: WordIds) -> Iterator[np.ndarray]:
+    """The ids of each text; null counts as empty. A few MB of texts are taken at once."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text.as_py() or "")
+        size += len(part[-1])
+        if size >= 4 << 20:
+            yield from encode(part)
+            part, size = [], 0
+    yield from encode(part)
+
+
 def harmonic_cuts(length: int, capacity: int) -> list[tuple[int, int]]:
     """(size, pieces per bin) of the pieces of a document: whole bins first, then each time the largest capacity // k that fits. What is left over shrinks with the square, so that few pieces cover it."""
     out = [(capacity, 1)] * (length // capacity)
@@ -148,9 +189,8 @@ def pack(docs: DataFrame, *, tokenizer_path: str, capacity: int = 4096, end_id:
 
         for rows in batches:
             schema = rows.schema
-            for doc, text in zip(rows.column(0).to_pylist(), rows.column(1)):
-                ids = np.append(encode(text.as_py() or ""), np.int32(end_id)).astype(np.int32)
-                at = 0
+            for doc, ids in zip(rows.column(0).to_pylist(), encoded_parts(rows.column(1), encode)):
+                ids, at = np.append(ids, np.int32(end_id)), 0
                 for size, count in harmonic_cuts(len(ids), capacity):
                     for piece in bins.put((doc, at, ids[at : at + size], len(ids)), count):
                         out.append(piece)

@@ -1,10 +1,27 @@
-"""The corpus pipeline: five stages from documents to packed training sequences."""
+"""The corpus pipeline: five stages from documents to packed training sequences.
+
+Each stage takes what the one before kept, written and read back as Parquet by whoever runs STAGES; run() hands frames on. The columns of documents go through all stages but the last.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from talkmill.llm import linededup, minhash, mixing, packing, quality, queries
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the divergence from their language reject go."""
+    return quality.judge(docs).where("kept").select(*docs.columns)
 
-from talkmill.llm import minhash, packing, queries
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later occurrences of repeated windows of three lines go from the texts; n_chars follows."""
+    rest = linededup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        rest = rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rest.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,13 +29,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.keep_one(docs).select(*docs.columns)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn so that words come near the target weights of source, language and topic."""
+    return mixing.mix(docs).where("sampled").select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 ids."""
     return packing.with_crc32(packing.pack(docs, tokenizer_path=queries.tokenizer_path()))
 
 
-STAGES = [("near_dedup", near_dedup), ("packing", pack)]
-#: Tokenizing and signatures have no SQL; tests/llm holds run() against a brute-force version.
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mix_sources), ("packing", pack)]
+#: Signatures and tokenizing have no SQL; tests/llm hold run() against a brute-force version.
 ORACLE_SQL = None
 
 

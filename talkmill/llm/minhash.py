@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -14,6 +14,8 @@ from .components import components
 
 #: Slots of a signature, and those in a band: a pair at similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6.
 SLOTS, BAND = 128, 4
+#: Members of a band key up to which pairs are compared one by one.
+FEW = 8
 _GOLDEN = 0x9E3779B97F4A7C15
 _MULTIPLIERS = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -122,7 +124,11 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
 
     1. One pass over the texts gives each set's size, two 64-bit sums that name the set, and the band keys of its SuperMinHash signature.
     2. Equal sets form a class, which its least id stands for from here on. Copies are never paired.
-    3. Where classes share a band key, all are compared with one of them: the one that shares most keys with others, which edited copies have in common. Classes that these links leave in different groups are then compared with each other, pair by pair, so that no link is lost to this order; links inside a group would change nothing.
+    3. Where classes share a band key, all are compared with one of them, the centre: that which shares most keys with others, as the text does that edited copies go back to. Links inside a group would change nothing, so only pairs that these links leave in different groups are looked at again:
+       - under keys of up to FEW members, each such pair;
+       - under other keys, a pair of which both share so many shingles with the centre that these alone could make a link;
+       - and a pair that shares a shingle that the centre lacks. Any other pair shares at most what both have of the centre, which is too little. Of these shingles, those are left out that no other document has; with the others sorted, a pair counts only if what both have of the centre and, from the shared one on, beside it can make a link (prefix and positional filter: the first shingle that a linked pair shares passes).
+       No pair with a link under a common key is lost, and pairs of a large group aren't written out.
     4. Links are confirmed on full sets. Union-find groups what is linked (components.py).
 
     Null ids belong to no row of the result. Null, empty and blank texts have no shingles and no links. Rows with equal ids and different texts count as one document with the larger set. An empty table gives no rows. Columns besides the two are not read, so that their names don't matter.
@@ -141,38 +147,54 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     live = common.written(banded.join(shared, "key"), "live")
     scores = live.groupBy("doc_id").agg(F.sum("n").alias("score"))
     live_scored = live.drop("n").join(scores, "doc_id")
-    centres = live_scored.groupBy("key").agg(F.max(F.struct("score", -F.col("doc_id"))).alias("c"), F.max(F.struct("score", -F.col("doc_id"), "n_shingles")).alias("c3"))
-    centres = centres.select("key", (-F.col("c3.col2")).alias("centre"), F.col("c3.n_shingles").alias("centre_n"))
+    centres = live_scored.groupBy("key").agg(F.max(F.struct("score", -F.col("doc_id"))).alias("c"), F.count("*").alias("members")).select("key", (-F.col("c.col2")).alias("centre"), "members")
     near = lambda a, b: (100 * F.col(a) >= threshold * F.col(b)) & (100 * F.col(b) >= threshold * F.col(a))
-    pairs = live.join(centres, "key").where((F.col("doc_id") != F.col("centre")) & near("n_shingles", "centre_n")).select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
-    pairs = common.written(pairs, "pairs")
+    starred = common.written(live.drop("n").join(centres, "key"), "starred")
 
     wanted = live.select("doc_id").distinct()
-    candidates = rows.join(wanted, "doc_id", "left_semi")
-    sets = _each(candidates, _sets, "doc_id long, shingles array<long>")
-    sets = sets.select("doc_id", F.size("shingles").cast("long").alias("n"), "shingles")
-    one = sets.join(stands.select("doc_id", F.col("n_shingles").alias("n")), ["doc_id", "n"]).dropDuplicates(["doc_id"])
-    sets = common.written(one, "sets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        left, right = (sets.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("shingles").alias(f"set_{k}")) for k in "ab")
-        both = pairs.join(left, "a").join(right, "b")
-        return both.where(similar(F.col("n_a"), F.col("n_b"), F.size(F.array_intersect("set_a", "set_b")).cast("long"), threshold)).select("a", "b")
-
-    links = common.written(confirmed(pairs), "links")
+    sets = _each(rows.join(wanted, "doc_id", "left_semi"), _sets, "doc_id long, shingles array<long>").select("doc_id", F.size("shingles").cast("long").alias("n"), "shingles")
+    sets = common.written(sets.join(stands.select("doc_id", F.col("n_shingles").alias("n")), ["doc_id", "n"]).dropDuplicates(["doc_id"]), "sets")
+
+    def with_sets(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        left, right = (sets.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("shingles").alias(f"set_{k}")) for k in (a, b))
+        return pairs.join(left, a).join(right, b)
+
+    inter = lambda a, b: F.size(F.array_intersect(f"set_{a}", f"set_{b}")).cast("long")
+    stars = starred.where("doc_id != centre").select("doc_id", "centre").distinct()
+    stars = common.written(with_sets(stars, "doc_id", "centre").select("doc_id", "centre", F.col("n_doc_id").alias("n"), F.col("n_centre").alias("n_c"), inter("doc_id", "centre").alias("held")), "stars")
+    links = stars.where(similar(F.col("n"), F.col("n_c"), F.col("held"), threshold)).select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
     grouped = components(links)
 
     of = lambda df: df.join(grouped.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    placed = common.written(of(live.select("key", "doc_id", "n_shingles")), "placed")
+    placed = common.written(of(starred), "placed")
     mixed = placed.groupBy("key").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo < hi").select("key")
-    rest = placed.join(mixed, "key")
-    right = rest.select("key", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "n_shingles", "component_id")))
-    crossing = rest.join(right, "key").where((F.col("doc_id") < F.col("doc_id_")) & (F.col("component_id") != F.col("component_id_")) & near("n_shingles", "n_shingles_"))
-    crossing = crossing.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = common.written(confirmed(crossing), "links")
+    rest = placed.join(mixed, "key").join(stars.select("doc_id", "centre", "held"), ["doc_id", "centre"], "left")
+    rest = common.written(rest.withColumn("held", F.coalesce("held", "n_shingles")), "rest")  # the centre holds itself
+
+    def crossing(df: DataFrame, on: list[str], test: Column | None = None) -> DataFrame:
+        """Pairs of rows equal in on, in different groups so far, and of sizes that allow a link."""
+        other = df.select(*on, *(F.col(c).alias(f"{c}_") for c in df.columns if c not in on))
+        pair = df.join(other, on).where((F.col("doc_id") < F.col("doc_id_")) & (F.col("component_id") != F.col("component_id_")) & near("n_shingles", "n_shingles_") & (F.lit(True) if test is None else test))
+        return pair.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
+
+    few, many = rest.where(F.col("members") <= FEW).drop("centre", "held"), rest.where(F.col("members") > FEW)
+    inside = (100 + threshold) * F.least("held", "held_") >= threshold * (F.col("n_shingles") + F.col("n_shingles_"))
+    by_held = crossing(many.drop("centre"), ["key"], inside)
+    apart = many.where("doc_id != centre").select("doc_id", "centre", "n_shingles", "component_id", "held").distinct()
+    outside = F.explode(F.array_except("set_doc_id", "set_centre")).alias("shingle")
+    spelled = common.written(with_sets(apart, "doc_id", "centre").select("doc_id", "centre", "n_shingles", "component_id", "held", outside), "spelled")
+    twice = spelled.groupBy("centre", "shingle").agg(F.count("*").alias("k")).where("k > 1").drop("k")
+    of_doc = Window.partitionBy("doc_id", "centre")
+    shared = spelled.join(twice, ["centre", "shingle"]).withColumn("left", F.count("*").over(of_doc) - F.row_number().over(of_doc.orderBy("shingle")))
+    shared = shared.where(F.col("left") + 1 >= F.ceil(threshold * F.col("n_shingles") / 100) - F.col("held"))
+    enough = (100 + threshold) * (F.least("held", "held_") + F.least("left", "left_") + 1) >= threshold * (F.col("n_shingles") + F.col("n_shingles_"))
+    by_shingle = crossing(shared, ["centre", "shingle"], enough)
+    candidates = crossing(few, ["key"]).union(by_held).union(by_shingle).distinct()
+    more = with_sets(candidates, "a", "b").where(similar(F.col("n_a"), F.col("n_b"), inter("a", "b"), threshold)).select("a", "b")
+    more = common.written(more, "links")
     if not more.isEmpty():
-        first = grouped.select(F.col("component_id").alias("a"), F.col("id").alias("b")).where("a < b")
-        grouped = components(first.unionByName(more))
+        before = grouped.select(F.col("component_id").alias("a"), F.col("id").alias("b")).where("a < b")
+        grouped = components(before.unionByName(more))
 
     by_class = of(classes.select(F.col("class_id").alias("doc_id"), "n_shingles", "set_a", "set_b")).select("n_shingles", "set_a", "set_b", "component_id")
     out = sized.join(by_class, ["n_shingles", "set_a", "set_b"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
@@ -181,8 +203,10 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
 
 def keep_one(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near duplicates: of each group the row of the least id stays, with all its columns. Rows that repeat an id that stays are left as one. Rows with a null id stay."""
-    (mark,) = common.unused(docs, "kept_id")
+    mark, no = common.unused(docs, "kept_id", "kept_no")
     kept = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(mark))
     named = common.col(id_col)
-    stay = docs.join(kept, named.cast("long") == F.col(mark), "left_semi").dropDuplicates([id_col])
+    stay = docs.join(kept, named.cast("long") == F.col(mark), "left_semi")
+    one = Window.partitionBy(named).orderBy(F.xxhash64(common.col(text_col)))
+    stay = stay.withColumn(no, F.row_number().over(one)).where(F.col(no) == 1).drop(no)
     return stay.unionByName(docs.where(named.isNull()))

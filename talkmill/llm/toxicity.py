@@ -14,6 +14,8 @@ from . import common
 
 #: Places of the table of word weights.
 WORDS = 1 << 20
+#: Texts that training walks through at a time.
+GROUP = 256
 
 
 def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -99,37 +101,45 @@ def fit(texts: list[str | None], labels: np.ndarray, *, rounds: int = 25, least:
     Words get labels first: in a text of label 1 a word counts as toxic if it stands in at least `least` such texts and its odds to stand in one are exp(lift) times those of a text of label 0 or more and over 1 by `sure` standard errors, counts with a half added; all else is clean. The chain is then fitted to these sequences by gradient ascent on their conditional likelihood (adagrad), with the expected moves and words from forward-backward. Last, a logistic regression of the texts' labels on features of their marginals calibrates the score.
     """
     labels = np.asarray(labels, float)
-    places = [(tokens(t)[0] % np.uint64(WORDS)).astype(np.int64) for t in texts]
-    seen = np.zeros((2, WORDS))
+    places = [(tokens(t)[0] % np.uint64(WORDS)).astype(np.int32) for t in texts]
+    seen = np.zeros((2, WORDS), np.int32)
     for p, y in zip(places, labels):
         seen[int(y), np.unique(p)] += 1
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     odds = np.log((seen[1] + 0.5) / (n1 - seen[1] + 0.5)) - np.log((seen[0] + 0.5) / (n0 - seen[0] + 0.5))
     error = np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5))
     marked = (seen[1] >= least) & (odds >= lift) & (odds >= sure * error)
-    tags = [(marked[p] & (y > 0)).astype(float) for p, y in zip(places, labels)]
     model = Crf(np.where(marked, 2.0, 0.0), -3.0, np.zeros((2, 2)), np.array([-3.0, 0, 0, 0, 0]))
-    used = np.unique(np.concatenate([np.empty(0, np.int64), *places]))
-    if len(used):
-        flat, truth = np.concatenate(places), np.concatenate(tags)
-        moved = np.zeros((2, 2))
-        for t in tags:
-            if len(t) > 1:
-                moved += np.histogram2d(t[:-1], t[1:], bins=[[-0.5, 0.5, 1.5]] * 2)[0]
-        emit2, bias2, move2 = np.full(WORDS, 1e-3), 1e-3, np.full((2, 2), 1e-3)
-        for _ in range(rounds):
-            marginals, moves = forward_backward([model.emit[p] + model.bias for p in places], model.move)
-            gap = truth - np.concatenate(marginals)
-            g = np.bincount(flat, gap, minlength=WORDS) - 0.05 * model.emit
-            gb, gm = gap.sum(), moved - moves - 0.05 * model.move
-            emit2 += g * g
-            bias2 += gb * gb
-            move2 += gm * gm
-            model.emit += 0.5 * g / np.sqrt(emit2)
-            model.bias += 0.5 * gb / np.sqrt(bias2)
-            model.move += 0.3 * gm / np.sqrt(move2)
-    marginals, _ = forward_backward([model.emit[p] + model.bias for p in places], model.move)
-    x = np.array([features(m) for m in marginals]).reshape(-1, 5)
+    del seen, odds, error
+    # texts of like length walk together, in groups that bound what is held at a time
+    order = sorted(range(len(places)), key=lambda i: len(places[i]))
+    groups = [order[i : i + GROUP] for i in range(0, len(order), GROUP)]
+    truth = lambda i: (marked[places[i]] & (labels[i] > 0)).astype(float)
+    moved = np.zeros((2, 2))
+    for i in order:
+        t = truth(i).astype(int)
+        if len(t) > 1:
+            moved += np.bincount(t[:-1] * 2 + t[1:], minlength=4).reshape(2, 2)
+    emit2, bias2, move2 = np.full(WORDS, 1e-3), 1e-3, np.full((2, 2), 1e-3)
+    for _ in range(rounds if any(len(p) for p in places) else 0):
+        g, gb, gm = -0.05 * model.emit, 0.0, moved - 0.05 * model.move
+        for group in groups:
+            marginals, moves = forward_backward([model.emit[places[i]] + model.bias for i in group], model.move)
+            for i, m in zip(group, marginals):
+                gap = truth(i) - m
+                np.add.at(g, places[i], gap)
+                gb += gap.sum()
+            gm = gm - moves
+        emit2 += g * g
+        bias2 += gb * gb
+        move2 += gm * gm
+        model.emit += 0.5 * g / np.sqrt(emit2)
+        model.bias += 0.5 * gb / np.sqrt(bias2)
+        model.move += 0.3 * gm / np.sqrt(move2)
+    x = np.zeros((len(places), 5))
+    for group in groups:
+        for i, m in zip(group, forward_backward([model.emit[places[i]] + model.bias for i in group], model.move)[0]):
+            x[i] = features(m)
     w = np.zeros(5)
     for _ in range(30):  # Newton's method with a ridge
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -139,7 +149,7 @@ def fit(texts: list[str | None], labels: np.ndarray, *, rounds: int = 25, least:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 6000, max_bytes: int = 48 << 20) -> Crf:
+def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 5000, max_bytes: int = 24 << 20) -> Crf:
     """Fits on labelled documents whose crc32(doc_id) modulo 4 isn't 2: a sample of at most max_rows of them, the first by a hash of the id, and of these texts of max_bytes in all. These two bounds hold for training alone; texts of the sample are used whole."""
     ids = labels.where("toxic is not null and doc_id is not null").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     ids = ids.select("doc_id", F.col("toxic").cast("int").alias("y")).groupBy("doc_id").agg(F.max("y").alias("y"))

@@ -143,3 +143,10 @@ def display_speaker(speaker_id: Column, name: Column, speaker: Column) -> Column
     some = lambda c: F.coalesce(c, F.lit("")) != ""
     voice = lambda c: F.concat(F.lit("unidentified voice ("), c, F.lit(")"))
     return F.when(some(speaker_id) & some(name), name).when(some(speaker_id), voice(speaker_id)).when(some(speaker) & (speaker != "UNKNOWN"), voice(speaker)).otherwise(F.lit("unidentified"))
+
+
+def clip_parts(clip_id: Column) -> Column:
+    """(stem, cluster, draw) of a clip's id stem--cluster--d0; null if it has other parts."""
+    p = F.split(clip_id, "--")
+    draw = F.regexp_extract(F.get(p, F.lit(2)), "^d(\\d+)$", 1).try_cast("long")
+    return F.when((F.size(p) == 3) & draw.isNotNull(), F.struct(F.get(p, F.lit(0)).alias("stem"), F.get(p, F.lit(1)).alias("cluster"), draw.alias("draw")))

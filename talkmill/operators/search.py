@@ -66,7 +66,7 @@ def rendered(hits: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """position and the text that a reader gets for each hit. names (speaker_id, display) is a short list of people."""
     df = hits.join(F.broadcast(names.limit(10_000)), "speaker_id", "left") if names is not None else hits.withColumn("display", F.lit(None).cast("string"))
     who = display_speaker(F.col("speaker_id"), F.col("display"), F.col("speaker"))
-    head = F.concat(F.lit("["), F.col("date"), F.lit("] "), F.col("show"), F.lit(" - Episode "), F.col("episode_number"), F.lit(" ("), F.col("episode_title"), F.lit(") @ "), F.format_string("%.1f", F.col("start_time")), F.lit("s | speaker: "), who)
+    head = F.concat(F.lit("["), F.col("date"), F.lit("] "), F.col("show"), F.lit(" - Episode "), F.col("episode_number"), F.lit(" ("), F.col("episode_title"), F.lit(") @ "), F.format_string("%.1f", F.col("start_time").cast("double")), F.lit("s | speaker: "), who)
     if "relevance_score" in hits.columns:
         head = F.concat(head, F.lit(" [relevance: "), F.col("relevance_score").cast("string"), F.lit("]"))
     return df.select("position", F.concat(head, F.lit("\n"), strip_speaker(F.col("document"), F.col("speaker")), F.lit("\n")).alias("text"))

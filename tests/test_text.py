@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from talkmill.functions import text as X
 
-TRANSCRIPT = """# Geopolitical Cousins - Episode 1
-# F*cking Around and Finding Out
+TRANSCRIPT = """# Harbour Talk - Episode 1
+# Opening Night
 # Published: 2025-03-14
 
-[SPEAKER_00] 3.1s - Hello listeners, welcome to the inaugural episode.
-[SPEAKER_00] 6.9s - I assume that Marco and I will do our own separate intro.
-[SPEAKER_01] 52.8s - All right, the two cousins officially doing business.
-[UNKNOWN] 61.0s - A stray segment.
+[SPEAKER_00] 3.1s - Good evening from the harbour to all of you.
+[SPEAKER_00] 6.9s - We each say a word before the bell rings.
+[SPEAKER_01] 52.8s - So the boats are in and we can begin.
+[UNKNOWN] 61.0s - Someone else speaks.
 this line is malformed and must be skipped
 """
 
@@ -25,11 +25,11 @@ def test_segments(spark):
     df = spark.createDataFrame([("e", TRANSCRIPT), ("none", "")], "episode string, text string")
     rows = X.segments(df).orderBy("seq").collect()
     assert [(r["speaker"], r["start"]) for r in rows] == [("SPEAKER_00", 3.1), ("SPEAKER_00", 6.9), ("SPEAKER_01", 52.8), ("UNKNOWN", 61.0)]
-    assert rows[0]["text"].startswith("Hello listeners") and {r["episode"] for r in rows} == {"e"}
+    assert rows[0]["text"].startswith("Good evening") and {r["episode"] for r in rows} == {"e"}
 
 
 def test_title(spark):
-    assert value(spark, X.title_of(F.lit(TRANSCRIPT))) == "F*cking Around and Finding Out"
+    assert value(spark, X.title_of(F.lit(TRANSCRIPT))) == "Opening Night"
 
 
 @pytest.mark.parametrize("text, n", [("a b", 2), ("  a b\x1cc ", 3), ("", 0), ("　", 0), ("a\x85b", 2)])
@@ -50,8 +50,8 @@ def test_file_names(spark, name, ok):
 
 
 def test_ids(spark):
-    p = X.id_prefix(F.lit("Geopolitical Cousins"), F.lit("73"), F.lit("2026-07-29"))
-    assert value(spark, X.chunk_id(p, F.lit(17))) == "Geopolitical_Cousins-ep73-2026-07-29-17"
+    p = X.id_prefix(F.lit("Harbour Talk"), F.lit("73"), F.lit("2026-07-29"))
+    assert value(spark, X.chunk_id(p, F.lit(17))) == "Harbour_Talk-ep73-2026-07-29-17"
     assert value(spark, X.id_index(F.lit("a-b-17"))) == 17 and value(spark, X.id_index(F.lit("ab"))) is None and value(spark, X.id_suffix(F.lit("ab"))) == "ab"
     assert value(spark, X.date_number(F.lit("Unknown Date"))) == 0 and value(spark, X.date_number(F.lit("2025-03-14"))) == 20250314
 
@@ -93,5 +93,5 @@ def test_prefix_goes_only_if_it_matches(spark):
 
 
 def test_second_tier(spark):
-    f = lambda show, t: value(spark, X.routes_to_second_tier(F.lit(show), F.lit(t), ["Two"], {"One": ["papic"]}))
-    assert f("Two", "") and f("One", "PAPIC said") and not f("One", "Marco Rubio") and not f("Other", "papic")
+    f = lambda show, t: value(spark, X.routes_to_second_tier(F.lit(show), F.lit(t), ["Two"], {"One": ["ostrow"]}))
+    assert f("Two", "") and f("One", "OSTROW said") and not f("One", "Marlo Reed") and not f("Other", "ostrow")

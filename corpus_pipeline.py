@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages from documents to packed training sequences.
 
-Each stage takes what the one before kept, written and read back as Parquet by whoever runs STAGES; run() hands frames on. The columns of documents go through all stages but the last.
+Each stage takes what the one before kept, written and read back as Parquet in the shared folder. The columns of documents go through all stages but the last.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import linededup, minhash, mixing, packing, quality, queries
+from talkmill.llm import common, linededup, minhash, mixing, packing, quality, queries
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +46,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = common.written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -125,15 +125,17 @@ def judge(docs: DataFrame, *, min_words: int = 50, max_class_distance: float = 0
     chance = lambda bins, size: F.sqrt(F.lit((bins - 1) / (8 * math.log(2))) / size)
     over = lambda distance, bins, size, most: F.coalesce(F.col(distance) - chance(bins, size) > most, F.lit(False))
     within = ~over(f"{p}_cd", len(CLASSES) + 1, F.greatest(F.length(f"{p}_text"), F.lit(1)), max_class_distance) & ~over(f"{p}_wd", len(COMMON_WORDS["en"]) + 1, F.greatest(n, F.lit(1)), max_word_distance)
-    return df.select(
-        *map(col, own),
-        n.alias("n_words"),
-        F.col(f"{p}_chars").alias("word_chars"),
-        F.col(f"{p}_symbols").alias("n_symbols"),
-        (F.size(f"{p}_lines") - F.size(F.array_distinct(f"{p}_lines"))).cast("long").alias("n_dup_lines"),
-        F.col(f"{p}_repeats").alias("n_repeat_words"),
-        F.col(f"{p}_cd").alias("class_distance"),
-        F.col(f"{p}_wd").alias("word_distance"),
-        failed.alias("base_failed"),
-        (~failed & within).alias("kept"),
-    )
+    made = {
+        "n_words": n,
+        "word_chars": F.col(f"{p}_chars"),
+        "n_symbols": F.col(f"{p}_symbols"),
+        "n_dup_lines": (F.size(f"{p}_lines") - F.size(F.array_distinct(f"{p}_lines"))).cast("long"),
+        "n_repeat_words": F.col(f"{p}_repeats"),
+        "class_distance": F.col(f"{p}_cd"),
+        "word_distance": F.col(f"{p}_wd"),
+        "base_failed": failed,
+        "kept": ~failed & within,
+    }
+    # A running number keeps the optimizer from writing a filter on these columns out through all the steps above, which would repeat their expressions many times over.
+    whole = F.struct(*(c.alias(name) for name, c in made.items()), F.monotonically_increasing_id().alias("no"))
+    return df.select(*map(col, own), whole.alias(p)).select(*map(col, own), *(F.col(p)[name].alias(name) for name in made))

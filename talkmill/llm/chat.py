@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 #: Rows and characters of a batch that a worker hands back, about.
 BATCH_ROWS, BATCH_CHARS = 4096, 4 << 20
@@ -114,7 +114,7 @@ def format_turns(conversations: DataFrame, template: Template = Template(), *, i
         kinds = [pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.string(), pa.bool_()]
         return pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], ["conv_id", "turn_no", "state", "in_order", "segment_no", "text", "loss"])
 
-    out = df.mapInArrow(run, f"conv_id {kind}, {SEGMENTS}")
+    out = df.mapInArrow(lean(run), f"conv_id {kind}, {SEGMENTS}")
     return out if id_col == "conv_id" else out.withColumnRenamed("conv_id", id_col)
 
 
@@ -179,4 +179,4 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
         kinds = [schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "in_order", "ended"])
 
-    return segments.mapInArrow(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, in_order boolean, ended boolean")
+    return segments.mapInArrow(lean(run), f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, in_order boolean, ended boolean")

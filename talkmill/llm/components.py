@@ -42,7 +42,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     Partitions first contract their links by union-find. Rounds of large-star and small-star then join each id's neighbours to the least of them, until each id hangs from the least of its component: of the order of log n rounds. Each round is written, so that a lost executor costs one round.
     """
     common.ready(links.sparkSession)
-    edges = links.select("a", "b").where("a is not null and b is not null and a != b").mapInArrow(_forest, "a long, b long")
+    edges = links.select("a", "b").where("a is not null and b is not null and a != b").mapInArrow(common.lean(_forest), "a long, b long")
     edges = common.written(edges.distinct(), "edges")
     for _ in range(rounds):
         both = edges.union(edges.select("b", "a")).toDF("u", "v")

@@ -94,7 +94,7 @@ def _each(rows: DataFrame, make, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(part)], *columns.values()], ["doc_id", *columns])
                 at += len(part)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(common.lean(run), schema)
 
 
 def _signed(texts: list) -> dict:

@@ -11,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 #: Words whose ids a worker remembers, about; words first met later are encoded anew in each batch.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 #: Rows and ids in a batch that a worker hands back, at most about.
 BATCH_ROWS, BATCH_IDS = 4096, 1 << 20
 
@@ -42,18 +42,19 @@ class WordIds:
 
     def _letters(self, new: list[bytes], to: dict[bytes, bytes]) -> list[bytes]:
         """Encodes words of letters alone, many at once: each ends where an id is marked so. Gives back those for which that doesn't hold."""
-        groups = [new[i : i + 1000] for i in range(0, len(new), 1000)]
         left = []
-        for group, encoded in zip(groups, self.tokenizer.encode_batch_fast([b"\n".join(g).decode() for g in groups], add_special_tokens=False)):
+        for at in range(0, len(new), 1000):
+            group = new[at : at + 1000]
+            (encoded,) = self.tokenizer.encode_batch_fast([b"\n".join(group).decode()], add_special_tokens=False)
             ids = np.array(encoded.ids, "<i4")
             ends = (np.flatnonzero(self.last[ids]) + 1) * 4
             if len(ends) != len(group) or len(ids) * 4 != ends[-1]:
                 left += group
                 continue
-            raw, at = ids.tobytes(), 0
+            raw, start = ids.tobytes(), 0
             for word, end in zip(group, ends.tolist()):
-                to[word] = raw[at:end]
-                at = end
+                to[word] = raw[start:end]
+                start = end
         return left
 
     def _others(self, new: list[bytes], to: dict[bytes, bytes]) -> None:
@@ -97,12 +98,12 @@ def tokenizer(path: str) -> WordIds:
 
 
 def encoded_parts(texts: pa.Array, encode: WordIds) -> Iterator[np.ndarray]:
-    """The ids of each text; null counts as empty. A few MB of texts are taken at once."""
+    """The ids of each text; null counts as empty. A MB of texts or so is taken at once."""
     part, size = [], 0
     for text in texts:
         part.append(text.as_py() or "")
         size += len(part[-1])
-        if size >= 4 << 20:
+        if size >= 1 << 20:
             yield from encode(part)
             part, size = [], 0
     yield from encode(part)
@@ -202,8 +203,9 @@ def pack(docs: DataFrame, *, tokenizer_path: str, capacity: int = 4096, end_id:
         out += bins.rest()
         if out:
             yield batch()
+        encode.known = {}  # an idle worker holds no words
 
-    packed = rows.mapInArrow(run, f"doc_id {ids_type.simpleString()}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
+    packed = rows.mapInArrow(lean(run), f"doc_id {ids_type.simpleString()}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
     return packed if id_col == "doc_id" else packed.withColumnRenamed("doc_id", id_col)
 
 
@@ -223,4 +225,4 @@ def with_crc32(pieces: DataFrame) -> DataFrame:
             columns = [crc if i == at else c for i, c in enumerate(rows.columns)]
             yield pa.RecordBatch.from_arrays(columns, [n if n != "ids" else "ids_crc32" for n in rows.schema.names])
 
-    return pieces.mapInArrow(run, ", ".join(fields))
+    return pieces.mapInArrow(lean(run), ", ".join(fields))

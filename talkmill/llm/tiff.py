@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 #: Bytes of a batch that a worker hands back, about.
 BATCH_BYTES = 8 << 20
@@ -276,7 +276,7 @@ def write_pages(docs: DataFrame, *, width: int = 576, id_col: str = "doc_id", te
 
             yield from _batches(rows(), [("doc_id", batch.schema.field(0).type), ("media", pa.binary())], 1)
 
-    out = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, media binary")
+    out = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(lean(run), f"doc_id {kind}, media binary")
     return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
 
 
@@ -315,7 +315,7 @@ def read_pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "me
             rows = (row for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)) for row in pages(doc, data.as_py()))  # noqa: B023
             yield from _batches(rows, [("doc_id", batch.schema.field(0).type), *((n, k) for n, _, k in PAGES)], 10)
 
-    out = media.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{media_col}`").alias("media")).mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t, _ in PAGES))
+    out = media.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{media_col}`").alias("media")).mapInArrow(lean(run), f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t, _ in PAGES))
     return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
 
 
@@ -362,4 +362,4 @@ def digest(pages: DataFrame) -> DataFrame:
         if out:
             yield batch_of()
 
-    return pages.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t, _ in DIGEST))
+    return pages.mapInArrow(lean(run), f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, t, _ in DIGEST))

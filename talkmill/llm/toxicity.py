@@ -210,5 +210,5 @@ def score(docs: DataFrame, model: Crf, *, threshold: float = 0.3, span_from: flo
                 yield scored(batch.column(0)[at : at + len(part)], part)
                 at += len(part)
 
-    out = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double, predicted int, n_toxic double, spans array<struct<start:long,length:long,probability:double>>")
+    out = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(common.lean(run), f"doc_id {kind}, score double, predicted int, n_toxic double, spans array<struct<start:long,length:long,probability:double>>")
     return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)

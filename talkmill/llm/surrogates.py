@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import lean, ready
 
 #: Titles that announce a name, with the gender that they tell; and given names by script and gender.
 TITLES = {"mr": "m", "herr": "m", "monsieur": "m", "señor": "m", "sr": "m", "господин": "m", "mrs": "f", "ms": "f", "miss": "f", "frau": "f", "mme": "f", "madame": "f", "señora": "f", "sra": "f", "госпожа": "f", "dr": "", "prof": ""}
@@ -161,7 +161,7 @@ PATTERNS: list[tuple[str, re.Pattern, int, Callable[[str], bool]]] = [
     ("secret", re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])"), 0, lambda s: not s.isdigit()),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), 0, lambda s: iban_check(s[:2], s.replace(" ", "")[4:]) == s[2:4]),
     ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"), 0, lambda s: all(int(x) < 256 and str(int(x)) == x for x in s.split("."))),
-    ("card", re.compile(r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d]|-\d)"), 0, lambda s: len(re.sub(r"\D", "", s)) == 16 or luhn(re.sub(r"\D", "", s))),
+    ("card", re.compile(r"(?<![\d+-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\d]|-\d)"), 0, lambda s: len(re.sub(r"\D", "", s)) == 16 or luhn(re.sub(r"\D", "", s))),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), 0, lambda s: True),
     ("phone", re.compile(r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.+-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)"), 0, lambda s: 8 <= len(re.sub(r"\D", "", s)) <= 15),
 ]
@@ -242,7 +242,7 @@ def replace(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: st
                 at += len(texts)
 
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = rows.mapInArrow(run, f"doc_id {kind_of_id}, text string, spans array<struct<start:long,length:long,kind:string,surrogate:string,original_hash:string>>")
+    out = rows.mapInArrow(lean(run), f"doc_id {kind_of_id}, text string, spans array<struct<start:long,length:long,kind:string,surrogate:string,original_hash:string>>")
     return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
 
 

@@ -17,6 +17,8 @@ TARGETS = {
 #: Topics by what a text holds; the first that fits counts.
 TOPICS = [("contact", "[^ \\t-\\r]@[^ \\t-\\r]+\\.[a-z]"), ("licence", "(?i)licen[sc]ed|copyright"), ("figures", "[0-9]")]
 ROUNDS = 12
+#: By how much a cell's weight may differ from its share, at most.
+TRIM = 8.0
 
 
 def topic(text: Column, n_words: Column) -> Column:
@@ -34,6 +36,7 @@ def pooled(value: Column, listed: dict[str, float]) -> Column:
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int = ROUNDS) -> DataFrame:
     """cells (the targets' keys as columns, tokens) with w: shares of the total, raked in turn to each target's marginals, scaled to those values that have tokens.
 
+    Marginals that the cells can't reach together would drive some weights towards nothing. Weights are trimmed to within TRIM times the cell's own share, either way, so that no cell is lost to that.
     There are at most as many cells as the targets' listed values times each other, whatever the corpus: one partition holds them, and rounds are windows over it.
     """
     df = cells.coalesce(1)
@@ -50,7 +53,8 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int = R
     for _ in range(rounds):
         for dim in targets:
             df = df.withColumn("w", F.coalesce(F.try_divide(F.col("w") * F.col(f"t_{dim}"), F.sum("w").over(Window.partitionBy(dim))), F.lit(0.0)))
-    return df.drop(*(f"t_{dim}" for dim in targets))
+    share = F.coalesce(F.try_divide(F.col("tokens").cast("double"), F.sum("tokens").over(Window.partitionBy(F.lit(1)))), F.lit(0.0))
+    return df.drop(*(f"t_{dim}" for dim in targets)).withColumn("w", F.greatest(F.least("w", TRIM * share), share / TRIM))
 
 
 def calibrated(raked: DataFrame, fraction: float) -> DataFrame:
@@ -62,8 +66,8 @@ def calibrated(raked: DataFrame, fraction: float) -> DataFrame:
     order = everything.orderBy(F.col("rate").desc(), *(c for c in raked.columns if c not in ("w", "tokens")))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     df = raked.withColumn("rate", F.coalesce(F.try_divide("w", F.col("tokens").cast("double")), F.lit(0.0)))
-    total, weight = F.sum("tokens").over(everything), F.sum("w").over(everything)
-    df = df.withColumn("c", F.try_divide(fraction * total - F.coalesce(F.sum("tokens").over(before), F.lit(0)), weight - F.coalesce(F.sum("w").over(before), F.lit(0.0))))
+    total, rest = F.sum("tokens").over(everything), F.sum("w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    df = df.withColumn("c", F.try_divide(fraction * total - F.coalesce(F.sum("tokens").over(before), F.lit(0)), rest))
     fits = F.when((F.col("c") * F.col("rate") <= 1) & (F.col("c") >= 0), F.struct(F.row_number().over(order).alias("k"), F.col("c")))
     df = df.withColumn("fit", fits).withColumn("c", F.min("fit").over(everything)["c"])
     return df.withColumn("p", F.when(F.col("c").isNull(), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.col("c") * F.col("rate")))).drop("rate", "c", "fit")

@@ -91,10 +91,11 @@ cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM k GROUP BY sour
 {weights}, {shares},
 base AS (SELECT source, lang, topic, tokens, s.x AS t_source, l.x AS t_lang, p.x AS t_topic, CAST(tokens AS DOUBLE) AS w FROM cells JOIN source_s s ON s.v = source JOIN lang_s l ON l.v = lang JOIN topic_s p ON p.v = topic),
 {", ".join(steps)},
-r AS (SELECT *, coalesce(w / nullif(CAST(tokens AS DOUBLE), 0), 0.0) AS rate FROM {at}),
-o AS (SELECT *, row_number() OVER (ORDER BY rate DESC, source, lang, topic) AS no, sum(tokens) OVER () AS all_t, sum(w) OVER () AS all_w,
-  coalesce(sum(tokens) OVER (ORDER BY rate DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre_t, coalesce(sum(w) OVER (ORDER BY rate DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS pre_w FROM r),
-c AS (SELECT *, ({fraction} * all_t - pre_t) / nullif(all_w - pre_w, 0) AS c FROM o),
+tr AS (SELECT source, lang, topic, tokens, greatest(least(w, {mixing.TRIM} * coalesce(CAST(tokens AS DOUBLE) / nullif(sum(tokens) OVER (), 0), 0.0)), coalesce(CAST(tokens AS DOUBLE) / nullif(sum(tokens) OVER (), 0), 0.0) / {mixing.TRIM}) AS w FROM {at}),
+r AS (SELECT *, coalesce(w / nullif(CAST(tokens AS DOUBLE), 0), 0.0) AS rate FROM tr),
+o AS (SELECT *, row_number() OVER (ORDER BY rate DESC, source, lang, topic) AS no, sum(tokens) OVER () AS all_t,
+  coalesce(sum(tokens) OVER (ORDER BY rate DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre_t, sum(w) OVER (ORDER BY rate DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_w FROM r),
+c AS (SELECT *, ({fraction} * all_t - pre_t) / nullif(rest_w, 0) AS c FROM o),
 best AS (SELECT c FROM c WHERE c * rate <= 1 AND c >= 0 ORDER BY no LIMIT 1),
 odds AS (SELECT source, lang, topic, round(CASE WHEN b.c IS NULL THEN 1.0 ELSE least(1.0, b.c * rate) END, 6) AS p FROM c LEFT JOIN best b ON true)
 SELECT k.doc_id, CAST(k.tokens AS BIGINT) AS tokens, k.source AS source_key, k.lang AS lang_key, k.topic, odds.p AS probability,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -10,6 +10,8 @@ from .common import col, running_sum, unused
 
 #: Buckets in which rows are numbered apart from each other: 4096 and 16 shards give 65,536 totals at most.
 BUCKETS = 4096
+#: Strengths of pull, and hash buckets of each, in which moves between two shards are numbered: 65,536 totals for 16 shards.
+PULLS, HASHES = 32, 8
 
 
 def text_size(text: Column) -> Column:
@@ -24,28 +26,37 @@ def _bucket(*by: Column) -> Column:
 def place_groups(held: DataFrame, quota: list[int], rounds: int) -> DataFrame:
     """held: (g, shard, n), how many members of group g lie in a shard. Returns the like after label propagation.
 
-    A round: each group's members outside the shard that holds most of the group ask to move there. A shard has room for its quota less what it holds; requests enter in the order of how much of the group is there already, the last one in part. What doesn't fit stays where it is. Moves of a round are judged by sizes before it, so that no shard goes over its quota.
+    A round: each group's members outside the shard that holds most of the group ask to move there (of equal shards, one that the group's hash picks); in every second round, the shard that holds most of those with room, and only members of shards that hold less. Between two shards as many may cross one way as the other, which leaves sizes as they are; beside that a shard takes in what its quota leaves room for. Requests are granted in the order of how much of the group is there already, the last one in part. So no shard goes over its quota by a move.
     """
     quotas = F.array(*map(F.lit, quota))
-    for _ in range(rounds):
-        best = held.groupBy("g").agg(F.max(F.struct("n", -F.col("shard"))).alias("b"), F.count("*").alias("parts")).where("parts > 1").select("g", (-F.col("b.col2")).alias("to"), F.col("b.n").alias("pull"))
-        load = held.groupBy("shard").agg(F.sum("n").alias("load")).select(F.col("shard").alias("to"), "load")
-        asks = held.join(best, "g").where(F.col("shard") != F.col("to"))
-        # strongest pull first: by powers of two, then by hash of the group
-        rank = (F.lit(31) - F.least(F.floor(F.log2("pull")), F.lit(31))).cast("int") * (BUCKETS // 32) + F.pmod(F.xxhash64("g"), F.lit(BUCKETS // 32)).cast("int")
-        asks = running_sum(asks.withColumn("bucket", rank), ["to"], "bucket", [F.col("g"), F.col("shard")], F.col("n"), "before")
-        asks = asks.join(F.broadcast(load), "to", "left")
-        room = F.greatest(F.get(quotas, F.col("to")) - F.coalesce("load", F.lit(0)), F.lit(0))
-        moved = asks.withColumn("m", F.least(F.col("n"), F.greatest(room - F.col("before"), F.lit(0)))).where("m > 0")
+    for i in range(rounds):
+        load = held.groupBy("shard").agg(F.sum("n").alias("load"))
+        rank = F.struct("n", F.xxhash64("g", "shard").alias("h"))
+        seen = held
+        if i % 2:  # for groups that are larger than a shard: next to those that are full
+            seen = held.join(F.broadcast(load.where(F.col("load") < F.get(quotas, F.col("shard"))).select("shard")), "shard", "left_semi")
+        best = seen.groupBy("g").agg(F.max(F.struct(rank.alias("r"), "shard")).alias("b")).select("g", F.col("b.shard").alias("to"), F.col("b.r").alias("r"), F.col("b.r.n").alias("pull"))
+        asks = held.join(best, "g").where((F.col("shard") != F.col("to")) & (rank < F.col("r"))).drop("r")
+        load = load.select(F.col("shard").alias("to"), "load")
+        want = common.written(asks.groupBy("shard", "to").agg(F.sum("n").alias("want")), "want")  # n_shards squared rows at most, as are the tables made of it
+        back = want.select(F.col("shard").alias("to"), F.col("to").alias("shard"), F.col("want").alias("back"))
+        allow = want.join(back, ["shard", "to"], "left").join(load, "to", "left").withColumn("even", F.least("want", F.coalesce("back", F.lit(0))))
+        earlier = F.sum(F.col("want") - F.col("even")).over(Window.partitionBy("to").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+        room = F.greatest(F.get(quotas, F.col("to")) - F.coalesce("load", F.lit(0)) - F.coalesce(earlier, F.lit(0)), F.lit(0))
+        allow = allow.select("shard", "to", (F.col("even") + F.least(F.col("want") - F.col("even"), room)).alias("allow"))
+        # strongest pull first, by powers of two; then by hash of the group
+        rank = (F.lit(PULLS - 1) - F.least(F.floor(F.log2("pull")), F.lit(PULLS - 1))).cast("int") * HASHES + F.pmod(F.xxhash64("g"), F.lit(HASHES)).cast("int")
+        asks = running_sum(asks.withColumn("bucket", rank), ["shard", "to"], "bucket", [F.col("g")], F.col("n"), "before").join(F.broadcast(allow), ["shard", "to"])
+        moved = asks.withColumn("m", F.least(F.col("n"), F.greatest(F.col("allow") - F.col("before"), F.lit(0)))).where("m > 0")
         change = moved.select("g", F.col("to").alias("shard"), F.col("m").alias("n")).union(moved.select("g", "shard", -F.col("m")))
         following = common.written(held.union(change).groupBy("g", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "held")
-        if hasattr(held, "_talkmill_at"):
-            common.drop_written(held)
+        common.drop_written(held)
+        common.drop_written(want)
         held = following
     return held
 
 
-def shard_rows(docs: DataFrame, group: list[Column], *, n_shards: int = 16, rounds: int = 3, id_col: str = "doc_id") -> DataFrame:
+def shard_rows(docs: DataFrame, group: list[Column], *, n_shards: int = 16, rounds: int = 8, id_col: str = "doc_id") -> DataFrame:
     """docs with shard (int) and slot (long, from 0 in each shard without gaps). Row counts of shards are one apart at most; the first ones hold the extra rows.
 
     Rows with equal group columns are linked with each other. Rows start in a shard by hash of their id and group; rounds of balanced label propagation (place_groups) gather linked rows where most of them lie. Unlinked rows then fill each shard up to its quota.
@@ -95,8 +106,6 @@ def shard_rows(docs: DataFrame, group: list[Column], *, n_shards: int = 16, roun
 
 def _numbered_in_group(df: DataFrame, g: str, bucket: str, key: str, no: str, held: DataFrame) -> DataFrame:
     """Adds no: the row's number in its group, from 0. Buckets' totals go by group here, so that the table of totals grows with the rows and is joined, not broadcast."""
-    from pyspark.sql import Window
-
     inner, before, k_g, k_b = unused(df, "n_inner", "n_before", "n_g", "n_b")
     totals = df.groupBy(F.col(g).alias(k_g), F.col(bucket).alias(k_b)).agg(F.count("*").alias("n"))
     totals = totals.withColumn(before, F.coalesce(F.sum("n").over(Window.partitionBy(k_g).orderBy(k_b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")

@@ -70,10 +70,23 @@ def percentile(values: Column, q: float) -> Column:
     return F.when(n > 0, F.get(ordered, F.least(F.floor(F.lit(q) * n), n - 1).cast("int"))).otherwise(F.lit(0.0))
 
 
+#: Ranges into which values are cut before they are ranked.
+RANGES = 128
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
-    """Percentiles as above for groups of any size: values are counted first, so that what is ranked are distinct values, and no array of a group's rows is built."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("k_"))
-    by = Window.partitionBy(*(keys or [F.lit(1)]))
-    ranked = counts.withColumn("upto_", F.sum("k_").over(by.orderBy(value))).withColumn("n_", F.sum("k_").over(by))
-    at = lambda q: F.least(F.floor(F.lit(q) * F.col("n_")), F.col("n_") - 1)
-    return ranked.groupBy(*keys).agg(*(F.min(F.when(F.col("upto_") > at(q), F.col(value))).alias(name) for name, q in qs.items()))
+    """Percentiles as above for groups of any size. Values are counted first; distinct ones are cut into RANGES by approximate percentiles, ranked within a range, and ranges are put in order by their totals. So no task ranks a group whole, and the result is exact wherever the cuts fall."""
+    name = lambda i: f"k{i}_"
+    on = [name(i) for i in range(len(keys))]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*(F.col(k).alias(o) for k, o in zip(keys, on)), F.col(value).alias("x_")).agg(F.count("*").alias("n_"))
+    cuts = counts.groupBy(*on).agg(F.percentile_approx("x_", [i / RANGES for i in range(1, RANGES)], 1000).alias("cuts_"))
+    joined = counts.join(cuts, on) if on else counts.crossJoin(F.broadcast(cuts))  # one row
+    ranged = joined.withColumn("r_", F.size(F.filter("cuts_", lambda c: c < F.col("x_")))).drop("cuts_")
+    by = Window.partitionBy(*(on or [F.lit(1)]))
+    totals = ranged.groupBy(*on, "r_").agg(F.sum("n_").alias("t_"))
+    totals = totals.withColumn("before_", F.coalesce(F.sum("t_").over(by.orderBy("r_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("all_", F.sum("t_").over(by)).drop("t_")
+    within = Window.partitionBy(*on, "r_").orderBy("x_")
+    ranked = ranged.withColumn("upto_", F.sum("n_").over(within)).join(totals, [*on, "r_"])
+    at = lambda q: F.least(F.floor(F.lit(q) * F.col("all_")), F.col("all_") - 1)
+    out = ranked.groupBy(*on).agg(*(F.min(F.when(F.col("before_") + F.col("upto_") > at(q), F.col("x_"))).alias(n) for n, q in qs.items()))
+    return out.select(*(F.col(o).alias(k) for k, o in zip(keys, on)), *qs)

@@ -39,7 +39,7 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], rounds: int = R
     Marginals that the cells can't reach together would drive some weights towards nothing. Weights are trimmed to within TRIM times the cell's own share, either way, so that no cell is lost to that.
     There are at most as many cells as the targets' listed values times each other, whatever the corpus: one partition holds them, and rounds are windows over it.
     """
-    df = cells.coalesce(1)
+    df = cells.repartition(1)  # of sums that were formed in parallel
     for dim, listed in targets.items():
         weight = F
         for value, x in listed.items():

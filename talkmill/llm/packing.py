@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import lean, ready
 
 #: Words whose ids a worker remembers, about; words first met later are encoded anew in each batch.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Rows and ids in a batch that a worker hands back, at most about.
 BATCH_ROWS, BATCH_IDS = 4096, 1 << 20
 
@@ -28,7 +28,7 @@ class WordIds:
     """
 
     #: Punctuation between an ASCII letter and white space, which the tokenizer cuts off as one word.
-    TAIL = re.compile(rb"(?<=[a-z])[!-/:-@\[-`{-~]+(?=[ \t-\r]|\Z)")
+    TAIL = re.compile(rb"[!-/:-@\[-`{-~](?<=[a-z].)[!-/:-@\[-`{-~]*(?=[ \t-\r]|\Z)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -98,12 +98,12 @@ def tokenizer(path: str) -> WordIds:
 
 
 def encoded_parts(texts: pa.Array, encode: WordIds) -> Iterator[np.ndarray]:
-    """The ids of each text; null counts as empty. A MB of texts or so is taken at once."""
+    """The ids of each text; null counts as empty. Two MB of texts or so are taken at once."""
     part, size = [], 0
     for text in texts:
         part.append(text.as_py() or "")
         size += len(part[-1])
-        if size >= 1 << 20:
+        if size >= 2 << 20:
             yield from encode(part)
             part, size = [], 0
     yield from encode(part)
@@ -203,7 +203,6 @@ def pack(docs: DataFrame, *, tokenizer_path: str, capacity: int = 4096, end_id:
         out += bins.rest()
         if out:
             yield batch()
-        encode.known = {}  # an idle worker holds no words
 
     packed = rows.mapInArrow(lean(run), f"doc_id {ids_type.simpleString()}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
     return packed if id_col == "doc_id" else packed.withColumnRenamed("doc_id", id_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import CHUNK_ID, chunk_id, id_index, id_prefix, is_non_episode, lines
+from ..functions.text import CHUNK_ID, chunk_id, id_index, id_prefix, is_non_episode
 from ..functions.vectors import all_close
 from ..plans.planning import require_expected
 from .reconcile import KEY, not_excluded
@@ -147,15 +147,7 @@ def differing_names(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("name").exceptAll(b.select("name")).withColumn("side", F.lit("first")).union(b.select("name").exceptAll(a.select("name")).withColumn("side", F.lit("second")))
 
 
-def header_lines(text: Column) -> Column:
-    return F.filter(lines(text), lambda x: x.startswith("#"))
-
-
 def drop_all_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """df without those of the columns that hold nothing at all."""
     seen = df.agg(*(F.count(c).alias(c) for c in columns)).first()
     return df.drop(*(c for c in columns if not seen[c]))
-
-
-def episode_rows(records: DataFrame) -> DataFrame:
-    return records.where(~is_non_episode(F.col("source")))

@@ -29,7 +29,10 @@ def place_groups(held: DataFrame, quota: list[int], rounds: int) -> DataFrame:
     A round: each group's members outside the shard that holds most of the group ask to move there (of equal shards, one that the group's hash picks); in every second round, the shard that holds most of those with room, and only members of shards that hold less. Between two shards as many may cross one way as the other, which leaves sizes as they are; beside that a shard takes in what its quota leaves room for. Requests are granted in the order of how much of the group is there already, the last one in part. So no shard goes over its quota by a move.
     """
     quotas = F.array(*map(F.lit, quota))
+    idle = 0
     for i in range(rounds):
+        if idle == 2:  # neither kind of round moves anything any more
+            break
         load = held.groupBy("shard").agg(F.sum("n").alias("load"))
         rank = F.struct("n", F.xxhash64("g", "shard").alias("h"))
         seen = held
@@ -44,6 +47,11 @@ def place_groups(held: DataFrame, quota: list[int], rounds: int) -> DataFrame:
         earlier = F.sum(F.col("want") - F.col("even")).over(Window.partitionBy("to").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
         room = F.greatest(F.get(quotas, F.col("to")) - F.coalesce("load", F.lit(0)) - F.coalesce(earlier, F.lit(0)), F.lit(0))
         allow = allow.select("shard", "to", (F.col("even") + F.least(F.col("want") - F.col("even"), room)).alias("allow"))
+        if not allow.agg(F.sum("allow")).first()[0]:
+            idle += 1
+            common.drop_written(want)
+            continue
+        idle = 0
         # strongest pull first, by powers of two; then by hash of the group
         rank = (F.lit(PULLS - 1) - F.least(F.floor(F.log2("pull")), F.lit(PULLS - 1))).cast("int") * HASHES + F.pmod(F.xxhash64("g"), F.lit(HASHES)).cast("int")
         asks = running_sum(asks.withColumn("bucket", rank), ["shard", "to"], "bucket", [F.col("g")], F.col("n"), "before").join(F.broadcast(allow), ["shard", "to"])

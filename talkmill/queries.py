@@ -1185,13 +1185,20 @@ def j11(spark, d):
 
 @query("a32_offset_scan")
 def a32(spark, d):
+    from pyspark.sql import Window
+
     from .operators.evaluate import offset_scan
 
-    turns = event_turns(spark, d).withColumn("episode", F.col("episode") % 50).withColumn("turn_idx", F.col("turn_idx"))
-    first = turns.groupBy("episode").agg(F.min("start").alias("t0"))
-    turns = turns.join(first, "episode").withColumn("start", F.col("start") - F.col("t0"))
-    refs = people(spark, d).limit(5).withColumn("cluster", F.element_at(F.array(*map(F.lit, ("click", "view", "error", "purchase", "signup"))), (F.substring("person", 2, 2).cast("int") % 5 + 1).cast("int"))).dropDuplicates(["cluster"])
-    refs = refs.crossJoin(spark.range(50).select(F.col("id").alias("episode"))).select("episode", "cluster", "centroid")  # five people
+    types = ("click", "view", "error", "purchase", "signup")
+    label = F.substring("person", 2, 20).cast("int")
+    enrolled = people(spark, d)
+    sets = enrolled.agg((F.floor(F.max(label) / len(types)) + 1).alias("sets"))
+    # speakers are event types, dealt over as many sets as all people need, so that each has a speaker of their own
+    turns = event_turns(spark, d).crossJoin(F.broadcast(sets)).withColumn("speaker", F.concat("speaker", F.lit("-"), F.col("turn_idx") % F.col("sets"))).withColumnRenamed("episode", "user").withColumn("episode", F.col("user") % 50)  # one row
+    episode = Window.partitionBy("episode")
+    turns = turns.withColumn("turn_idx", F.row_number().over(episode.orderBy("start", "user", "turn_idx"))).withColumn("start", F.col("start") - F.min("start").over(episode))
+    refs = enrolled.withColumn("cluster", F.concat(F.element_at(F.array(*map(F.lit, types)), label % len(types) + 1), F.lit("-"), F.floor(label / len(types))))
+    refs = refs.crossJoin(spark.range(50).select(F.col("id").alias("episode"))).select("episode", "cluster", "centroid")  # fifty episodes
     crops = vectors(spark, d).select(F.col("vec_id").alias("crop_id"), (F.col("vec_id") % 50).alias("episode"), (F.col("vec_id") * 997.0).alias("crop_start_s"), "vector")
     return offset_scan(crops, turns, refs, [1.0, 0.75, 0.5, 0.3628, 0.3333])
 

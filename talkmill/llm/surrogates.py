@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, ready
+from .quality import COMMON_WORDS
 
 #: Titles that announce a name, with the gender that they tell; and given names by script and gender.
 TITLES = {"mr": "m", "herr": "m", "monsieur": "m", "señor": "m", "sr": "m", "господин": "m", "mrs": "f", "ms": "f", "miss": "f", "frau": "f", "mme": "f", "madame": "f", "señora": "f", "sra": "f", "госпожа": "f", "dr": "", "prof": ""}
@@ -140,7 +141,7 @@ class Surrogates:
         return self.letters("secret", text)
 
     def name(self, word: str) -> str:
-        """Listed given names change places within their gender and script; other words change letters, but for the last one, which in many languages tells the gender. No surrogate is a listed name."""
+        """Listed given names change places within their gender and script; other words change letters, but for the last one, which in many languages tells the gender; of an initial, the one letter changes. No surrogate is a listed name."""
         key = GENDERS.get(word.lower())
         if key:
             names = GIVEN[key]
@@ -150,7 +151,7 @@ class Surrogates:
         low = word.lower() if len(word.lower()) == len(word) else word
         new = low
         while True:
-            new = self.letters("name", new, lambda i, last=len(low) - 1: i == last)
+            new = self.letters("name", new, lambda i, last=len(low) - 1: i == last > 0)
             if new not in GENDERS:
                 break
         return "".join(n.upper() if o.isupper() else n for n, o in zip(new, word))
@@ -166,12 +167,40 @@ PATTERNS: list[tuple[str, re.Pattern, int, Callable[[str], bool]]] = [
     ("phone", re.compile(r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.+-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)"), 0, lambda s: 8 <= len(re.sub(r"\D", "", s)) <= 15),
 ]
 _LOCAL, _DOMAIN = re.compile(r"[\w.+%-]{1,64}\Z"), re.compile(r"[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}")
-_TITLED = re.compile(r"(?i:\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r"))\b\.?[ \t]((?:[^\W\d_a-zа-яß-öø-ÿ][^\W\d_]{1,40})(?:[ \t][^\W\d_a-zа-яß-öø-ÿ][^\W\d_]{1,40})?)")
-_TITLE_HINT = re.compile("|".join(sorted(TITLES, key=len, reverse=True)), re.I)
+_TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+_GAP = r"[ \t\xa0]"
+#: A run of titles, with the degrees and faculties that may follow them.
+_TITLED = re.compile(rf"(?i)\b(?:{_TITLE})\b(?:\.?{_GAP}+|\.|\.?-)(?:(?:{_TITLE}|med|phil|jur|ing|rer|nat|pol|habil|h\.{_GAP}?c)\b(?:\.{_GAP}*|{_GAP}+|\.?-))*")
+_LETTER = "(?:[^\\W\\d_]|[̀-ͯ])"
+#: A word of a name, with apostrophes inside (O'Brien, D'Angelo) but not those of the genitive; parts at hyphens are words of their own.
+_WORD = re.compile(rf"[^\W\d_](?:['’]{_LETTER}{{2,}}|{_LETTER}+(?:['’](?=[^\W\d_a-z]){_LETTER}+)*)?")
+_BETWEEN = re.compile(rf"{_GAP}+|\.{_GAP}*|[-‐‑]")
+_PARTICLE = re.compile(rf"(?:(?:van|von|vom|zu|zum|zur|und|de|del|della|der|den|des|di|da|das|dos|du|la|las|le|los|el|al|ibn|bin|af|av|ter|ten|te){_GAP}+|al-|d['’])+(?=[^\W\d_])")
+_TITLE_HINT = re.compile(_TITLE, re.I)
+_GIVEN = re.compile(r"(?<!\w)(?:" + "|".join(sorted({x for names in GIVEN.values() for n in names for x in (n, n.upper())}, key=len, reverse=True)) + r")(?!\w)")
+#: What ends a name although it may be capitalised, as in headings.
+_STOPS = {w for words in COMMON_WORDS.values() for w in words}
+
+
+def name_words(text: str, at: int) -> list[tuple[int, int]]:
+    """(start, end) of the words of the name that begins at a place: all capitalised words in a row (or in scripts without capitals), with initials, hyphens, apostrophes, and particles between. A title, a common word other than at its start, any other sign or the end of the line ends it."""
+    out: list[tuple[int, int]] = []
+    while True:
+        particle = _PARTICLE.match(text, at)
+        if particle and not text[particle.end()].islower():
+            at = particle.end()
+        word = _WORD.match(text, at)
+        if not word or word[0][0].islower() or word[0].lower() in TITLES or out and len(word[0]) > 1 and word[0].lower() in _STOPS and not _PARTICLE.match(word[0].lower() + " x"):
+            return out
+        out.append(word.span())
+        between = _BETWEEN.match(text, word.end())
+        if not between or between[0][0] == "." and len(word[0]) > 1:
+            return out
+        at = between.end()
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the entities of a whole text, in order, without overlaps; of overlapping ones the kind listed first counts. After a title, a name's words are found again wherever they stand in the text."""
+    """(start, end, kind) of the entities of a whole text, in order, without overlaps; of overlapping ones the kind listed first counts. A name begins after a title or with a listed given name (name_words() says how far it goes); its words, but for initials, are found again wherever they stand in the text, spelled alike."""
     found: list[tuple[int, int, str]] = []
     at = text.find("@")
     while at >= 0:
@@ -185,23 +214,32 @@ def find(text: str) -> list[tuple[int, int, str]]:
     if any(d in text for d in "0123456789"):
         for kind, pattern, group, fits in PATTERNS:
             found += [(*m.span(group), kind) for m in pattern.finditer(text) if fits(m[group])]
-    if _TITLE_HINT.search(text):
-        words = {w for m in _TITLED.finditer(text) for w in m[2].split()}
-        if words:
-            again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(words, key=len, reverse=True))) + r")(?!\w)")
-            found += [(*m.span(), "name") for m in again.finditer(text)]
+    starts = [m.end() for m in _TITLED.finditer(text)] if _TITLE_HINT.search(text) else []
+    spans, reached = set(), 0
+    for at in sorted([*starts, *(m.start() for m in _GIVEN.finditer(text))]):
+        if at >= reached:  # else inside a name that is known
+            name = name_words(text, at)
+            spans.update(name)
+            reached = name[-1][1] if name else reached
+    if spans:
+        words = {text[a:b] for a, b in spans}
+        again = {w for w in words if len(w) > 1}
+        if again:
+            pattern = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(again, key=len, reverse=True))) + r")(?!\w)")
+            spans |= {m.span() for m in pattern.finditer(text)}
+        found += [(a, b, "name") for a, b in sorted(spans)]
     out, end = [], 0
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str, int]] = []
     for i, (a, b, kind) in sorted(enumerate(found), key=lambda x: (x[1][0], x[0])):
         if a >= end:
-            taken.append((a, b, kind))
+            taken.append((a, b, kind, i))
             end = b
-        elif taken and i < found.index(taken[-1]) and a < taken[-1][1]:
-            taken[-1] = (a, b, kind)
+        elif taken and i < taken[-1][3] and a < taken[-1][1]:
+            taken[-1] = (a, b, kind, i)
             end = b
     for span in taken:
         if not out or span[0] >= out[-1][1]:
-            out.append(span)
+            out.append(span[:3])
     return out
 
 
@@ -211,7 +249,7 @@ SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("kind", pa.str
 def replace(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, text (with surrogates), spans: start and length in the old text, kind, surrogate, original_hash (keyed) of each entity.
 
-    Kinds: email, phone, ip, card, ssn, iban, secret, name (after a title). A surrogate keeps kind and form: punctuation, letter case, script, vowels and consonants, country codes, card type, check digits, hex digits; given names their gender. It comes from a keyed permutation of all entities of that form (format-preserving encryption), so that equal entities stay equal and different ones different over the whole corpus, with no table of entities and no shuffle; collisions() checks this on the spans.
+    Kinds: email, phone, ip, card, ssn, iban, secret, name (after a title or with a listed given name). A surrogate keeps kind and form: punctuation, letter case, script, vowels and consonants, country codes, card type, check digits, hex digits; given names their gender. It comes from a keyed permutation of all entities of that form (format-preserving encryption), so that equal entities stay equal and different ones different over the whole corpus, with no table of entities and no shuffle; collisions() checks this on the spans.
 
     Null text stays null, with no spans. Empty and entity-free texts stay as they are. Rows are treated one by one, with null and repeated ids passed through. An empty table gives no rows. Columns besides the two are not read.
     """

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,10 @@ ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKL
 CLASS_OF = {c: a for a in ALPHABETS for c in a}
 
 
+#: Places from which strings are permuted without writing them as one number.
+LONG = 1024
+
+
 class Permutation:
     """Keyed permutations of the numbers below any size: a Feistel network over the least even count of bits, walked on until a value falls below the size and is allowed. Each size and kind has its own; all are one to one, so that different values never meet in one surrogate."""
 
@@ -55,6 +60,18 @@ class Permutation:
             if x < size and allowed(x):
                 return x
 
+    def long(self, kind: str, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For strings of any length, in time that grows with it: values[i] below sizes[i] to others of such, one to one. A Feistel network too: each half is shifted, place by place, by a stream that the other half gives."""
+        name = hashlib.blake2b(f"{kind}:{len(values)}".encode(), digest_size=16).digest()
+        half, values = len(values) // 2, values.astype(np.uint8)
+        parts, moduli = [values[:half], values[half:]], [sizes[:half], sizes[half:]]
+        for i in range(self.ROUNDS):
+            k = i % 2
+            seed = hashlib.blake2b(bytes((i,)) + parts[1 - k].tobytes(), key=self.key, person=name).digest()
+            stream = np.frombuffer(hashlib.shake_256(seed).digest(8 * len(parts[k])), "<u8") % moduli[k].astype(np.uint64)
+            parts[k] = ((parts[k] + stream) % moduli[k].astype(np.uint64)).astype(np.uint8)
+        return np.concatenate(parts)
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -78,6 +95,8 @@ class Surrogates:
     def letters(self, kind: str, text: str, keep: Callable[[int], bool] = lambda i: False) -> str:
         """text with each letter and digit replaced by one of its class, but at places to keep; all are drawn together from the strings of this pattern."""
         places = [(i, CLASS_OF[c]) for i, c in enumerate(text) if c in CLASS_OF and not keep(i)]
+        if len(places) > LONG:
+            return self._long_letters(kind, text, places)
         size, x = 1, 0
         for i, alphabet in places:
             size *= len(alphabet)
@@ -90,6 +109,17 @@ class Surrogates:
             out[i] = alphabet[at]
         return "".join(out)
 
+    def _long_letters(self, kind: str, text: str, places: list[tuple[int, str]]) -> str:
+        out = list(text)
+        for i, _ in places:
+            out[i] = "*"
+        pattern = hashlib.blake2b(f"{''.join(out)}|{','.join(str(ALPHABETS.index(a)) for _, a in places)}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        values = np.array([a.index(text[i]) for i, a in places])
+        new = self.permute.long(f"{kind}|{pattern}", values, np.array([len(a) for _, a in places]))
+        for (i, a), x in zip(places, new.tolist()):
+            out[i] = a[x]
+        return "".join(out)
+
     def digits(self, kind: str, digits: str, allowed: Callable[[str], bool] = lambda d: True) -> str:
         n = len(digits)
         return f"{self.permute(f'{kind}{n}', 10**n, int(digits or 0), lambda x: allowed(f'{x:0{n}d}')):0{n}d}" if n else digits
@@ -135,6 +165,8 @@ class Surrogates:
     def secret(self, text: str) -> str:
         for base in ("0123456789abcdef", "0123456789ABCDEF"):
             if not set(text) - set(base):
+                if len(text) > LONG:
+                    return "".join(base[x] for x in self.permute.long("hex", np.array([base.index(c) for c in text]), np.full(len(text), 16)).tolist())
                 x = self.permute(f"hex{len(text)}", 16 ** len(text), int(text, 16))
                 new = f"{x:0{len(text)}x}"
                 return new.upper() if base[-1] == "F" else new
@@ -158,15 +190,16 @@ class Surrogates:
 
 
 PATTERNS: list[tuple[str, re.Pattern, int, Callable[[str], bool]]] = [
-    ("secret", re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_\-/+]{8,128})"), 1, lambda s: any(c.isdigit() for c in s)),
-    ("secret", re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])"), 0, lambda s: not s.isdigit()),
+    ("secret", re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_\-/+]+(?:[.~%=]+[A-Za-z0-9_\-/+]+)*)"), 1, lambda s: len(s) >= 8 and any(c.isdigit() for c in s)),
+    ("secret", re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])"), 0, lambda s: not s.isdigit()),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), 0, lambda s: iban_check(s[:2], s.replace(" ", "")[4:]) == s[2:4]),
     ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"), 0, lambda s: all(int(x) < 256 and str(int(x)) == x for x in s.split("."))),
     ("card", re.compile(r"(?<![\d+-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\d]|-\d)"), 0, lambda s: len(re.sub(r"\D", "", s)) == 16 or luhn(re.sub(r"\D", "", s))),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), 0, lambda s: True),
     ("phone", re.compile(r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.+-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)"), 0, lambda s: 8 <= len(re.sub(r"\D", "", s)) <= 15),
 ]
-_LOCAL, _DOMAIN = re.compile(r"[\w.+%-]{1,64}\Z"), re.compile(r"[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}")
+#: Read backwards from the @; and forwards.
+_LOCAL, _DOMAIN = re.compile(r"[\w.+%-]*"), re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 _GAP = r"[ \t\xa0]"
 #: A run of titles, with the degrees and faculties that may follow them.
@@ -202,15 +235,14 @@ def name_words(text: str, at: int) -> list[tuple[int, int]]:
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a whole text, in order, without overlaps; of overlapping ones the kind listed first counts. A name begins after a title or with a listed given name (name_words() says how far it goes); its words, but for initials, are found again wherever they stand in the text, spelled alike."""
     found: list[tuple[int, int, str]] = []
-    at = text.find("@")
+    before, at = 0, text.find("@")
     while at >= 0:
-        left = _LOCAL.search(text[max(0, at - 64) : at])
         right = _DOMAIN.match(text, at + 1)
-        if left and right:
-            local = left[0].lstrip(".-%+")
+        if right:
+            local = _LOCAL.match(text[before:at][::-1])[0][::-1].lstrip(".-%+")
             if local:
                 found.append((at - len(local), right.end(), "email"))
-        at = text.find("@", at + 1)
+        before, at = at + 1, text.find("@", at + 1)
     if any(d in text for d in "0123456789"):
         for kind, pattern, group, fits in PATTERNS:
             found += [(*m.span(group), kind) for m in pattern.finditer(text) if fits(m[group])]
@@ -249,7 +281,7 @@ SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("kind", pa.str
 def replace(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, text (with surrogates), spans: start and length in the old text, kind, surrogate, original_hash (keyed) of each entity.
 
-    Kinds: email, phone, ip, card, ssn, iban, secret, name (after a title or with a listed given name). A surrogate keeps kind and form: punctuation, letter case, script, vowels and consonants, country codes, card type, check digits, hex digits; given names their gender. It comes from a keyed permutation of all entities of that form (format-preserving encryption), so that equal entities stay equal and different ones different over the whole corpus, with no table of entities and no shuffle; collisions() checks this on the spans.
+    Kinds: email, phone, ip, card, ssn, iban, secret, name (after a title or with a listed given name). Entities of the open-ended kinds (email, secret, name) go whole, whatever their length. A surrogate keeps kind and form: punctuation, letter case, script, vowels and consonants, country codes, card type, check digits, hex digits; given names their gender. It comes from a keyed permutation of all entities of that form (format-preserving encryption), so that equal entities stay equal and different ones different over the whole corpus, with no table of entities and no shuffle; collisions() checks this on the spans.
 
     Null text stays null, with no spans. Empty and entity-free texts stay as they are. Rows are treated one by one, with null and repeated ids passed through. An empty table gives no rows. Columns besides the two are not read.
     """

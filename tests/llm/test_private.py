@@ -1,5 +1,9 @@
-"""Names are replaced whole, beyond two words and without titles."""
+"""Entities are replaced whole: names beyond two words or without titles, secrets and addresses of any length."""
 
+import random
+import time
+
+import numpy as np
 import pytest
 
 from talkmill.llm import surrogates
@@ -30,3 +34,41 @@ def test_whole_names(text, want):
 def test_initials_change():
     s = surrogates.Surrogates(b"k")
     assert sorted(s.name(c) for c in "BCDFGHJKLMNPQRSTVWXYZ") == list("BCDFGHJKLMNPQRSTVWXYZ") and any(s.name(c) != c for c in "BCDF")
+
+
+LONG = random.Random(5)
+TOKEN = "".join(LONG.choices("abcdefgh0123456789", k=200))
+ENTITIES = [
+    ("token=%s", TOKEN, "secret"),
+    ("token=%s.", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abc-DEF_123", "secret"),
+    ("key %s.", "".join(LONG.choices("0123456789abcdef", k=300)), "secret"),
+    ("key %s.", "".join(LONG.choices("0123456789ABCDEF", k=3000)), "secret"),
+    ("password: '%s'", "x1" * 50_000, "secret"),
+    ("to %s,", "a" * 80 + "@mail.example.org", "email"),
+    ("to %s,", "me@" + ".".join("abcdefghijklm") + ".org", "email"),
+    ("to %s,", "me@" + "x" * 90 + ".org", "email"),
+]
+
+
+@pytest.mark.parametrize("frame, entity, kind", ENTITIES)
+def test_whole_entities(frame, entity, kind):
+    text = frame % entity
+    assert [(text[a:b], k) for a, b, k in surrogates.find(text)] == [(entity, kind)]
+    s = surrogates.Surrogates(b"k")
+    new = getattr(s, kind)(entity)
+    assert len(new) == len(entity) and new != entity and new == getattr(surrogates.Surrogates(b"k"), kind)(entity)
+    other = entity[:20] + ("c" if entity[20] != "c" else "d") + entity[21:]
+    assert getattr(s, kind)(other) != new
+
+
+def test_long_strings_are_permuted_one_to_one():
+    p, sizes = surrogates.Permutation(b"k" * 32), np.array([2, 3, 5, 4])
+    grid = np.stack(np.meshgrid(*map(np.arange, sizes), indexing="ij"), -1).reshape(-1, 4)
+    assert {tuple(p.long("x", v, sizes).tolist()) for v in grid} == set(map(tuple, grid.tolist()))
+
+
+def test_many_signs_take_no_time():
+    began = time.time()
+    for text in ("a@" * 50_000, "Mr. " + "Smith-" * 20_000, "a." * 50_000 + "@", "token=" + "a.=" * 50_000, "Anna " * 20_000):
+        surrogates.find(text)
+    assert time.time() - began < 10

@@ -202,11 +202,23 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
 
 
 def keep_one(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without near duplicates: of each group the row of the least id stays, with all its columns. Rows that repeat an id that stays are left as one. Rows with a null id stay."""
-    mark, no = common.unused(docs, "kept_id", "kept_no")
-    kept = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(mark))
-    named = common.col(id_col)
-    stay = docs.join(kept, named.cast("long") == F.col(mark), "left_semi")
-    one = Window.partitionBy(named).orderBy(F.xxhash64(common.col(text_col)))
-    stay = stay.withColumn(no, F.row_number().over(one)).where(F.col(no) == 1).drop(no)
+    """docs without near duplicates: of each group the row of the least id stays, with all its columns. Rows with a null id stay.
+
+    Where ids repeat, each text is judged by itself: an id keeps all its texts that are no near duplicates of another that stays; of rows with equal id and equal set (blank texts have the empty one), one stays.
+    """
+    named, text = common.col(id_col), common.col(text_col).cast("string")
+    with_id = docs.where(named.isNotNull())
+    repeated = with_id.groupBy(named.cast("long").alias("id")).agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        (mark,) = common.unused(docs, "kept_id")
+        kept = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(mark))
+        stay = with_id.join(kept, named.cast("long") == F.col(mark), "left_semi")
+    else:  # each row has a number of its own, written so that it stays
+        (row,) = common.unused(docs, "kept_row")
+        numbered = common.written(with_id.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        of_row = numbered.select(F.col(row).alias("doc_id"), named.cast("long").alias("id"), F.xxhash64(text).alias("hash"))
+        judged = near_duplicates(numbered, threshold=threshold, id_col=row, text_col=text_col).join(of_row, "doc_id")
+        blank = F.col("n_shingles") == 0
+        first = judged.groupBy(blank.alias("blank"), F.when(blank, F.col("id")).otherwise(F.col("component_id")).alias("group")).agg(F.min(F.struct("id", "hash", "doc_id")).alias("s"))
+        stay = numbered.join(first.select(F.col("s.doc_id").alias(row)), row, "left_semi").select(*map(common.col, docs.columns))
     return stay.unionByName(docs.where(named.isNull()))

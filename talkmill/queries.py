@@ -1122,14 +1122,14 @@ def _plan_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 def h9(spark, d):
     from .operators.sampling import clip_plan
 
-    return clip_plan(*_plan_inputs(spark, d), seed="campaign-1", sample=20)
+    return clip_plan(*_plan_inputs(spark, d), seed="campaign-1")
 
 
 @query("a43_plan_counts")
 def a43(spark, d):
     from .operators.sampling import clip_plan, plan_counts
 
-    return plan_counts(clip_plan(*_plan_inputs(spark, d), seed="campaign-1", sample=20))
+    return plan_counts(clip_plan(*_plan_inputs(spark, d), seed="campaign-1"))
 
 
 LOG, LOG_SQL = adapter("lineitem", ["CAST(l_orderkey % 400 AS STRING) AS episode", "CAST(l_suppkey % 3 AS STRING) AS cluster", "l_linenumber % 3 AS draw", "10.0 AS length_s", "l_orderkey * 10000 + l_partkey AS seq", "CASE WHEN l_partkey % 31 = 0 THEN 'download' WHEN l_partkey % 7 = 0 THEN 'crop' ELSE NULL END AS error_kind"], "l_linenumber < 5")

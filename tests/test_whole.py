@@ -4,9 +4,9 @@ import math
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from talkmill import queries
+from talkmill.operators.turns import CLIP_S, LEAD_IN_S
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
@@ -37,3 +37,13 @@ def test_offset_scan_hears_all_people(spark):
     got = {x["r"]: x for x in queries.QUERIES["a32_offset_scan"](spark, SF).collect()}
     assert {r: [x["hit"], x["miss"], x["uncovered"], x["no_reference"]] for r, x in got.items()} == want
     assert sum(w[0] + w[1] for w in want.values()) > 0 and [r for r in ratios if got[r]["peak"]] == [max(ratios, key=lambda r: share[r])]
+
+
+def test_clip_plan_samples_more_than_twenty_episodes(spark):
+    sf = SF.replace("0.001", "0.01")
+    turns, episodes = queries._plan_inputs(spark, sf)
+    long = {(t["episode"], t["speaker"]) for t in turns.where(f"duration_s >= {LEAD_IN_S + CLIP_S}").collect()}
+    eligible = [e for e in episodes.collect() if not e["second_tier"] and e["year"] < "2026" and (e["episode"], e["dominant"]) in long]
+    got = queries.QUERIES["a43_plan_counts"](spark, sf).where("stratum = 'sampled' and purpose = 'precision'").first()
+    assert got["episodes"] == min(150, len(eligible)) > 20
+    assert queries.QUERIES["h9_clip_plan"](spark, sf).where("stratum = 'sampled' and array_contains(purposes, 'precision')").select("episode").distinct().count() == got["episodes"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, linededup, minhash, mixing, packing, quality, sharding, sql, surrogates, tiff, toxicity
+from . import chat, common, linededup, minhash, mixing, packing, quality, sharding, sql, surrogates, tiff, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +55,8 @@ SURROGATE_KEY = b"not a secret: key of the registered query"
 
 
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replaced = surrogates.replace(_docs(spark, sf_dir), key=SURROGATE_KEY)
-    return replaced.select("doc_id", F.size("spans").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["kind"]))), ",").alias("kinds"), "text")
+    replaced = surrogates.with_collisions(common.written(surrogates.replace(_docs(spark, sf_dir), key=SURROGATE_KEY), "replaced"))
+    return replaced.select("doc_id", F.size("spans").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["kind"]))), ",").alias("kinds"), "n_collisions", "text")
 
 
 #: A conversation whose texts hold the template's own control strings.

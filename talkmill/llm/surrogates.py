@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, ready
+from .common import lean, ready, unused
 from .quality import COMMON_WORDS
 
 #: Titles that announce a name, with the gender that they tell; and given names by script and gender.
@@ -26,6 +29,55 @@ GENDERS = {name.lower(): key for key, names in GIVEN.items() for name in names}
 #: Letters that stand for each other: of one script and case, vowels for vowels.
 ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ"]
 CLASS_OF = {c: a for a in ALPHABETS for c in a}
+#: Blocks of letters that are one alphabet each: Chinese characters and Korean syllables. Other letters share one with those of their kind in the same 256 places.
+WIDE = [range(0x4E00, 0x9FA6), range(0xAC00, 0xD7A4)]
+_blocks: dict[tuple[int, str], str] = {}
+
+
+def class_of(c: str) -> str | None:
+    """The alphabet that a letter, mark or digit belongs to; null for other signs. The alphabets part all characters among them, and none has a letter alone but where Unicode has no like."""
+    if c in CLASS_OF:
+        return CLASS_OF[c]
+    kind = unicodedata.category(c)
+    if c < "\x80" or kind[0] not in "LM" and kind != "Nd":
+        return None
+    block = next((r for r in WIDE if ord(c) in r), range(ord(c) & ~255, (ord(c) | 255) + 1))
+    key = block.start, kind
+    if key not in _blocks:
+        _blocks[key] = "".join(x for x in map(chr, block) if x not in CLASS_OF and unicodedata.category(x) == kind)
+    return _blocks[key]
+
+
+@dataclass(frozen=True)
+class Script:
+    """How names of a script read. letters: small ones, in tiers: plain, those of many languages, and (by ranges of Unicode) all others with the marks that combine. A word belongs to the first tier that has all its letters. Surrogates are made of syllables; the vowel of the first one is taken from the word's tier. endings: what tells the gender; without one of them a word's last letter does."""
+
+    tiers: tuple[str, str]
+    ranges: tuple[tuple[int, int], ...]
+    consonants: str
+    vowels: tuple[str, str, str]
+    endings: tuple[str, ...] = ()
+
+    @cached_property
+    def letters(self) -> list[str]:
+        plain, more = self.tiers
+        every = (chr(i) for a, b in (*self.ranges, (0x300, 0x370)) for i in range(a, b))
+        rest = "".join(c for c in every if c not in plain + more and c.lower() == c and unicodedata.category(c)[0] in "LM")
+        return [plain, plain + more, plain + more + rest]
+
+    def tier(self, low: str) -> int | None:
+        return next((i for i, letters in enumerate(self.letters) if all(c in letters for c in low)), None)
+
+    @cached_property
+    def syllables(self) -> list[list[str]]:
+        return [[c + v for c in self.consonants for v in vowels] for vowels in self.vowels]
+
+
+SCRIPTS = [
+    Script(("abcdefghijklmnopqrstuvwxyz", "ßàáâãäåæçèéêëìíîïñòóôõöøùúûüýąćčęěğłńőřśşšůűźżž"), ((0xDF, 0x250), (0x1E00, 0x1F00)), "bdfghklmnprstvz", ("aeiou", "áéíóú", "ăĕĭŏŭ")),
+    Script(("абвгдежзийклмнопрстуфхцчшщъыьэюяё", "ґєіїўјљњћђџ"), ((0x430, 0x530),), "бвгдзклмнпрст", ("аеиоу", "єіїўё", "ӑӗӣӧӯ"), ("ский", "ская", "ва", "на")),
+    Script(("αβγδεζηθικλμνξοπρστυφχψως", "άέήίόύώϊϋΐΰ"), ((0x370, 0x400), (0x1F00, 0x2000)), "βγδκλμνπρστ", ("αεηιο", "άέήίό", "ἀἐἠἰὀ")),
+]
 
 
 #: Places from which strings are permuted without writing them as one number.
@@ -33,7 +85,7 @@ LONG = 1024
 
 
 class Permutation:
-    """Keyed permutations of the numbers below any size: a Feistel network over the least even count of bits, walked on until a value falls below the size and is allowed. Each size and kind has its own; all are one to one, so that different values never meet in one surrogate."""
+    """Keyed permutations of the numbers below any size, each without a fixed point: the allowed numbers are laid in a ring, in an order that a Feistel network over the least even count of bits gives (walked on until a value falls below the size), and each turns into the next one. Each size and kind has its own. Different values never meet, and none but a value without any like stays what it is."""
 
     ROUNDS = 8
 
@@ -47,29 +99,50 @@ class Permutation:
             digest += hashlib.blake2b(bytes((i, len(digest) // 64)) + x.to_bytes(size, "big"), key=self.key, person=kind[:16]).digest()
         return int.from_bytes(digest[:size], "big") & (1 << half) - 1
 
-    def __call__(self, kind: str, size: int, x: int, allowed: Callable[[int], bool] = lambda x: True) -> int:
-        if size < 2:
-            return x
+    def _place(self, name: bytes, size: int, x: int, back: bool = False) -> int:
+        """The place of x in the ring, or what stands at place x."""
         half = ((size - 1).bit_length() + 1) // 2
-        name = hashlib.blake2b(f"{kind}:{size}".encode(), digest_size=16).digest()
         while True:
             left, right = x >> half, x & (1 << half) - 1
             for i in range(self.ROUNDS):
-                left, right = right, left ^ self._step(name, half, i, right)
+                if back:
+                    left, right = right ^ self._step(name, half, self.ROUNDS - 1 - i, left), left
+                else:
+                    left, right = right, left ^ self._step(name, half, i, right)
             x = left << half | right
-            if x < size and allowed(x):
+            if x < size:
                 return x
 
+    def __call__(self, kind: str, size: int, x: int, allowed: Callable[[int], bool] = lambda x: True) -> int:
+        if size < 2:
+            return x
+        name = hashlib.blake2b(f"{kind}:{size}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        at = self._place(name, size, x)
+        while True:
+            at = (at + 1) % size
+            new = self._place(name, size, at, back=True)
+            if allowed(new):
+                return new
+
     def long(self, kind: str, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """For strings of any length, in time that grows with it: values[i] below sizes[i] to others of such, one to one. A Feistel network too: each half is shifted, place by place, by a stream that the other half gives."""
-        name = hashlib.blake2b(f"{kind}:{len(values)}".encode(), digest_size=16).digest()
-        half, values = len(values) // 2, values.astype(np.uint8)
+        """The like for strings of any length, in time that grows with it: values[i] below sizes[i] to others of such, one to one. A Feistel network gives the ring's order too: each half is shifted, place by place, by a stream that the other half gives. One step along the ring changes the first place that can change."""
+        name = hashlib.blake2b(f"{kind}:{len(values)}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        half, sizes, values = len(values) // 2, sizes.astype(np.int64), values.astype(np.int64)
         parts, moduli = [values[:half], values[half:]], [sizes[:half], sizes[half:]]
+
+        def stream(i: int) -> np.ndarray:
+            seed = hashlib.blake2b(bytes((i,)) + parts[1 - i % 2].astype("<u4").tobytes(), key=self.key, person=name).digest()
+            return (np.frombuffer(hashlib.shake_256(seed).digest(8 * len(parts[i % 2])), "<u8") % moduli[i % 2].astype(np.uint64)).astype(np.int64)
+
         for i in range(self.ROUNDS):
-            k = i % 2
-            seed = hashlib.blake2b(bytes((i,)) + parts[1 - k].tobytes(), key=self.key, person=name).digest()
-            stream = np.frombuffer(hashlib.shake_256(seed).digest(8 * len(parts[k])), "<u8") % moduli[k].astype(np.uint64)
-            parts[k] = ((parts[k] + stream) % moduli[k].astype(np.uint64)).astype(np.uint8)
+            parts[i % 2] = (parts[i % 2] + stream(i)) % moduli[i % 2]
+        first = np.flatnonzero(sizes > 1)
+        if len(first):
+            k, at = (0, int(first[0])) if first[0] < half else (1, int(first[0]) - half)
+            parts[k] = parts[k].copy()
+            parts[k][at] = (parts[k][at] + 1) % moduli[k][at]
+        for i in reversed(range(self.ROUNDS)):
+            parts[i % 2] = (parts[i % 2] - stream(i)) % moduli[i % 2]
         return np.concatenate(parts)
 
 
@@ -92,28 +165,33 @@ class Surrogates:
     def __init__(self, key: bytes):
         self.permute = Permutation(hashlib.blake2b(key, digest_size=32).digest())
 
-    def letters(self, kind: str, text: str, keep: Callable[[int], bool] = lambda i: False) -> str:
-        """text with each letter and digit replaced by one of its class, but at places to keep; all are drawn together from the strings of this pattern."""
-        places = [(i, CLASS_OF[c]) for i, c in enumerate(text) if c in CLASS_OF and not keep(i)]
+    def letters(self, kind: str, text: str, keep: Callable[[int], bool] = lambda i: False, allowed: Callable[[str], bool] | None = None) -> str:
+        """text with each letter and digit replaced by one of its class, but at places to keep; all are drawn together from the strings of this pattern that are allowed."""
+        places = [(i, a) for i, a in enumerate(map(class_of, text)) if a and not keep(i)]
         if len(places) > LONG:
             return self._long_letters(kind, text, places)
         size, x = 1, 0
         for i, alphabet in places:
             size *= len(alphabet)
             x = x * len(alphabet) + alphabet.index(text[i])
-        kept = "".join(c if c not in CLASS_OF or keep(i) else "*" for i, c in enumerate(text))
-        x = self.permute(f"{kind}|{kept}|{','.join(str(ALPHABETS.index(a)) for _, a in places)}", size, x)
         out = list(text)
-        for i, alphabet in reversed(places):
-            x, at = divmod(x, len(alphabet))
-            out[i] = alphabet[at]
-        return "".join(out)
+        for i, _ in places:
+            out[i] = "*"
+        kept = "".join(out)
+
+        def spelled(x: int) -> str:
+            for i, alphabet in reversed(places):
+                x, at = divmod(x, len(alphabet))
+                out[i] = alphabet[at]
+            return "".join(out)
+
+        return spelled(self.permute(f"{kind}|{kept}|{','.join(a[0] for _, a in places)}", size, x, (lambda x: allowed(spelled(x))) if allowed else lambda x: True))
 
     def _long_letters(self, kind: str, text: str, places: list[tuple[int, str]]) -> str:
         out = list(text)
         for i, _ in places:
             out[i] = "*"
-        pattern = hashlib.blake2b(f"{''.join(out)}|{','.join(str(ALPHABETS.index(a)) for _, a in places)}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        pattern = hashlib.blake2b(f"{''.join(out)}|{','.join(a[0] for _, a in places)}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
         values = np.array([a.index(text[i]) for i, a in places])
         new = self.permute.long(f"{kind}|{pattern}", values, np.array([len(a) for _, a in places]))
         for (i, a), x in zip(places, new.tolist()):
@@ -163,32 +241,76 @@ class Surrogates:
         return "".join(c if c == " " else next(it) for c in text)
 
     def secret(self, text: str) -> str:
-        for base in ("0123456789abcdef", "0123456789ABCDEF"):
+        """Hex digits give hex digits; those without a letter none, others some, so that no form turns into another. Other secrets keep their pattern and never read as hex."""
+        n = len(text)
+        for base in ("0123456789", "0123456789abcdef", "0123456789ABCDEF"):
             if not set(text) - set(base):
-                if len(text) > LONG:
-                    return "".join(base[x] for x in self.permute.long("hex", np.array([base.index(c) for c in text]), np.full(len(text), 16)).tolist())
-                x = self.permute(f"hex{len(text)}", 16 ** len(text), int(text, 16))
-                new = f"{x:0{len(text)}x}"
-                return new.upper() if base[-1] == "F" else new
-        return self.letters("secret", text)
+                if n > LONG:
+                    return "".join(base[x] for x in self.permute.long(base, np.array([base.index(c) for c in text]), np.full(n, len(base))).tolist())
+                if len(base) == 10:
+                    return self.digits("secret", text)
+                form = f"0{n}{'x' if base[-1] == 'f' else 'X'}"
+                return format(self.permute(base + str(n), 16**n, int(text, 16), lambda x: not format(x, form).isdigit()), form)
+        return self.letters("secret", text, allowed=lambda s: not _HEX.fullmatch(s))
 
     def name(self, word: str) -> str:
-        """Listed given names change places within their gender and script; other words change letters, but for the last one, which in many languages tells the gender; of an initial, the one letter changes. No surrogate is a listed name."""
-        key = GENDERS.get(word.lower())
-        if key:
+        """Listed given names change places within their gender and script. Other words of Latin, Cyrillic or Greek letters become words of syllables, with the same ending, which in many languages tells the gender; words of other scripts change letters one by one. Parts at apostrophes change each for itself; initials change their letter. No surrogate but a given name's is a listed one."""
+        if word.lower() in GENDERS:
+            key = GENDERS[word.lower()]
             names = GIVEN[key]
-            at = [n.lower() for n in names].index(word.lower())
-            new = names[self.permute("given" + "".join(key), len(names), at)]
-            return new.upper() if word.isupper() and len(word) > 1 else new
-        low = word.lower() if len(word.lower()) == len(word) else word
-        new = low
+            new = names[self.permute("given" + "".join(key), len(names), [n.lower() for n in names].index(word.lower()))]
+            return new.upper() if word.isupper() else new
+        if _APOSTROPHE.search(word):
+            return "".join(self.name(x) if x and not _APOSTROPHE.fullmatch(x) else x for x in _APOSTROPHE.split(word))
+        low = word.lower()
+        script = next((s for s in SCRIPTS if s.tier(low) is not None), None)
+        if script is None or len(low) < 2:
+            return self.letters("name", word)
+        new = self._syllables(script, low)
+        return new.upper() if word.isupper() else new[0].upper() + new[1:] if word[0].isupper() else new
+
+    def _syllables(self, script: Script, low: str) -> str:
+        """The words of a tier and ending are numbered by length, then letters; so are those of two syllables or more, from the first numbers on, but for listed names. A word's number, permuted among those with as many syllables, is the surrogate's. So each word has one, different words have different ones, and no word its own: there are far more letters than syllables, so that a word that reads like a surrogate of k syllables turns into one of more."""
+        tier = script.tier(low)
+        letters, first, other = script.letters[tier], script.syllables[tier], script.syllables[0]
+        end = next((e for e in script.endings if low.endswith(e) and len(e) < len(low)), low[-1])
+        x, k = 0, 1
+        for c in low[: -len(end)]:
+            x = x * len(letters) + letters.index(c) + 1
         while True:
-            new = self.letters("name", new, lambda i, last=len(low) - 1: i == last > 0)
-            if new not in GENDERS:
+            k += 1
+            listed = sorted(self._numbers(first, other, end, k)) if not tier else []
+            size = len(first) * len(other) ** (k - 1) - len(listed)
+            if x < size:
                 break
-        return "".join(n.upper() if o.isupper() else n for n, o in zip(new, word))
-
+            x -= size
+        x = self.permute(f"name{k}{letters[0]}{tier}{end}", size, x)
+        for taken in listed:
+            x += x >= taken
+        out = []
+        for _ in range(k - 1):
+            x, at = divmod(x, len(other))
+            out.append(other[at])
+        return "".join([first[x], *reversed(out), end])
 
+    @staticmethod
+    @lru_cache(100_000)
+    def _listed(end: str, k: int) -> tuple[str, ...]:
+        return tuple(n for n in GENDERS if n.endswith(end) and len(n) == 2 * k + len(end))
+
+    def _numbers(self, first: list[str], other: list[str], end: str, k: int) -> Iterator[int]:
+        """The numbers of those listed names that read like a surrogate of k syllables."""
+        for name in self._listed(end, k):
+            parts = [name[i : i + 2] for i in range(0, 2 * k, 2)]
+            if parts[0] in first and all(p in other for p in parts[1:]):
+                x = first.index(parts[0])
+                for p in parts[1:]:
+                    x = x * len(other) + other.index(p)
+                yield x
+
+
+_HEX = re.compile("[0-9a-f]+|[0-9A-F]+")
+_APOSTROPHE = re.compile("(['’])")
 PATTERNS: list[tuple[str, re.Pattern, int, Callable[[str], bool]]] = [
     ("secret", re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_\-/+]+(?:[.~%=]+[A-Za-z0-9_\-/+]+)*)"), 1, lambda s: len(s) >= 8 and any(c.isdigit() for c in s)),
     ("secret", re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])"), 0, lambda s: not s.isdigit()),
@@ -281,7 +403,7 @@ SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("kind", pa.str
 def replace(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, text (with surrogates), spans: start and length in the old text, kind, surrogate, original_hash (keyed) of each entity.
 
-    Kinds: email, phone, ip, card, ssn, iban, secret, name (after a title or with a listed given name). Entities of the open-ended kinds (email, secret, name) go whole, whatever their length. A surrogate keeps kind and form: punctuation, letter case, script, vowels and consonants, country codes, card type, check digits, hex digits; given names their gender. It comes from a keyed permutation of all entities of that form (format-preserving encryption), so that equal entities stay equal and different ones different over the whole corpus, with no table of entities and no shuffle; collisions() checks this on the spans.
+    Kinds: email, phone, ip, card, ssn, iban, secret, name (after a title or with a listed given name). Entities of the open-ended kinds (email, secret, name) go whole, whatever their length. A surrogate keeps kind and form: punctuation, letter case, script, vowels and consonants, country codes, card type, check digits, hex digits; given names their gender; names become names, of syllables and with the same ending, which are longer or shorter than they. It comes from a keyed permutation of all entities of that form (format-preserving encryption) that leaves none as it is, so that equal entities stay equal and different ones different over the whole corpus, with no table of entities and no shuffle; with_collisions() checks this on the spans. original_hash is the same for names that differ in case alone.
 
     Null text stays null, with no spans. Empty and entity-free texts stay as they are. Rows are treated one by one, with null and repeated ids passed through. An empty table gives no rows. Columns besides the two are not read.
     """
@@ -302,7 +424,8 @@ def replace(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: st
                         new = getattr(make, kind)(text[a:b])
                         parts += [text[before:a], new]
                         before = b
-                        original = hashlib.blake2b(text[a:b].encode(), key=make.permute.key, digest_size=16).hexdigest()
+                        same = text[a:b].lower() if kind == "name" else text[a:b]
+                        original = hashlib.blake2b(same.encode(), key=make.permute.key, digest_size=16).hexdigest()
                         rows.append({"start": a, "length": b - a, "kind": kind, "surrogate": new, "original_hash": original})
                     texts.append(text if text is None or not rows else "".join([*parts, text[before:]]))
                     spans.append(rows)
@@ -317,6 +440,21 @@ def replace(docs: DataFrame, *, key: bytes, id_col: str = "doc_id", text_col: st
 
 
 def collisions(replaced: DataFrame) -> DataFrame:
-    """(kind, surrogate, originals): surrogates that stand for more than one original. Mentions that differ in case alone keep that difference, so that it doesn't count. No row is to be expected."""
+    """(kind, surrogate, originals): surrogates that stand for more than one original. No row is to be expected. Names count without their case."""
     spans = replaced.select(F.explode("spans").alias("s")).select("s.*")
-    return spans.groupBy("kind", "surrogate").agg(F.countDistinct("original_hash").alias("originals")).where("originals > 1")
+    low = F.when(F.col("kind") == "name", F.lower("surrogate")).otherwise(F.col("surrogate"))
+    sums = spans.groupBy("kind", low.alias("surrogate")).agg(F.min("original_hash").alias("lo"), F.max("original_hash").alias("hi"))
+    shared = sums.where("lo < hi").select("kind", "surrogate")
+    again = spans.withColumn("surrogate", low).join(shared, ["kind", "surrogate"])
+    return again.groupBy("kind", "surrogate").agg(F.countDistinct("original_hash").alias("originals"))
+
+
+def with_collisions(replaced: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """replaced, a written table, with n_collisions (long): how many entities of the rows of an id got a surrogate that stands for another original too, anywhere in the table. Spans alone are grouped; where no collision is found, as is to be expected, no text is moved."""
+    shared = collisions(replaced)
+    if shared.isEmpty():
+        return replaced.withColumn("n_collisions", F.lit(0).cast("long"))
+    key, n = unused(replaced, "c_id", "n_collisions")
+    spans = replaced.select(F.col(f"`{id_col}`").alias(key), F.explode("spans").alias("s")).select(key, "s.kind", F.when(F.col("s.kind") == "name", F.lower("s.surrogate")).otherwise(F.col("s.surrogate")).alias("surrogate"))
+    counts = spans.join(shared, ["kind", "surrogate"]).groupBy(key).agg(F.count("*").alias(n))
+    return replaced.join(counts, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left").select(*replaced.columns, F.coalesce(n, F.lit(0)).cast("long").alias("n_collisions"))

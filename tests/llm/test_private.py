@@ -1,5 +1,6 @@
 """Entities are replaced whole: names beyond two words or without titles, secrets and addresses of any length."""
 
+import itertools
 import random
 import time
 
@@ -72,3 +73,72 @@ def test_many_signs_take_no_time():
     for text in ("a@" * 50_000, "Mr. " + "Smith-" * 20_000, "a." * 50_000 + "@", "token=" + "a.=" * 50_000, "Anna " * 20_000):
         surrogates.find(text)
     assert time.time() - began < 10
+
+
+WORDS = "Brown Smith Li Ng Bareto Öz Łęć Müller René Nguyễn Иванов Иванова Достоевская Їжакевич Шевченко Παπαδόπουλος Σωκράτης محمد أحمد 王伟 張偉明 김 이민호 やまだ हरि שרה O'Brien D'Angelo McDonald J Ö Я".split()
+
+
+@pytest.mark.parametrize("key", range(200))
+def test_no_name_stays(key):
+    s = surrogates.Surrogates(str(key).encode())
+    listed = [n for names in surrogates.GIVEN.values() for n in names]
+    for word in [*listed, *WORDS]:
+        new = s.name(word)
+        assert new.lower() != word.lower() and (new.lower() in surrogates.GENDERS) == (word.lower() in surrogates.GENDERS)
+    assert len({s.name(w) for w in [*listed, *WORDS]}) == len(set(listed + WORDS))
+    for names in surrogates.GIVEN.values():
+        assert sorted(map(s.name, names)) == sorted(names)
+
+
+def test_short_words_have_surrogates_of_their_own():
+    s = surrogates.Surrogates(b"k")
+    latin = ["".join(x) for n in (2, 3) for x in itertools.product("abdeinorst", repeat=n)] + [a + v + "ri" + e for a in "lmns" for v in "aeiou" for e in "aeon"] + ["á" + x for x in "abcné"]
+    cyrillic = ["".join(x) + e for n in (1, 2, 3) for x in itertools.product("авионьё", repeat=n) for e in ("ва", "а", "на", "ский", "ская", "в", "й", "я")]
+    for words in (latin, cyrillic):
+        words = sorted(set(words) - set(surrogates.GENDERS))
+        new = [s.name(w) for w in words]
+        assert len(set(new)) == len(words) and not any(a == b for a, b in zip(words, new)) and not set(new) & set(surrogates.GENDERS)
+    assert s.name("Иванова").endswith("ва") and s.name("Достоевский").endswith("ский") and s.name("BROWN").isupper()
+
+
+@pytest.mark.parametrize("kind, make", [("phone", lambda i: f"+1 ({i:03d}) 555"), ("ssn", lambda i: f"{i:03d}-45-6789"), ("secret", lambda i: f"{i:03d}"), ("secret", lambda i: f"a{i % 10}"), ("secret", lambda i: f"A{i % 10}"), ("secret", lambda i: f"z{i % 10}x"), ("ip", lambda i: f"10.0.0.{i % 256}"), ("email", lambda i: f"{i}@x.org")])
+def test_no_entity_stays(kind, make):
+    for key in range(20):
+        s = surrogates.Surrogates(bytes([key]))
+        texts = sorted({make(i) for i in range(1000)})
+        new = [getattr(s, kind)(t) for t in texts]
+        assert len(set(new)) == len(texts) and not any(a == b for a, b in zip(texts, new))
+
+
+def test_hex_and_other_secrets_dont_meet():
+    s = surrogates.Surrogates(b"k")
+    texts = ["".join(x) for x in itertools.product("0aAz", repeat=3)]
+    assert len({s.secret(t) for t in texts}) == len(texts)
+
+
+def test_the_query_against_a_plain_version(spark, tmp_path):
+    """Outside the spans nothing changes; inside, one plain pass over all rows gives the same surrogates, and finds no two originals in one."""
+    from talkmill.llm import queries
+
+    texts = ["Mr. 王伟 met Dr Öz and Herr Brown. Brown left.", "Frau Łęć: +1 (017) 555-7713, BROWN said. Mr. BROWN", None, "", "Mrs Vera Smith and Олег Иванов, smith@x.org", "token = 04dbebab91ab85687d33eeaaf9ac699e1188f962"] * 2
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op5_surrogates(spark, str(tmp_path)).collect()}
+    make, seen = surrogates.Surrogates(queries.SURROGATE_KEY), {}
+    for i, text in enumerate(texts):
+        want, at, kinds = "", 0, set()
+        for a, b, kind in surrogates.find(text or ""):
+            new = getattr(make, kind)(text[a:b])
+            assert new != text[a:b] and seen.setdefault((kind, new.lower() if kind == "name" else new), text[a:b].lower() if kind == "name" else text[a:b]).lower() == text[a:b].lower()
+            want, at = want + text[at:a] + new, b
+            kinds.add(kind)
+        assert got[i]["text"] == (None if text is None else want + text[at:]) and got[i]["kinds"] == ",".join(sorted(kinds)) and got[i]["n_collisions"] == 0
+        assert got[i]["n_entities"] == len(surrogates.find(text or ""))
+    assert got[0]["n_entities"] == 4
+
+
+def test_collisions_are_counted(spark):
+    span = "array<struct<start:long,length:long,kind:string,surrogate:string,original_hash:string>>"
+    rows = [(1, [(0, 1, "name", "Bo", "h1"), (2, 1, "email", "q", "h4")]), (2, [(0, 1, "name", "BO", "h2")]), (None, [(0, 1, "name", "bo", "h1")]), (4, [(0, 1, "secret", "Bo", "h3")]), (5, [])]
+    df = spark.createDataFrame(rows, f"doc_id int, spans {span}")
+    assert [tuple(r) for r in surrogates.collisions(df).collect()] == [("name", "bo", 2)]
+    assert {r["doc_id"]: r["n_collisions"] for r in surrogates.with_collisions(df).collect()} == {1: 1, 2: 1, None: 1, 4: 0, 5: 0}

@@ -39,7 +39,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component_id: least id reachable) for each id in the links (a, b), both long; links may repeat and go either way. No links give no rows.
 
-    Partitions first contract their links by union-find. Rounds of large-star and small-star then join each id's neighbours to the least of them, until each id hangs from the least of its component: of the order of log n rounds. Each round is written, so that a lost executor costs one round.
+    Partitions first contract their links by union-find. Rounds of large-star and small-star then join each id's neighbours to the least of them, until each id hangs from the least of its component: of the order of log n rounds. Each round is written, so that a lost executor costs one round; drop_written() deletes the table that the result is read from.
     """
     common.ready(links.sparkSession)
     edges = links.select("a", "b").where("a is not null and b is not null and a != b").mapInArrow(common.lean(_forest), "a long, b long")
@@ -62,4 +62,6 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
             break
     else:
         raise RuntimeError("components did not settle")
-    return edges.select(F.col("b").alias("id"), F.col("a").alias("component_id")).union(edges.select("a", "a").distinct())
+    out = edges.select(F.col("b").alias("id"), F.col("a").alias("component_id")).union(edges.select("a", "a").distinct())
+    out._talkmill_at = edges._talkmill_at
+    return out

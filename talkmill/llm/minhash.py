@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from . import common
 from .components import components
@@ -117,10 +119,39 @@ def similar(n_a: Column, n_b: Column, common_: Column, threshold: int) -> Column
     return 100 * common_ >= threshold * (n_a + n_b - common_)
 
 
+#: Sizes of sets that differ by less than this factor fall in one class.
+WIDTH = 1.05
+
+
+def formed(rows: DataFrame, on: list[str], threshold: int) -> DataFrame:
+    """Pairs of rows equal in on, in different components, that can make a link; each pair once, the second row's columns with an underscore behind.
+
+    rows have doc_id, component_id, n_shingles and bound: how many shingles a row can share, at most, with another one here. That gives the largest size of a set that it can be linked with. Pairs are brought together only so far as they have a chance:
+    - One of the two must be open to sets of its own size or larger; if neither is, each would have to be smaller than the other.
+    - Rows go by classes of size to the classes that they can be linked with, and meet only where each goes to the other's class.
+    - Of the rows with a common key, those of the component that has most there aren't paired with each other.
+    So neither a family that is one component nor one whose members share too little gives pairs, whatever its size.
+    """
+    t, step = threshold / 100, math.log(WIDTH)
+    place = lambda x: F.floor(F.log(x) / step + 1e-9).cast("int")
+    n, most = F.col("n_shingles"), F.floor(F.col("bound") * (100 + threshold) / threshold + 1e-9) - F.col("n_shingles")
+    able = rows.withColumn("most", most).where((F.col("most") >= 1) & (F.col("most") >= t * n))
+    sizes = rows.groupBy(*on, "component_id").agg(F.count("*").alias("k"))
+    main = sizes.groupBy(*on).agg(F.max(F.struct("k", "component_id"))["component_id"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    able = able.join(main, on).withColumn("is_main", F.col("component_id") == F.col("main")).withColumn("wide", F.col("most") >= n).drop("main")
+    dealt = able.withColumn("mine", place(n)).withColumn("theirs", F.explode(F.sequence(place(F.greatest(t * n, F.lit(1.0))), F.least(place(n / t), place(F.col("most"))))))
+    right = dealt.select(*on, F.col("mine").alias("theirs"), F.col("theirs").alias("mine"), "is_main", "wide", *(F.col(c).alias(f"{c}_") for c in rows.columns if c not in on))
+    apart, flags = F.col("component_id") != F.col("component_id_"), ["mine", "theirs", "is_main", "wide", "most"]
+    others = dealt.where("not is_main")
+    first = others.where("wide").drop("is_main", "wide").join(right, [*on, "mine", "theirs"]).where(apart & (F.col("is_main") | ~F.col("wide") | (F.col("doc_id") < F.col("doc_id_"))))
+    second = others.where("not wide").drop("is_main", "wide").join(right.where("is_main and wide"), [*on, "mine", "theirs"]).where(apart)
+    return first.drop(*flags).unionByName(second.drop(*flags))
+
+
 def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups documents whose sets of five-word shingles have a Jaccard similarity of threshold/100 or more, or that are joined by a chain of such.
 
-    Returns one row per distinct id: doc_id (as long), n_shingles, component_id (the least id of its group, itself included), kept (doc_id = component_id).
+    Returns one row per distinct id: doc_id (as long; ids that are no whole numbers keep their type), n_shingles, component_id (the least id of its group, itself included), kept (doc_id = component_id). It is written; the tables on the way to it are deleted.
 
     1. One pass over the texts gives each set's size, two 64-bit sums that name the set, and the band keys of its SuperMinHash signature.
     2. Equal sets form a class, which its least id stands for from here on. Copies are never paired.
@@ -128,32 +159,38 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
        - under keys of up to FEW members, each such pair;
        - under other keys, a pair of which both share so many shingles with the centre that these alone could make a link;
        - and a pair that shares a shingle that the centre lacks. Any other pair shares at most what both have of the centre, which is too little. Of these shingles, those are left out that no other document has; with the others sorted, a pair counts only if what both have of the centre and, from the shared one on, beside it can make a link (prefix and positional filter: the first shingle that a linked pair shares passes).
-       No pair with a link under a common key is lost, and pairs of a large group aren't written out.
+       No pair with a link under a common key is lost. formed() sees to it that only pairs that can make a link are brought together at all: neither those of one group nor those that share no more than a template, however many use it.
     4. Links are confirmed on full sets. Union-find groups what is linked (components.py).
 
     Null ids belong to no row of the result. Null, empty and blank texts have no shingles and no links. Rows with equal ids and different texts count as one document with the larger set. An empty table gives no rows. Columns besides the two are not read, so that their names don't matter.
     """
-    spark = common.ready(docs.sparkSession)
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        return _by_number(docs, threshold, id_col, text_col)
+    spark, tables = common.ready(docs.sparkSession), []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        tables.append(common.written(df, name))
+        return tables[-1]
+
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id is not null")
-    signed = common.written(_each(rows, _signed, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "signed")
+    signed = written(_each(rows, _signed, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "signed")
 
     sized = signed.groupBy("doc_id").agg(F.max(F.struct("n_shingles", "set_a", "set_b")).alias("s")).select("doc_id", "s.*")
     classes = sized.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("class_id"))
-    classes = common.written(classes, "classes")
+    classes = written(classes, "classes")
     stands = classes.select(F.col("class_id").alias("doc_id"), "n_shingles", "set_a", "set_b")
     banded = signed.join(stands, ["doc_id", "n_shingles", "set_a", "set_b"]).dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", F.explode("bands").alias("key"))
 
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    live = common.written(banded.join(shared, "key"), "live")
+    live = written(banded.join(shared, "key"), "live")
     scores = live.groupBy("doc_id").agg(F.sum("n").alias("score"))
     live_scored = live.drop("n").join(scores, "doc_id")
     centres = live_scored.groupBy("key").agg(F.max(F.struct("score", -F.col("doc_id"))).alias("c"), F.count("*").alias("members")).select("key", (-F.col("c.col2")).alias("centre"), "members")
-    near = lambda a, b: (100 * F.col(a) >= threshold * F.col(b)) & (100 * F.col(b) >= threshold * F.col(a))
-    starred = common.written(live.drop("n").join(centres, "key"), "starred")
+    starred = written(live.drop("n").join(centres, "key"), "starred")
 
     wanted = live.select("doc_id").distinct()
     sets = _each(rows.join(wanted, "doc_id", "left_semi"), _sets, "doc_id long, shingles array<long>").select("doc_id", F.size("shingles").cast("long").alias("n"), "shingles")
-    sets = common.written(sets.join(stands.select("doc_id", F.col("n_shingles").alias("n")), ["doc_id", "n"]).dropDuplicates(["doc_id"]), "sets")
+    sets = written(sets.join(stands.select("doc_id", F.col("n_shingles").alias("n")), ["doc_id", "n"]).dropDuplicates(["doc_id"]), "sets")
 
     def with_sets(pairs: DataFrame, a: str, b: str) -> DataFrame:
         left, right = (sets.select(F.col("doc_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("shingles").alias(f"set_{k}")) for k in (a, b))
@@ -161,44 +198,62 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
 
     inter = lambda a, b: F.size(F.array_intersect(f"set_{a}", f"set_{b}")).cast("long")
     stars = starred.where("doc_id != centre").select("doc_id", "centre").distinct()
-    stars = common.written(with_sets(stars, "doc_id", "centre").select("doc_id", "centre", F.col("n_doc_id").alias("n"), F.col("n_centre").alias("n_c"), inter("doc_id", "centre").alias("held")), "stars")
+    stars = written(with_sets(stars, "doc_id", "centre").select("doc_id", "centre", F.col("n_doc_id").alias("n"), F.col("n_centre").alias("n_c"), inter("doc_id", "centre").alias("held")), "stars")
     links = stars.where(similar(F.col("n"), F.col("n_c"), F.col("held"), threshold)).select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
     grouped = components(links)
+    tables.append(grouped)
 
     of = lambda df: df.join(grouped.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    placed = common.written(of(starred), "placed")
+    placed = written(of(starred), "placed")
     mixed = placed.groupBy("key").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo < hi").select("key")
     rest = placed.join(mixed, "key").join(stars.select("doc_id", "centre", "held"), ["doc_id", "centre"], "left")
-    rest = common.written(rest.withColumn("held", F.coalesce("held", "n_shingles")), "rest")  # the centre holds itself
-
-    def crossing(df: DataFrame, on: list[str], test: Column | None = None) -> DataFrame:
-        """Pairs of rows equal in on, in different groups so far, and of sizes that allow a link."""
-        other = df.select(*on, *(F.col(c).alias(f"{c}_") for c in df.columns if c not in on))
-        pair = df.join(other, on).where((F.col("doc_id") < F.col("doc_id_")) & (F.col("component_id") != F.col("component_id_")) & near("n_shingles", "n_shingles_") & (F.lit(True) if test is None else test))
-        return pair.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
-
-    few, many = rest.where(F.col("members") <= FEW).drop("centre", "held"), rest.where(F.col("members") > FEW)
-    inside = (100 + threshold) * F.least("held", "held_") >= threshold * (F.col("n_shingles") + F.col("n_shingles_"))
-    by_held = crossing(many.drop("centre"), ["key"], inside)
+    rest = written(rest.withColumn("held", F.coalesce("held", "n_shingles")), "rest")  # the centre holds itself
+
+    def crossing(rows: DataFrame, on: list[str], common_: Column) -> DataFrame:
+        """Pairs as formed() gives them that could make a link with common_ shingles in common."""
+        pairs = formed(rows, on, threshold).where((100 + threshold) * common_ >= threshold * (F.col("n_shingles") + F.col("n_shingles_")))
+        return pairs.select(F.least("doc_id", "doc_id_").alias("a"), F.greatest("doc_id", "doc_id_").alias("b"))
+
+    few, many = rest.where(F.col("members") <= FEW), rest.where(F.col("members") > FEW)
+    pair = few.select("key", "doc_id", "n_shingles", "component_id")
+    pair = pair.join(pair.select("key", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "n_shingles", "component_id"))), "key")
+    near = (100 * F.col("n_shingles") >= threshold * F.col("n_shingles_")) & (100 * F.col("n_shingles_") >= threshold * F.col("n_shingles"))
+    in_few = pair.where((F.col("doc_id") < F.col("doc_id_")) & (F.col("component_id") != F.col("component_id_")) & near).select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
+    by_held = crossing(many.select("key", "doc_id", "n_shingles", "component_id", F.col("held").alias("bound")), ["key"], F.least("bound", "bound_"))
     apart = many.where("doc_id != centre").select("doc_id", "centre", "n_shingles", "component_id", "held").distinct()
     outside = F.explode(F.array_except("set_doc_id", "set_centre")).alias("shingle")
-    spelled = common.written(with_sets(apart, "doc_id", "centre").select("doc_id", "centre", "n_shingles", "component_id", "held", outside), "spelled")
+    spelled = written(with_sets(apart, "doc_id", "centre").select("doc_id", "centre", "n_shingles", "component_id", "held", outside), "spelled")
     twice = spelled.groupBy("centre", "shingle").agg(F.count("*").alias("k")).where("k > 1").drop("k")
     of_doc = Window.partitionBy("doc_id", "centre")
-    shared = spelled.join(twice, ["centre", "shingle"]).withColumn("left", F.count("*").over(of_doc) - F.row_number().over(of_doc.orderBy("shingle")))
-    shared = shared.where(F.col("left") + 1 >= F.ceil(threshold * F.col("n_shingles") / 100) - F.col("held"))
-    enough = (100 + threshold) * (F.least("held", "held_") + F.least("left", "left_") + 1) >= threshold * (F.col("n_shingles") + F.col("n_shingles_"))
-    by_shingle = crossing(shared, ["centre", "shingle"], enough)
-    candidates = crossing(few, ["key"]).union(by_held).union(by_shingle).distinct()
+    beside = spelled.join(twice, ["centre", "shingle"]).withColumn("left", F.count("*").over(of_doc) - F.row_number().over(of_doc.orderBy("shingle")))
+    beside = beside.withColumn("bound", F.col("held") + F.col("left") + 1)
+    by_shingle = crossing(beside, ["centre", "shingle"], F.least("held", "held_") + F.least("left", "left_") + 1)
+    candidates = in_few.union(by_held).union(by_shingle).distinct()
     more = with_sets(candidates, "a", "b").where(similar(F.col("n_a"), F.col("n_b"), inter("a", "b"), threshold)).select("a", "b")
-    more = common.written(more, "links")
+    more = written(more, "links")
     if not more.isEmpty():
         before = grouped.select(F.col("component_id").alias("a"), F.col("id").alias("b")).where("a < b")
         grouped = components(before.unionByName(more))
+        tables.append(grouped)
 
     by_class = of(classes.select(F.col("class_id").alias("doc_id"), "n_shingles", "set_a", "set_b")).select("n_shingles", "set_a", "set_b", "component_id")
     out = sized.join(by_class, ["n_shingles", "set_a", "set_b"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    out = common.written(out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")), "near")
+    for table in tables:
+        common.drop_written(table)
+    return out
+
+
+def _by_number(docs: DataFrame, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates for ids of any type that can be sorted: they are numbered in their order, so that the least number is the least id's."""
+    (no,) = common.unused(docs, "id_no")
+    ids = docs.select(common.col(id_col).alias("id")).where("id is not null").distinct().orderBy("id")
+    ids = common.written(ids.withColumn("no", F.monotonically_increasing_id()), "numbers")
+    numbered = docs.select(common.col(id_col).alias("id"), common.col(text_col).alias("text")).join(ids.withColumnRenamed("no", no), "id")
+    found = near_duplicates(numbered, threshold=threshold, id_col=no, text_col="text")
+    named = lambda c, to: ids.select(F.col("no").alias(c), F.col("id").alias(to))
+    out = found.join(named("doc_id", "own_id"), "doc_id").join(named("component_id", "group_id"), "component_id")
+    return out.select(F.col("own_id").alias("doc_id"), "n_shingles", F.col("group_id").alias("component_id"), "kept")
 
 
 def keep_one(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,15 +263,15 @@ def keep_one(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_id", te
     """
     named, text = common.col(id_col), common.col(text_col).cast("string")
     with_id = docs.where(named.isNotNull())
-    repeated = with_id.groupBy(named.cast("long").alias("id")).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = with_id.groupBy(named.alias("id")).agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         (mark,) = common.unused(docs, "kept_id")
         kept = near_duplicates(docs, threshold=threshold, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(mark))
-        stay = with_id.join(kept, named.cast("long") == F.col(mark), "left_semi")
+        stay = with_id.join(kept, named == F.col(mark), "left_semi")
     else:  # each row has a number of its own, written so that it stays
         (row,) = common.unused(docs, "kept_row")
         numbered = common.written(with_id.withColumn(row, F.monotonically_increasing_id()), "numbered")
-        of_row = numbered.select(F.col(row).alias("doc_id"), named.cast("long").alias("id"), F.xxhash64(text).alias("hash"))
+        of_row = numbered.select(F.col(row).alias("doc_id"), named.alias("id"), F.xxhash64(text).alias("hash"))
         judged = near_duplicates(numbered, threshold=threshold, id_col=row, text_col=text_col).join(of_row, "doc_id")
         blank = F.col("n_shingles") == 0
         first = judged.groupBy(blank.alias("blank"), F.when(blank, F.col("id")).otherwise(F.col("component_id")).alias("group")).agg(F.min(F.struct("id", "hash", "doc_id")).alias("s"))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import lean, ready
 
-#: Words whose ids a worker remembers, about; words first met later are encoded anew in each batch.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker remembers, about, and the bytes of the longest one of them, so that memory is bounded: some 200 MB if all were that long. Others are encoded anew in each batch.
+CACHE_WORDS, CACHE_BYTES = 400_000, 48
 #: Rows and ids in a batch that a worker hands back, at most about.
 BATCH_ROWS, BATCH_IDS = 4096, 1 << 20
 
@@ -84,8 +84,9 @@ class WordIds:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32))
             else:
                 out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4"))
-        if len(known) > CACHE_WORDS:
-            for word in new:
+        full = len(known) > CACHE_WORDS
+        for word in new:
+            if full or len(word) > CACHE_BYTES:
                 del known[word]
         return out
 
@@ -109,66 +110,210 @@ def encoded_parts(texts: pa.Array, encode: WordIds) -> Iterator[np.ndarray]:
     yield from encode(part)
 
 
-def harmonic_cuts(length: int, capacity: int) -> list[tuple[int, int]]:
-    """(size, pieces per bin) of the pieces of a document: whole bins first, then each time the largest capacity // k that fits. What is left over shrinks with the square, so that few pieces cover it."""
-    out = [(capacity, 1)] * (length // capacity)
-    left = length % capacity
-    while left:
-        k = -(-capacity // left)  # least k with capacity / k <= left
-        size = capacity // k
-        out.append((size, capacity // size))
-        left -= size
-    return out
+class Bins:
+    """The bins of one worker.
 
+    Documents of more than capacity / (k + 1) and at most capacity / k ids are class k; a bin is begun with just k of a class. What room it then has is filled, first by documents that fit whole: those that wait in smaller classes, then those to come. Up to WAIT bins stay open for that. Only what remains after that is filled by cutting: ends of documents longer than the capacity first, else a bin is given up for the others. No cut leaves less than least ids on either side. Documents of class SMALL and above share a class, whose bins take what fits.
+    """
 
-class Bins:
-    """The open bins of one worker: one for each class. A class's bins close after a fixed count of pieces."""
+    SMALL, WAIT = 64, 32
 
     def __init__(self, capacity: int, first_id: int):
-        self.capacity, self.next_id = capacity, first_id
-        self.open: dict[int, list] = {}
+        self.capacity, self.next_id, self.least = capacity, first_id, max(1, capacity // 64)
+        #: Pieces are (document, start, ids, ids of the document). open: by class; small: ids in the last class.
+        self.open: dict[int, list[tuple]] = {}
+        self.small = 0
+        #: Pieces that may be cut, and the number of their ids.
+        self.stock: list[tuple] = []
+        self.stocked = 0
+        #: [room, pieces] of bins that aren't full; and of the one that misses most of those that miss less than least.
+        self.waiting: list[list] = []
+        self.spare: list | None = None
+
+    def put(self, doc, ids: np.ndarray) -> Iterator[tuple]:
+        """Takes a document; gives the pieces of the bins that this closes, with sequence and offset."""
+        total, at, c = len(ids), 0, self.capacity
+        if total <= c:
+            yield from self._whole((doc, 0, ids, total))
+            return
+        while total - at >= c + self.least or total - at == c:
+            yield from self._closed([(doc, at, ids[at : at + c], total)])
+            at += c
+        if total - at > c:  # too little would be left for a piece
+            size = total - at - self.least
+            yield from self._whole((doc, at, ids[at : at + size].copy(), total))
+            at += size
+        if at < total:
+            piece = (doc, at, ids[at:].copy(), total)
+            if self.stocked < 4 * c:
+                self._stock(piece)
+                yield from self._served()
+            else:
+                yield from self._whole(piece)
 
-    def closed(self, pieces: list) -> Iterator[tuple]:
+    def _closed(self, pieces: list[tuple]) -> Iterator[tuple]:
         offset = 0
         for doc, start, ids, total in pieces:
             yield doc, start, ids, total, self.next_id, offset
             offset += len(ids)
         self.next_id += 1
 
-    def put(self, piece: tuple, count: int) -> Iterator[tuple]:
-        size = len(piece[2])
-        mine = self.open.setdefault(size, [])
+    def _done(self, room: int, pieces: list[tuple]) -> Iterator[tuple]:
+        """Closes a bin, or keeps it for the last few ids in the place of the one kept so far."""
+        if room > (self.spare[0] if self.spare else 0):
+            before, self.spare = self.spare, [room, pieces]
+            if before:
+                yield from self._closed(before[1])
+        else:
+            yield from self._closed(pieces)
+
+    def _whole(self, piece: tuple) -> Iterator[tuple]:
+        n = len(piece[2])
+        best = min((b for b in self.waiting if b[0] >= n), key=lambda b: b[0], default=None)
+        if best:
+            best[0] -= n
+            best[1].append(piece)
+            if best[0] < self.least:
+                self.waiting.remove(best)
+                yield from self._done(*best)
+            return
+        k = min(self.capacity // n, self.SMALL)
+        mine = self.open.setdefault(k, [])
+        if k == self.SMALL:
+            if self.small + n > self.capacity:
+                room, full = self.capacity - self.small, mine
+                self.open[k], self.small = [], 0
+                yield from self._begun(room, full)
+                mine = self.open.setdefault(k, [])
+            self.small += n
         mine.append(piece)
-        if len(mine) == count:
-            yield from self.closed(self.open.pop(size))
+        if len(mine) == k < self.SMALL:
+            del self.open[k]
+            yield from self._begun(self.capacity - sum(len(p[2]) for p in mine), mine)
+
+    def _begun(self, room: int, pieces: list[tuple]) -> Iterator[tuple]:
+        """A bin with its fixed count: takes what waits in smaller classes, then waits itself."""
+        while room >= self.least:
+            piece = self._fitting(room)
+            if not piece:
+                break
+            pieces.append(piece)
+            room -= len(piece[2])
+        if room < self.least:
+            yield from self._done(room, pieces)
+            return
+        self.waiting.append([room, pieces])
+        yield from self._served()
+        if len(self.waiting) > self.WAIT:
+            emptiest = max(self.waiting, key=lambda b: b[0])
+            self.waiting.remove(emptiest)
+            for piece in emptiest[1]:
+                self._stock(piece)
+            yield from self._served()
+
+    def _fitting(self, room: int) -> tuple | None:
+        """The largest piece, about, of those that wait in classes and fit."""
+        for k in sorted(self.open):
+            if k >= self.capacity // room:
+                mine = self.open[k]
+                at = max((i for i, p in enumerate(mine) if len(p[2]) <= room), key=lambda i: len(mine[i][2]), default=None)
+                if at is not None:
+                    piece = mine.pop(at)
+                    self.small -= len(piece[2]) * (k == self.SMALL)
+                    if not mine:
+                        del self.open[k]
+                    return piece
+        return None
+
+    def _stock(self, piece: tuple) -> None:
+        self.stock.append(piece)
+        self.stocked += len(piece[2])
+
+    def _served(self) -> Iterator[tuple]:
+        """Fills the waiting bins from the stock, fullest first."""
+        for waiting in sorted(self.waiting, key=lambda b: b[0]):
+            if not self.stock:
+                return
+            self._fill(waiting)
+            if waiting[0] < self.least:
+                self.waiting.remove(waiting)
+                yield from self._done(*waiting)
+
+    def _fill(self, waiting: list) -> None:
+        """Takes pieces out of the stock into a bin: whole where they fit, else cut so that neither part is too short."""
+        for i in range(len(self.stock) - 1, -1, -1):
+            room = waiting[0]
+            if room < self.least:
+                return
+            doc, start, ids, total = self.stock[i]
+            take = len(ids) if len(ids) <= room else min(room, len(ids) - self.least)
+            if take < min(self.least, len(ids)):
+                continue
+            waiting[1].append((doc, start, ids[:take], total))
+            waiting[0] -= take
+            self.stocked -= take
+            if take == len(ids):
+                del self.stock[i]
+            else:
+                self.stock[i] = (doc, start + take, ids[take:], total)
 
     def rest(self) -> Iterator[tuple]:
-        """The pieces of bins that never filled, laid end to end and cut at the capacity; the end is cut at powers of two, which need no padding. There are at most 2 * sqrt(capacity) classes, hence as many open bins."""
-        pieces = [p for size in sorted(self.open, reverse=True) for p in self.open[size]]
-        self.open = {}
+        """What is left when all documents are in: pieces go, largest first, where they fit best; then the emptiest bins are given up for the others, until one is left. That one is cut at powers of two, which need no padding; what remains of it fits into the bin that was kept, or goes on by powers of two. So a worker pads less than least ids a bin, and cuts a few documents at its end."""
+        pieces = sorted([*self.stock, *(p for mine in self.open.values() for p in mine)], key=lambda p: -len(p[2]))
+        self.stock, self.stocked, self.open, self.small = [], 0, {}, 0
+        bins, self.waiting = self.waiting, []
+        for piece in pieces:
+            n = len(piece[2])
+            best = min((b for b in bins if b[0] >= n), key=lambda b: b[0], default=None)
+            if best is None:
+                bins.append([self.capacity - n, [piece]])
+            else:
+                best[0] -= n
+                best[1].append(piece)
+        bins.sort(key=lambda b: b[0])
+        while len(bins) > 1 and bins[-1][0] >= self.least:
+            for piece in bins.pop()[1]:
+                self._stock(piece)
+            for b in bins:
+                if b[0] >= self.least:
+                    self._fill(b)
+            if self.stock:  # the others are full, or so nearly that no cut fits
+                left, self.stock, self.stocked = self.stock, [], 0
+                bins = [*sorted(bins, key=lambda b: b[0]), [self.capacity - sum(len(p[2]) for p in left), left]]
+                if bins[-1][0] < 0 or all(b[0] < 2 * self.least for b in bins[:-1]):
+                    break
+        last = bins.pop() if bins and bins[-1][0] >= self.least else [self.capacity, []]
+        for b in bins:
+            yield from self._done(*b)
+        yield from self._tail(last[1])
+        if self.spare:
+            yield from self._closed(self.spare[1])
+
+    def _tail(self, pieces: list[tuple]) -> Iterator[tuple]:
         left = sum(len(p[2]) for p in pieces)
-        bin_, room = [], 0
-        for doc, start, ids, total in pieces:
-            at = 0
-            while at < len(ids):
-                if not room:
-                    if bin_:
-                        yield from self.closed(bin_)
-                    room = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-                    left -= room
-                    bin_ = []
-                take = min(room, len(ids) - at)
-                bin_.append((doc, start + at, ids[at : at + take], total))
-                at, room = at + take, room - take
-        if bin_:
-            yield from self.closed(bin_)
+        while left:
+            if self.spare and left <= min(self.spare[0], self.least):
+                self.spare[1] += pieces
+                self.spare[0] -= left
+                return
+            size = min(self.capacity, 1 << (left.bit_length() - 1))
+            left -= size
+            out = []
+            while size:
+                fair = lambda n: (n == size or n >= size + self.least, n <= size - self.least, n)  # noqa: B023, E731
+                doc, start, ids, total = pieces.pop(max(range(len(pieces)), key=lambda i: fair(len(pieces[i][2]))))
+                out.append((doc, start, ids[:size], total))
+                if len(ids) > size:
+                    pieces.append((doc, start + size, ids[size:], total))
+                size -= len(out[-1][2])
+            yield from self._closed(out)
 
 
 def pack(docs: DataFrame, *, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Packs all documents into sequences of at most capacity ids. One row for each piece: id_col, start, length, ids, doc_tokens, sequence_id, offset.
 
-    Method: Harmonic packing. A document is cut into pieces of sizes capacity // k; bins of a class take just capacity // size pieces. Each worker fills its own bins, and lays what is left in open bins end to end, so that no rows move between workers and memory holds one open bin a class.
-    sequence_id is the worker's task number times 2**32 plus a count. Padding: capacity % size in a full bin, none elsewhere.
+    Method: Harmonic packing (Bins). Documents of capacity / (k + 1) to capacity / k ids are a class, whose bins begin with k of them; the room that leaves is filled by smaller documents and, last, by cutting. Each worker fills its own bins, so that no rows move between workers; memory holds one open bin a class and those that wait to be filled.
+    sequence_id is the worker's task number times 2**32 plus a count. Padding: less than capacity / 64 ids in a bin, none in the worker's last bins, whose lengths are powers of two.
 
     Null text counts as empty: its one id is end_id. A null id, and rows that repeat, are packed like any other, each once. An empty table gives no rows. Very long texts are cut into many pieces. Columns besides the two are not read.
     """
@@ -191,12 +336,9 @@ def pack(docs: DataFrame, *, tokenizer_path: str, capacity: int = 4096, end_id:
         for rows in batches:
             schema = rows.schema
             for doc, ids in zip(rows.column(0).to_pylist(), encoded_parts(rows.column(1), encode)):
-                ids, at = np.append(ids, np.int32(end_id)), 0
-                for size, count in harmonic_cuts(len(ids), capacity):
-                    for piece in bins.put((doc, at, ids[at : at + size], len(ids)), count):
-                        out.append(piece)
-                        held += len(piece[2])
-                    at += size
+                for piece in bins.put(doc, np.append(ids, np.int32(end_id))):
+                    out.append(piece)
+                    held += len(piece[2])
                 if len(out) >= BATCH_ROWS or held >= BATCH_IDS:
                     yield batch()
                     out, held = [], 0

@@ -176,12 +176,6 @@ def test_word_ids_are_those_of_the_tokenizer():
     packing.CACHE_WORDS = old
 
 
-@pytest.mark.parametrize("length", [1, 7, 100, 1000, 4095, 4096, 4097, 99_999])
-def test_cuts_cover_and_are_few(length):
-    cuts = packing.harmonic_cuts(length, 4096)
-    assert sum(s for s, _ in cuts) == length and all(s * k <= 4096 < s * (k + 1) for s, k in cuts) and len(cuts) <= length // 4096 + 6
-
-
 @pytest.mark.parametrize("rows", [[(i, f"t{i if i % 3 else 'hot'}") for i in range(1000)], [(i, "same") for i in range(101)], [(i, f"g{i // 4}") for i in range(2003)], [(i, None) for i in range(5)]])
 def test_shards(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")

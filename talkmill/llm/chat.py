@@ -21,7 +21,7 @@ BATCH_ROWS, BATCH_CHARS = 4096, 4 << 20
 class Template:
     """How turns are written, which roles may follow which, and which roles' texts count for the loss.
 
-    A turn is written open + role + colon, the text, close. In roles and texts, escape goes before each escape and each control string; in roles before the colon's first character too. No control string then stands unescaped but where a turn starts or ends, and dropping each escape gives the text back.
+    A turn is written open + role + colon, the text, close. In roles and texts, escape goes before each escape and each control string; in roles before the colon's first character too. No control string then stands unescaped but where a turn starts or ends, and dropping each escape gives the text back. A template for which that can't hold raises ValueError.
     """
 
     open: str = "### "
@@ -38,14 +38,26 @@ class Template:
     ends: tuple[str, ...] = ("user", "assistant")
 
     def __post_init__(self) -> None:
-        controls = "|".join(map(re.escape, self.controls))
+        if len(self.escape) != 1 or any(self.escape in x for x in (self.open, self.colon, self.close, *self.controls)):
+            raise ValueError("escape must be one character that the template doesn't use otherwise")
+        if not self.colon or not all(self.controls) or len(set(self.shown.values())) < len(self.shown) or any(v.startswith("=") for v in self.shown.values()):
+            raise ValueError("colon and controls must not be empty, and shown roles must differ and not start with =")
+        controls = "|".join(map(re.escape, sorted(self.controls, key=len, reverse=True)))
         e = re.escape(self.escape)
         put = object.__setattr__
         put(self, "_marks", re.compile(f"{e}|(?={controls})"))
         put(self, "_role_marks", re.compile(f"{e}|{re.escape(self.colon[0])}|(?={controls})"))
         put(self, "_plain", re.compile(f"{e}(.)", re.S))
-        body = f"(?:[^{e}{''.join(sorted({re.escape(c[0]) for c in self.controls}))}]+|{e}.|(?!{controls}|{e}).)*"
-        put(self, "_turn", re.compile(f"{re.escape(self.open)}((?:[^{e}{re.escape(self.colon[0])}]|{e}.)*){re.escape(self.colon)}({body}){re.escape(self.close)}", re.S))
+        put(self, "_head", re.compile(f"{re.escape(self.open)}((?:[^{e}{re.escape(self.colon[0])}]|{e}.)*+){re.escape(self.colon)}", re.S))
+        put(self, "_next", re.compile(f"{e}.|({controls})", re.S))
+        found = [re.search(controls, x) if self.controls else None for x in (self.open, self.close)]
+        if not all(found):
+            raise ValueError("open and close must hold a control")
+        put(self, "_control_at", found[1].start())
+        for c in self.controls:  # an unfinished control at the end of a text must not become one by what follows
+            for i in range(1, len(c)):
+                if re.search(controls, c[:i] + self.close).start() < i + found[1].start():
+                    raise ValueError(f"{c!r} can be finished by the close")
 
     def escaped(self, text: str) -> str:
         return self._marks.sub(lambda m: self.escape + m[0], text)
@@ -59,16 +71,24 @@ class Template:
         return [(self.open + name + self.colon, False), (self.escaped(text), role in self.loss), (self.close, False)]
 
     def read(self, formatted: str) -> list[tuple[str, str]]:
-        """(role, text) of each turn of a formatted text; raises ValueError if anything else stands in it."""
+        """(role, text) of each turn of a formatted text, in one walk from mark to mark; raises ValueError if anything else stands in it."""
         back = {v: k for k, v in self.shown.items()}
         out, at = [], 0
         while at < len(formatted):
-            m = self._turn.match(formatted, at)
-            if not m:
+            head = self._head.match(formatted, at)
+            if not head:
                 raise ValueError(f"no turn at {at}")
-            name = self.plain(m[1])
-            out.append((back.get(name) or (name[1:] if name.startswith("=") else name), self.plain(m[2])))
-            at = m.end()
+            body = end = head.end()
+            mark = self._next.search(formatted, body)
+            while mark and not mark[1]:  # an escape and what it stands before
+                end = mark.end()
+                mark = self._next.search(formatted, end)
+            close = mark.start() - self._control_at if mark else -1
+            if close < end or not formatted.startswith(self.close, close):
+                raise ValueError(f"the turn at {at} has no end")
+            name = self.plain(head[1])
+            out.append((back.get(name) or (name[1:] if name.startswith("=") else name), self.plain(formatted[body:close])))
+            at = close + len(self.close)
         return out
 
 
@@ -119,9 +139,9 @@ def format_turns(conversations: DataFrame, template: Template = Template(), *, i
 
 
 def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame:
-    """What format_turns wrote, read back from its output alone, one row per conversation: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, in_order, ended (in a state that allows it).
+    """What format_turns wrote, read back from its output alone, one row per conversation: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, in_order, ended (in a state that allows it), error.
 
-    Segments are joined turn by turn and parsed by the template; digests grow along, so that memory holds one turn.
+    Segments are joined turn by turn and parsed by the template; digests grow along, so that memory holds one turn. A turn that can't be read is passed over; error tells of the conversation's first such one, and is null without any.
     """
     ready(segments.sparkSession)
     kind = segments.schema[0].dataType.simpleString()
@@ -130,21 +150,25 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
         conv, began, parts, rows = None, False, [], []
 
         def fresh() -> None:
-            nonlocal turns, loss, counts, state, ok
-            turns, loss, counts, state, ok = hashlib.sha256(), hashlib.sha256(), [0, 0, 0], template.start, True
+            nonlocal turns, loss, counts, state, ok, error
+            turns, loss, counts, state, ok, error = hashlib.sha256(), hashlib.sha256(), [0, 0, 0], template.start, True, None
 
         def take_turn() -> None:
+            nonlocal error
             joined = "".join(parts)
-            for role, text in template.read(joined):
-                turns.update(f"{role}\n{text}\n".encode())
-                counts[0] += 1
+            try:
+                for role, text in template.read(joined):
+                    turns.update(f"{role}\n{text}\n".encode())
+                    counts[0] += 1
+            except ValueError as e:
+                error = error or str(e)
             counts[2] += len(joined)
             parts.clear()
 
         def row() -> tuple:
-            return conv, counts[0], turns.hexdigest(), counts[1], loss.hexdigest(), counts[2], ok, state in template.ends
+            return conv, counts[0], turns.hexdigest(), counts[1], loss.hexdigest(), counts[2], ok, state in template.ends, error
 
-        turns = loss = counts = state = ok = None
+        turns = loss = counts = state = ok = error = None
         fresh()
         schema = None
         for batch in batches:
@@ -159,7 +183,7 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
                         rows.append(row())
                     fresh()
                     conv, began = c, True
-                part = part.as_py()
+                part = part.as_py() or ""
                 parts.append(part)
                 state, ok = s, ok and fine
                 if counted:
@@ -176,7 +200,7 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
             yield packed(schema, rows)
 
     def packed(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "in_order", "ended"])
+        kinds = [schema.field(0).type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "in_order", "ended", "error"])
 
-    return segments.mapInArrow(lean(run), f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, in_order boolean, ended boolean")
+    return segments.mapInArrow(lean(run), f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, in_order boolean, ended boolean, error string")

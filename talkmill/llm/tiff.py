@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -25,9 +28,9 @@ SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12:
 NUMBERS = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i"}
 
 
-def unpack_bits(data: bytes) -> bytes:
+def unpack_bits(data: bytes, most: int = sys.maxsize) -> bytes:
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and len(out) < most:
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + 2 + n]
@@ -56,8 +59,8 @@ def pack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, high bits first; widths grow one code early, 256 clears the table, 257 ends."""
+def lzw_decode(data: bytes, most: int = sys.maxsize) -> bytes:
+    """Codes of 9 to 12 bits, high bits first; widths grow one code early, 256 clears the table, 257 ends. No code is read once there are `most` bytes."""
     out, table = bytearray(), []
     width, before, held, bits = 9, b"", 0, 0
     for byte in data:
@@ -66,6 +69,8 @@ def lzw_decode(data: bytes) -> bytes:
             continue
         bits -= width
         code = held >> bits & (1 << width) - 1
+        if len(out) >= most:
+            break
         if code == 257:
             break
         if code == 256:
@@ -129,16 +134,21 @@ def compress(data: bytes, code: int) -> bytes:
     return {NONE: bytes, DEFLATE: lambda d: zlib.compress(d, 6), LZW: lzw_encode, PACKBITS: pack_bits}[code](data)
 
 
-def decompress(data: bytes, code: int) -> bytes:
+def decompress(data: bytes, code: int, size: int) -> bytes:
+    """The first `size` bytes of what data holds; raises ValueError if that is less. Nothing beyond them is unpacked, but for the end of a run."""
     if code == NONE:
-        return data
-    if code in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
-    if code == LZW:
-        return lzw_decode(data)
-    if code == PACKBITS:
-        return unpack_bits(data)
-    raise ValueError(f"compression {code} isn't read")
+        out = data
+    elif code in (DEFLATE, OLD_DEFLATE):
+        out = zlib.decompressobj().decompress(data, max(size, 1))
+    elif code == LZW:
+        out = lzw_decode(data, size)
+    elif code == PACKBITS:
+        out = unpack_bits(data, size)
+    else:
+        raise ValueError(f"compression {code} isn't read")
+    if len(out) < size:
+        raise ValueError(f"a strip or tile holds {len(out)} of {size} bytes")
+    return out[:size]
 
 
 def predict(rows: np.ndarray) -> np.ndarray:
@@ -151,7 +161,6 @@ def predict(rows: np.ndarray) -> np.ndarray:
 def unpredict(raw: bytes, height: int, width: int, samples: int, kind: np.dtype, predictor: int) -> np.ndarray:
     """The samples of a strip or tile, height x width x samples, with the predictor undone."""
     line = width * samples * kind.itemsize
-    height = min(height, len(raw) // line)
     if predictor == 3:  # of floating point: bytes by significance, differences over the whole row
         b = np.frombuffer(raw, np.uint8, height * line).reshape(height, line)
         step = b.reshape(height, -1, samples)
@@ -221,27 +230,43 @@ def directories(media: bytes) -> Iterator[dict[int, tuple]]:
         (at,) = struct.unpack_from(order + "I", media, at + 2 + 12 * n)
 
 
-def page_samples(media: bytes, tags: dict[int, tuple]) -> np.ndarray:
-    """The samples of a page, height x width x samples."""
+def page_samples(media: bytes, tags: dict[int, tuple], max_bytes: int = 1 << 28) -> np.ndarray:
+    """The samples of a page, height x width x samples. A page whose samples would take more than max_bytes, or that lacks strips, tiles or bytes of them, raises ValueError."""
     one = lambda tag, default: tags.get(tag, (default,))[0]
     width, height, samples, bits = one(WIDTH, 0), one(LENGTH, 0), one(SAMPLES, 1), one(BITS, 1)
-    if bits not in (8, 16, 32) or one(PLANAR, 1) != 1 and samples > 1:
-        raise ValueError("only whole-byte samples side by side are read")
-    kind = np.dtype({1: "u", 2: "i", 3: "f"}.get(one(SAMPLE_FORMAT, 1), "u") + str(bits // 8)).newbyteorder(tags[0][0])
-    code, predictor = one(COMPRESSION, 1), one(PREDICTOR, 1)
-    out = np.zeros((height, width, samples), kind.newbyteorder("="))
-    if TILE_OFFSETS in tags:
-        wide, tall = one(TILE_WIDTH, 0), one(TILE_LENGTH, 0)
-        across = -(-width // wide)
-        places = [(i // across * tall, i % across * wide) for i in range(len(tags[TILE_OFFSETS]))]
-        parts = zip(tags[TILE_OFFSETS], tags[TILE_COUNTS], places)
-    else:
-        wide, tall = width, min(one(ROWS_PER_STRIP, height), height)
-        parts = zip(tags[STRIP_OFFSETS], tags[STRIP_COUNTS], ((i * tall, 0) for i in range(len(tags[STRIP_OFFSETS]))))
-    for start, count, (top, left) in parts:
-        rows = tall if TILE_OFFSETS in tags else min(tall, height - top)
-        part = unpredict(decompress(media[start : start + count], code), rows, wide, samples, kind, predictor)[: height - top, : width - left]
-        out[top : top + len(part), left : left + part.shape[1]] = part
+    code, predictor, apart = one(COMPRESSION, 1), one(PREDICTOR, 1), one(PLANAR, 1) == 2 and samples > 1
+    if bits not in (1, 2, 4, 8, 16, 32) or len(set(tags.get(BITS, (1,)))) > 1 or min(width, height, samples) < 1:
+        raise ValueError("no size, or samples of sizes that aren't read")
+    if bits < 8 and predictor != 1:
+        raise ValueError(f"predictor {predictor} is for whole bytes")
+    kind = np.dtype({1: "u", 2: "i", 3: "f"}.get(one(SAMPLE_FORMAT, 1), "u") + str(max(bits, 8) // 8)).newbyteorder(tags[0][0])
+    if width * height * samples * kind.itemsize > max_bytes:
+        raise ValueError(f"a page of {width} x {height} x {samples} samples is over {max_bytes} bytes")
+    tiles = TILE_OFFSETS in tags
+    wide, tall = (one(TILE_WIDTH, 0), one(TILE_LENGTH, 0)) if tiles else (width, min(one(ROWS_PER_STRIP, height), height))
+    if min(wide, tall) < 1 or wide * tall * samples * kind.itemsize > 4 * max_bytes:
+        raise ValueError(f"strips or tiles of {wide} x {tall} samples")
+    across, down, planes = -(-width // wide), -(-height // tall), samples if apart else 1
+    offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiles else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
+    if min(len(offsets), len(counts)) < across * down * planes:
+        raise ValueError(f"{min(len(offsets), len(counts))} of {across * down * planes} strips or tiles")
+    deep = 1 if apart else samples
+    out = np.empty((height, width, samples), kind.newbyteorder("="))
+    for i, (start, count) in enumerate(itertools.islice(zip(offsets, counts), across * down * planes)):
+        plane, place = divmod(i, across * down)
+        top, left = place // across * tall, place % across * wide
+        rows = tall if tiles else min(tall, height - top)
+        if start + count > len(media):
+            raise ValueError(f"a strip or tile at {start} ends beyond the file")
+        if bits < 8:
+            line = -(-wide * deep * bits // 8)
+            packed = np.frombuffer(decompress(media[start : start + count], code, rows * line), np.uint8).reshape(rows, line)
+            shifts = np.arange(8 - bits, -1, -bits, dtype=np.uint8)
+            part = (packed[:, :, None] >> shifts & np.uint8((1 << bits) - 1)).reshape(rows, -1)[:, : wide * deep].reshape(rows, wide, deep)
+        else:
+            part = unpredict(decompress(media[start : start + count], code, rows * wide * deep * kind.itemsize), rows, wide, deep, kind, predictor)
+        part = part[: height - top, : width - left]
+        out[top : top + len(part), left : left + part.shape[1], plane if apart else slice(None)] = part[:, :, 0] if apart else part
     return out
 
 
@@ -283,10 +308,11 @@ def write_pages(docs: DataFrame, *, width: int = 576, id_col: str = "doc_id", te
 PAGES = [("page", "long", pa.int64()), ("n_pages", "long", pa.int64()), ("width", "long", pa.int64()), ("height", "long", pa.int64()), ("samples", "long", pa.int64()), ("bits", "long", pa.int64()), ("description", "string", pa.string()), ("media_bytes", "long", pa.int64()), ("media_sha256", "string", pa.string()), ("pixels", "binary", pa.binary()), ("error", "string", pa.string())]
 
 
-def read_pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+def read_pages(media: DataFrame, *, max_page_bytes: int = 1 << 28, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """One row per page of each TIFF, in the order of its directories: id_col, page (from 0), n_pages, width, height, samples, bits, description, media_bytes, media_sha256, pixels (samples in native order, row by row), error.
 
-    Strips and tiles, in either byte order; no compression, PackBits, LZW and deflate; no predictor, horizontal differences and the floating-point one; samples of 8, 16 and 32 bits, side by side. A page that can't be read has an error and null pixels; bytes that are no TIFF, null and empty ones included, give one row with page 0 and an error. Rows are read one by one.
+    Strips and tiles, in either byte order; no compression, PackBits, LZW and deflate; no predictor, horizontal differences and the floating-point one; samples of 1, 2 and 4 bits (given as bytes), 8, 16 and 32 bits, side by side or in planes of their own. Rows are read one by one.
+    A page has an error and null pixels if it can't be read, lacks strips, tiles or any bytes of them, or has samples of more than max_page_bytes; no more than these is ever unpacked. A chain of directories that breaks off gives one row more, after the pages that were found, with an error; so bytes that are no TIFF, null and empty ones included, give just that row, with page 0.
     """
     ready(media.sparkSession)
     kind = media.schema[id_col].dataType.simpleString()
@@ -298,18 +324,18 @@ def read_pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "me
             try:
                 for tags in directories(data or b""):
                     found.append(tags)
-            except (ValueError, struct.error, MemoryError) as e:
+            except (ValueError, struct.error, OverflowError, MemoryError) as e:
                 wrong = str(e) or type(e).__name__
             for i, tags in enumerate(found):
                 one = lambda tag, default=None: tags.get(tag, (default,))[0]  # noqa: B023, E731
                 pixels, error = None, None
                 try:
-                    pixels = page_samples(data, tags).tobytes()
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error, TypeError, ZeroDivisionError) as e:
+                    pixels = page_samples(data, tags, max_page_bytes).tobytes()
+                except (ValueError, KeyError, IndexError, struct.error, zlib.error, TypeError, OverflowError, MemoryError) as e:
                     error = str(e) or type(e).__name__
                 yield doc, i, len(found), one(WIDTH), one(LENGTH), one(SAMPLES, 1), one(BITS, 1), one(DESCRIPTION), size, sha, pixels, error
-            if wrong and not found:
-                yield doc, 0, 0, None, None, None, None, None, size, sha, None, wrong
+            if wrong:
+                yield doc, len(found), len(found), None, None, None, None, None, size, sha, None, wrong
 
         for batch in batches:
             rows = (row for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)) for row in pages(doc, data.as_py()))  # noqa: B023
@@ -319,11 +345,11 @@ def read_pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "me
     return out if id_col == "doc_id" else out.withColumnRenamed("doc_id", id_col)
 
 
-DIGEST = [("n_bytes", "long", pa.int64()), ("payload_bytes", "long", pa.int64()), ("payload_sha256", "string", pa.string()), ("tail_crc32", "long", pa.int64()), ("media_bytes", "long", pa.int64()), ("media_sha256", "string", pa.string()), ("feature", "string", pa.string())]
+DIGEST = [("n_bytes", "long", pa.int64()), ("payload_bytes", "long", pa.int64()), ("payload_sha256", "string", pa.string()), ("tail_crc32", "long", pa.int64()), ("media_bytes", "long", pa.int64()), ("media_sha256", "string", pa.string()), ("feature", "string", pa.string()), ("error", "string", pa.string())]
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    """One row per TIFF of read_pages, which keeps a TIFF's pages together: n_bytes (from the description), payload_bytes, payload_sha256 and tail_crc32 (of the last 32 bytes) of all pages' pixels, media_bytes, media_sha256, feature (pages, mean and most common sample, each as a whole number)."""
+    """One row per TIFF of read_pages, which keeps a TIFF's pages together: n_bytes (from the description), payload_bytes, payload_sha256 and tail_crc32 (of the last 32 bytes) of all pages' pixels, media_bytes, media_sha256, feature (pages, mean and most common sample, each as a whole number), error. A TIFF with an error in any row has the first one and nulls for what comes from pixels; one without a byte count in its description has a null n_bytes."""
     ready(pages.sparkSession)
     kind = pages.schema[0].dataType.simpleString()
 
@@ -333,9 +359,13 @@ def digest(pages: DataFrame) -> DataFrame:
         schema = None
 
         def close() -> None:
-            doc, note, sha, tail, n, counts, size, media_sha, n_pages = state
+            doc, note, sha, tail, n, counts, size, media_sha, n_pages, error = state
+            n_bytes = int(note[8:]) if note and re.fullmatch("n_bytes=[0-9]{1,18}", note) else None
+            if error:
+                out.append((doc, n_bytes, None, None, None, size, media_sha, None, error))
+                return
             total = int((counts * np.arange(256)).sum())
-            out.append((doc, int(note.removeprefix("n_bytes=")), n, sha.hexdigest(), zlib.crc32(tail), size, media_sha, f"pages={n_pages};mean={total // max(n, 1)};mode={int(counts.argmax())}"))
+            out.append((doc, n_bytes, n, sha.hexdigest(), zlib.crc32(tail), size, media_sha, f"pages={n_pages};mean={total // max(n, 1)};mode={int(counts.argmax())}", None))
 
         def batch_of() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [schema.field(0).type, *(k for _, _, k in DIGEST)])], ["doc_id", *(n for n, _, _ in DIGEST)])
@@ -348,8 +378,11 @@ def digest(pages: DataFrame) -> DataFrame:
                 if page == 0:
                     if state:
                         close()
-                    state[:] = [doc, get("description"), hashlib.sha256(), b"", 0, np.zeros(256, np.int64), get("media_bytes"), get("media_sha256"), get("n_pages")]
-                pixels = get("pixels")
+                    state[:] = [doc, get("description"), hashlib.sha256(), b"", 0, np.zeros(256, np.int64), get("media_bytes"), get("media_sha256"), get("n_pages"), None]
+                pixels, error = get("pixels"), get("error")
+                if pixels is None:
+                    state[9] = state[9] or error or "no pixels"
+                    continue
                 state[2].update(pixels)
                 state[3] = (state[3] + pixels[-32:])[-32:]
                 state[4] += len(pixels)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, unused, words
+from .common import col, unused, words, written
 
 #: Frequent function words of each language.
 COMMON_WORDS = {
@@ -78,64 +78,72 @@ def repeats(df: DataFrame, p: str, width: int = 5) -> DataFrame:
     return df.withColumn(f"{p}_repeats", F.coalesce(covered, F.lit(0)).cast("long")).drop(*(f"{p}_{x}" for x in ("h", "g", "s", "at")))
 
 
-def js_distance(counts: str, reference: str) -> Column:
+def js_distance(counts: Column, reference: Column) -> Column:
     """The Jensen-Shannon distance, base 2, of two histograms given as counts: 0 for equal shares, 1 for disjoint ones. Null if either holds nothing."""
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    shares = lambda a: F.transform(a, lambda x: F.try_divide(x.cast("double"), total(F.col(a))))
+    shares = lambda a: F.transform(a, lambda x: F.try_divide(x.cast("double"), total(a)))
     term = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     parts = F.zip_with(shares(counts), shares(reference), lambda p, q: (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2)
     out = F.sqrt(F.greatest(total(parts), F.lit(0.0)))
-    return F.when((total(F.col(counts)) > 0) & (total(F.col(reference)) > 0), out)
+    return F.when((total(counts) > 0) & (total(reference) > 0), out)
 
 
-def _histograms(df: DataFrame, p: str, text: Column, lang: Column) -> DataFrame:
-    df = base_counts(text, df.withColumn(f"{p}_ref", language(lang.cast("string"))), p)
-    return df.withColumn(f"{p}_common", common_counts(f"{p}_words", F.col(f"{p}_ref")))
+#: What measure() adds, as one struct.
+MEASURES = "ref string, n long, chars long, size long, symbols long, dup_lines long, repeats long, hist array<long>, common array<long>"
 
 
-def references(docs: DataFrame, *, min_words: int = 50, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per language: ref, ref_hist, ref_common: character classes and common words, summed over all documents of min_words words or more. It has at most len(COMMON_WORDS) + 1 rows."""
-    df = _histograms(docs.select(col(text_col).alias("t"), col(lang_col).alias("l")), "q", F.col("t"), F.col("l")).where(F.col("q_n") >= min_words)
-    sums = lambda c, n: F.array(*(F.sum(F.coalesce(F.get(c, F.lit(i)), F.lit(0))) for i in range(n)))
+def measure(docs: DataFrame, name: str, *, columns: list[str] | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """columns of docs (all, if not given) and a struct `name` of MEASURES: the language's reference, words, their characters, characters, symbols, repeated lines, words in repeated windows, and the two histograms. Written, in one pass over the texts."""
+    own = docs.columns if columns is None else columns
+    (p,) = unused(docs, "q")
+    while any(c.lower().startswith(p + "_") for c in docs.columns):
+        p += "q"
+    df = base_counts(col(text_col), docs.withColumn(f"{p}_ref", language(col(lang_col).cast("string"))), p)
+    df = repeats(df.withColumn(f"{p}_common", common_counts(f"{p}_words", F.col(f"{p}_ref"))), p)
+    lines = F.filter(F.split(f"{p}_text", "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]"))
+    dup = F.size(f"{p}_lines") - F.size(F.array_distinct(f"{p}_lines"))
+    found = {"ref": F.col(f"{p}_ref"), "n": F.col(f"{p}_n"), "chars": F.col(f"{p}_chars"), "size": F.length(f"{p}_text"), "symbols": F.col(f"{p}_symbols"), "dup_lines": dup, "repeats": F.col(f"{p}_repeats"), "hist": F.col(f"{p}_hist"), "common": F.col(f"{p}_common")}
+    whole = F.struct(*(c.alias(k) for k, c in found.items())).cast(f"struct<{MEASURES.replace(' ', ':').replace(',:', ',')}>")
+    return written(df.withColumn(f"{p}_lines", lines).select(*map(col, own), whole.alias(name)), "measured")
+
+
+def _base_failed(m: Column) -> Column:
+    return (m["n"] < 10) | (100 * m["repeats"] > 20 * m["n"])
+
+
+def _references(measured: DataFrame, name: str, min_words: int) -> DataFrame:
+    m = col(name)
+    sums = lambda c, n: F.array(*(F.sum(F.coalesce(F.get(m[c], F.lit(i)), F.lit(0))) for i in range(n)))
     width = max(map(len, COMMON_WORDS.values())) + 1
-    return df.groupBy(F.col("q_ref").alias("ref")).agg(sums("q_hist", len(CLASSES) + 1).alias("ref_hist"), sums("q_common", width).alias("ref_common"))
+    rows = measured.select(m.alias(name)).where((m["n"] >= min_words) & ~_base_failed(m))
+    return rows.groupBy(m["ref"].alias("ref")).agg(sums("hist", len(CLASSES) + 1).alias("ref_hist"), sums("common", width).alias("ref_common"))
+
+
+def references(docs: DataFrame, *, min_words: int = 50, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """One row per language: ref, ref_hist, ref_common: character classes and common words, summed over the documents of min_words words or more that pass the base rules. At most len(COMMON_WORDS) + 1 rows; written, so that they can be learned once from trusted text and kept for judge()."""
+    return written(_references(measure(docs, "m", columns=[], text_col=text_col, lang_col=lang_col), "m", min_words), "references")
 
 
-def judge(docs: DataFrame, *, min_words: int = 50, max_class_distance: float = 0.22, max_word_distance: float = 0.11, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), class_distance, word_distance (double), base_failed, kept (boolean). A column of docs of such a name gives way to it.
+def judge(docs: DataFrame, *, references: DataFrame | None = None, columns: list[str] | None = None, min_words: int = 50, max_class_distance: float = 0.22, max_word_distance: float = 0.11, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """columns of docs (all, if not given) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), class_distance, word_distance (double), base_failed, kept (boolean). A column of docs of such a name gives way to it.
 
-    Base rules reject texts under 10 words, and those in which repeated five-word windows hold over a fifth of the words. Of the others, those of min_words words or more are kept if the Jensen-Shannon distances of their character classes and of their common words to those of all documents of their language are within the maxima. From each distance that is first taken which a sample of that many words or characters has on average by chance, sqrt((bins - 1) / (8 n ln 2)). Shorter ones, whose histograms say little, are kept.
+    Base rules reject texts under 10 words, and those in which repeated five-word windows hold over a fifth of the words. Of the others, those of min_words words or more are kept if the Jensen-Shannon distances of their character classes and of their common words to the reference of their language are within the maxima. From each distance that is first taken which a sample of that many words or characters has on average by chance, sqrt((bins - 1) / (8 n ln 2)). Shorter ones, whose histograms say little, are kept.
+    References are those given (as references() makes them, from trusted text: a document's verdict then rests on it alone), or else those of the documents of docs that pass the base rules. A language without a reference rejects nothing.
 
-    Only DataFrame functions; two passes over the texts, no shuffle of them. The references are broadcast: one row per listed language and one for the rest.
+    Only DataFrame functions; one pass over the texts, whose measures are written with the columns, and no shuffle of them. The references are broadcast: one row per listed language and one for the rest.
     Null text counts as empty: no words, rejected. Null or unlisted languages are held against the reference of all such, by character classes alone. Rows with equal ids are judged one by one. A null id stays null. An empty table gives no rows.
     """
-    own = [c for c in docs.columns if c.lower() not in {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"}]
-    (p,) = unused(docs, "q")
-    while any(c.lower().startswith(p + "_") for c in docs.columns):
-        p += "q"
-    df = repeats(_histograms(docs, p, col(text_col), col(lang_col)), p)
-    refs = references(docs, min_words=min_words, text_col=text_col, lang_col=lang_col).toDF(f"{p}_key", f"{p}_rh", f"{p}_rc")
-    lines = F.filter(F.split(f"{p}_text", "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]"))
-    df = df.withColumn(f"{p}_lines", lines)
-    df = df.join(F.broadcast(refs), F.col(f"{p}_ref") == F.col(f"{p}_key"), "left")
-    n, far = F.col(f"{p}_n"), F.col(f"{p}_n") >= min_words
-    failed = (n < 10) | (100 * F.col(f"{p}_repeats") > 20 * n)
-    by_class, by_word = (F.round(F.when(far, js_distance(f"{p}_{a}", f"{p}_{b}")), 6) for a, b in (("hist", "rh"), ("common", "rc")))
-    df = df.withColumn(f"{p}_cd", by_class).withColumn(f"{p}_wd", by_word)
-    chance = lambda bins, size: F.sqrt(F.lit((bins - 1) / (8 * math.log(2))) / size)
-    over = lambda distance, bins, size, most: F.coalesce(F.col(distance) - chance(bins, size) > most, F.lit(False))
-    within = ~over(f"{p}_cd", len(CLASSES) + 1, F.greatest(F.length(f"{p}_text"), F.lit(1)), max_class_distance) & ~over(f"{p}_wd", len(COMMON_WORDS["en"]) + 1, F.greatest(n, F.lit(1)), max_word_distance)
-    made = {
-        "n_words": n,
-        "word_chars": F.col(f"{p}_chars"),
-        "n_symbols": F.col(f"{p}_symbols"),
-        "n_dup_lines": (F.size(f"{p}_lines") - F.size(F.array_distinct(f"{p}_lines"))).cast("long"),
-        "n_repeat_words": F.col(f"{p}_repeats"),
-        "class_distance": F.col(f"{p}_cd"),
-        "word_distance": F.col(f"{p}_wd"),
-        "base_failed": failed,
-        "kept": ~failed & within,
-    }
-    # A running number keeps the optimizer from writing a filter on these columns out through all the steps above, which would repeat their expressions many times over.
-    whole = F.struct(*(c.alias(name) for name, c in made.items()), F.monotonically_increasing_id().alias("no"))
-    return df.select(*map(col, own), whole.alias(p)).select(*map(col, own), *(F.col(p)[name].alias(name) for name in made))
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
+    own = [c for c in (docs.columns if columns is None else columns) if c.lower() not in made]
+    name, key, rh, rc = unused(docs, "q_m", "q_key", "q_rh", "q_rc")
+    measured = measure(docs, name, columns=own, text_col=text_col, lang_col=lang_col)
+    refs = _references(measured, name, min_words) if references is None else references.select("ref", "ref_hist", "ref_common")
+    df = measured.join(F.broadcast(refs.toDF(key, rh, rc)), col(name)["ref"] == F.col(key), "left")
+    m = col(name)
+    n, far = m["n"], m["n"] >= min_words
+    by_class, by_word = (F.round(F.when(far, js_distance(a, F.col(b))), 6) for a, b in ((m["hist"], rh), (m["common"], rc)))
+    chance = lambda bins, size: F.sqrt(F.lit((bins - 1) / (8 * math.log(2))) / F.greatest(size, F.lit(1)))
+    over = lambda distance, bins, size, most: F.coalesce(distance - chance(bins, size) > most, F.lit(False))
+    within = ~over(by_class, len(CLASSES) + 1, m["size"], max_class_distance) & ~over(by_word, len(COMMON_WORDS["en"]) + 1, n, max_word_distance)
+    values = [n, m["chars"], m["symbols"], m["dup_lines"], m["repeats"], by_class, by_word, _base_failed(m), ~_base_failed(m) & within]
+    return df.select(*map(col, own), *(c.alias(k) for k, c in zip(made, values)))

@@ -15,7 +15,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(_docs(spark, sf_dir))
+    judged = quality.judge(_docs(spark, sf_dir), columns=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 

@@ -30,7 +30,7 @@ def divergence(docs: str = "documents", min_words: int = 50, max_class: float =
 
     def js(name: str, table: str, size: str, b: int) -> str:
         return f"""
-{name}_ref AS (SELECT ref, bin, sum(k) AS k FROM {table} WHERE n >= {min_words} GROUP BY ref, bin),
+{name}_ref AS (SELECT ref, bin, sum(k) AS k FROM {table} JOIN passed USING (doc_id) WHERE n >= {min_words} GROUP BY ref, bin),
 {name}_q AS (SELECT ref, bin, CAST(k AS DOUBLE) / nullif(sum(k) OVER (PARTITION BY ref), 0) AS q FROM {name}_ref),
 {name}_p AS (SELECT *, CAST(k AS DOUBLE) / nullif(sum(k) OVER (PARTITION BY doc_id), 0) AS p FROM {table}),
 {name} AS (SELECT doc_id, round(sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0.0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0.0 END) / 2), 0.0)), 6) AS d, {chance(b, f"max({size})")} AS c
@@ -42,6 +42,7 @@ w AS (SELECT *, {WORDS.format("t")} AS ws, len({WORDS.format("t")}) AS n FROM d)
 g AS (SELECT doc_id, i, array_to_string(ws[i:i+4], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, n - 3)) AS i FROM w WHERE n >= 5)),
 f AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n_rep FROM f CROSS JOIN (SELECT unnest(range(5)) AS k) WHERE c > 1 GROUP BY doc_id),
+passed AS (SELECT w.doc_id FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id WHERE n >= 10 AND 100 * coalesce(n_rep, 0) <= 20 * n),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 class_bins AS ({bins}),

@@ -49,13 +49,16 @@ def _js(a, b):
 def judged(docs):
     """{doc_id: kept} of op1's rules; docs: (doc_id, text, lang, source)."""
     hist, refs = {}, defaultdict(lambda: ([0] * 6, [0] * 21))
+    passes = {}
     for i, text, lang, _ in docs:
+        n_words, *_, rep = base(text)
+        passes[i] = n_words >= 10 and 100 * rep <= 20 * n_words
         listed = quality.COMMON_WORDS.get(lang)
         low = [w.lower() for w in words(text)]
         common = [low.count(k) for k in listed] if listed else []
         common += [len(low) - sum(common)] if listed else []
         hist[i] = (lang if listed else "other", len(low), _classes(text), common)
-        if len(low) >= 50:
+        if len(low) >= 50 and passes[i]:
             r = refs[hist[i][0]]
             for into, add in zip(r, hist[i][2:]):
                 for k, x in enumerate(add):
@@ -63,8 +66,7 @@ def judged(docs):
     out = {}
     for i, text, _, _ in docs:
         ref, n, classes, common = hist[i]
-        rep = base(text)[4]
-        ok = n >= 10 and 100 * rep <= 20 * n
+        ok = passes[i]
         if ok and n >= 50:
             chance = lambda bins, size: math.sqrt((bins - 1) / (8 * math.log(2)) / max(size, 1))
             c, w = _js(classes, refs[ref][0]), _js(common, refs[ref][1]) if common else None

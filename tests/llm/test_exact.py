@@ -74,6 +74,19 @@ def test_a_filter_on_quality_isnt_written_out(docs):
     assert len(plan) < 400_000
 
 
+def test_given_references_leave_other_documents_out_of_a_verdict(spark, docs):
+    """With references learned before, a document's verdict is the same alone as among others; one that fails the base rules teaches nothing."""
+    refs = quality.references(docs)
+    among = {r["doc_id"]: (r["kept"], r["class_distance"]) for r in quality.judge(docs, references=refs).collect()}
+    assert among == {r["doc_id"]: (r["kept"], r["class_distance"]) for r in quality.judge(docs).collect()}
+    alone = [quality.judge(docs.where(F.col("doc_id") == i), references=refs).first() for i in (DOCS[0][0], DOCS[5][0])]
+    assert all((r["kept"], r["class_distance"]) == among[r["doc_id"]] for r in alone)
+    spam = spark.createDataFrame([(i, "#$%& " * 200, "en") for i in range(5)], "doc_id long, text string, lang string")
+    assert quality.references(spam).count() == 0 and not any(r["kept"] for r in quality.judge(spam).collect())
+    noise = spark.createDataFrame([(i, " ".join(f"$%{i * 1000 + k}&#" for k in range(200)), "en") for i in range(5)], "doc_id long, text string, lang string")
+    assert [r["kept"] for r in quality.judge(noise, references=refs).collect()] == [False] * 5
+
+
 def test_lines(docs):
     want = brute.without_lines(DOCS)
     got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}

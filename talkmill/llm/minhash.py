@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     twice = spelled.groupBy("centre", "shingle").agg(F.count("*").alias("k")).where("k > 1").drop("k")
     of_doc = Window.partitionBy("doc_id", "centre")
     beside = spelled.join(twice, ["centre", "shingle"]).withColumn("left", F.count("*").over(of_doc) - F.row_number().over(of_doc.orderBy("shingle")))
-    beside = beside.withColumn("bound", F.col("held") + F.col("left") + 1)
+    beside = written(beside.withColumn("bound", F.col("held") + F.col("left") + 1), "beside")
     by_shingle = crossing(beside, ["centre", "shingle"], F.least("held", "held_") + F.least("left", "left_") + 1)
     candidates = in_few.union(by_held).union(by_shingle).distinct()
     more = with_sets(candidates, "a", "b").where(similar(F.col("n_a"), F.col("n_b"), inter("a", "b"), threshold)).select("a", "b")

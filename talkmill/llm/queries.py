@@ -47,7 +47,7 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_proportional_fitting(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_docs(spark, sf_dir))
-    return mixed.select("doc_id", "tokens", "source_key", "lang_key", "topic", "probability", "sampled")
+    return mixed.select("doc_id", "tokens", "source_key", "lang_key", "topic", "probability", "residual", "sampled")
 
 
 #: The key of the surrogates in op5; a real run passes its own secret.

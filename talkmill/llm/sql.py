@@ -81,8 +81,11 @@ def fitting(docs: str = "documents", fraction: float = 0.8, seed: str = "mix") -
     steps, at = [], "base"
     for i in range(mixing.ROUNDS):
         for dim in targets:
-            steps.append(f"w{i}_{dim} AS (SELECT source, lang, topic, tokens, t_source, t_lang, t_topic, coalesce(w * t_{dim} / nullif(sum(w) OVER (PARTITION BY {dim}), 0), 0.0) AS w FROM {at})")
+            steps.append(f"w{i}_{dim} AS (SELECT source, lang, topic, tokens, share, t_source, t_lang, t_topic, coalesce(w * t_{dim} / nullif(sum(w) OVER (PARTITION BY {dim}), 0), 0.0) AS w FROM {at})")
             at = f"w{i}_{dim}"
+        steps.append(f"w{i} AS (SELECT * REPLACE (greatest(least(w, share / {fraction}), share / {mixing.TRIM}) AS w) FROM {at})")
+        at = f"w{i}"
+    gaps = ", ".join(f"abs(sum(p * tokens) OVER (PARTITION BY {dim}) / nullif(sum(p * tokens) OVER (), 0) - t_{dim})" for dim in targets)
     weights = ", ".join(f"{d}_t(v, x) AS (VALUES {_values([(k, float(x)) for k, x in listed.items()])})" for d, listed in targets.items())
     shares = ", ".join(f"{d}_s AS (SELECT v, x / sum(x) OVER () AS x FROM {d}_t WHERE v IN (SELECT {d} FROM cells))" for d in targets)
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {pooled("source")} AS source, {pooled("lang")} AS lang FROM {docs}),
@@ -90,15 +93,10 @@ n AS (SELECT *, len({WORDS.format("t")}) AS tokens FROM d),
 k AS (SELECT *, CASE {topics} WHEN tokens < 100 THEN 'short' ELSE 'other' END AS topic FROM n),
 cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM k GROUP BY source, lang, topic),
 {weights}, {shares},
-base AS (SELECT source, lang, topic, tokens, s.x AS t_source, l.x AS t_lang, p.x AS t_topic, CAST(tokens AS DOUBLE) AS w FROM cells JOIN source_s s ON s.v = source JOIN lang_s l ON l.v = lang JOIN topic_s p ON p.v = topic),
+base AS (SELECT *, share AS w FROM (SELECT source, lang, topic, tokens, s.x AS t_source, l.x AS t_lang, p.x AS t_topic, coalesce(CAST(tokens AS DOUBLE) / nullif(sum(tokens) OVER (), 0), 0.0) AS share FROM cells JOIN source_s s ON s.v = source JOIN lang_s l ON l.v = lang JOIN topic_s p ON p.v = topic)),
 {", ".join(steps)},
-tr AS (SELECT source, lang, topic, tokens, greatest(least(w, {mixing.TRIM} * coalesce(CAST(tokens AS DOUBLE) / nullif(sum(tokens) OVER (), 0), 0.0)), coalesce(CAST(tokens AS DOUBLE) / nullif(sum(tokens) OVER (), 0), 0.0) / {mixing.TRIM}) AS w FROM {at}),
-r AS (SELECT *, coalesce(w / nullif(CAST(tokens AS DOUBLE), 0), 0.0) AS rate FROM tr),
-o AS (SELECT *, row_number() OVER (ORDER BY rate DESC, source, lang, topic) AS no, sum(tokens) OVER () AS all_t,
-  coalesce(sum(tokens) OVER (ORDER BY rate DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre_t, sum(w) OVER (ORDER BY rate DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_w FROM r),
-c AS (SELECT *, ({fraction} * all_t - pre_t) / nullif(rest_w, 0) AS c FROM o),
-best AS (SELECT c FROM c WHERE c * rate <= 1 AND c >= 0 ORDER BY no LIMIT 1),
-odds AS (SELECT source, lang, topic, round(CASE WHEN b.c IS NULL THEN 1.0 ELSE least(1.0, b.c * rate) END, 6) AS p FROM c LEFT JOIN best b ON true)
-SELECT k.doc_id, CAST(k.tokens AS BIGINT) AS tokens, k.source AS source_key, k.lang AS lang_key, k.topic, odds.p AS probability,
-  CAST(('0x' || substr(md5({_quoted(seed)} || '|' || CAST(k.doc_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 < odds.p AS sampled
+pr AS (SELECT *, coalesce(least(1.0, {fraction} * w / nullif(share, 0)), 1.0) AS p FROM {at}),
+odds AS (SELECT source, lang, topic, round(p, 6) AS p, round(coalesce(greatest({gaps}), 0.0), 6) AS residual FROM pr)
+SELECT k.doc_id, CAST(k.tokens AS BIGINT) AS tokens, k.source AS source_key, k.lang AS lang_key, k.topic, odds.p AS probability, odds.residual,
+  CAST(('0x' || substr(md5({_quoted(seed)} || '|' || coalesce(CAST(k.doc_id AS VARCHAR), 'null' || md5(t))), 1, 8)) AS BIGINT) / 4294967296.0 < odds.p AS sampled
 FROM k JOIN odds ON odds.source = k.source AND odds.lang = k.lang AND odds.topic = k.topic"""

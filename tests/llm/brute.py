@@ -130,22 +130,15 @@ def sampled(docs, fraction=0.8, seed="mix"):
         size[cell[i]] += n
     there = [{c[k] for c in size} for k in range(3)]
     share = [{v: t[d][v] / sum(t[d][x] for x in there[k]) for v in there[k]} for k, d in enumerate(t)]
-    w = {c: float(n) for c, n in size.items()}
+    total = sum(size.values())
+    part = {c: n / total for c, n in size.items()}
+    w = dict(part)
     for _ in range(mixing.ROUNDS):
         for k in range(3):
             sums = defaultdict(float)
             for c, x in w.items():
                 sums[c[k]] += x
             w = {c: x * share[k][c[k]] / sums[c[k]] if sums[c[k]] else 0.0 for c, x in w.items()}
-    total = sum(size.values())
-    w = {c: max(min(x, mixing.TRIM * size[c] / total), size[c] / total / mixing.TRIM) for c, x in w.items()}
-    rate = {c: w[c] / size[c] if size[c] else 0.0 for c in w}
-    order, scale = sorted(w, key=lambda c: (-rate[c], c)), None
-    for k, c in enumerate(order):
-        rest = sum(w[x] for x in order[k:])
-        s = (fraction * total - sum(size[x] for x in order[:k])) / rest if rest else -1
-        if s >= 0 and s * rate[c] <= 1:
-            scale = s
-            break
-    p = {c: 1.0 if scale is None else round(min(1.0, scale * rate[c]), 6) for c in w}
+        w = {c: max(min(x, part[c] / fraction), part[c] / mixing.TRIM) for c, x in w.items()}
+    p = {c: round(min(1.0, fraction * w[c] / part[c]), 6) if part[c] else 1.0 for c in w}
     return {i: int(hashlib.md5(f"{seed}|{i}".encode()).hexdigest()[:8], 16) / 2**32 < p[cell[i]] for i in cell}

@@ -215,13 +215,46 @@ def test_raking_reaches_the_marginals(spark):
     r = random.Random(8)
     t = {"source": {"a": 0.2, "b": 0.3, "other": 0.5}, "lang": {"x": 0.6, "other": 0.4}, "topic": {"u": 0.5, "other": 0.5}}
     cells = [(a, b, c, r.randint(50, 500)) for a, b, c in itertools.product(*t.values())]
-    raked = mixing.rake(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long"), t, 30)
-    rows = mixing.calibrated(raked, 0.5).collect()
+    rows = mixing.rake(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long"), t, fraction=0.1, rounds=30).collect()
     for dim, listed in t.items():
         for value, share in listed.items():
             assert abs(sum(x["w"] for x in rows if x[dim] == value) - share) < 1e-6
     total = sum(x["tokens"] for x in rows)
-    assert abs(sum(x["tokens"] * x["p"] for x in rows) - 0.5 * total) < 1e-6 * total and all(0 <= x["p"] <= 1 for x in rows)
+    assert abs(sum(x["tokens"] * x["p"] for x in rows) - 0.1 * total) < 1e-6 * total and all(0 <= x["p"] <= 1 and x["residual"] < 1e-6 for x in rows)
+
+
+def test_other_cells_make_up_for_one_that_gives_all_it_has(spark):
+    t = {"source": {"a": 0.55, "other": 0.45}, "lang": {"x": 0.55, "other": 0.45}, "topic": {"u": 1.0, "other": 0.0}}
+    cells = spark.createDataFrame([("a", "x", "u", 100), ("a", "other", "u", 400), ("other", "x", "u", 400), ("other", "other", "u", 100)], "source string, lang string, topic string, tokens long")
+    free, held = ({(x["source"], x["lang"]): x for x in mixing.rake(cells, t, fraction=f, rounds=30, trim=50.0).collect()} for f in (0.1, 0.8))
+    assert abs(free["a", "x"]["w"] - 0.16) < 0.002 and max(x["residual"] for x in free.values()) < 1e-6
+    assert held["a", "x"]["p"] == 1.0 and abs(held["a", "x"]["w"] - 0.125) < 1e-9
+    assert max(x["residual"] for x in held.values()) < 0.002 and abs(held["other", "other"]["w"] - 0.025) < 0.003
+
+
+def test_what_cant_be_reached_is_told(spark):
+    t = {"source": {"a": 0.9, "other": 0.1}, "lang": {"x": 1.0, "other": 0.0}, "topic": {"u": 1.0, "other": 0.0}}
+    rows = mixing.rake(spark.createDataFrame([("a", "x", "u", 100), ("other", "x", "u", 900)], "source string, lang string, topic string, tokens long"), t, fraction=0.5).collect()
+    p = {x["source"]: x["p"] for x in rows}
+    share = 100 * p["a"] / (100 * p["a"] + 900 * p["other"])
+    assert p["a"] == 1.0 and abs(rows[0]["residual"] - (0.9 - share)) < 1e-9 and rows[0]["residual"] > 0.05
+
+
+def test_achieved_shares(spark):
+    """The sample comes near the targets, which the documents themselves don't."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = {(r["dim"], r["value"]): r for r in mixing.achieved(mixing.mix(docs)).collect()}
+    for dim in mixing.TARGETS:
+        mine = [r for (d, _), r in rows.items() if d == dim]
+        assert abs(sum(r["target"] for r in mine) - 1) < 1e-9 and abs(sum(r["before"] for r in mine) - 1) < 1e-9
+        assert max(abs(r["expected"] - r["target"]) for r in mine) < 0.001 and max(abs(r["sampled"] - r["target"]) for r in mine) < 0.02
+    assert rows["lang", "en"]["before"] > 0.6 > 0.557 > rows["lang", "en"]["expected"]
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"word{i} " * 50, "en", "src1") for i in range(200)]
+    kept = [r["sampled"] for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()]
+    assert 100 < sum(kept) < 200
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 255, 256, 1000])

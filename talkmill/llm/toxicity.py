@@ -16,6 +16,8 @@ from . import common
 WORDS = 1 << 20
 #: Texts that training walks through at a time.
 GROUP = 256
+#: Words from which a text is walked through in blocks side by side.
+LONG = 4096
 
 
 def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -39,43 +41,75 @@ class Crf:
         return self.emit[(hashed % np.uint64(WORDS)).astype(np.int64)] + self.bias
 
 
+def _blocked(scores: np.ndarray, cc: float, ct: float, tc: float, tt: float) -> np.ndarray:
+    """The forward log ratios of one long sequence, in steps of the order of its length's square root: what a block does to any start is a 2 x 2 matrix, found for all blocks at once; starts then go from block to block, and all blocks walk from their starts side by side."""
+    rest = scores[1:]
+    size = int(np.ceil(np.sqrt(len(rest))))
+    blocks = np.zeros((-(-len(rest) // size), size))
+    blocks.ravel()[: len(rest)] = rest
+    grow = np.exp(np.clip(blocks, -60, 60))
+    effect = np.tile(np.eye(2), (len(blocks), 1, 1))  # columns: a clean and a toxic start
+    for t in range(size):
+        clean = cc * effect[:, 0] + tc * effect[:, 1]
+        toxic = grow[:, t, None] * (ct * effect[:, 0] + tt * effect[:, 1])
+        effect = np.stack([clean, toxic], 1)
+        effect /= effect.max((1, 2), keepdims=True)
+    start, ratio = np.array([1.0, np.exp(np.clip(scores[0], -60, 60))]), np.empty(len(blocks))
+    for b, e in enumerate(effect):
+        ratio[b] = np.log(max(start[1], 1e-300)) - np.log(max(start[0], 1e-300))
+        start = e @ start
+        start /= start.max()
+    out = np.empty_like(blocks)
+    for t in range(size):
+        e = np.exp(np.clip(ratio, -60, 60))
+        ratio = blocks[:, t] + np.log((ct + e * tt) / (cc + e * tc))
+        out[:, t] = ratio
+    return np.concatenate((scores[:1], out.ravel()[: len(rest)]))
+
+
 def forward_backward(scores: list[np.ndarray], move: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each sequence the marginal probability of toxic at each word; and the expected moves, summed. Sequences walk side by side, longest first, so that a step is one operation for all still running.
+    """For each sequence the marginal probability of toxic at each word; and the expected moves, summed. Sequences walk side by side, longest first, so that a step is one operation for all still running; those over LONG words go in blocks of their own.
 
-    In two states the forward and backward values are kept as log ratios, toxic to clean.
+    In two states the forward and backward values are kept as log ratios, toxic to clean. The backward ones with the word's own score are forward ones of the sequence read from its end, with the moves turned round.
     """
     order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
     sizes = np.array([len(scores[i]) for i in order])
-    longest = int(sizes[0]) if len(sizes) else 0
-    running = (len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), side="right")).tolist()
-    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    flat = np.concatenate([scores[i] for i in order]) if longest else np.empty(0)
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1].astype(np.int64)
+    flat = np.concatenate([scores[i] for i in order]) if sizes.sum() else np.empty(0)
     (cc, ct), (tc, tt) = np.exp(move)
     ahead, back = np.empty(len(flat)), np.empty(len(flat))
+    n_long = int((sizes > LONG).sum())
+    for first, size in zip(starts[:n_long].tolist(), sizes[:n_long].tolist()):
+        mine = flat[first : first + size]
+        ahead[first : first + size] = _blocked(mine, cc, ct, tc, tt)
+        back[first : first + size] = _blocked(mine[::-1], cc, tc, ct, tt)[::-1] - mine
+    short, begin = sizes[n_long:], starts[n_long:]
+    longest = int(short[0]) if len(short) else 0
+    running = (len(short) - np.searchsorted(short[::-1], np.arange(longest), side="right")).tolist()
     ratio = np.ones(0)
     for t in range(longest):
-        at = starts[: running[t]] + t
+        at = begin[: running[t]] + t
         if t:
             e = np.exp(np.clip(ratio[: running[t]], -60, 60))
             ratio = flat[at] + np.log((ct + e * tt) / (cc + e * tc))
         else:
             ratio = flat[at].copy()
         ahead[at] = ratio
-    beta = np.zeros(len(sizes))
+    beta = np.zeros(len(short))
     for t in range(longest - 1, -1, -1):
         n = running[t]
-        at = starts[:n] + t
+        at = begin[:n] + t
         more = running[t + 1] if t + 1 < longest else 0
         if more:
-            e = np.exp(np.clip(flat[starts[:more] + t + 1] + beta[:more], -60, 60))
+            e = np.exp(np.clip(flat[begin[:more] + t + 1] + beta[:more], -60, 60))
             beta[:more] = np.log((tc + e * tt) / (cc + e * ct))
         beta[more:n] = 0.0
         back[at] = beta[:n]
     marginal = 1 / (1 + np.exp(-np.clip(ahead + back, -60, 60)))
     moves = np.zeros((2, 2))
-    if longest > 1:
+    if sizes.max(initial=0) > 1:
         inner = np.ones(len(flat), bool)
-        inner[starts + sizes - 1] = False
+        inner[(starts + sizes - 1)[sizes > 0]] = False
         i = np.flatnonzero(inner)
         a = np.exp(np.clip(ahead[i], -60, 60))
         b = np.exp(np.clip(flat[i + 1] + back[i + 1], -60, 60))
@@ -149,19 +183,23 @@ def fit(texts: list[str | None], labels: np.ndarray, *, rounds: int = 25, least:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 5000, max_bytes: int = 24 << 20) -> Crf:
-    """Fits on labelled documents whose crc32(doc_id) modulo 4 isn't 2: a sample of at most max_rows of them, the first by a hash of the id, and of these texts of max_bytes in all. These two bounds hold for training alone; texts of the sample are used whole."""
-    ids = labels.where("toxic is not null and doc_id is not null").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
-    ids = ids.select("doc_id", F.col("toxic").cast("int").alias("y")).groupBy("doc_id").agg(F.max("y").alias("y"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
+def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 5000, max_bytes: int = 24 << 20, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Crf:
+    """Fits on labelled documents whose crc32(id) modulo 4 isn't 2: a sample of at most max_rows of them, the first by a hash of the id, and of these texts of max_bytes in all. These two bounds hold for training alone; texts of the sample are used whole.
+
+    Rows of labels without an id or label don't count; of labels that repeat, the highest does. Without any labelled text every text gets the same score.
+    """
+    own = common.col(id_col)
+    ids = labels.select(own.alias("doc_id"), common.col(label_col).cast("int").alias("y")).where("y is not null and doc_id is not null").where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    ids = ids.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    found = docs.select(own.alias("doc_id"), common.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
     sizes = found.select("doc_id", F.xxhash64("text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(max_rows).collect()
     kept, total = [], 0
     for r in sizes:
         if total + r["size"] <= max_bytes:
-            kept.append(r["doc_id"])
+            kept.append((r["doc_id"],))
             total += r["size"]
-    rows = found.where(F.col("doc_id").isin(kept)).collect() if kept else []
+    chosen = docs.sparkSession.createDataFrame(kept, found.select("doc_id").schema).distinct()  # max_rows rows at most
+    rows = found.join(F.broadcast(chosen), "doc_id", "left_semi").collect() if kept else []
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     return fit([r["text"] for r in rows], np.array([r["y"] for r in rows]))
 

@@ -48,9 +48,9 @@ def nearest(records: DataFrame, query: list[float], n: int, tree: dict | None =
 def search(records: DataFrame, query: list[float], n: int = 10, *, show: str | None = None, after_date: str | None = None, before_date: str | None = None, speaker: str | None = None, people: DataFrame | None = None, vector: str = "embedding", id_col: str = "id") -> DataFrame:
     """The n nearest records, latest first (unknown dates last), equal dates by nearness: similarity_rank, position, relevance_score and the records' columns but the vector. A speaker that `people` doesn't list is refused with those it does, rather than found nowhere."""
     if speaker and people is not None:
-        known = sorted(r[0] for r in people.select("display").distinct().limit(10_000).collect())
-        if speaker not in known:
-            raise ValueError(f"no speaker {speaker!r}; there are: {', '.join(known)}")
+        if people.where(F.col("display") == speaker).isEmpty():
+            listed = [r[0] for r in people.select("display").where("display is not null").distinct().orderBy("display").limit(1001).collect()]  # for a reader
+            raise ValueError(f"no speaker {speaker!r}; there are: {', '.join(listed[:1000])}{' and more' * (len(listed) > 1000)}")
     hits = nearest(records, query, n, filters(show, after_date, before_date, speaker), vector, id_col).drop(vector)
     ranked = hits.withColumn("similarity_rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("distance", id_col)))  # n rows
     ranked = ranked.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc_nulls_last("date"), "similarity_rank")))
@@ -63,8 +63,8 @@ def latest_on_topic(records: DataFrame, query: list[float], n: int = 5, **more)
 
 
 def rendered(hits: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """position and the text that a reader gets for each hit. names (speaker_id, display) is a short list of people."""
-    df = hits.join(F.broadcast(names.limit(10_000)), "speaker_id", "left") if names is not None else hits.withColumn("display", F.lit(None).cast("string"))
+    """position and the text that a reader gets for each hit. names: speaker_id, display, any number of people."""
+    df = hits.join(names, "speaker_id", "left") if names is not None else hits.withColumn("display", F.lit(None).cast("string"))
     who = display_speaker(F.col("speaker_id"), F.col("display"), F.col("speaker"))
     head = F.concat(F.lit("["), F.col("date"), F.lit("] "), F.col("show"), F.lit(" - Episode "), F.col("episode_number"), F.lit(" ("), F.col("episode_title"), F.lit(") @ "), F.format_string("%.1f", F.col("start_time").cast("double")), F.lit("s | speaker: "), who)
     if "relevance_score" in hits.columns:

@@ -12,6 +12,7 @@ from ..functions.text import id_prefix, segments
 from ..operators import chunking, identity, migrate, turns
 from ..operators.reconcile import KEY, episodes_of, is_complete
 from ..sources import readers, store
+from ..session import drop_written, written
 from ..streaming.ingest import RULES_VERSION, records_of
 from .planning import Refused, cap_work, episode_state, guard, plan_show, require_expected
 
@@ -53,8 +54,11 @@ def upload_book(collection: store.Collection, pages: DataFrame, encode: Callable
     number = int(date.replace("-", "")) if date[:4].isdigit() else 0
     rows = made.select(F.concat(F.lit(f"{name}-p"), "page", F.lit("-"), "chunk_index").alias("id"), F.col("text").alias("document"), F.lit("book").alias("source"), F.lit(title).alias("title"), F.lit(author).alias("author"), F.lit(date).alias("date"), F.lit(number).alias("date_ts"), F.col("page").cast("int").alias("page"), F.lit(title).alias("show"), F.lit("N/A").alias("episode_number"), F.lit(title).alias("episode_title"), F.lit(author).alias("speaker"), F.col("page").cast("double").alias("start_time"))
     rows = readers.with_model(rows, encode, "document", "embedding")
-    collection.replace(store.merged(collection.read(), rows) if collection.exists() else rows)
-    return rows.count()
+    rows = written(rows, "book")
+    collection.merge(rows)
+    n = rows.count()
+    drop_written(rows)
+    return n
 
 
 def identify_clusters(segs: DataFrame, audio: DataFrame, embed: Callable, people: DataFrame, *, threshold: float, margin: float, cap: float = turns.GAP_CAP_S) -> DataFrame:
@@ -78,20 +82,50 @@ def apply_renumber(collection: store.Collection, verdicts: DataFrame, orphans: D
     mine = episodes_of(before).join(renames, KEY)
     moved = migrate.rekey(mine.withColumn("old_", F.col("episode_number")), F.col("to_"), F.col("old_")).select(*before.columns)
     total = before.count()
-    collection.replace(before.join(mine.select("id"), "id", "left_anti").unionByName(moved))
+    moved, gone = written(moved, "moved"), written(mine.select("id"), "gone")
+    collection.merge(moved, gone)
     after = collection.read()
+    drop_written(moved)
+    drop_written(gone)
     if after.count() != total or not episodes_of(after).join(renames, KEY, "left_semi").isEmpty():
         raise Refused("records don't read back as planned")
     return n
 
 
-def backfill(collection: store.Collection, assignments: DataFrame, expect: int) -> dict:
-    """Names onto the records of assigned clusters, then counts by person read back, with a control that must find nobody."""
+def backfill(collection: store.Collection, assignments: DataFrame, expect: int) -> DataFrame:
+    """Names onto the records of assigned clusters, then (person, records) read back, with a control that must find nobody."""
     store.apply_updates(collection, identity.backfill_updates(assignments, collection.read()), expect)
     after = collection.read()
     if after.where("speaker_id = '\x00nobody'").count():
         raise Refused("the control found records")
-    return {r["speaker_id"]: r["n"] for r in after.where("coalesce(speaker_id, '') != ''").groupBy("speaker_id").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(identity.MAX_PEOPLE).collect()}
+    return after.where("coalesce(speaker_id, '') != ''").groupBy(F.col("speaker_id").alias("person")).agg(F.count("*").alias("records"))
+
+
+def nightly(shows: list[str], run: Callable[[str], dict]) -> dict[str, dict]:
+    """run(show) for each show, whatever becomes of the others; what each gave. Shows that failed are told, with their errors, once all have had their turn."""
+    done, failed = {}, {}
+    for show in shows:
+        try:
+            done[show] = run(show)
+        except Exception as e:  # noqa: BLE001  a show's failure is its own
+            failed[show] = e
+    if failed:
+        raise ExceptionGroup(f"{len(failed)} of {len(shows)} shows failed: {', '.join(sorted(failed))}", list(failed.values()))
+    return done
+
+
+def run_show(spark: SparkSession, show: str, folder: str, feed: DataFrame, collection: store.Collection, exclusions: DataFrame, encode: Callable[[pd.Series], pd.Series], *, threshold: int = 10, cap: int = 0) -> dict:
+    """A show's night: its plan, refused as a whole if too many episodes wait for a transcript; then all that needs no model but the encoder is embedded. Returns the counts of the plan's actions and what was written."""
+    plan = plan_all(feed.where(F.col("show") == show), readers.transcripts(spark, folder, show), collection.read() if collection.exists() else _no_records(spark), exclusions, threshold=threshold, cap=cap)
+    refused = plan["refused"].first()
+    if refused:
+        raise Refused(f"{refused['n']} episodes of {show} wait for a transcript")
+    counts = {r["action"]: r["n"] for r in plan["plan"].groupBy("action").agg(F.count("*").alias("n")).collect()}  # six actions
+    return counts | bulk_embed(spark, folder, show, collection, encode)
+
+
+def _no_records(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "id string, show string, episode_number string, date string, n_chunks int, source string, episode_guid string, rules_version string, identity_version string, speaker string, speaker_id string")
 
 
 def stamp(collection: store.Collection, assignments: DataFrame, expect: int) -> tuple[int, int]:

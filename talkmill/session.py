@@ -35,15 +35,31 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder where it is unset, as in tests on one machine."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, of the session or set on its context. Only where all runs on one machine, as in tests, may it be unset, for a temporary folder then; on a cluster that raises."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = os.environ.setdefault("TALKMILL_SHARED", tempfile.mkdtemp(prefix="talkmill-"))
+        kept = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if kept.isDefined():
+            at = kept.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            at = tempfile.mkdtemp(prefix="talkmill-")
+            spark.sparkContext.setCheckpointDir(at)
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return at.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df computed once into a shared table and read back: cuts lineage and outlives executors."""
-    at = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    """df as a table in the shared folder: computed once, read back by column, and safe from lost executors."""
+    at = f"{shared_dir(df.sparkSession)}/talkmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    back = df.sparkSession.read.schema(df.schema).parquet(at)
+    back._talkmill_at = at
+    return back
+
+
+def drop_written(df: DataFrame) -> None:
+    """Deletes a table of written() that nothing reads any more."""
+    spark, at = df.sparkSession, df._talkmill_at
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

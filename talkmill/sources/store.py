@@ -1,28 +1,33 @@
-"""A collection of records as snapshots: written whole beside the current one, then pointed to.
+"""A collection of records in buckets, of which a write renews those that it touches.
 
-A snapshot is a folder of Parquet; CURRENT names the one that counts. Readers see the old one or the new one. A crash before the pointer moves leaves the old one. The file system is Hadoop's, so that any store Spark can write will do.
+Records lie in buckets by a hash of their id up to its last hyphen, so that the chunks of an episode share one. A write puts the buckets that it changes beside the old ones, as Parquet, then a manifest that names a folder for each bucket, and last CURRENT, which names the manifest that counts. Readers see the old records or the new ones; a crash before CURRENT moves leaves the old ones. Folders that no kept manifest names go when a grace period is over, so that readers that began before can end. The file system is Hadoop's, so that any store Spark can write will do.
 """
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
 import time
 import uuid
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.vectors import all_finite
 from ..operators.reconcile import prune_set
 from ..plans.planning import Refused, require_expected
+from ..session import drop_written, written
 
 
 class Files:
     """The few file operations that need a driver."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.jvm, self.root = spark._jvm, root.rstrip("/")
+        self.spark, self.jvm, self.root = spark, spark._jvm, root.rstrip("/")
         self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def path(self, name: str):
@@ -43,10 +48,22 @@ class Files:
         stream = self.fs.create(self.path(part), True)
         stream.write(bytearray(text.encode()))
         stream.close()
-        if self.fs.exists(self.path(name)):
-            self.fs.delete(self.path(name), False)
-        if not self.fs.rename(self.path(part), self.path(name)):
-            raise OSError(f"can't put {name} in place")
+        options = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        over = self.spark.sparkContext._gateway.new_array(options, 1)
+        over[0] = options.OVERWRITE
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(name).toUri(), self.spark._jsc.hadoopConfiguration()).rename(self.path(part), self.path(name), over)
+
+    def claim(self, name: str, text: str) -> bool:
+        """Writes a file unless there is one; of several that try, one does."""
+        try:
+            stream = self.fs.create(self.path(name), False)
+        except Exception as e:
+            if "AlreadyExists" in str(e) or self.fs.exists(self.path(name)):
+                return False
+            raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
 
     def names(self) -> list[str]:
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path(""))) if self.fs.exists(self.path("")) else []
@@ -60,35 +77,111 @@ class Files:
 
 
 class Collection:
-    """Records by id. All writes go through replace(), one writer at a time."""
+    """Records by id. One writer at a time: another one that tries meanwhile is refused.
+
+    buckets: how many, fixed when the collection is begun. A write costs the buckets that it touches; so there should be so many that one is a few hundred MB.
+    """
+
+    #: Seconds after which a writer's lock counts as left behind.
+    LOCK_S = 6 * 3600
 
-    def __init__(self, spark: SparkSession, root: str, name: str, allowed: tuple[str, ...] | None = None):
+    def __init__(self, spark: SparkSession, root: str, name: str, allowed: tuple[str, ...] | None = None, buckets: int = 64):
         if allowed is not None and name not in allowed:
             raise ValueError(f"writes go to {', '.join(allowed)}, not {name}")
-        self.spark, self.name, self.at = spark, name, f"{root.rstrip('/')}/{name}"
+        self.spark, self.name, self.at, self.buckets = spark, name, f"{root.rstrip('/')}/{name}", buckets
         self.files = Files(spark, self.at)
 
+    def _manifest(self) -> dict | None:
+        name = self.files.read("CURRENT")
+        return json.loads(self.files.read(f"manifests/{name}") or "{}") if name else None
+
     def exists(self) -> bool:
         return self.files.read("CURRENT") is not None
 
-    def read(self) -> DataFrame:
-        """The current records; a collection that isn't there raises."""
-        current = self.files.read("CURRENT")
-        if current is None:
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """The current records, or those of some buckets; a collection that isn't there raises."""
+        manifest = self._manifest()
+        if manifest is None:
             raise LookupError(f"no collection {self.name}")
-        return self.spark.read.parquet(f"{self.at}/{json.loads(current)['snapshot']}")
+        schema = T.StructType.fromJson(manifest["schema"])
+        paths = [f"{self.at}/{at}/bucket_={b}" for b, at in manifest["buckets"].items() if buckets is None or int(b) in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def metadata(self) -> dict:
-        return json.loads(self.files.read("CURRENT") or "{}").get("metadata", {})
+        return (self._manifest() or {}).get("metadata", {})
+
+    def bucket(self, id_col: str = "id") -> Column:
+        """The bucket that a record lies in."""
+        n = (self._manifest() or {}).get("of", self.buckets)
+        return F.pmod(F.xxhash64(F.regexp_replace(F.col(id_col).cast("string"), "-[^-]*$", "")), F.lit(n)).cast("int")
+
+    def replace(self, records: DataFrame, metadata: dict | None = None, **keep) -> None:
+        """All records anew."""
+        with self._writer():
+            self._put(records, None, metadata, **keep)
+
+    def merge(self, new: DataFrame | None = None, drop: DataFrame | None = None, **keep) -> int:
+        """Merges records in (merged()), and takes those of the ids in drop out, but for the new ones. Only buckets with such ids are read and written; their number is returned."""
+        with self._writer():
+            if not self.exists():
+                self._put(new, None, None, **keep)
+                return self.buckets
+            ids = [df.select("id") for df in (new, drop) if df is not None]
+            touched = sorted(r[0] for r in reduce(DataFrame.unionByName, ids).select(self.bucket().alias("b")).distinct().collect())  # as many as there are buckets, at most
+            if touched:
+                rows = self.read(touched)
+                if drop is not None:
+                    rows = rows.join(drop.select("id"), "id", "left_anti")
+                self._put(rows if new is None else merged(rows, new), touched, None, **keep)
+            return len(touched)
+
+    @contextlib.contextmanager
+    def _writer(self) -> Iterator[None]:
+        mine = f"{uuid.uuid4().hex} {time.time():.0f}"
+        if not self.files.claim("LOCK", mine):
+            held = (self.files.read("LOCK") or "").split()
+            if len(held) < 2 or time.time() - float(held[1]) < self.LOCK_S:
+                raise Refused(f"{self.name} is being written")
+            self.files.remove("LOCK")
+            if not self.files.claim("LOCK", mine):
+                raise Refused(f"{self.name} is being written")
+        try:
+            yield
+        finally:
+            if self.files.read("LOCK") == mine:
+                self.files.remove("LOCK")
 
-    def replace(self, records: DataFrame, metadata: dict | None = None, keep: int = 2) -> None:
-        old = json.loads(self.files.read("CURRENT") or "{}")
+    def _put(self, records: DataFrame, touched: list[int] | None, metadata: dict | None, keep: int = 2, grace_s: float = 24 * 3600) -> None:
+        """Writes records, which are all of the buckets touched, and makes them count."""
+        old = self._manifest() or {"buckets": {}, "metadata": {}, "of": self.buckets}
         snapshot = f"v-{time.time_ns():020d}"
-        records.write.parquet(f"{self.at}/{snapshot}")
-        self.files.write("CURRENT", json.dumps({"snapshot": snapshot, "metadata": metadata if metadata is not None else old.get("metadata", {})}))
-        snapshots = [n for n in self.files.names() if n.startswith("v-") and n != snapshot]
-        for name in snapshots[: max(0, len(snapshots) - keep + 1)]:
-            self.files.remove(name)
+        records.withColumn("bucket_", self.bucket()).repartition(F.col("bucket_")).write.partitionBy("bucket_").parquet(f"{self.at}/{snapshot}")
+        there = {n.split("=")[1]: snapshot for n in Files(self.spark, f"{self.at}/{snapshot}").names() if n.startswith("bucket_=")}
+        stay = {} if touched is None else {b: at for b, at in old["buckets"].items() if int(b) not in touched}
+        manifest = {"buckets": stay | there, "of": old["of"], "schema": json.loads(records.schema.json()), "metadata": metadata if metadata is not None else old["metadata"]}
+        self.files.write(f"manifests/{snapshot}", json.dumps(manifest))
+        self.files.write("CURRENT", snapshot)
+        self._clean(keep, grace_s)
+
+    def _clean(self, keep: int, grace_s: float) -> None:
+        """Deletes manifests beyond the last `keep` that were replaced over grace_s seconds ago, and bucket folders that no manifest left names."""
+        names = Files(self.spark, f"{self.at}/manifests").names()
+        names = [n for n in names if n.startswith("v-") and n.count(".") == 0]
+        ended = {n: int(after[2:]) / 1e9 for n, after in zip(names, names[1:])}
+        gone = [n for n in names[: max(0, len(names) - keep)] if time.time() - ended[n] >= grace_s]
+        if not gone:
+            return
+        named = {(at, b) for n in names if n not in gone for b, at in json.loads(self.files.read(f"manifests/{n}"))["buckets"].items()}
+        for n in gone:
+            lost = json.loads(self.files.read(f"manifests/{n}"))["buckets"].items()
+            for b, at in lost:
+                if (at, b) not in named:
+                    self.files.remove(f"{at}/bucket_={b}")
+            for at in {at for _, at in lost} - {at for at, _ in named}:
+                self.files.remove(at)
+            self.files.remove(f"manifests/{n}")
 
     def count(self) -> int:
         return self.read().count() if self.exists() else 0
@@ -109,23 +202,35 @@ def updated(current: DataFrame, updates: DataFrame, key: str = "id") -> DataFram
 
 
 def upsert_then_prune(collection: Collection, chunks: DataFrame) -> dict:
-    """Replaces episodes: chunks (id, show, episode_number, date, episode_guid ...) are merged in, and what their triple or guid matches beside them goes. One snapshot holds both steps."""
-    current = collection.read() if collection.exists() else chunks.limit(0)
-    after = merged(current, chunks)
-    stale = prune_set(after, chunks).distinct()
-    pruned = stale.count()
-    collection.replace(after.join(stale, "id", "left_anti"))
-    return {"written": chunks.count(), "pruned": pruned}
+    """Replaces episodes: chunks (id, show, episode_number, date, episode_guid ...) are merged in, and what their triple or guid matches beside them goes. Stale ids are looked for by key columns alone; one write, of the buckets with new or stale ids, holds both steps."""
+    chunks = written(chunks, "chunks")  # read for ids, keys and records
+    stale = written(prune_set(collection.read(), chunks).distinct() if collection.exists() else chunks.select("id").limit(0), "stale")
+    out = {"written": chunks.count(), "pruned": stale.count()}
+    if out["written"] or not collection.exists():
+        collection.merge(chunks, stale)
+    drop_written(chunks)
+    drop_written(stale)
+    return out
 
 
 def apply_updates(collection: Collection, updates: DataFrame, expect: int) -> int:
-    """Merges updates (id ...) if there are just as many as foretold."""
+    """Merges updates (id ...) of records that are there, if there are just as many as foretold."""
     n = updates.count()
     require_expected(n, expect)
-    collection.replace(updated(collection.read(), updates))
+    there = written(updates.join(collection.read().select("id"), "id", "left_semi"), "updates")
+    collection.merge(there)
+    drop_written(there)
     return n
 
 
+def create_destination(src: Collection, dst: Collection) -> dict:
+    """The metadata of dst: as it is, if dst is there; else dst is begun, empty, with the schema and metadata of src. A source without a distance space is refused."""
+    if not dst.exists():
+        distance_space({"collection_metadata": src.metadata()})
+        dst.replace(src.read().limit(0), src.metadata())
+    return dst.metadata()
+
+
 def copy_collection(src: Collection, dst: Collection, *, allow_nonempty: bool = False) -> int:
     """All records, with the metadata; refuses a destination that holds some, and a source that changed meanwhile."""
     if dst.count() and not allow_nonempty:

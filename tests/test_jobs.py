@@ -32,7 +32,7 @@ def test_bulk_embed_takes_what_is_new_and_carries_names(spark, show):
     folder, c = show
     assert c.count() == 8 and jobs.bulk_embed(spark, str(folder), "S", c, ENCODE) == {"written": 0, "pruned": 0}
     assigned = spark.createDataFrame([("S", "1", "2024-01-01", "SPEAKER_00", "Ann")], KEY + ", cluster string, person string")
-    assert jobs.backfill(c, assigned, 2) == {"Ann": 2}
+    assert [tuple(r) for r in jobs.backfill(c, assigned, 2).collect()] == [("Ann", 2)]
     with pytest.raises(Refused):
         jobs.stamp(c, assigned, 3)
     assert jobs.stamp(c, assigned, 4) == (4, 8)
@@ -89,3 +89,17 @@ def test_identify(spark):
 
     got = jobs.identify_clusters(segs, audio, embed, people, threshold=0.516, margin=0.074)
     assert [tuple(r) for r in got.collect()] == [("e", "SPEAKER_00", "Ann")]
+
+
+def test_a_failing_show_doesnt_stop_the_others(spark, show):
+    folder, c = show
+    feed = spark.createDataFrame([("S", 0, "1", "2024-01-01", "g1"), ("S", 1, "3", "2024-01-03", "g3"), ("T", 0, "1", "2024-01-01", "h1")], "show string, feed_pos int, episode_number string, date string, guid string")
+    none = spark.createDataFrame([], KEY + ", guid string")
+    write(folder, 3, 5)
+    run = lambda s: jobs.run_show(spark, s, str(folder), feed, c, none, ENCODE, threshold=0)
+    ran = []
+    with pytest.raises(ExceptionGroup, match="1 of 2 shows failed: T") as e:
+        jobs.nightly(["T", "S"], lambda s: ran.append(s) or run(s))
+    assert ran == ["T", "S"] and isinstance(e.value.exceptions[0], Refused)
+    assert c.read().where("episode_number = '3'").count() == 5
+    assert jobs.nightly(["S"], run) == {"S": {"IDENTIFY_ONLY": 2, "written": 0, "pruned": 0}}

@@ -292,3 +292,81 @@ def test_stream_takes_what_is_new(spark, tmp_path):
     assert ingest_available(spark, str(folder), c, readers.hashed_encoder(8), f"{root}/ck") == 0
     r = c.read().where("episode_number = '2'").first()
     assert (r["id"], r["date_ts"], r["n_chunks"], r["episode_title"], len(r["embedding"])) == ("S-ep2-2024-01-02-0", 20240102, 1, "T", 8)
+
+
+def files_of(root):
+    return {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_a_write_leaves_other_buckets_alone(spark, tmp_path):
+    c = store.Collection(spark, f"file://{tmp_path}", "c", buckets=16)
+    whole = chunks(spark, 5)
+    for n in range(2, 30):
+        whole = whole.unionByName(chunks(spark, 3, number=str(n)))
+    c.replace(whole, {"space": "cosine"})
+    before = files_of(tmp_path)
+    assert len({p.parent.name for p in before}) > 8
+    assert store.upsert_then_prune(c, chunks(spark, 3, mark="y").withColumn("note", F.lit("new"))) == {"written": 3, "pruned": 2}
+    after = files_of(tmp_path)
+    assert before.items() <= after.items() and len({p.parent for p in set(after) - set(before)}) == 1
+    rows = c.read().collect()
+    assert len(rows) == 3 + 28 * 3 and sum(r["note"] == "new" for r in rows) == 3 and c.metadata() == {"space": "cosine"}
+    assert c.merge(drop=c.read().where("episode_number = '7'")) == 1 and c.count() == 3 + 27 * 3
+    assert c.merge(chunks(spark, 0)) == 0
+
+
+def test_old_files_go_after_a_while(spark, tmp_path):
+    c = store.Collection(spark, f"file://{tmp_path}", "c", buckets=4)
+    c.replace(chunks(spark, 3))
+    held = c.read()
+    c.replace(chunks(spark, 2, mark="y"))
+    c.replace(chunks(spark, 2, mark="z"))
+    assert held.count() == 3  # within the grace period
+    c.merge(chunks(spark, 1, mark="w"), keep=1, grace_s=0)
+    assert {p.parent.parent.name for p in files_of(tmp_path)} == set(c._manifest()["buckets"].values()) and [r["document"] for r in c.read().orderBy("id").collect()] == ["w0", "z1"]
+
+
+def test_one_writer_at_a_time(spark, tmp_path):
+    a, b = (store.Collection(spark, f"file://{tmp_path}", "c") for _ in range(2))
+    a.replace(chunks(spark, 1))
+    with a._writer(), pytest.raises(planning.Refused, match="being written"):
+        b.replace(chunks(spark, 2))
+    b.replace(chunks(spark, 2))
+    a.files.claim("LOCK", "left-behind 0")
+    a.replace(chunks(spark, 3))
+    assert b.count() == 3 and a.files.read("LOCK") is None
+
+
+def test_a_destination_is_made_like_its_source(spark, tmp_path):
+    a, b = (store.Collection(spark, f"file://{tmp_path}", n) for n in "ab")
+    a.replace(chunks(spark, 2))
+    with pytest.raises(ValueError):
+        store.create_destination(a, b)
+    a.replace(chunks(spark, 2), {"space": "l2"})
+    assert store.create_destination(a, b) == {"space": "l2"} and b.count() == 0 and b.read().schema == a.read().schema
+    b.replace(b.read(), {"space": "ip"})
+    assert store.create_destination(a, b) == {"space": "ip"} and store.copy_collection(a, b) == 2
+
+
+def test_names_beyond_ten_thousand(spark):
+    from talkmill.operators.search import rendered
+
+    people = spark.range(12_000).select(F.concat(F.lit("p"), "id").alias("speaker_id"), F.concat(F.lit("Person "), "id").alias("display"))
+    rows = spark.createDataFrame([(1, [1.0, 0.0], "S", "1", "T", "2024-01-01", 20240101, "SPEAKER_0", "p11999", 0.0, "x")], "id int, embedding array<double>, show string, episode_number string, episode_title string, date string, date_ts int, speaker string, speaker_id string, start_time double, document string")
+    hits = search(rows, [1.0, 0.0], 5, people=people, speaker=None)
+    assert "Person 11999" in rendered(hits, people).first()["text"]
+    assert search(rows.withColumn("speaker_id", F.lit("Person 11999")), [1.0, 0.0], people=people, speaker="Person 11999").count() == 1
+    with pytest.raises(ValueError, match="and more"):
+        search(rows, [1.0, 0.0], people=people, speaker="nobody")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as Fake
+
+    from talkmill.session import shared_dir
+
+    unset = Fake(isDefined=lambda: False)
+    spark = lambda master: Fake(conf=Fake(get=lambda k, d: None), sparkContext=Fake(master=master, _jsc=Fake(sc=lambda: Fake(getCheckpointDir=lambda: unset)), setCheckpointDir=lambda at: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(spark("spark://host:7077"))
+    assert shared_dir(spark("local[4]"))

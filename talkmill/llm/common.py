@@ -1,63 +1,26 @@
-"""Helpers that the operators share: shared tables, unused names, distributed running sums, words."""
+"""Helpers that the operators share: unused names, distributed running sums, words; shared tables as in the library."""
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
 import gc
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-REPO = str(Path(__file__).resolve().parents[2])
+from ..session import drop_written, shared_dir, written  # noqa: F401
+from ..session import prepared as ready  # noqa: F401
+
 #: Characters that separate words.
 SPACES = " \t\n\x0b\f\r"
 #: What separates words, as a Java regular expression.
 SPACE_RUN = "[ \\x09-\\x0D]+"
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package, wherever the driver was started."""
-    env = spark.sparkContext.environment
-    if REPO not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
-    return spark
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir; where it is unset (tests on one machine), a temporary one."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        kept = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = kept.get() if kept.isDefined() else tempfile.mkdtemp(prefix="talkmill-")
-        if not kept.isDefined():
-            spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, read back by column, and safe from lost executors."""
-    at = f"{shared_dir(df.sparkSession)}/talkmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    back = df.sparkSession.read.schema(df.schema).parquet(at)
-    back._talkmill_at = at
-    return back
-
-
-def drop_written(df: DataFrame) -> None:
-    """Deletes a table of written() that nothing reads any more."""
-    spark, at = df.sparkSession, df._talkmill_at
-    path = spark._jvm.org.apache.hadoop.fs.Path(at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """names, each with underscores added until df has no such column, in whatever case."""
     there, out = {c.lower() for c in df.columns}, []

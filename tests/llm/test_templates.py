@@ -5,7 +5,8 @@ import random
 import brute
 import pytest
 
-from talkmill.llm import common, minhash
+from talkmill import session
+from talkmill.llm import minhash
 
 
 def family(n, shared, own, seed=1, twins=0):
@@ -71,7 +72,7 @@ def test_ids_that_are_no_numbers(spark):
 
 
 def test_only_the_result_stays(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"file://{tmp_path}")
     out = minhash.near_duplicates(spark.createDataFrame(family(40, 90, 8), "doc_id long, text string"))
     assert [p.name.split("-")[0] for p in (tmp_path / "talkmill").iterdir()] == ["near"] and out.count() == 40
 

@@ -45,9 +45,9 @@ def confusions(labelled: DataFrame, threshold: float, margin: float) -> DataFram
     return wrong.groupBy("truth", F.coalesce("person", F.lit("None")).alias("predicted")).agg(F.count("*").alias("clips"))
 
 
-def score_matrix(labelled: DataFrame, people: list[str]) -> DataFrame:
-    """The median leave-one-out score of each person's clips (rows) against each of the people (columns)."""
-    return leave_one_out_scores(labelled).groupBy("truth").pivot("person", people).agg(F.median("score"))
+def score_matrix(labelled: DataFrame) -> DataFrame:
+    """(truth, person, median): the median leave-one-out score of each person's clips against each of the people."""
+    return leave_one_out_scores(labelled).groupBy("truth", "person").agg(F.median("score").alias("median"))
 
 
 def centroid_cosines(people: DataFrame) -> DataFrame:

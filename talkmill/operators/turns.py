@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_cluster, words
+from ..session import prepared
 
 GAP_CAP_S, MIN_TURN_S, LEAD_IN_S, CLIP_S = 30.0, 1.5, 2.0, 10.0
 
@@ -74,12 +78,37 @@ def crop_plan(turns: DataFrame, k: int = 3, lengths: tuple[float, ...] = (10.0,
     return each.select(*keys, F.col("speaker").alias("cluster"), "draw", "length_s", F.col("start").alias("turn_start"), F.col("duration_s").alias("turn_duration_s"), F.col("w_.start").alias("crop_start_s"), F.col("w_.length").alias("crop_length_s"))
 
 
-def drawn_turn(turns: DataFrame, seed: str, draw: int = 0, min_turn_s: float = LEAD_IN_S + CLIP_S, keys: tuple[str, ...] = ("episode",)) -> DataFrame:
-    """One eligible turn of each speaker, at place draw of an order that the seed alone fixes; draws don't repeat before all turns had theirs."""
+def permuted(seed: Column, n: Column) -> Column:
+    """The numbers 0 to n - 1 in the order that the seed, a string, gives: that of the standard library's generator (Mersenne Twister), so that draws made elsewhere by the same seed are the same."""
+
+    def orders(seeds: pd.Series, sizes: pd.Series) -> pd.Series:
+        out = []
+        for seed, n in zip(seeds, sizes):
+            order = list(range(int(n)))
+            random.Random(seed).shuffle(order)
+            out.append(order)
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf("array<int>")(orders)(seed, n)
+
+
+def drawn_turns(turns: DataFrame, wanted: DataFrame, min_turn_s: float = LEAD_IN_S + CLIP_S, keys: tuple[str, ...] = ("episode",)) -> DataFrame:
+    """wanted (keys, speaker, seed, draw ...) with the turn at place draw of the order that the seed alone fixes, among the speaker's turns of min_turn_s or more; draws don't repeat before all turns had theirs. A speaker without such turns has no row. Orders are of numbers: the turns themselves stay in Spark."""
+    prepared(turns.sparkSession)
     w = Window.partitionBy(*keys, "speaker")
-    order = w.orderBy(F.xxhash64(F.lit(seed), *keys, "speaker", "turn_idx"), "turn_idx")
-    ranked = turns.where(F.col("duration_s") >= min_turn_s).withColumn("place_", F.row_number().over(order) - 1).withColumn("n_", F.count("*").over(w))
-    return ranked.where(F.col("place_") == F.lit(draw) % F.col("n_")).drop("place_", "n_").withColumn("draw", F.lit(draw))
+    able = turns.where(F.col("duration_s") >= min_turn_s).withColumn("place_", F.row_number().over(w.orderBy("turn_idx")) - 1).withColumn("n_", F.count("*").over(w))
+    sizes = able.where("place_ = 0").select(*keys, "speaker", "n_")
+    places = wanted.join(sizes, [*keys, "speaker"])
+    places = places.withColumn("place_", F.get(permuted(F.col("seed"), F.col("n_")), (F.col("draw") % F.col("n_")).cast("int"))).drop("n_")
+    found = able.select(*keys, "speaker", "place_", *(c for c in turns.columns if c not in wanted.columns))
+    return places.join(found, [*keys, "speaker", "place_"]).drop("place_")
+
+
+def drawn_turn(turns: DataFrame, seed: str | Column, draw: int = 0, min_turn_s: float = LEAD_IN_S + CLIP_S, keys: tuple[str, ...] = ("episode",)) -> DataFrame:
+    """One eligible turn of each speaker (drawn_turns). seed: one for all, or an expression of keys and speaker."""
+    seeds = seed if isinstance(seed, Column) else F.lit(seed)
+    wanted = turns.select(*keys, "speaker").distinct().withColumns({"seed": seeds, "draw": F.lit(draw)})
+    return drawn_turns(turns, wanted, min_turn_s, keys).drop("seed")
 
 
 def speaker_at(points: DataFrame, turns: DataFrame, at: str = "t", keys: tuple[str, ...] = ("episode",)) -> DataFrame:

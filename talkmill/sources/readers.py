@@ -135,7 +135,7 @@ MPEG_RATES = {3: (44100, 48000, 32000), 2: (22050, 24000, 16000), 0: (11025, 120
 
 
 def mpeg_rate(data: bytes | None) -> int | None:
-    """The sample rate of the first MPEG frame after an ID3v2 tag; null without one."""
+    """The sample rate of the first MPEG frame after an ID3v2 tag; null without one. A sync is a frame's only if its version, rate and bit rate are such as the format has; others are passed over."""
     if not data:
         return None
     at = 0
@@ -150,7 +150,7 @@ def mpeg_rate(data: bytes | None) -> int | None:
             return None
         head = data[at + 1]
         rates, code = MPEG_RATES.get(head >> 3 & 3), data[at + 2] >> 2 & 3
-        if head & 0xE0 == 0xE0 and rates and code < 3 and head >> 1 & 3:
+        if head & 0xE0 == 0xE0 and rates and code < 3 and data[at + 2] >> 4 not in (0, 15):
             return rates[code]
         at += 1
     return None

@@ -128,3 +128,37 @@ def test_evenly_spaced(spark, count, target):
 def test_substitutes(spark, picks, count, gone, chosen):
     df = spark.createDataFrame([("s", i, count, gone) for i in picks], "stratum string, index long, count long, unavailable array<long>")
     assert sorted(r["chosen"] for r in sampling.substitute_unavailable(df).collect() if r["chosen"] is not None) == chosen
+
+
+def test_substitutes_against_a_walk(spark):
+    r = random.Random(11)
+    rows, want = [], {}
+    for s in range(40):
+        n = r.randint(1, 30)
+        picks, gone = sorted(r.sample(range(n), r.randint(1, n))), r.sample(range(n), r.randint(0, n))
+        rows += [(f"s{s}", i, n, gone) for i in picks]
+        used = set(picks)
+        for i in picks:
+            at = i if i not in gone else next((j for j in range(i + 1, n) if j not in used and j not in gone), None)
+            used.add(at)
+            want[f"s{s}", i] = at
+    df = spark.createDataFrame(rows, "stratum string, index long, count long, unavailable array<long>")
+    assert {(x["stratum"], x["index"]): x["chosen"] for x in sampling.substitute_unavailable(df.repartition(3)).collect()} == want
+
+
+def test_rows_are_numbered_over_ranges(spark):
+    rows = [(i * 7919 % 1000, f"g{i % 3}" if i % 3 else None) for i in range(1000)]
+    got = sampling.numbered(spark.createDataFrame(rows, "id long, g string").repartition(7), ["id"], ["g"]).collect()
+    for g in ("g1", "g2", None):
+        mine = sorted((r["index"], r["id"]) for r in got if r["g"] == g)
+        assert mine == list(enumerate(sorted(i for i, x in rows if x == g))) and {r["n_"] for r in got if r["g"] == g} == {len(mine)}
+
+
+MPEG = [(b"\xff\xfb\x90\x00", 44100), (b"\xff\xfb\xf0\x00", None), (b"\xff\xfb\x00\x00", None), (b"\xff\xfb\xf0\x00\xff\xf3\x94\x00", 24000), (b"\xff\xfb\x9c\x00", None), (b"\xff\xeb\x90\x00", None), (b"ID3\x04\x00\x00\x00\x00\x00\x05\xff\xfb\x90\x00\x00\xff\xe3\x98\x00", 8000), (b"", None), (None, None)]
+
+
+@pytest.mark.parametrize("data, rate", MPEG)
+def test_mpeg_rates(data, rate):
+    from talkmill.sources.readers import mpeg_rate
+
+    assert mpeg_rate(data) == rate

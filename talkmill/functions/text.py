@@ -132,6 +132,18 @@ def is_non_episode(source: Column) -> Column:
     return F.coalesce(source != "podcast", F.lit(False))
 
 
+def to_places(x: Column, digits: int) -> Column:
+    """x, a double, rounded to this many digits by its exact binary value, halves to even. The product with the power of ten is kept as two doubles that lose nothing, so that its distance from a half has the right sign."""
+    power = 10.0**digits
+    wide = x * F.lit(134217729.0)
+    high = wide - (wide - x)
+    low = (x - high) * power
+    k = F.rint(x * power)
+    above, below = ((high * power - k) - 0.5) + low, ((high * power - k) + 0.5) + low
+    odd = k % 2 != 0
+    return F.when((above > 0) | ((above == 0) & odd), k + 1).when((below < 0) | ((below == 0) & odd), k - 1).otherwise(k) / power
+
+
 def strip_speaker(text: Column, speaker: Column) -> Column:
     """The text without the mark of its speaker, where it starts with just that one."""
     mark = F.concat(F.lit("["), F.coalesce(F.nullif(speaker, F.lit("")), F.lit("UNKNOWN")), F.lit("] "))

@@ -2,99 +2,83 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import date_number, words
-from ..session import prepared
 
 MAX_WORDS, OVERLAP = 400, 50
 
 
+_CUT = "array<struct<speaker:string,start_time:double,first:int,n_words:int>>"
+
+
 def _fold(max_words: int, overlap: int):
-    """The merge step. State: speaker, start and words of the open chunk, and the chunks done.
+    """The merge step, on numbers of words alone: an open chunk is always the last words so far, so that its first word's place tells all. State: speaker, start and first word of the open chunk, the words so far, and the cuts done.
 
-    A change of speaker closes the open chunk under its speaker and keeps its last words, which then belong to the new one. A full buffer closes with its first max_words words and keeps the last `overlap` of all, so that words between are left out. Since the buffer is short afterwards, each segment closes at most one of either kind.
+    A change of speaker closes the open chunk under its speaker and keeps its last words, which then belong to the new one. A full chunk closes with its first max_words words and keeps the last `overlap` of all, so that words between are left out. Since the chunk is short afterwards, each segment closes at most one of either kind.
     """
 
     def step(a, s):
-        n = lambda w: F.size(w)
-        last = lambda w: F.slice(w, F.greatest(n(w) - overlap + 1, F.lit(1)), overlap)
-        chunk = lambda speaker, start, w: F.array(F.struct(speaker.alias("speaker"), start.alias("start_time"), F.array_join(w, " ").alias("body"), n(w).alias("n_words")))
-        none = F.array().cast("array<struct<speaker:string,start_time:double,body:string,n_words:int>>")
-        turn = ~a["speaker"].eqNullSafe(s["speaker"]) & (n(a["words"]) > 0)
-        kept = F.when(turn, last(a["words"])).otherwise(a["words"])
-        start = F.when(turn | (n(kept) == 0), s["start"]).otherwise(a["start"])
-        held = F.concat(kept, s["words"])
-        full = n(held) >= max_words
-        done = F.concat(a["done"], F.when(turn, chunk(a["speaker"], a["start"], a["words"])).otherwise(none), F.when(full, chunk(s["speaker"], start, F.slice(held, 1, max_words))).otherwise(none))
-        return F.struct(s["speaker"].alias("speaker"), F.when(full, s["start"]).otherwise(start).alias("start"), F.when(full, last(held)).otherwise(held).alias("words"), done.alias("done"))
+        cut = lambda speaker, start, first, n: F.array(F.struct(speaker.alias("speaker"), start.alias("start_time"), first.alias("first"), n.cast("int").alias("n_words")))
+        none = F.array().cast(_CUT)
+        held = a["upto"] - a["first"]
+        turn = ~a["speaker"].eqNullSafe(s["speaker"]) & (held > 0)
+        first = F.when(turn, F.greatest(a["first"], a["upto"] - overlap)).otherwise(a["first"])
+        start = F.when(turn | (held == 0), s["start"]).otherwise(a["start"])
+        upto = (a["upto"] + s["n"]).cast("int")
+        full = upto - first >= max_words
+        done = F.concat(a["done"], F.when(turn, cut(a["speaker"], a["start"], a["first"], held)).otherwise(none), F.when(full, cut(s["speaker"], start, first, F.lit(max_words))).otherwise(none))
+        return F.struct(s["speaker"].alias("speaker"), F.when(full, s["start"]).otherwise(start).alias("start"), F.when(full, upto - overlap).otherwise(first).cast("int").alias("first"), upto.alias("upto"), done.alias("done"))
 
     return step
 
 
+def _cuts(whole: DataFrame, keys: tuple[str, ...], max_words: int, overlap: int, *more: str) -> DataFrame:
+    """keys, more and c, the cuts of an episode; whole has s: its segments (seq, speaker, start, n) in order."""
+    zero = F.struct(F.lit(None).cast("string").alias("speaker"), F.lit(0.0).alias("start"), F.lit(0).alias("first"), F.lit(0).alias("upto"), F.array().cast(_CUT).alias("done"))
+    state = whole.select(*keys, *more, F.aggregate("s", zero, _fold(max_words, overlap)).alias("a"))
+    left = (F.col("a.upto") - F.col("a.first")).cast("int")
+    rest = F.when(left > 0, F.array(F.struct(F.col("a.speaker").alias("speaker"), F.col("a.start").alias("start_time"), F.col("a.first").alias("first"), left.alias("n_words")))).otherwise(F.array().cast(_CUT))
+    return state.select(*keys, *more, F.concat("a.done", rest).alias("c"))
+
+
+def _segments(segments: DataFrame, keys: tuple[str, ...], *more: Column) -> DataFrame:
+    return segments.select(*keys, "seq", F.coalesce("speaker", F.lit("UNKNOWN")).alias("speaker"), F.coalesce(F.col("start").cast("double"), F.lit(0.0)).alias("start"), words(F.col("text")).alias("w")).withColumn("n", F.size("w"))
+
+
 def build_chunks(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
-    """One row per chunk: keys, chunk_index, n_chunks, speaker, start_time, text ("[speaker] words"), n_words. Segments need seq, speaker, start and text. An episode's segments meet in one row, in order; one without words has no chunks."""
-    rows = segments.select(*keys, F.struct("seq", F.coalesce("speaker", F.lit("UNKNOWN")).alias("speaker"), F.coalesce(F.col("start").cast("double"), F.lit(0.0)).alias("start"), words(F.col("text")).alias("words")).alias("s"))
-    whole = rows.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("all"))
-    zero = F.struct(F.lit(None).cast("string").alias("speaker"), F.lit(0.0).alias("start"), F.array().cast("array<string>").alias("words"), F.array().cast("array<struct<speaker:string,start_time:double,body:string,n_words:int>>").alias("done"))
-    state = whole.select(*keys, F.aggregate("all", zero, _fold(max_words, overlap)).alias("a"))
-    rest = F.when(F.size("a.words") > 0, F.array(F.struct(F.col("a.speaker").alias("speaker"), F.col("a.start").alias("start_time"), F.array_join("a.words", " ").alias("body"), F.size("a.words").alias("n_words")))).otherwise(F.array().cast("array<struct<speaker:string,start_time:double,body:string,n_words:int>>"))
-    chunks = state.select(*keys, F.concat("a.done", rest).alias("c"))
-    each = chunks.select(*keys, F.size("c").alias("n_chunks"), F.posexplode("c").alias("chunk_index", "k"))
-    return each.select(*keys, "chunk_index", "n_chunks", "k.speaker", "k.start_time", F.concat(F.lit("["), F.col("k.speaker"), F.lit("] "), F.col("k.body")).alias("text"), "k.n_words")
+    """One row per chunk: keys, chunk_index, n_chunks, speaker, start_time, text ("[speaker] words"), n_words. Segments need seq, speaker, start and text. An episode's segments meet in one row, in order; chunks are cut from its words once all cuts are known. One without words has no chunks. For episodes too long for a row there is build_chunks_streamed."""
+    rows = _segments(segments, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "start", "n", "w"))).alias("s"))
+    rows = _cuts(rows.select(*keys, "s", F.flatten(F.transform("s", lambda x: x["w"])).alias("w")), keys, max_words, overlap, "w")
+    each = rows.select(*keys, "w", F.size("c").alias("n_chunks"), F.posexplode("c").alias("chunk_index", "k"))
+    body = F.array_join(F.slice("w", F.col("k.first") + 1, F.col("k.n_words")), " ")
+    return each.select(*keys, "chunk_index", "n_chunks", "k.speaker", "k.start_time", F.concat(F.lit("["), F.col("k.speaker"), F.lit("] "), body).alias("text"), "k.n_words")
+
+
+def expected_chunks(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
+    """How many chunks each episode should have, from its segments' numbers of words: no text is moved. Episodes without any have no row."""
+    rows = _segments(segments, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "start", "n"))).alias("s"))
+    return _cuts(rows, keys, max_words, overlap).select(*keys, F.size("c").cast("long").alias("n_chunks")).where("n_chunks > 0")
 
 
 def build_chunks_streamed(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
-    """The same chunks from a walk over sorted segments, for episodes too long for one row: memory holds an open chunk. Without n_chunks."""
-    prepared(segments.sparkSession)
-    df = segments.select(*keys, "seq", F.coalesce("speaker", F.lit("UNKNOWN")).alias("speaker"), F.coalesce(F.col("start").cast("double"), F.lit(0.0)).alias("start"), words(F.col("text")).alias("words"))
-    df = df.repartition(*keys).sortWithinPartitions(*keys, "seq")
-    n_keys = len(keys)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, speaker, held, start, index, out = None, None, [], 0.0, 0, []
-
-        def close(w: list[str]) -> None:
-            nonlocal index
-            if w:
-                out.append((*now, index, speaker, start, f"[{speaker}] " + " ".join(w), len(w)))
-                index += 1
-
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                key, (new, at, more) = tuple(row[:n_keys]), row[n_keys + 1 :]
-                if key != now:
-                    close(held)
-                    now, speaker, held, index = key, None, [], 0
-                if new != speaker and held:
-                    close(held)
-                    held, start = held[-overlap:], at
-                if not held:
-                    start = at
-                speaker = new
-                held = held + list(more)
-                if len(held) >= max_words:
-                    close(held[:max_words])
-                    held, start = held[-overlap:], at
-            if out:
-                yield pd.DataFrame(out, columns=names)
-                out = []
-        close(held)
-        if out:
-            yield pd.DataFrame(out, columns=names)
-
-    names = [*keys, "chunk_index", "speaker", "start_time", "text", "n_words"]
-    kinds = ", ".join(f"{k} {segments.schema[k].dataType.simpleString()}" for k in keys)
-    return df.mapInPandas(run, f"{kinds}, chunk_index int, speaker string, start_time double, text string, n_words int")
-
-
-def expected_chunks(segments: DataFrame, keys: tuple[str, ...] = ("episode",)) -> DataFrame:
-    """How many chunks each episode should have."""
-    return build_chunks(segments, keys).groupBy(*keys).agg(F.count("*").alias("n_chunks"))
+    """The same chunks for episodes too long for one row. Cuts are found from numbers of words; words are numbered by running sums over segments; each segment's words then go to the cuts that hold some of them, which meet in a join by stretches of max_words words, and each chunk is put together by itself. So a row holds an episode's numbers, a segment or a chunk."""
+    rows = _segments(segments, keys)
+    numbers = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "start", "n"))).alias("s"))
+    cuts = _cuts(numbers, keys, max_words, overlap).select(*keys, F.size("c").alias("n_chunks"), F.posexplode("c").alias("chunk_index", "k"))
+    stretch = lambda first, n: F.sequence(F.floor(first / max_words), F.floor((first + n - 1) / max_words))
+    cuts = cuts.select(*(F.col(k).alias(f"{k}_c") for k in keys), "chunk_index", "n_chunks", "k.*").withColumn("stretch_c", F.explode(stretch(F.col("first"), F.col("n_words"))))
+    before = Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    held = rows.where("n > 0").withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("speaker", "start")
+    held = held.withColumn("stretch", F.explode(stretch(F.col("at"), F.col("n"))))
+    on = [F.col(k).eqNullSafe(F.col(f"{k}_c")) for k in keys] + [F.col("stretch") == F.col("stretch_c")]
+    lo, hi = F.greatest("at", "first"), F.least(F.col("at") + F.col("n"), F.col("first") + F.col("n_words"))
+    once = F.col("stretch") == F.floor(lo / max_words)  # two that meet in several stretches count where their common words begin
+    pieces = held.join(cuts, on).where(once & (lo < hi)).select(*keys, "chunk_index", "n_chunks", "speaker", "start_time", "n_words", F.struct(lo.alias("lo"), F.slice("w", (lo - F.col("at") + 1).cast("int"), (hi - lo).cast("int")).alias("w")).alias("p"))
+    whole = pieces.groupBy(*keys, "chunk_index", "n_chunks", "speaker", "start_time", "n_words").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    body = F.array_join(F.flatten(F.transform("p", lambda x: x["w"])), " ")
+    return whole.select(*keys, "chunk_index", "n_chunks", "speaker", "start_time", F.concat(F.lit("["), F.col("speaker"), F.lit("] "), body).alias("text"), "n_words")
 
 
 def chunk_metadata(chunks: DataFrame, rules_version: str = "1") -> DataFrame:
@@ -108,13 +92,16 @@ def chunk_metadata(chunks: DataFrame, rules_version: str = "1") -> DataFrame:
 def book_chunks(pages: DataFrame, book: str = "book", page: str = "page", text: str = "text", *, size: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
     """Windows of `size` words every size - overlap words over a book's pages laid end to end: book, chunk_index, page (of its first word), n_words, text.
 
-    Words are numbered by running sums over pages, not over words; each word then goes to the windows that hold it, and windows are put together. No task gets a book whole unless its pages are.
+    Words are numbered by running sums over the pages' numbers of words; the pages with their words then meet these sums by page. Each page's words go to the windows that hold them, and windows are put together. So a task gets a book's numbers, a page or a window. Of pages with one number, the order is that of a hash of their texts; those alike in that too stand one after the other.
     """
     step = size - overlap
     w = words(F.col(text))
     df = pages.select(F.col(book).alias("book"), F.col(page).alias("page"), w.alias("w")).withColumn("n", F.size("w")).where("n > 0")
-    by = Window.partitionBy("book").orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("upto", F.sum("n").over(by)).withColumn("total", F.sum("n").over(Window.partitionBy("book")))
+    df = df.withColumn("h", F.xxhash64("w")).groupBy("book", "page", "h").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    by = Window.partitionBy("book").orderBy("page", "h").rowsBetween(Window.unboundedPreceding, -1)
+    places = df.select(F.col("book").alias("b_"), F.col("page").alias("p_"), F.col("h").alias("h_"), F.coalesce(F.sum(F.col("n") * F.col("copies")).over(by), F.lit(0)).alias("before"))
+    df = df.join(places, F.col("book").eqNullSafe(F.col("b_")) & F.col("page").eqNullSafe(F.col("p_")) & (F.col("h") == F.col("h_")))
+    df = df.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn("upto", F.col("before") + F.col("k") * F.col("n"))
     first = F.col("upto") - F.col("n")
     lo = F.greatest(F.floor((first - size) / step) + 1, F.lit(0)).cast("long")
     hi = F.floor((F.col("upto") - 1) / step).cast("long")
@@ -122,6 +109,6 @@ def book_chunks(pages: DataFrame, book: str = "book", page: str = "page", text:
     a = F.greatest(F.col("i") * step - F.col("first"), F.lit(0)).cast("int")
     b = F.least(F.col("i") * step + size - F.col("first"), F.col("n")).cast("int")
     part = part.withColumn("piece", F.slice("w", a + 1, F.greatest(b - a, F.lit(0))))
-    got = part.groupBy("book", "i").agg(F.array_sort(F.collect_list(F.struct("page", "piece"))).alias("p"), F.min("page").alias("page"))
+    got = part.groupBy("book", "i").agg(F.array_sort(F.collect_list(F.struct("first", "piece"))).alias("p"), F.min("page").alias("page"))
     joined = F.flatten(F.transform("p", lambda x: x["piece"]))
     return got.select("book", F.col("i").alias("chunk_index"), "page", F.size(joined).alias("n_words"), F.array_join(joined, " ").alias("text"))

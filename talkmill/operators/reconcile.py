@@ -63,25 +63,31 @@ def non_contiguous(records: DataFrame) -> DataFrame:
 
 
 def report(volume: DataFrame, records: DataFrame, feed: DataFrame, exclusions: DataFrame) -> DataFrame:
-    """(fault_class, show, episode_number, date, prefix), one row per finding; a clean corpus has rows of INFORMATIVE classes at most."""
-    stored_rows = episodes_of(records)
-    stored = stored_rows.select(*KEY).distinct()
-    excluded_present = excluded_keys(stored_rows.select(*KEY, "episode_guid"), exclusions).select(*KEY).distinct()
-    volume = volume.select(*KEY).distinct()
-    as_class = lambda df, name: df.select(F.lit(name).alias("fault_class"), *KEY, F.lit(None).cast("string").alias("prefix"))
-    found = [
-        as_class(not_excluded(volume, exclusions, None).join(stored, KEY, "left_anti"), "missing"),
-        as_class(stored.join(volume, KEY, "left_anti").join(excluded_present, KEY, "left_anti"), "extra"),
-        as_class(excluded_present, "excluded_with_records"),
-        as_class(volume.join(feed.select(*KEY).distinct(), KEY, "left_anti"), "feed_unreachable"),
-        as_class(incomplete(records), "incomplete"),
-        as_class(non_contiguous(records), "non_contiguous"),
-    ]
+    """(fault_class, show, episode_number, date, prefix), one row per finding; a clean corpus has rows of INFORMATIVE classes at most.
+
+    Records are summed up once by episode; these sums, the volume, the feed and the exclusions meet by episode, where each row tells which classes it falls into. Only guids and prefixes, which cross episodes, take a look of their own at the records.
+    """
+    rows = episodes_of(records)
+    i = id_index(F.col("id"))
+    last_n = F.max_by("n_chunks", F.when(F.col("n_chunks").isNotNull(), F.col("id")))
+    per = rows.groupBy(*KEY).agg(F.count("*").alias("ids"), last_n.alias("n_chunks"), F.count(i).alias("n"), F.countDistinct(i).alias("d"), F.min(i).alias("lo"), F.max(i).alias("hi")).withColumn("stored", F.lit(True))
+    flag = lambda df, name: df.select(*KEY, F.lit(True).alias(name)).distinct()
+    by_guid = rows.select(*KEY, "episode_guid").join(exclusions.where("guid is not null").select("show", F.col("guid").alias("episode_guid")), ["show", "episode_guid"], "left_semi")
+    df = per.join(flag(volume, "held"), KEY, "full_outer").join(flag(feed, "fed"), KEY, "left").join(flag(exclusions, "named"), KEY, "left").join(flag(by_guid, "by_guid"), KEY, "left")
+    df = df.fillna(False, ["stored", "held", "fed", "named", "by_guid"])
+    stored, out = F.col("stored"), F.col("stored") & (F.col("named") | F.col("by_guid"))
+    tests = {
+        "missing": F.col("held") & ~stored & ~F.col("named"),
+        "extra": stored & ~F.col("held") & ~out,
+        "excluded_with_records": out,
+        "feed_unreachable": F.col("held") & ~F.col("fed"),
+        "incomplete": F.col("n_chunks").isNotNull() & (F.col("ids") != F.col("n_chunks")),
+        "non_contiguous": (F.col("n") > 0) & ((F.col("lo") != 0) | (F.col("hi") != F.col("n") - 1) | (F.col("d") != F.col("n"))),
+    }
+    found = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in tests.items())))
     none = F.lit(None).cast("string")
-    out = shared_prefixes(records).select(F.lit("shared_prefixes").alias("fault_class"), *(none.alias(k) for k in KEY), "prefix")
-    for df in found:
-        out = out.unionByName(df)
-    return out
+    out = df.select(F.explode(found).alias("fault_class"), *KEY, none.alias("prefix"))
+    return out.unionByName(shared_prefixes(records).select(F.lit("shared_prefixes").alias("fault_class"), *(none.alias(k) for k in KEY), "prefix"))
 
 
 def is_clean(findings: DataFrame) -> DataFrame:

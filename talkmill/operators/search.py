@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import display_speaker, strip_speaker
+from ..functions.text import display_speaker, strip_speaker, to_places
 from ..functions.vectors import dot_with, norm
 
 OPERATORS = {"$eq": lambda c, v: c == v, "$ne": lambda c, v: ~c.eqNullSafe(F.lit(v)), "$gt": lambda c, v: c > v, "$gte": lambda c, v: c >= v, "$lt": lambda c, v: c < v, "$lte": lambda c, v: c <= v, "$in": lambda c, v: c.isin(list(v))}
@@ -54,7 +54,7 @@ def search(records: DataFrame, query: list[float], n: int = 10, *, show: str | N
     hits = nearest(records, query, n, filters(show, after_date, before_date, speaker), vector, id_col).drop(vector)
     ranked = hits.withColumn("similarity_rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("distance", id_col)))  # n rows
     ranked = ranked.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc_nulls_last("date"), "similarity_rank")))
-    return ranked.withColumn("relevance_score", F.round(1 - F.col("distance"), 3)).drop("distance").orderBy("position")
+    return ranked.withColumn("relevance_score", to_places(1 - F.col("distance"), 3)).drop("distance").orderBy("position")
 
 
 def latest_on_topic(records: DataFrame, query: list[float], n: int = 5, **more) -> DataFrame:
@@ -66,7 +66,7 @@ def rendered(hits: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """position and the text that a reader gets for each hit. names: speaker_id, display, any number of people."""
     df = hits.join(names, "speaker_id", "left") if names is not None else hits.withColumn("display", F.lit(None).cast("string"))
     who = display_speaker(F.col("speaker_id"), F.col("display"), F.col("speaker"))
-    head = F.concat(F.lit("["), F.col("date"), F.lit("] "), F.col("show"), F.lit(" - Episode "), F.col("episode_number"), F.lit(" ("), F.col("episode_title"), F.lit(") @ "), F.format_string("%.1f", F.col("start_time").cast("double")), F.lit("s | speaker: "), who)
+    head = F.concat(F.lit("["), F.col("date"), F.lit("] "), F.col("show"), F.lit(" - Episode "), F.col("episode_number"), F.lit(" ("), F.col("episode_title"), F.lit(") @ "), to_places(F.col("start_time").cast("double"), 1).cast("decimal(30,1)").cast("string"), F.lit("s | speaker: "), who)
     if "relevance_score" in hits.columns:
         head = F.concat(head, F.lit(" [relevance: "), F.col("relevance_score").cast("string"), F.lit("]"))
     return df.select("position", F.concat(head, F.lit("\n"), strip_speaker(F.col("document"), F.col("speaker")), F.lit("\n")).alias("text"))

@@ -909,11 +909,11 @@ def c2(spark, d):
     return build_chunks(paragraphs(spark, d)).select("episode", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("n_chunks").cast("long").alias("n_chunks"), "start_time", F.md5("text").alias("text_md5"))
 
 
-@query("c2_streamed_chunks", f"WITH RECURSIVE {CHUNK_SQL} SELECT episode, CAST(unnest(range(len(done))) AS BIGINT) AS chunk_index, unnest(ats) AS start_time, md5(unnest(done)) AS text_md5 FROM fin")
+@query("c2_streamed_chunks", f"WITH RECURSIVE {CHUNK_SQL} SELECT episode, CAST(unnest(range(len(done))) AS BIGINT) AS chunk_index, CAST(len(done) AS BIGINT) AS n_chunks, unnest(ats) AS start_time, md5(unnest(done)) AS text_md5 FROM fin")
 def c2s(spark, d):
     from .operators.chunking import build_chunks_streamed
 
-    return build_chunks_streamed(paragraphs(spark, d)).select("episode", F.col("chunk_index").cast("long").alias("chunk_index"), "start_time", F.md5("text").alias("text_md5"))
+    return build_chunks_streamed(paragraphs(spark, d)).select("episode", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("n_chunks").cast("long").alias("n_chunks"), "start_time", F.md5("text").alias("text_md5"))
 
 
 @query("c3_expected_chunks", f"WITH RECURSIVE {CHUNK_SQL} SELECT episode, CAST(len(done) AS BIGINT) AS n_chunks FROM fin WHERE len(done) > 0")

@@ -88,9 +88,9 @@ def append_log(df: DataFrame, path: str) -> None:
 
 def write_transcripts(segs: DataFrame, folder: str) -> None:
     """One text file per episode: segs (show, episode_number, title, date, seq, speaker, start, text), a header and a line per segment."""
-    from ..functions.text import file_name, header
+    from ..functions.text import file_name, header, to_places
 
-    line = F.format_string("[%s] %.1fs - %s", "speaker", "start", "text")
+    line = F.format_string("[%s] %ss - %s", "speaker", to_places(F.col("start").cast("double"), 1).cast("decimal(30,1)").cast("string"), "text")
     whole = segs.groupBy("show", "episode_number", "title", "date").agg(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))).alias("l"))
     text = F.concat(header(F.col("show"), F.col("episode_number"), F.col("title"), F.col("date")), F.array_join(F.transform("l", lambda x: x["line"]), "\n"), F.lit("\n"))
     whole.select(file_name(F.col("show"), F.col("episode_number"), F.col("date")).alias("name"), text.alias("value")).write.partitionBy("name").mode("overwrite").text(folder)

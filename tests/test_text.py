@@ -1,5 +1,7 @@
 """Transcript lines, names, ids, feed fields and rendering."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,16 @@ def test_prefix_goes_only_if_it_matches(spark):
 def test_second_tier(spark):
     f = lambda show, t: value(spark, X.routes_to_second_tier(F.lit(show), F.lit(t), ["Two"], {"One": ["ostrow"]}))
     assert f("Two", "") and f("One", "OSTROW said") and not f("One", "Marlo Reed") and not f("Other", "ostrow")
+
+
+def test_rounding_is_that_of_the_exact_value(spark):
+    """Halves go to even; what only looks like a half goes where its binary value lies."""
+    r = random.Random(3)
+    values = [0.0625, 0.1875, 2.675, 2.665, 0.0005, 0.0015, 0.25, 0.35, 1e-9, -0.0625, 0.9995, 123456.0005, 86399.95, 0.05, -2.675]
+    values += [k / 2**r.randint(1, 12) for k in range(-2000, 2000)] + [round(r.uniform(0, 1), 4) for _ in range(2000)] + [r.randint(0, 10**7) / 1000 + 0.0005 for _ in range(2000)] + [r.randint(0, 10**6) / 10 + 0.05 for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (1, 3):
+        got = [x["y"] for x in df.select(X.to_places(F.col("x"), digits).alias("y")).collect()]
+        assert got == [round(v, digits) for v in values]
+    shown = [x["y"] for x in df.select(X.to_places(F.col("x"), 1).cast("decimal(30,1)").cast("string").alias("y")).collect()]
+    assert shown == [f"{v:.1f}" if f"{v:.1f}" != "-0.0" else "0.0" for v in values]

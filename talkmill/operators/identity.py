@@ -10,6 +10,8 @@ from ..functions.vectors import centroids, dot, norm
 
 #: Centroids that may be broadcast, at most; enrolled people are counted before.
 MAX_PEOPLE = 20_000
+#: And bytes of their centroids.
+MAX_BYTES = 64 << 20
 
 
 def voice_labels(labels: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -26,19 +28,41 @@ def cluster_centroids(crops: DataFrame) -> DataFrame:
     return centroids(crops.where("vector is not null"), ["episode", "cluster"], "vector", "turn_duration_s")
 
 
+def _few(people: DataFrame) -> bool:
+    """Whether the people's centroids can be sent to all executors: no more than MAX_PEOPLE, of no more than MAX_BYTES."""
+    n = people.limit(MAX_PEOPLE + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("centroid")), F.lit(0)).alias("numbers")).first()
+    return n["n"] <= MAX_PEOPLE and 8 * n["numbers"] <= MAX_BYTES
+
+
+def _with_length(vectors: DataFrame, keys: list[str], vector: str) -> DataFrame:
+    rows = vectors.select(*keys, F.col(vector).alias("v_")).withColumn("n_", norm(F.col("v_")))
+    return rows.withColumn("n_", F.when(F.col("n_") == 0, F.raise_error(F.lit("a vector has no length"))).otherwise(F.col("n_")))
+
+
 def score(vectors: DataFrame, people: DataFrame, keys: list[str], vector: str = "vector") -> DataFrame:
-    """Each vector against each centroid: keys, person, score, rank (by falling score, then name). The vector need not have unit length; one without length raises.
+    """Each vector against each centroid: keys, person, score, rank (by falling score, then name). The vector need not have unit length; one without length raises. For names alone there is assign_vectors(), which ranks no rows.
 
-    People are broadcast if MAX_PEOPLE or fewer, else joined by Spark's own choice.
+    People are broadcast if they are few (_few), else joined by Spark's own choice.
     """
-    some = people.limit(MAX_PEOPLE + 1).count() <= MAX_PEOPLE
     right = people.select("person", F.col("centroid").alias("c_"))
-    rows = vectors.select(*keys, F.col(vector).alias("v_")).withColumn("n_", norm(F.col("v_")))
-    length = F.when(F.col("n_") == 0, F.raise_error(F.lit("a vector has no length"))).otherwise(F.col("n_"))
-    scored = rows.crossJoin(F.broadcast(right) if some else right).select(*keys, "person", (dot(F.col("v_"), F.col("c_")) / length).alias("score"))
+    rows = _with_length(vectors, keys, vector)
+    scored = rows.crossJoin(F.broadcast(right) if _few(people) else right).select(*keys, "person", (dot(F.col("v_"), F.col("c_")) / F.col("n_")).alias("score"))
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "person")))
 
 
+def assign_vectors(vectors: DataFrame, people: DataFrame, keys: list[str], threshold: float, margin: float, vector: str = "vector") -> DataFrame:
+    """What assign() gives for these vectors' scores, vector by vector: few people go to each row as one array, whose scores' first two decide, without a shuffle. Many are scored and ranked as rows. Vectors are told apart by keys. Without people there are no rows."""
+    if not _few(people):
+        return assign(score(vectors, people, keys, vector), keys, threshold, margin)
+    every = people.agg(F.collect_list(F.struct("person", "centroid")).alias("p_")).where(F.size("p_") > 0)
+    rows = _with_length(vectors, keys, vector).crossJoin(F.broadcast(every))  # one row
+    scored = F.array_sort(F.transform("p_", lambda p: F.struct((-dot(F.col("v_"), p["centroid"]) / F.col("n_")).alias("s"), p["person"].alias("person"))))
+    top = rows.select(*keys, F.slice(scored, 1, 2).alias("t_"))
+    best, second = -F.get("t_", F.lit(0))["s"], -F.get("t_", F.lit(1))["s"]
+    refused = (best < threshold) | F.coalesce(best - second < margin, F.lit(False))
+    return top.select(*keys, F.when(~refused, F.get("t_", F.lit(0))["person"]).alias("person"), best.alias("best"), second.alias("second"))
+
+
 def assign(scores: DataFrame, keys: list[str], threshold: float, margin: float) -> DataFrame:
     """The best person, or null: below the threshold, or with a second one closer than the margin. Equality passes; a sole candidate has no margin to hold."""
     best = scores.where("rank <= 2").groupBy(*keys).agg(F.max(F.when(F.col("rank") == 1, F.struct("score", "person"))).alias("b"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("second"))

@@ -111,7 +111,7 @@ def remap_assignments(assignments: DataFrame, verdicts: DataFrame, *, expect_ren
 def validate(src: DataFrame, dst: DataFrame, *, metadata: str = "metadata", vector: str = "embedding", document: str = "document", id_map: DataFrame | None = None, allowed_new: tuple[str, ...] = (), atol: float = 1e-4) -> DataFrame:
     """(id, problem, detail) of each difference between a collection and its copy: missing, unexpected, document, metadata_missing, metadata_changed, metadata_extra (but allowed_new), embedding_presence, embedding. metadata is a map of strings. id_map (id, new_id) tells where ids went."""
     a = src.select("id", F.col(metadata).alias("ma"), F.col(vector).alias("va"), F.col(document).alias("da"))
-    a = a.withColumn("to", F.col("id")) if id_map is None else a.join(id_map, "id", "left").withColumn("to", F.coalesce("new_id", "id")).drop("new_id")
+    a = mapped_ids(a.withColumn("to", F.col("id")), id_map, "to")
     b = dst.select(F.col("id").alias("to"), F.col(metadata).alias("mb"), F.col(vector).alias("vb"), F.col(document).alias("db"), F.lit(True).alias("there"))
     j = a.join(b, "to", "full_outer")
     keys = lambda m: F.map_keys(F.coalesce(m, F.create_map().cast("map<string,string>")))
@@ -151,3 +151,11 @@ def drop_all_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """df without those of the columns that hold nothing at all."""
     seen = df.agg(*(F.count(c).alias(c) for c in columns)).first()
     return df.drop(*(c for c in columns if not seen[c]))
+
+
+def mapped_ids(df: DataFrame, id_map: DataFrame | None, column: str = "id") -> DataFrame:
+    """df with its ids sent through id_map (id, new_id); those that it doesn't list stay."""
+    if id_map is None:
+        return df
+    to = id_map.select(F.col("id").alias("from_"), F.col("new_id").alias("to_"))
+    return df.join(to, F.col(column) == F.col("from_"), "left").withColumn(column, F.coalesce("to_", column)).drop("from_", "to_")

@@ -45,12 +45,20 @@ def nearest(records: DataFrame, query: list[float], n: int, tree: dict | None =
     return records.where(where(tree)).where(F.col(vector).isNotNull()).withColumn("distance", 1 - similarity).orderBy("distance", id_col).limit(n)
 
 
+def unknown_speaker(people: DataFrame, speaker: str) -> str | None:
+    """What to say of a name that isn't among the people's: which there are, the first thousand of them. Null if it is one."""
+    if not people.where(F.col("display") == speaker).isEmpty():
+        return None
+    listed = [r[0] for r in people.select("display").where("display is not null").distinct().orderBy("display").limit(1001).collect()]  # for a reader
+    return f"no speaker {speaker!r}; there are: {', '.join(listed[:1000])}{' and more' * (len(listed) > 1000)}"
+
+
 def search(records: DataFrame, query: list[float], n: int = 10, *, show: str | None = None, after_date: str | None = None, before_date: str | None = None, speaker: str | None = None, people: DataFrame | None = None, vector: str = "embedding", id_col: str = "id") -> DataFrame:
     """The n nearest records, latest first (unknown dates last), equal dates by nearness: similarity_rank, position, relevance_score and the records' columns but the vector. A speaker that `people` doesn't list is refused with those it does, rather than found nowhere."""
     if speaker and people is not None:
-        if people.where(F.col("display") == speaker).isEmpty():
-            listed = [r[0] for r in people.select("display").where("display is not null").distinct().orderBy("display").limit(1001).collect()]  # for a reader
-            raise ValueError(f"no speaker {speaker!r}; there are: {', '.join(listed[:1000])}{' and more' * (len(listed) > 1000)}")
+        wrong = unknown_speaker(people, speaker)
+        if wrong:
+            raise ValueError(wrong)
     hits = nearest(records, query, n, filters(show, after_date, before_date, speaker), vector, id_col).drop(vector)
     ranked = hits.withColumn("similarity_rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("distance", id_col)))  # n rows
     ranked = ranked.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc_nulls_last("date"), "similarity_rank")))

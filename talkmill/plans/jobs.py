@@ -65,8 +65,8 @@ def identify_clusters(segs: DataFrame, audio: DataFrame, embed: Callable, people
     """(episode, speaker, person) of the clusters that a voice was recognised for. segs: episode, seq, speaker, start, text; audio: episode, audio_path."""
     merged = turns.merge_turns(identity.usable_segments(segs), cap)
     crops = readers.embedded_crops(turns.crop_plan(merged).join(audio, "episode"), embed)
-    scored = identity.score(identity.cluster_centroids(crops), people, ["episode", "cluster"], "centroid")
-    return identity.assign(scored, ["episode", "cluster"], threshold, margin).where("person is not null").select("episode", F.col("cluster").alias("speaker"), "person")
+    named = identity.assign_vectors(identity.cluster_centroids(crops), people, ["episode", "cluster"], threshold, margin, "centroid")
+    return named.where("person is not null").select("episode", F.col("cluster").alias("speaker"), "person")
 
 
 def apply_renumber(collection: store.Collection, verdicts: DataFrame, orphans: DataFrame, *, expect_renames: int, expect_orphans: int) -> int:

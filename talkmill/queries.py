@@ -294,9 +294,9 @@ def scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def assigned(spark: SparkSession, d: str, threshold: float = 0.2, margin: float = 0.02) -> DataFrame:
-    from .operators.identity import assign
+    from .operators.identity import assign_vectors
 
-    return assign(scores(spark, d), ["vec_id"], threshold, margin)
+    return assign_vectors(vectors(spark, d).where("vec_id % 2 = 1").drop("person"), people(spark, d), ["vec_id"], threshold, margin)
 
 
 def clusters(spark: SparkSession, d: str) -> DataFrame:

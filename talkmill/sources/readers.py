@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
@@ -86,14 +87,31 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_transcripts(segs: DataFrame, folder: str) -> None:
-    """One text file per episode: segs (show, episode_number, title, date, seq, speaker, start, text), a header and a line per segment."""
+def write_transcripts(segs: DataFrame, folder: str) -> int:
+    """One text file per episode, by its name, as transcripts() reads it: segs (show, episode_number, title, date, seq, speaker, start, text), a header and a line per segment. Files are written beside first and then moved, over those of an earlier write. Returns how many."""
     from ..functions.text import file_name, header, to_places
+    from .store import Files
 
+    spark = segs.sparkSession
     line = F.format_string("[%s] %ss - %s", "speaker", to_places(F.col("start").cast("double"), 1).cast("decimal(30,1)").cast("string"), "text")
     whole = segs.groupBy("show", "episode_number", "title", "date").agg(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))).alias("l"))
-    text = F.concat(header(F.col("show"), F.col("episode_number"), F.col("title"), F.col("date")), F.array_join(F.transform("l", lambda x: x["line"]), "\n"), F.lit("\n"))
-    whole.select(file_name(F.col("show"), F.col("episode_number"), F.col("date")).alias("name"), text.alias("value")).write.partitionBy("name").mode("overwrite").text(folder)
+    text = F.concat(header(F.col("show"), F.col("episode_number"), F.col("title"), F.col("date")), F.array_join(F.transform("l", lambda x: x["line"]), "\n"))
+    named = whole.select(file_name(F.col("show"), F.col("episode_number"), F.col("date")).alias("name"), text.alias("value"))
+    part = f".partial-{uuid.uuid4().hex}"
+    named.repartition("name").write.partitionBy("name").text(f"{folder}/{part}")
+    files, n = Files(spark, folder), 0
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for at in Files(spark, f"{folder}/{part}").names():
+        if at.startswith("name="):
+            name = unescape(at[5:])
+            if "/" in name:
+                raise ValueError(f"{name!r} can't be a file's name")
+            (found,) = (f for f in Files(spark, f"{folder}/{part}/{at}").names() if f.startswith("part-"))
+            files.remove(name)
+            files.move(f"{part}/{at}/{found}", name)
+            n += 1
+    files.remove(part)
+    return n
 
 
 def book_pages(texts: DataFrame, page_end: str = "\f") -> DataFrame:

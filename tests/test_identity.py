@@ -154,3 +154,17 @@ def test_offset_scan_finds_the_ratio(spark):
     crops = spark.createDataFrame([(i, "e", s, [1.0, 0.0] if int(s * 0.5 // 10) % 2 == 0 else [0.0, 1.0]) for i, s in enumerate(x * 13.0 + 1 for x in range(30))], "crop_id int, episode string, crop_start_s double, vector array<double>")
     out = {r["r"]: r for r in evaluate.offset_scan(crops, turns, refs, [1.0, 0.75, 0.5]).collect()}
     assert out[0.5]["accuracy"] == 1.0 and out[0.5]["peak"] and not out[1.0]["peak"]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_vectors_are_assigned_like_their_scores(spark, monkeypatch, few):
+    import random
+
+    r = random.Random(5)
+    v = spark.createDataFrame([(i, [r.choice([-1.0, 0.5, 1.0]), r.choice([0.5, 1.0])]) for i in range(60)], "k int, vector array<double>")
+    p = spark.createDataFrame([(n, [x, y]) for n, x, y in [("b", 1.0, 0.0), ("a", 1.0, 0.0), ("c", 0.0, 1.0), ("d", -0.6, 0.8)]], "person string, centroid array<double>")
+    if not few:
+        monkeypatch.setattr(identity, "MAX_BYTES", 8)
+    for people in (p, p.where("person = 'c'"), p.where("person = 'x'")):
+        want = identity.assign(identity.score(v, people, ["k"]), ["k"], 0.7, 0.1)
+        assert sorted(map(tuple, identity.assign_vectors(v, people, ["k"], 0.7, 0.1).collect())) == sorted(map(tuple, want.collect()))

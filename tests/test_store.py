@@ -222,8 +222,8 @@ def test_transcripts_round_trip(spark, tmp_path):
     assert {(r["show"], r["year"], r["title"]) for r in t.collect()} == {("A Show", "2024", "T"), ("", "unparsed", "")}
     assert [tuple(r) for r in readers.listing(spark, str(tmp_path / "in")).collect()] == [("A Show", "1", "2024-01-01")]
     assert readers.episodes(t, 30.0)["turns"].count() == 1
-    readers.write_transcripts(segs, str(tmp_path / "out"))
-    (text,) = ["".join(f.read_text() for f in d.glob("part*")) for d in (tmp_path / "out").iterdir() if d.is_dir()]
+    assert readers.write_transcripts(segs, str(tmp_path / "out")) == readers.write_transcripts(segs, str(tmp_path / "out"))
+    text = (tmp_path / "out" / "A Show - Episode 1 - 2024-01-01.txt").read_text()
     assert text.startswith("# A Show - Episode 1\n# T\n# Published: 2024-01-01\n\n[SPEAKER_00] 0.0s - words 0\n")
 
 

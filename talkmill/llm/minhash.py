@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     centres = live_scored.groupBy("key").agg(F.max(F.struct("score", -F.col("doc_id"))).alias("c"), F.count("*").alias("members")).select("key", (-F.col("c.col2")).alias("centre"), "members")
     starred = written(live.drop("n").join(centres, "key"), "starred")
 
-    wanted = live.select("doc_id").distinct()
+    wanted = written(live.select("doc_id").distinct(), "wanted")  # its size is known, so that texts aren't shuffled to meet it while it is small
     sets = _each(rows.join(wanted, "doc_id", "left_semi"), _sets, "doc_id long, shingles array<long>").select("doc_id", F.size("shingles").cast("long").alias("n"), "shingles")
     sets = written(sets.join(stands.select("doc_id", F.col("n_shingles").alias("n")), ["doc_id", "n"]).dropDuplicates(["doc_id"]), "sets")
 

@@ -85,7 +85,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, *, frac
     """docs with tokens (words), source_key, lang_key, topic, probability, residual (double, 6 digits) and sampled (boolean). Columns of docs of these names give way.
 
     1. Words are summed by (source, language, topic), values that targets doesn't list pooled as OTHER: 630 cells at most for TARGETS, however the corpus is skewed; sums are formed where rows are read.
-    2. Cells are raked to the marginals and given probabilities that keep the given fraction of all words, about (rake).
+    2. Cells are raked to the marginals and given probabilities that keep the given fraction of all words; less, where targets are out of reach, for no cell gives more than it has (rake).
     3. Rows meet their cell in a broadcast join of those cells and are drawn by a hash of seed and id, so that a run can be repeated. No row is shuffled.
     How near the targets are is told by residual, for the row's cell, and by achieved(). The smaller the fraction, the nearer they can be.
     Only DataFrame functions.

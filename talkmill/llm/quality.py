@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, unused, words, written
+from .common import col, drop_written, unused, words, written
 
 #: Frequent function words of each language.
 COMMON_WORDS = {
@@ -89,11 +89,14 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 
 #: What measure() adds, as one struct.
-MEASURES = "ref string, n long, chars long, size long, symbols long, dup_lines long, repeats long, hist array<long>, common array<long>"
+MEASURES = "ref string, n long, chars long, size long, symbols long, dup_lines long, repeats long, hist array<long>, common array<long>, no long"
 
 
 def measure(docs: DataFrame, name: str, *, columns: list[str] | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """columns of docs (all, if not given) and a struct `name` of MEASURES: the language's reference, words, their characters, characters, symbols, repeated lines, words in repeated windows, and the two histograms. Written, in one pass over the texts."""
+    """columns of docs (all, if not given) and a struct `name` of MEASURES: the language's reference, words, their characters, characters, symbols, repeated lines, words in repeated windows, and the two histograms. In one pass over the texts.
+
+    The struct holds a running number too, which is no part of the result: Spark moves no filter below a projection that isn't deterministic, and would else write a filter on the measures out through all the steps to them, many times over.
+    """
     own = docs.columns if columns is None else columns
     (p,) = unused(docs, "q")
     while any(c.lower().startswith(p + "_") for c in docs.columns):
@@ -102,9 +105,9 @@ def measure(docs: DataFrame, name: str, *, columns: list[str] | None = None, tex
     df = repeats(df.withColumn(f"{p}_common", common_counts(f"{p}_words", F.col(f"{p}_ref"))), p)
     lines = F.filter(F.split(f"{p}_text", "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]"))
     dup = F.size(f"{p}_lines") - F.size(F.array_distinct(f"{p}_lines"))
-    found = {"ref": F.col(f"{p}_ref"), "n": F.col(f"{p}_n"), "chars": F.col(f"{p}_chars"), "size": F.length(f"{p}_text"), "symbols": F.col(f"{p}_symbols"), "dup_lines": dup, "repeats": F.col(f"{p}_repeats"), "hist": F.col(f"{p}_hist"), "common": F.col(f"{p}_common")}
+    found = {"ref": F.col(f"{p}_ref"), "n": F.col(f"{p}_n"), "chars": F.col(f"{p}_chars"), "size": F.length(f"{p}_text"), "symbols": F.col(f"{p}_symbols"), "dup_lines": dup, "repeats": F.col(f"{p}_repeats"), "hist": F.col(f"{p}_hist"), "common": F.col(f"{p}_common"), "no": F.monotonically_increasing_id()}
     whole = F.struct(*(c.alias(k) for k, c in found.items())).cast(f"struct<{MEASURES.replace(' ', ':').replace(',:', ',')}>")
-    return written(df.withColumn(f"{p}_lines", lines).select(*map(col, own), whole.alias(name)), "measured")
+    return df.withColumn(f"{p}_lines", lines).select(*map(col, own), whole.alias(name))
 
 
 def _base_failed(m: Column) -> Column:
@@ -121,7 +124,14 @@ def _references(measured: DataFrame, name: str, min_words: int) -> DataFrame:
 
 def references(docs: DataFrame, *, min_words: int = 50, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per language: ref, ref_hist, ref_common: character classes and common words, summed over the documents of min_words words or more that pass the base rules. At most len(COMMON_WORDS) + 1 rows; written, so that they can be learned once from trusted text and kept for judge()."""
-    return written(_references(measure(docs, "m", columns=[], text_col=text_col, lang_col=lang_col), "m", min_words), "references")
+    measured = written(measure(docs, "m", columns=[], text_col=text_col, lang_col=lang_col), "measured")
+    out = written(_references(measured, "m", min_words), "references")
+    drop_written(measured)
+    return out
+
+
+#: For judge(), whose parameter has the same name.
+learned = references
 
 
 def judge(docs: DataFrame, *, references: DataFrame | None = None, columns: list[str] | None = None, min_words: int = 50, max_class_distance: float = 0.22, max_word_distance: float = 0.11, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -130,14 +140,19 @@ def judge(docs: DataFrame, *, references: DataFrame | None = None, columns: list
     Base rules reject texts under 10 words, and those in which repeated five-word windows hold over a fifth of the words. Of the others, those of min_words words or more are kept if the Jensen-Shannon distances of their character classes and of their common words to the reference of their language are within the maxima. From each distance that is first taken which a sample of that many words or characters has on average by chance, sqrt((bins - 1) / (8 n ln 2)). Shorter ones, whose histograms say little, are kept.
     References are those given (as references() makes them, from trusted text: a document's verdict then rests on it alone), or else those of the documents of docs that pass the base rules. A language without a reference rejects nothing.
 
-    Only DataFrame functions; one pass over the texts, whose measures are written with the columns, and no shuffle of them. The references are broadcast: one row per listed language and one for the rest.
+    Only DataFrame functions; no shuffle of texts. Where references are to be learned and texts aren't among the columns, measures are written once and serve both; else texts are measured once for the references and once for the verdicts, so that no text is copied. The references are broadcast: one row per listed language and one for the rest.
     Null text counts as empty: no words, rejected. Null or unlisted languages are held against the reference of all such, by character classes alone. Rows with equal ids are judged one by one. A null id stays null. An empty table gives no rows.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
     own = [c for c in (docs.columns if columns is None else columns) if c.lower() not in made]
     name, key, rh, rc = unused(docs, "q_m", "q_key", "q_rh", "q_rc")
     measured = measure(docs, name, columns=own, text_col=text_col, lang_col=lang_col)
-    refs = _references(measured, name, min_words) if references is None else references.select("ref", "ref_hist", "ref_common")
+    if references is None and text_col not in own:
+        measured = written(measured, "measured")
+        references = _references(measured, name, min_words)
+    elif references is None:
+        references = learned(docs, min_words=min_words, text_col=text_col, lang_col=lang_col)
+    refs = references.select("ref", "ref_hist", "ref_common")
     df = measured.join(F.broadcast(refs.toDF(key, rh, rc)), col(name)["ref"] == F.col(key), "left")
     m = col(name)
     n, far = m["n"], m["n"] >= min_words

@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
         return pairs.join(left, a).join(right, b)
 
     inter = lambda a, b: F.size(F.array_intersect(f"set_{a}", f"set_{b}")).cast("long")
-    stars = starred.where("doc_id != centre").select("doc_id", "centre").distinct()
+    stars = written(starred.where("doc_id != centre").select("doc_id", "centre").distinct(), "pairs")  # as the other lists of pairs: small ones then meet the sets without a shuffle of these
     stars = written(with_sets(stars, "doc_id", "centre").select("doc_id", "centre", F.col("n_doc_id").alias("n"), F.col("n_centre").alias("n_c"), inter("doc_id", "centre").alias("held")), "stars")
     links = stars.where(similar(F.col("n"), F.col("n_c"), F.col("held"), threshold)).select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
     grouped = components(links)
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     near = (100 * F.col("n_shingles") >= threshold * F.col("n_shingles_")) & (100 * F.col("n_shingles_") >= threshold * F.col("n_shingles"))
     in_few = pair.where((F.col("doc_id") < F.col("doc_id_")) & (F.col("component_id") != F.col("component_id_")) & near).select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
     by_held = crossing(many.select("key", "doc_id", "n_shingles", "component_id", F.col("held").alias("bound")), ["key"], F.least("bound", "bound_"))
-    apart = many.where("doc_id != centre").select("doc_id", "centre", "n_shingles", "component_id", "held").distinct()
+    apart = written(many.where("doc_id != centre").select("doc_id", "centre", "n_shingles", "component_id", "held").distinct(), "apart")
     outside = F.explode(F.array_except("set_doc_id", "set_centre")).alias("shingle")
     spelled = written(with_sets(apart, "doc_id", "centre").select("doc_id", "centre", "n_shingles", "component_id", "held", outside), "spelled")
     twice = spelled.groupBy("centre", "shingle").agg(F.count("*").alias("k")).where("k > 1").drop("k")
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
     beside = spelled.join(twice, ["centre", "shingle"]).withColumn("left", F.count("*").over(of_doc) - F.row_number().over(of_doc.orderBy("shingle")))
     beside = written(beside.withColumn("bound", F.col("held") + F.col("left") + 1), "beside")
     by_shingle = crossing(beside, ["centre", "shingle"], F.least("held", "held_") + F.least("left", "left_") + 1)
-    candidates = in_few.union(by_held).union(by_shingle).distinct()
+    candidates = written(in_few.union(by_held).union(by_shingle).distinct(), "candidates")
     more = with_sets(candidates, "a", "b").where(similar(F.col("n_a"), F.col("n_b"), inter("a", "b"), threshold)).select("a", "b")
     more = written(more, "links")
     if not more.isEmpty():

@@ -20,13 +20,19 @@ def dot(a: Column, b: Column) -> Column:
     return total(F.zip_with(doubles(a), doubles(b), lambda x, y: x * y))
 
 
+#: Sizes up to which a product with a known vector is written out.
+WRITTEN_OUT = 128
+
+
 def dot_with(v: Column, query: list[float]) -> Column:
-    """The product with a query known when the plan is made: a plain sum that code is generated for."""
+    """The product with a query known when the plan is made: a plain sum that code is generated for; for large vectors, of which that would be too much code, a walk along both."""
+    if len(query) > WRITTEN_OUT:
+        return dot(v, F.array(*(F.lit(float(x)) for x in query)))
     return reduce(lambda a, b: a + b, (F.get(v, F.lit(i)).cast("double") * F.lit(float(x)) for i, x in enumerate(query)))
 
 
 def norm(v: Column) -> Column:
-    return F.sqrt(dot(v, v))
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
 
 
 def cosine(a: Column, b: Column) -> Column:

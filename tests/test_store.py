@@ -370,3 +370,15 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(spark("spark://host:7077"))
     assert shared_dir(spark("local[4]"))
+
+
+@pytest.mark.parametrize("dim", [3, 128, 129, 1024])
+def test_search_over_vectors_of_any_size(spark, dim):
+    r = __import__("random").Random(dim)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(dim)]) for i in range(40)]
+    query = [r.uniform(-1, 1) for _ in range(dim)]
+    cosine = lambda v: sum(a * b for a, b in zip(v, query)) / (sum(a * a for a in v) * sum(b * b for b in query)) ** 0.5
+    from talkmill.operators.search import nearest
+
+    got = [x["id"] for x in nearest(spark.createDataFrame(rows, "id int, embedding array<double>"), query, 5).collect()]
+    assert got == [i for i, _ in sorted(rows, key=lambda x: -cosine(x[1]))[:5]]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import unit
-from ..session import prepared, written
+from ..session import drop_written, prepared, written
 
 #: Vectors in a block, at most; a pair of blocks is one task's matrix product.
 BLOCK = 512
@@ -56,17 +56,20 @@ def similar_pairs_within(vectors: DataFrame, keys: list[str], key: str, vector:
 
 
 def groups(nodes: DataFrame, key: str, edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(key, component: least key reachable over the edges a, b) of all nodes. Each round gives every node the least label among its neighbours and then that label's own label; rounds are written tables, of the order of log n."""
+    """(key, component: least key reachable over the edges a, b) of all nodes. Each round gives every node the least label among its neighbours and then that label's own label; rounds are written tables, of the order of log n, each of which replaces the one before."""
     both = written(edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v").distinct(), "edges")
-    labels = written(nodes.select(F.col(key).alias("u"), F.col(key).alias("l")).distinct(), "labels")
+    held = written(nodes.select(F.col(key).alias("u"), F.col(key).alias("l"), F.col(key).alias("n")).distinct(), "labels")
     for _ in range(rounds):
+        labels = held.select("u", F.col("n").alias("l"))
         near = both.join(labels.select(F.col("u").alias("v"), "l"), "v").groupBy("u").agg(F.min("l").alias("m"))
         lower = labels.join(near, "u", "left").select("u", "l", F.least("l", F.coalesce("m", "l")).alias("n"))
         jumped = lower.join(labels.select(F.col("u").alias("n"), F.col("l").alias("j")), "n", "left").select("u", "l", F.least("n", F.coalesce("j", "n")).alias("n"))
         following = written(jumped, "labels")
+        drop_written(held)
+        held = following
         if following.where("n < l").isEmpty():
+            drop_written(both)
             return following.select(F.col("u").alias(key), F.col("n").alias("component"))
-        labels = following.select("u", F.col("n").alias("l"))
     raise RuntimeError("groups did not settle")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -123,14 +123,14 @@ def similar(n_a: Column, n_b: Column, common_: Column, threshold: int) -> Column
 WIDTH = 1.05
 
 
-def formed(rows: DataFrame, on: list[str], threshold: int) -> DataFrame:
+def formed(rows: DataFrame, on: list[str], threshold: int, written: Callable[[DataFrame, str], DataFrame] = common.written) -> DataFrame:
     """Pairs of rows equal in on, in different components, that can make a link; each pair once, the second row's columns with an underscore behind.
 
     rows have doc_id, component_id, n_shingles and bound: how many shingles a row can share, at most, with another one here. That gives the largest size of a set that it can be linked with. Pairs are brought together only so far as they have a chance:
     - One of the two must be open to sets of its own size or larger; if neither is, each would have to be smaller than the other.
     - Rows go by classes of size to the classes that they can be linked with, and meet only where each goes to the other's class.
     - Of the rows with a common key, those of the component that has most there aren't paired with each other.
-    So neither a family that is one component nor one whose members share too little gives pairs, whatever its size.
+    So neither a family that is one component nor one whose members share too little gives pairs, whatever its size. Rows are written as they are dealt, and read for both sides of a pair.
     """
     t, step = threshold / 100, math.log(WIDTH)
     place = lambda x: F.floor(F.log(x) / step + 1e-9).cast("int")
@@ -140,6 +140,7 @@ def formed(rows: DataFrame, on: list[str], threshold: int) -> DataFrame:
     main = sizes.groupBy(*on).agg(F.max(F.struct("k", "component_id"))["component_id"].alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     able = able.join(main, on).withColumn("is_main", F.col("component_id") == F.col("main")).withColumn("wide", F.col("most") >= n).drop("main")
     dealt = able.withColumn("mine", place(n)).withColumn("theirs", F.explode(F.sequence(place(F.greatest(t * n, F.lit(1.0))), F.least(place(n / t), place(F.col("most"))))))
+    dealt = written(dealt, "dealt")
     right = dealt.select(*on, F.col("mine").alias("theirs"), F.col("theirs").alias("mine"), "is_main", "wide", *(F.col(c).alias(f"{c}_") for c in rows.columns if c not in on))
     apart, flags = F.col("component_id") != F.col("component_id_"), ["mine", "theirs", "is_main", "wide", "most"]
     others = dealt.where("not is_main")
@@ -211,7 +212,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = 75, id_col: str = "doc_
 
     def crossing(rows: DataFrame, on: list[str], common_: Column) -> DataFrame:
         """Pairs as formed() gives them that could make a link with common_ shingles in common."""
-        pairs = formed(rows, on, threshold).where((100 + threshold) * common_ >= threshold * (F.col("n_shingles") + F.col("n_shingles_")))
+        pairs = formed(rows, on, threshold, written).where((100 + threshold) * common_ >= threshold * (F.col("n_shingles") + F.col("n_shingles_")))
         return pairs.select(F.least("doc_id", "doc_id_").alias("a"), F.greatest("doc_id", "doc_id_").alias("b"))
 
     few, many = rest.where(F.col("members") <= FEW), rest.where(F.col("members") > FEW)

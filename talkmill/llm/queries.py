@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, linededup, minhash, mixing, packing, quality, sharding, sql, surrogates, tiff, toxicity
+from . import chat, common, linededup, minhash, mining, mixing, packing, quality, sharding, sql, surrogates, tiff, toxicity, whitening
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,22 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"), F.get("spans", F.lit(0))["start"].alias("first_start"))
 
 
+def _fixed_point(vectors: DataFrame, scale: int, offset: int) -> DataFrame:
+    """vectors whose entries are all there and finite, with the column x: floor(scale * entry) + offset, as longs."""
+    good = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    return vectors.where(F.col("embedding").isNotNull() & good).withColumn("x", F.transform("embedding", lambda c: F.floor(c.cast("double") * scale) + offset))
+
+
+def op11_hierarchical_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(_fixed_point(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 1024, 100_000))
+
+
+def op12_block_product_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _fixed_point(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 256, 0).withColumn("label", moved)
+    return mining.mine(vectors, anchors=F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution_divergence": op1_distribution_divergence,
     "op2_line_windows": op2_line_windows,
@@ -92,9 +108,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_proportional_fitting": op8_proportional_fitting,
     "op9_tiff_pages": op9_tiff_pages,
     "op10_crf_toxicity": op10_crf_toxicity,
+    "op11_hierarchical_whitening": op11_hierarchical_whitening,
+    "op12_block_product_negatives": op12_block_product_negatives,
 }
 SQL: dict[str, str] = {
     "op1_distribution_divergence": sql.divergence(),
     "op2_line_windows": sql.line_windows(),
     "op8_proportional_fitting": sql.fitting(),
+    "op12_block_product_negatives": sql.negatives(),
 }

@@ -100,3 +100,20 @@ odds AS (SELECT source, lang, topic, round(p, 6) AS p, round(coalesce(greatest({
 SELECT k.doc_id, CAST(k.tokens AS BIGINT) AS tokens, k.source AS source_key, k.lang AS lang_key, k.topic, odds.p AS probability, odds.residual,
   CAST(('0x' || substr(md5({_quoted(seed)} || '|' || coalesce(CAST(k.doc_id AS VARCHAR), 'null' || md5(t))), 1, 8)) AS BIGINT) / 4294967296.0 < odds.p AS sampled
 FROM k JOIN odds ON odds.source = k.source AND odds.lang = k.lang AND odds.topic = k.topic"""
+
+
+def negatives() -> str:
+    return """
+with rows_ as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda c: cast(floor(256 * cast(c as double)) as bigint)) as x
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+), scores as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(coalesce(list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2])), 0) as bigint) as score
+  from rows_ a join rows_ b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, id, score from scores where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, p.id as positive_id, cast(row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) as integer) as rank, n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scores n on n.anchor_id = p.anchor_id and not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) <= 10"""

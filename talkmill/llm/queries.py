@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, linededup, minhash, mining, mixing, packing, quality, sharding, sql, surrogates, tiff, toxicity, whitening
+from . import chat, common, linededup, minhash, mining, mixing, packing, quality, sharding, sql, suffixdedup, surrogates, tiff, toxicity, whitening
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,12 @@ def op12_block_product_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mining.mine(vectors, anchors=F.col("vec_id") % 100 == 0)
 
 
+def op13_suffix_grouping_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffixdedup.remove_repeats(_docs(spark, sf_dir).select("doc_id", "text"))
+    n_bytes, kept = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"), F.octet_length("rest").cast("long")
+    return rest.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - kept).alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("rest", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution_divergence": op1_distribution_divergence,
     "op2_line_windows": op2_line_windows,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_crf_toxicity": op10_crf_toxicity,
     "op11_hierarchical_whitening": op11_hierarchical_whitening,
     "op12_block_product_negatives": op12_block_product_negatives,
+    "op13_suffix_grouping_dedup": op13_suffix_grouping_dedup,
 }
 SQL: dict[str, str] = {
     "op1_distribution_divergence": sql.divergence(),

@@ -159,7 +159,7 @@ def whiten(rows: DataFrame, *, model: Model | None, components: int | None = Non
     at = own.index(vector_col)
     dim = len(model.sums) if model else -1
     kept = rows.select(*map(common.col, own)).where((F.size(common.col(vector_col)) == dim) & F.forall(common.col(vector_col), lambda v: v.isNotNull()))
-    schema = kept.withColumns({"deviation": F.lit(0).cast("long"), "whitened": F.array(F.lit(0.0))}).schema
+    schema = kept.withColumns({"deviation": F.lit(None).cast("long"), "whitened": F.array(F.lit(0.0))}).schema
     first = model.vectors[:components] if model else None
     scale = np.where(model.live, 1 / np.sqrt(np.where(model.live, model.values, 1)), 0.0)[:components] if model else None
 

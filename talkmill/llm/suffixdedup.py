@@ -245,7 +245,7 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, buck
         tables.append(written(df, name))
         return tables[-1]
 
-    often = found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
+    often = kept(found.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h"), "often")  # a table, so that Spark can split a hot anchor's part of the join
     shared = kept(found.join(often, "h", "left_semi"), "shared")
     texts = kept(shared.groupBy("h", "c").agg(F.count("*").alias("k"), *(F.first(x).alias(x) for x in ("id", "th", "lo", "n"))), "around")
     varied = texts.groupBy("h").agg(F.count("*").alias("d"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import random
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,10 +115,71 @@ def drawn_turn(turns: DataFrame, seed: str | Column, draw: int = 0, min_turn_s:
     return drawn_turns(turns, wanted, min_turn_s, keys).drop("seed")
 
 
+#: Seconds of a stretch of an episode, at least: long episodes are laid in stretches, so that no task gets one whole.
+STRETCH_S = 3600.0
+#: Times beyond this don't count as times.
+LAST_S = 1e12
+
+
+def _visible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A sweep over turns (i_, b_, e_, s_ behind any keys), sorted by keys and start: what is seen of each, where of overlapping turns the first one hides the others. Held are the turns that are open at a moment."""
+    key, now, opened, open_, out = None, 0.0, 0, [], []
+
+    def until(time: float) -> None:
+        nonlocal now
+        while open_ and now < time:
+            _, _, end, speaker = open_[0]
+            if end <= now:
+                heapq.heappop(open_)
+                continue
+            out.append((*key, now, min(end, time), speaker))
+            now = min(end, time)
+        now = time
+
+    def taken(fields: list[pa.Field]) -> pa.RecordBatch:
+        found = pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(fields)], [f.name for f in fields])
+        out.clear()
+        return found
+
+    fields: list[pa.Field] = []
+    for batch in batches:
+        fields = [f for f in batch.schema if f.name != "i_"]
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            *own, place, start, end, speaker = row
+            if own != key:
+                until(math.inf)
+                key, open_[:] = own, []
+            until(start)
+            opened += 1
+            heapq.heappush(open_, (place, opened, end, speaker))
+        yield taken(fields)
+    until(math.inf)
+    if out:
+        yield taken(fields)
+
+
 def speaker_at(points: DataFrame, turns: DataFrame, at: str = "t", keys: tuple[str, ...] = ("episode",)) -> DataFrame:
-    """points with speaker_at: the speaker of the first turn that holds their time, null if none does. Equal episodes join; the range is checked on the joined rows."""
-    pts = points.withColumn("point_", F.monotonically_increasing_id())
-    t = turns.select(*keys, F.col("turn_idx").alias("i_"), F.col("speaker").alias("s_"), F.col("start").alias("b_"), (F.col("start") + F.col("duration_s")).alias("e_"))
-    inside = (F.col("b_") <= F.col(at)) & (F.col(at) < F.col("e_"))
-    hit = pts.join(t, list(keys), "left").groupBy(*pts.columns).agg(F.min_by("s_", F.when(inside, F.col("i_"))).alias("speaker_at"))
-    return hit.drop("point_")
+    """points with speaker_at: the speaker of the first turn (by turn_idx) that holds their time, null if none does.
+
+    An as-of join. Episodes are laid in stretches of STRETCH_S seconds, or of as many as their turns last on average; a turn goes to the stretches that it touches, twice as many rows as turns at most. A sweep makes what is seen of turns: pieces that don't overlap. Points and pieces then stand in one order by time in each stretch, and the last piece that began is carried to the point. So rows grow with points plus turns, and no task gets a long episode whole.
+    Points without a time or with a null key have no speaker. Turns that last no time hold none; ends count up to LAST_S.
+    """
+    prepared(turns.sparkSession)
+    keyed = lambda df: [df[k].alias(f"{k}_k") for k in keys]
+    names = [f"{k}_k" for k in keys]
+    ends = F.least(F.col("start").cast("double") + F.col("duration_s").cast("double"), F.lit(LAST_S))
+    t = turns.select(*keyed(turns), F.col("turn_idx").alias("i_"), F.col("start").cast("double").alias("b_"), ends.alias("e_"), F.col("speaker").alias("s_"))
+    t = t.where(F.col("b_") < F.col("e_")).dropna(subset=names)
+    width = t.groupBy(*names).agg(F.greatest(F.lit(STRETCH_S), F.sum(F.col("e_") - F.col("b_")) / F.count("*")).alias("width_"))
+    stretch = lambda c: F.floor(F.col(c) / F.col("width_"))
+    laid = t.join(width, names).withColumn("stretch_", F.explode(F.sequence(stretch("b_"), stretch("e_"))))
+    laid = laid.select(*names, "stretch_", "i_", "b_", "e_", "s_").repartition(*names, "stretch_").sortWithinPartitions(*names, "stretch_", "b_", "i_")
+    pieces = laid.mapInArrow(_visible, laid.drop("i_").schema)
+    own = F.struct(*(F.col(f"`{c}`") for c in points.columns)).alias("p_")
+    time = F.when(F.abs(F.col(at).cast("double")) <= LAST_S, F.col(at).cast("double"))
+    pts = points.select(*keyed(points), own, time.alias("b_")).join(width, names, "left").select(*names, stretch("b_").alias("stretch_"), "b_", "p_")
+    none = F.lit(None).cast(pts.schema["p_"].dataType)
+    both = pieces.select(*names, "stretch_", "b_", none.alias("p_"), F.struct("e_", "s_").alias("piece_")).unionByName(pts.withColumn("piece_", F.lit(None).cast("struct<e_:double,s_:string>")))
+    order = Window.partitionBy(*names, "stretch_").orderBy("b_", F.col("p_").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    last = both.withColumn("piece_", F.last("piece_", ignorenulls=True).over(order)).where("p_ is not null")
+    return last.select("p_.*", F.when(F.col("b_") < F.col("piece_.e_"), F.col("piece_.s_")).alias("speaker_at"))

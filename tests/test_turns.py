@@ -1,6 +1,7 @@
 """Turns, shares, crops, chunks: figures worked out by hand, and an independent fold for chunks."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,12 +63,55 @@ def test_draws_dont_repeat(spark):
     assert sorted(first[:3]) == [0, 1, 2] and first[3:] == first[:3]
 
 
+def made_rows(df):
+    """How many rows each operator of the plan that ran has made."""
+    execution, out = df._jdf.queryExecution(), []
+    df._jdf.collectToPython()
+
+    def walk(node):
+        shown = node.metrics().get("numOutputRows")
+        out.extend([shown.get().value()] if shown.isDefined() else [])
+        kind = node.getClass().getSimpleName()
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        for child in inner or [node.children().apply(i) for i in range(node.children().size())]:
+            walk(child)
+
+    walk(execution.executedPlan())
+    return out
+
+
 def test_speaker_at(spark):
     t = frame(spark, [("e", 0, "A", 0.0, 10.0, 1), ("e", 1, "B", 5.0, 10.0, 1)], TURN)
     p = spark.createDataFrame([("e", 0, 5.0), ("e", 1, 10.0), ("e", 2, 15.0), ("x", 3, 1.0)], "episode string, id int, t double")
     assert {r["id"]: r["speaker_at"] for r in turns.speaker_at(p, t).collect()} == {0: "A", 1: "B", 2: None, 3: None}
 
 
+def test_speaker_at_beside_asking_every_turn(spark, monkeypatch):
+    """Overlaps, gaps, turns of no length, starts that go back, several keys, stretches shorter than turns."""
+    monkeypatch.setattr(turns, "STRETCH_S", 7.0)
+    r = random.Random(5)
+    given = [(e, y, i, r.choice(["A", "B", "C", None]), float(r.randint(-20, 80)), float(r.choice([0, 1, 3, 9, 40, -2]))) for e in "ef" for y in (1, 2) for i in r.sample(range(60), 40)]
+    asked = [(r.choice(["e", "f", "g", None]), r.choice([1, 2]), n, r.choice([None, float("nan"), r.randint(-30, 130) / 2])) for n in range(400)] + [("e", 1, 0, 5.0)] * 3
+    t = spark.createDataFrame(given, "episode string, year int, turn_idx int, speaker string, start double, duration_s double")
+    p = spark.createDataFrame(asked, "episode string, year int, turn_idx int, at double")
+    first = lambda e, y, x: next((s for _, k, _, s, b, d in sorted(((0, (g, h), i, s, b, d) for g, h, i, s, b, d in given if (g, h) == (e, y) and x is not None and b <= x < b + d), key=lambda v: v[2])), None)
+    got = turns.speaker_at(p, t, "at", ("episode", "year"))
+    assert got.columns == ["episode", "year", "turn_idx", "at", "speaker_at"]
+    assert Counter((x["episode"], x["year"], x["turn_idx"], str(x["at"]), x["speaker_at"]) for x in got.collect()) == Counter((e, y, n, str(x), first(e, y, x)) for e, y, n, x in asked)
+    assert turns.speaker_at(p.limit(0), t, "at", ("episode", "year")).collect() == [] and turns.speaker_at(p, t.limit(0), "at", ("episode", "year")).where("speaker_at is not null").isEmpty()
+
+
+def test_rows_of_speaker_at_grow_with_points_and_turns(spark):
+    """One episode of 20,000 turns and as many points, with a turn over all of it."""
+    t = spark.range(20_000).selectExpr("'e' as episode", "id as turn_idx", "concat('s', id % 7) as speaker", "id * 10.0D as start", "10.0D as duration_s").union(spark.sql("select 'e', 20000L, 'all', 0.0D, 250000.0D"))
+    p = spark.range(20_000).selectExpr("'e' as episode", "id", "id * 12.0D + 1 as t")
+    got = turns.speaker_at(p, t)
+    assert got.groupBy((F.col("t") < 200_000).alias("early"), (F.col("speaker_at") == "all").alias("whole")).count().collect().__len__() == 2
+    assert got.where("t < 200000 and speaker_at != concat('s', floor(t / 10) % 7)").isEmpty()
+    rows = made_rows(got)
+    assert 20_000 < max(rows) < 110_000, rows
+
+
 def fold(segments):
     """Chunks by a plain walk."""
     out, speaker, held, start = [], None, [], 0.0

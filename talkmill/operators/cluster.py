@@ -11,37 +11,86 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import unit
 from ..session import drop_written, prepared, written
+from . import cells
 
-#: Vectors in a block, at most; a pair of blocks is one task's matrix product.
+#: Vectors in a block, about; a pair of blocks is one task's matrix product.
 BLOCK = 512
+#: Pivots to which each block's least and largest angles are kept, at most.
+SEEN_FROM = 32
+#: Angles that differ by less may be equal: cosines are rounded.
+SLACK = 1e-6
+
+
+def laid_in_blocks(vectors: DataFrame, key: str, vector: str, threshold: float) -> DataFrame:
+    """block, cell, ring, rows (structs k, v of unit vectors, sorted), lo and hi (the least and largest angle to the own pivot), los and his (to each of SEEN_FROM pivots). Written.
+
+    Cells lie around pivots; a cell's rows go by rings of their angle to the pivot, half as wide as the angle that the threshold allows, and rings larger than BLOCK by a hash of the key. So blocks are small whatever keys or places are frequent.
+    """
+    spark = prepared(vectors.sparkSession)
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), unit(F.col(vector)).alias("v")).where("v[0] is not null")
+    rows = written(rows, "vectors")
+    pivots = cells.fit_pivots(rows, "k", "v", max(1, -(-rows.count() // BLOCK)))
+    reach = max(float(np.arccos(min(1.0, max(-1.0, threshold)))) / 2, 0.02)
+    placed = written(cells.with_cells(rows, "v", pivots).withColumn("ring", F.floor(F.col("apart") / reach).cast("int")), "placed") if len(pivots) else spark.createDataFrame([], rows.withColumns({"cell": F.lit(0), "apart": F.lit(0.0), "ring": F.lit(0)}).schema)
+    parts = placed.groupBy("cell", "ring").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    name = F.struct("cell", "ring", F.pmod(F.xxhash64("k"), F.col("parts")).alias("part"))
+    packed = placed.join(parts, ["cell", "ring"]).groupBy(name.alias("block"), "cell", "ring").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("rows"), F.min("apart").alias("lo"), F.max("apart").alias("hi"))
+    seen = pivots[:SEEN_FROM]
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [pa.array([], pa.list_(pa.float64()))] * 2
+            if batch.num_rows:
+                each = [cells.angle(r.values.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(r.values), -1) @ seen.T) for r in batch.column(3)]
+                lists = [pa.array([getattr(x, f)(axis=0) for x in each], pa.list_(pa.float64())) for f in ("min", "max")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], [*batch.schema.names, "los", "his"])
+
+    schema = packed.withColumns({"los": F.array(F.lit(0.0)), "his": F.array(F.lit(0.0))}).schema
+    blocks = written(packed.mapInArrow(ranges, schema), "blocks")
+    drop_written(rows)
+    if len(pivots):
+        drop_written(placed)
+    blocks._pivots = pivots
+    return blocks
+
+
+def block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of blocks (i <= j) that can hold a pair of vectors at the threshold, by the triangle inequality of angles: seen from a pivot, two vectors are at least as far apart as their angles to it differ. First cells are compared, by their pivots' distance, of which there are few; then the blocks of those that remain."""
+    far = float(np.arccos(min(1.0, max(-1.0, threshold)))) + SLACK
+    pivots = blocks._pivots
+    between = cells.angle(pivots @ pivots.T) if len(pivots) else np.empty((0, 0))
+    reach = blocks.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()  # one row for each pivot
+    near = [(a["cell"], b["cell"]) for a in reach for b in reach if max(between[a["cell"], b["cell"]] - a["hi"] - b["hi"], a["lo"] - between[a["cell"], b["cell"]] - b["hi"], b["lo"] - between[a["cell"], b["cell"]] - a["hi"]) <= far]
+    near = blocks.sparkSession.createDataFrame(near, "cell_i int, cell_j int")
+    i, j = (blocks.select(*(F.col(c).alias(f"{c}_{x}") for c in ("block", "cell", "lo", "hi", "los", "his"))) for x in "ij")
+    met = i.join(F.broadcast(near), "cell_i").join(j, "cell_j").where("block_i <= block_j")  # of MOST squared rows at most
+    rings = (F.col("cell_i") != F.col("cell_j")) | ((F.col("lo_i") - F.col("hi_j") <= far) & (F.col("lo_j") - F.col("hi_i") <= far))
+    apart = F.exists(F.zip_with("los_i", "his_j", lambda lo, hi: lo - hi > far), lambda x: x) | F.exists(F.zip_with("los_j", "his_i", lambda lo, hi: lo - hi > far), lambda x: x)
+    return met.where(rings & ~apart).select("block_i", "block_j")
 
 
 def similar_pairs(vectors: DataFrame, key: str, vector: str, threshold: float) -> DataFrame:
     """Exact theta join: (a, b, similarity) for keys a < b whose cosine is threshold or more.
 
-    Vectors are laid in hashed blocks of about BLOCK rows; each pair of blocks meets in one row and is multiplied as matrices. Shuffled are (number of blocks) copies of each vector, and memory holds two blocks, whatever the input.
+    Vectors lie in blocks around pivots (laid_in_blocks); only blocks that can hold a pair meet (block_pairs), in one row, and are multiplied as matrices. Memory holds two blocks, whatever the input. On vectors in clusters few blocks meet; on vectors that spread evenly in many dimensions, all do.
     """
-    spark = prepared(vectors.sparkSession)
-    rows = written(vectors.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), unit(F.col(vector)).alias("v")).where("v[0] is not null"), "vectors")
-    blocks = max(1, -(-rows.count() // BLOCK))
-    kind = rows.schema["k"].dataType.simpleString()
-    block = F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")
-    packed = rows.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("rows"))
-    left = packed.select(F.col("block").alias("i"), F.col("rows").alias("left"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("j"))
-    both = left.join(packed.select(F.col("block").alias("j"), F.col("rows").alias("right")), "j").select("i", "j", F.transform("left", lambda x: x["k"]).alias("ka"), F.flatten(F.transform("left", lambda x: x["v"])).alias("va"), F.transform("right", lambda x: x["k"]).alias("kb"), F.flatten(F.transform("right", lambda x: x["v"])).alias("vb"))
+    blocks = laid_in_blocks(vectors, key, vector, threshold)
+    kind = blocks.schema["rows"].dataType.elementType["k"].dataType.simpleString()
+    held = lambda x: blocks.select(F.col("block").alias(f"block_{x}"), F.transform("rows", lambda r: r["k"]).alias(f"k{x}"), F.flatten(F.transform("rows", lambda r: r["v"])).alias(f"v{x}"))
+    both = block_pairs(blocks, threshold).join(held("i"), "block_i").join(held("j"), "block_j").select("ki", "vi", "kj", "vj")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ka, kb = batch.column(2)[i].values, batch.column(4)[i].values
-                a = batch.column(3)[i].values.to_numpy(zero_copy_only=False).reshape(len(ka), -1)
-                b = batch.column(5)[i].values.to_numpy(zero_copy_only=False).reshape(len(kb), -1)
+                ka, kb = batch.column(0)[i].values, batch.column(2)[i].values
+                a = batch.column(1)[i].values.to_numpy(zero_copy_only=False).reshape(len(ka), -1)
+                b = batch.column(3)[i].values.to_numpy(zero_copy_only=False).reshape(len(kb), -1)
                 s = a @ b.T
                 x, y = np.nonzero(s >= threshold)
                 first, second, value = ka.take(pa.array(x)), kb.take(pa.array(y)), s[x, y]
                 yield pa.RecordBatch.from_arrays([first, second, pa.array(value)], ["x", "y", "similarity"])
 
-    found = both.repartition(min(blocks * (blocks + 1) // 2, 4096), "i", "j").mapInArrow(run, f"x {kind}, y {kind}, similarity double")
+    found = both.mapInArrow(run, f"x {kind}, y {kind}, similarity double")
     pairs = found.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
     return pairs.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,6 +142,33 @@ def test_pairs_and_groups_equal_brute_force(spark):
     assert {x["k"]: x["component"] for x in cluster.groups(df, "k", edges).collect()} == root
 
 
+@pytest.mark.parametrize(("threshold", "spread"), [(0.95, 0.02), (0.5, 0.1), (0.0, 0.05), (-0.5, 0.05), (1.0, 0.0)])
+def test_pruned_pairs_equal_all_pairs(spark, monkeypatch, threshold, spread):
+    """Clusters, one of them with a third of the rows; equal vectors, none, one without length."""
+    monkeypatch.setattr(cluster, "BLOCK", 16)
+    r = np.random.default_rng(3)
+    middles = r.normal(size=(12, 16))
+    x = middles[np.where(np.arange(300) % 3 == 0, 0, np.arange(300) % 12)] + spread * r.normal(size=(300, 16))
+    x[5:9] = x[4]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [0.0] * 16)]
+    df = spark.createDataFrame(rows, "k long, v array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 12)
+    got = {(p["a"], p["b"]) for p in cluster.similar_pairs(df, "k", "v", threshold - 1e-9).collect()}
+    assert got == {(i, j) for i in range(300) for j in range(i + 1, 300) if s[i, j] >= threshold} and got
+    assert cluster.similar_pairs(df.where("k >= 900"), "k", "v", threshold).collect() == []
+
+
+def test_few_blocks_meet_on_clusters(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "BLOCK", 32)
+    r = np.random.default_rng(4)
+    middles = r.normal(size=(60, 32))
+    df = spark.createDataFrame([(i, (middles[i % 60] + 0.1 * r.normal(size=32)).tolist()) for i in range(2400)], "k long, v array<double>")
+    blocks = cluster.laid_in_blocks(df, "k", "v", 0.9)
+    n, met = blocks.count(), cluster.block_pairs(blocks, 0.9).count()
+    assert n >= 60 and n <= met < 0.1 * n * (n + 1) / 2, (n, met)
+
+
 def test_leave_one_out_skips_singletons(spark):
     rows = [("a1", "A", [1.0, 0.1]), ("a2", "A", [1.0, -0.1]), ("b1", "B", [0.0, 1.0]), ("b2", "B", [0.1, 1.0]), ("c", "C", [-1.0, 0.0])]
     df = spark.createDataFrame(rows, "clip_id string, person string, vector array<double>")

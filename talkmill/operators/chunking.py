@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import date_number, words
+from ..session import prepared
 
 MAX_WORDS, OVERLAP = 400, 50
 
@@ -47,6 +52,104 @@ def _segments(segments: DataFrame, keys: tuple[str, ...], *more: Column) -> Data
     return segments.select(*keys, "seq", F.coalesce("speaker", F.lit("UNKNOWN")).alias("speaker"), F.coalesce(F.col("start").cast("double"), F.lit(0.0)).alias("start"), words(F.col("text")).alias("w")).withColumn("n", F.size("w"))
 
 
+class _Open:
+    """The merge step, one segment after the other: what is open is a speaker, a start and the last words so far. A step gives the chunks (speaker, start, words) that it closes, two at most."""
+
+    def __init__(self, max_words: int, overlap: int) -> None:
+        self.most, self.overlap = max_words, overlap
+        self.words: list = []
+        self.speaker, self.start = None, 0.0
+
+    def _close(self, speaker: str, start: float, n: int) -> tuple[str, float, list]:
+        done = speaker, start, self.words[:n]
+        self.words = self.words[max(0, len(self.words) - self.overlap) :]
+        return done
+
+    def step(self, speaker: str, start: float, words: list) -> Iterator[tuple[str, float, list]]:
+        if not self.words:
+            self.start = start
+        elif speaker != self.speaker:
+            yield self._close(self.speaker, self.start, len(self.words))
+            self.start = start
+        self.speaker = speaker
+        self.words.extend(words)
+        if len(self.words) >= self.most:
+            yield self._close(speaker, self.start, self.most)
+            self.start = start
+
+    def end(self) -> Iterator[tuple[str, float, list]]:
+        if self.words:
+            yield self.speaker, self.start, self.words
+
+
+def _closed(batches: Iterator[pa.RecordBatch], keys: int, max_words: int, overlap: int) -> Iterator[list[tuple]]:
+    """The chunks (keys, index, speaker, start, words, whether it is the key's last) that each batch of sorted segments closes: keys, seq, speaker, start, and the text or its number of words. Held are an open chunk, the last closed one and a batch, whatever a key has."""
+    key, open_, waiting, found = None, None, None, []
+
+    def take(chunks: Iterator[tuple[str, float, list]]) -> None:
+        nonlocal waiting
+        for chunk in chunks:
+            if waiting:
+                found.append((*waiting, False))
+            waiting = (*key, waiting[keys] + 1 if waiting else 0, *chunk)
+
+    def end() -> None:
+        nonlocal waiting
+        if open_:
+            take(open_.end())
+        if waiting:
+            found.append((*waiting, True))
+        waiting = None
+
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            own, (_, speaker, start, text) = row[:keys], row[keys:]
+            if own != key or open_ is None:
+                end()
+                key, open_ = own, _Open(max_words, overlap)
+            take(open_.step(speaker, start, [None] * text if isinstance(text, int) else (text or "").split()))
+        yield found
+        found.clear()
+    end()
+    yield found
+
+
+def _sorted(segments: DataFrame, keys: tuple[str, ...], what: Column) -> DataFrame:
+    prepared(segments.sparkSession)
+    rows = segments.select(*keys, "seq", F.coalesce("speaker", F.lit("UNKNOWN")).alias("speaker"), F.coalesce(F.col("start").cast("double"), F.lit(0.0)).alias("start"), what.alias("what"))
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "seq", "speaker", "start", "what")
+
+
+def fold_chunks(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
+    """The chunks of build_chunks, for episodes of any length: segments stream through the merge step in order, sorted by Spark, which spills. A task holds an open chunk and a batch. n_chunks is counted over the chunks afterwards."""
+    kinds = ", ".join(f"`{k}` {segments.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _closed(batches, len(keys), max_words, overlap):
+            rows = [(*r[:-2], f"[{r[-4]}] {' '.join(r[-2])}", len(r[-2])) for r in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+    names = [*keys, "chunk_index", "speaker", "start_time", "text", "n_words"]
+    rows = _sorted(segments, keys, F.col("text"))
+    types = [*(to_arrow_type(segments.schema[k].dataType) for k in keys), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.int32()]
+    chunks = rows.mapInArrow(run, f"{kinds}, chunk_index int, speaker string, start_time double, text string, n_words int")
+    counted = chunks.withColumn("n_chunks", F.count("*").over(Window.partitionBy(*keys)).cast("int"))
+    return counted.select(*keys, "chunk_index", "n_chunks", "speaker", "start_time", "text", "n_words")
+
+
+def fold_counts(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
+    """expected_chunks for episodes of any length: numbers of words stream through the merge step. No text is moved."""
+    kinds = ", ".join(f"`{k}` {segments.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _closed(batches, len(keys), max_words, overlap):
+            rows = [(*r[: len(keys)], r[len(keys)] + 1) for r in found if r[-1]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], [*keys, "n_chunks"])
+
+    types = [*(to_arrow_type(segments.schema[k].dataType) for k in keys), pa.int64()]
+    return _sorted(segments, keys, F.size(words(F.col("text")))).mapInArrow(run, f"{kinds}, n_chunks long")
+
+
 def build_chunks(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
     """One row per chunk: keys, chunk_index, n_chunks, speaker, start_time, text ("[speaker] words"), n_words. Segments need seq, speaker, start and text. An episode's segments meet in one row, in order; chunks are cut from its words once all cuts are known. One without words has no chunks. For episodes too long for a row there is build_chunks_streamed."""
     rows = _segments(segments, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "start", "n", "w"))).alias("s"))

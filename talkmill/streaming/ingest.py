@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_triple, segments, title_of
-from ..operators.chunking import build_chunks, chunk_metadata
+from ..operators.chunking import chunk_metadata, fold_chunks
 from ..sources.readers import with_model
 from ..sources.store import Collection, upsert_then_prune
 
@@ -21,7 +21,7 @@ def records_of(texts: DataFrame, encode: Callable[[pd.Series], pd.Series]) -> Da
     last = texts.groupBy("name").agg(F.max_by("text", "at").alias("text"))
     df = last.withColumn("k", file_triple(F.col("name"))).where("k is not null").select("k.*", title_of(F.col("text")).alias("episode_title"), "text")
     keys = ("show", "episode_number", "date", "episode_title")
-    chunks = chunk_metadata(build_chunks(segments(df), keys), RULES_VERSION)
+    chunks = chunk_metadata(fold_chunks(segments(df), keys), RULES_VERSION)
     none = F.lit(None).cast("string")
     out = chunks.withColumnRenamed("text", "document").withColumns({"episode_guid": none, "speaker_id": none, "identity_version": none, "source": none})
     return with_model(out, encode, "document", "embedding")

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,13 +143,39 @@ def test_chunks_equal_a_plain_walk(spark):
         segs = [(r.choice("AB"), float(i * 3), " ".join(f"{e}.{i}.{k}" for k in range(r.choice((0, 1, 30, 120, 399, 400, 700))))) for i in range(r.randrange(14))]
         rows += [(f"e{e}", i, *s) for i, s in enumerate(segs)]
         want[f"e{e}"] = [(s, at, f"[{s}] " + " ".join(w)) for s, at, w in fold(segs)]
-    for build in (chunking.build_chunks, chunking.build_chunks_streamed):
+    for build in (chunking.build_chunks, chunking.build_chunks_streamed, chunking.fold_chunks):
         got = {}
         for x in build(frame(spark, rows)).orderBy("episode", "chunk_index").collect():
             got.setdefault(x["episode"], []).append((x["speaker"], x["start_time"], x["text"]))
         assert got == {k: v for k, v in want.items() if v}
 
 
+def test_folded_counts_and_odd_segments(spark):
+    rows = [("e", 1, None, None, "a b"), ("e", 2, "B", 2.0, "  "), ("e", 3, "A", 3.0, None), ("f", 0, "A", 0.0, ""), (None, 0, "A", 1.0, "x\u00a0y\x1cz"), (None, 1, "A", 2.0, "w " * 900)]
+    df = frame(spark, rows)
+    by = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert by(chunking.fold_chunks(df)) == by(chunking.build_chunks(df).select("episode", "chunk_index", "n_chunks", "speaker", "start_time", "text", "n_words"))
+    assert by(chunking.fold_counts(df)) == by(chunking.expected_chunks(df))
+    assert chunking.fold_chunks(df.limit(0)).collect() == [] and chunking.fold_counts(df.where("episode = 'f'")).collect() == []
+    two = df.withColumn("show", F.lit(1))
+    assert by(chunking.fold_chunks(two, ("show", "episode"), max_words=5, overlap=0)) == by(chunking.build_chunks(two, ("show", "episode"), max_words=5, overlap=0).select("show", "episode", "chunk_index", "n_chunks", "speaker", "start_time", "text", "n_words"))
+
+
+def test_an_episode_of_a_million_segments(spark):
+    """Its chunks come from a worker that keeps to itself what little it holds."""
+    n = 1_000_000
+    df = spark.range(n).selectExpr("'e' as episode", "id as seq", "concat('s', floor(id / 1000) % 5) as speaker", "id * 1.0D as start", "concat('w', id, ' v', id) as text")
+    chunks = chunking.fold_chunks(df).agg(F.count("*").alias("n"), F.max("n_chunks").alias("said"), F.sum("n_words").alias("words"), F.max("chunk_index").alias("last")).first()
+    # a speaker's 2000 words, and the 50 that come over: a full chunk of 400 takes 350 new ones
+    assert chunks["n"] == chunks["said"] == chunks["last"] + 1 == chunking.fold_counts(df).first()["n_chunks"]
+    assert chunks["words"] == 2 * n + 50 * (chunks["n"] - 1)
+    held = []
+    batches = (pa.RecordBatch.from_pydict({"episode": ["e"] * 1000, "seq": list(range(i, i + 1000)), "speaker": ["s"] * 1000, "start": [0.0] * 1000, "text": ["one two three"] * 1000}) for i in range(0, 20_000, 1000))
+    for found in chunking._closed(batches, 1, 400, 50):
+        held.append(len(found))
+    assert max(held) <= 3000 / 350 + 1
+
+
 def test_book_windows(spark):
     pages = spark.createDataFrame([("b", 1, " ".join(f"a{i}" for i in range(380))), ("b", 2, " "), ("b", 3, " ".join(f"c{i}" for i in range(30)))], "book string, page int, text string")
     got = chunking.book_chunks(pages).orderBy("chunk_index").collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.text import display_speaker, strip_speaker, to_places
 from ..functions.vectors import dot_with, norm
 
+if TYPE_CHECKING:
+    from .index import VectorIndex
+
 OPERATORS = {"$eq": lambda c, v: c == v, "$ne": lambda c, v: ~c.eqNullSafe(F.lit(v)), "$gt": lambda c, v: c > v, "$gte": lambda c, v: c >= v, "$lt": lambda c, v: c < v, "$lte": lambda c, v: c <= v, "$in": lambda c, v: c.isin(list(v))}
 
 
@@ -53,19 +57,30 @@ def unknown_speaker(people: DataFrame, speaker: str) -> str | None:
     return f"no speaker {speaker!r}; there are: {', '.join(listed[:1000])}{' and more' * (len(listed) > 1000)}"
 
 
-def search(records: DataFrame, query: list[float], n: int = 10, *, show: str | None = None, after_date: str | None = None, before_date: str | None = None, speaker: str | None = None, people: DataFrame | None = None, vector: str = "embedding", id_col: str = "id") -> DataFrame:
-    """The n nearest records, latest first (unknown dates last), equal dates by nearness: similarity_rank, position, relevance_score and the records' columns but the vector. A speaker that `people` doesn't list is refused with those it does, rather than found nowhere."""
+def search(records: DataFrame | VectorIndex, query: list[float], n: int = 10, *, show: str | None = None, after_date: str | None = None, before_date: str | None = None, speaker: str | None = None, people: DataFrame | None = None, vector: str = "embedding", id_col: str = "id") -> DataFrame:
+    """The n nearest records, latest first (unknown dates last), equal dates by nearness: similarity_rank, position, relevance_score and the records' columns but the vector. A speaker that `people` doesn't list is refused with those it does, rather than found nowhere. records may be an index, whose cells are probed then."""
     if speaker and people is not None:
         wrong = unknown_speaker(people, speaker)
         if wrong:
             raise ValueError(wrong)
-    hits = nearest(records, query, n, filters(show, after_date, before_date, speaker), vector, id_col).drop(vector)
+    tree = filters(show, after_date, before_date, speaker)
+    if isinstance(records, DataFrame):
+        hits = nearest(records, query, n, tree, vector, id_col).drop(vector)
+    else:
+        from .index import indexed
+
+        hits, id_col = indexed(records, query, n, tree).drop(records.vector), records.id_col
+    return hits_by_date(hits, id_col)
+
+
+def hits_by_date(hits: DataFrame, id_col: str = "id") -> DataFrame:
+    """The few hits of a search with similarity_rank, position (latest first, unknown dates last, equal dates by nearness) and relevance_score in place of their distance, in order of position."""
     ranked = hits.withColumn("similarity_rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("distance", id_col)))  # n rows
     ranked = ranked.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc_nulls_last("date"), "similarity_rank")))
     return ranked.withColumn("relevance_score", to_places(1 - F.col("distance"), 3)).drop("distance").orderBy("position")
 
 
-def latest_on_topic(records: DataFrame, query: list[float], n: int = 5, **more) -> DataFrame:
+def latest_on_topic(records: DataFrame | VectorIndex, query: list[float], n: int = 5, **more) -> DataFrame:
     """The same n by nearness, latest first, without a score: not the latest records of all."""
     return search(records, query, n, **more).drop("relevance_score")
 

@@ -916,6 +916,13 @@ def c2s(spark, d):
     return build_chunks_streamed(paragraphs(spark, d)).select("episode", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("n_chunks").cast("long").alias("n_chunks"), "start_time", F.md5("text").alias("text_md5"))
 
 
+@query("c2_chunks_folded", f"WITH RECURSIVE {CHUNK_SQL} SELECT episode, CAST(unnest(range(len(done))) AS BIGINT) AS chunk_index, CAST(len(done) AS BIGINT) AS n_chunks, unnest(ats) AS start_time, md5(unnest(done)) AS text_md5 FROM fin")
+def c2f(spark, d):
+    from .operators.chunking import fold_chunks
+
+    return fold_chunks(paragraphs(spark, d)).select("episode", F.col("chunk_index").cast("long").alias("chunk_index"), F.col("n_chunks").cast("long").alias("n_chunks"), "start_time", F.md5("text").alias("text_md5"))
+
+
 @query("c3_expected_chunks", f"WITH RECURSIVE {CHUNK_SQL} SELECT episode, CAST(len(done) AS BIGINT) AS n_chunks FROM fin WHERE len(done) > 0")
 def c3(spark, d):
     from .operators.chunking import expected_chunks
@@ -1045,6 +1052,49 @@ def h1(spark, d):
     return _hits(search(STORE(spark, d), PROBE, 10), "relevance_score")
 
 
+def indexed_store(spark: SparkSession, d: str):
+    from .operators.index import build
+
+    return build(STORE(spark, d))
+
+
+@query("s8_indexed_search", f"{_found('true', 10)} SELECT {_HIT} FROM r")
+def s8i(spark, d):
+    """The same hits, through the index: what its first cells leave open is read too."""
+    from .operators.index import indexed
+    from .operators.search import hits_by_date
+
+    return _hits(hits_by_date(indexed(indexed_store(spark, d), PROBE, 10, exact=True).drop("embedding")))
+
+
+_MANY = f"""WITH st AS ({STORE_SQL}), u AS (SELECT id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM st), n AS (SELECT id, e, sqrt(list_dot_product(e, e)) AS n FROM u),
+s AS (SELECT a.id AS query_id, b.id, round(list_dot_product(a.e, b.e) / (a.n * b.n), 9) AS s FROM n a JOIN n b ON a.id % 20 = 0),
+k AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank, s FROM s)"""
+
+
+def every_twentieth(spark: SparkSession, d: str) -> DataFrame:
+    return STORE(spark, d).where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
+@query("s8_nearest_many", f"{_MANY} SELECT query_id, rank, id, round(s, 6) AS similarity FROM k WHERE rank <= 10")
+def s8m(spark, d):
+    from .operators.index import nearest_many
+
+    found = nearest_many(indexed_store(spark, d), every_twentieth(spark, d), 10, exact=True)
+    return rounded(found.withColumn("rank", F.col("rank").cast("long")), "similarity", digits=6)
+
+
+@query("s8_index_recall", f"{_MANY} SELECT count(*) AS hits, true AS reached FROM k WHERE rank <= 10")
+def s8r(spark, d):
+    """How many hits all queries have, and whether the index, with the probes that it chose, finds 0.99 of them."""
+    from .operators.index import nearest_many, recall
+
+    index, asked = indexed_store(spark, d), every_twentieth(spark, d)
+    exact = nearest_many(index, asked, 10, exact=True)
+    reached = recall(nearest_many(index, asked, 10), exact) >= 0.99
+    return exact.agg(F.count("*").alias("hits")).withColumn("reached", F.lit(reached))
+
+
 _FILTERED = "show = 'Show 1' AND date_ts >= 20240102 AND date_ts <= 20240107 AND speaker_id = 'P4'"
 
 

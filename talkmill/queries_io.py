@@ -107,7 +107,11 @@ _FEED_ITEMS = f"SELECT i.*, o_orderstatus, o_orderdate, row_number() OVER (ORDER
 _FED = f"f AS ({_FEED_ITEMS}), g AS (SELECT pos, title, coalesce(nullif(itunes, ''), nullif(regexp_extract(title, '\\b[Ee]p\\.?\\s*(\\d+)', 1), ''), 'Unknown') AS episode_number, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 6 = 0 THEN concat('http://link/', o_orderkey) ELSE concat('http://audio/', o_orderkey) END AS audio_url, CASE WHEN o_orderkey % 9 = 0 THEN 'Unknown Date' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, CASE WHEN coalesce(is_link, true) OR guid = '' THEN NULL ELSE guid END AS guid FROM f)"
 
 
-def feed_file(spark: SparkSession, d: str) -> str:
+FEED_ENDS = ('<?xml version="1.0"?>\n<rss xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd"><channel>', "</channel></rss>")
+
+
+def feed_items(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as items of a feed: k, value."""
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_orderdate")
     df = ITEMS(spark, d).join(o, F.col("o_orderkey") == F.col("k"))
     el = lambda name, value, attr=F.lit(""): F.when(value.isNotNull(), F.concat(F.lit(f"<{name}"), attr, F.lit(">"), value, F.lit(f"</{name}>"))).otherwise(F.lit(""))
@@ -117,9 +121,13 @@ def feed_file(spark: SparkSession, d: str) -> str:
     audio = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.concat(link, F.lit('<enclosure url="'), url("audio"), F.lit('"/>')))
     perma = F.when(F.col("is_link").isNull(), F.lit("")).otherwise(F.concat(F.lit(' isPermaLink="'), F.col("is_link").cast("string"), F.lit('"')))
     item = F.concat(F.lit("<item>"), el("title", F.col("title")), el("pubDate", stamp), el("guid", F.col("guid"), perma), el("itunes:episode", F.col("itunes")), audio, F.lit("</item>"))
+    return df.select("k", item.alias("value"))
+
+
+def feed_file(spark: SparkSession, d: str) -> str:
     at = place(spark, "feed")
-    ends = spark.createDataFrame([(-1, '<?xml version="1.0"?>\n<rss xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd"><channel>'), (1 << 62, "</channel></rss>")], "k long, value string")
-    df.select("k", item.alias("value")).unionByName(ends).orderBy("k").coalesce(1).select("value").write.text(at)  # a feed is one file
+    ends = spark.createDataFrame([(-1, FEED_ENDS[0]), (1 << 62, FEED_ENDS[1])], "k long, value string")
+    feed_items(spark, d).unionByName(ends).orderBy("k").coalesce(1).select("value").write.text(at)  # a feed is one file
     return at
 
 
@@ -137,6 +145,55 @@ def s4(spark, d):
     return audio_urls(feed(spark, feed_file(spark, d), "Show")).select("episode_number", "date", "audio_url")
 
 
+def feed_files(spark: SparkSession, d: str, upto: int | None = None, at: str | None = None) -> dict[str, str]:
+    """Four shows' feeds, newest items first, each written by its own task; of orders up to a key, if one is given."""
+    at = at or place(spark, "feeds")
+    rows = feed_items(spark, d).where(F.col("k") <= (1 << 62 if upto is None else upto)).withColumn("n", F.col("k") % 4)
+    ends = spark.range(4).select(F.col("id").alias("n"), F.explode(F.array(F.struct(F.lit(1 << 62).alias("k"), F.lit(FEED_ENDS[0]).alias("value")), F.struct(F.lit(-1).alias("k"), F.lit(FEED_ENDS[1]).alias("value")))).alias("e")).select(F.col("e.k").cast("long").alias("k"), "e.value", "n")
+    all_ = rows.select("k", "value", "n").unionByName(ends).repartition(4, "n").sortWithinPartitions("n", F.desc("k"))
+    all_.select("value", "n").write.mode("overwrite").partitionBy("n").text(at)
+    files = {r["n"]: r["f"] for r in spark.read.text(at).select(F.col("n"), F.input_file_name().alias("f")).distinct().collect()}  # four
+    return {f"Show {n}": f for n, f in files.items()}
+
+
+_FEEDS_SQL = f"WITH {_FED} SELECT concat('Show ', o_orderkey % 4) AS show, o_orderkey, g.title, g.episode_number, g.audio_url, g.date, g.guid FROM g JOIN f ON f.pos = g.pos WHERE g.audio_url IS NOT NULL"
+
+
+def _fed(df: DataFrame) -> DataFrame:
+    return df.select("show", F.element_at(F.split("audio_url", "/"), -1).cast("long").alias("o_orderkey"), "title", "episode_number", "audio_url", "date", "guid")
+
+
+@query("s3_feeds_source", _FEEDS_SQL)
+def s3b(spark, d):
+    from .sources.feeds import read_feeds
+
+    return _fed(read_feeds(spark, feed_files(spark, d)))
+
+
+@query("s3_feeds_stream", _FEEDS_SQL)
+def s3c(spark, d):
+    """Feeds are read, grow, and are read on: what each run gave makes all of them, each item once."""
+    from .sources.feeds import read_feeds
+
+    at, held, out = place(spark, "feeds"), place(spark, "held"), place(spark, "out")
+    middle = table(spark, d, "orders").agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    for upto in (middle, None):
+        # addresses stay, as those of feeds do: each file is known by a link of its own
+        shows = {show: moved(spark, f, f"{at}-{show.replace(' ', '')}.xml") for show, f in feed_files(spark, d, upto, f"{at}-{upto}").items()}
+        stream = read_feeds(spark, shows, stream=True)
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", held).trigger(availableNow=True).start().awaitTermination()
+    return _fed(spark.read.parquet(out))
+
+
+def moved(spark: SparkSession, source: str, to: str) -> str:
+    """The file under another name, in place of one that was there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(to).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(to), False)
+    files.rename(path(source), path(to))
+    return to
+
+
 # ---- JSON, logs, books, headers of audio ----
 
 

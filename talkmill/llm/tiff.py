@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import itertools
 import re
@@ -208,19 +209,40 @@ def write_tiff(payload: bytes, *, width: int = 576, rows: int = 512, strip_rows:
     return bytes(out)
 
 
+#: The tags that are read; of others nothing is unpacked.
+READ = {WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT}
+#: Those of them whose numbers of values are those of strips, tiles or samples; the rest has one value that counts.
+MANY = {STRIP_OFFSETS, STRIP_COUNTS, TILE_OFFSETS, TILE_COUNTS, BITS, SAMPLE_FORMAT}
+
+
 def directories(media: bytes) -> Iterator[dict[int, tuple]]:
-    """The tags of each image directory, in the order of the chain; it ends where it would go round."""
+    """The tags of each image directory that are read, in the order of the chain; it ends where it would go round.
+
+    What directories say is bounded by the file that says it: their values together, which are unpacked one directory at a time, may not be larger than the file, nor may directories overlap, so that no small file stands for many or large ones. One that breaks this raises ValueError.
+    """
     order = {b"II": "<", b"MM": ">"}.get(media[:2])
     if order is None or len(media) < 8 or struct.unpack_from(order + "H", media, 2)[0] != 42:
         raise ValueError("not a TIFF")
-    at, seen = struct.unpack_from(order + "I", media, 4)[0], set()
+    at, seen, ends, left = struct.unpack_from(order + "I", media, 4)[0], set(), [], len(media)
     while at and at not in seen:
         seen.add(at)
         tags: dict[int, tuple] = {0: (order,)}
         (n,) = struct.unpack_from(order + "H", media, at)
+        end = at + 6 + 12 * n
+        near = bisect.bisect(ends, (at,))
+        if near and ends[near - 1][1] > at or near < len(ends) and ends[near][0] < end:
+            raise ValueError("directories overlap")
+        ends.insert(near, (at, end))
         for i in range(n):
             tag, kind, count = struct.unpack_from(order + "HHI", media, at + 2 + 12 * i)
+            if tag not in READ:
+                continue
+            if tag not in MANY and kind != 2:
+                count = min(count, 1)
             size = SIZES.get(kind, 0) * count
+            left -= size
+            if tag in tags or left < 0:
+                raise ValueError("a directory says more than its file holds")
             where = at + 10 + 12 * i if size <= 4 else struct.unpack_from(order + "I", media, at + 10 + 12 * i)[0]
             if kind == 2:
                 tags[tag] = (media[where : where + count].rstrip(b"\0").decode("latin-1"),)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+import tracemalloc
 import time
 import zlib
 
@@ -124,3 +125,44 @@ def test_the_query_against_a_plain_version(spark, tmp_path):
         assert (x["n_bytes"], x["payload_bytes"], x["payload_sha256"], x["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:]))
         assert (x["media_bytes"], x["media_sha256"], x["error"]) == (len(media), hashlib.sha256(media).hexdigest(), None)
         assert x["feature"] == f"pages={-(-len(padded) // (576 * 512))};mean={sum(padded) // len(padded)};mode={int(counts.argmax())}"
+
+
+def bomb(n_tags, count, directories=1, overlap=False):
+    """A TIFF whose directories have many tags of many values, all of which lie in the same place."""
+    body = bytearray(b"II*\0\0\0\0\0") + bytes(4 * count)
+    link, place = 4, 8
+    for d in range(directories):
+        at = len(body)
+        struct.pack_into("<I", body, link, at)
+        tags = [256, 257, 258, 273, 279, 324, 325, 339][:8] * -(-n_tags // 8)
+        entries = b"".join(struct.pack("<HHII", tag if i < 8 else 40_000 + i % 20_000, 4, count, place) for i, tag in enumerate(tags[:n_tags]))
+        body += struct.pack("<H", n_tags) + entries + b"\0\0\0\0"
+        link = len(body) - 4
+        if overlap:
+            struct.pack_into("<I", body, link, at + 12)
+            break
+    return bytes(body)
+
+
+@pytest.mark.parametrize("media", [bomb(8, 200_000), bomb(40, 200_000), bomb(60_000, 50_000), bomb(3, 100_000, 40), bomb(30, 10, 1, True)])
+def test_small_files_stand_for_no_large_ones(spark, media):
+    """Tags that point at the same numbers, in one directory or in many, and directories that overlap: an error within bounded memory."""
+    tracemalloc.start()
+    with pytest.raises((ValueError, struct.error)):
+        for _ in tiff.directories(media):
+            pass
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+    rows = tiff.read_pages(spark.createDataFrame([(1, media)], "doc_id long, media binary")).collect()
+    assert rows and rows[-1]["error"] and all(r["pixels"] is None for r in rows)
+
+
+def test_tags_that_are_not_read_cost_nothing():
+    good = tiff.write_tiff(bytes(range(200)) * 6, width=20)
+    at = struct.unpack_from("<I", good, 4)[0]
+    (n,) = struct.unpack_from("<H", good, at)
+    body = bytearray(good)
+    struct.pack_into("<I", body, 4, len(body))
+    body += struct.pack("<H", n + 1) + good[at + 2 : at + 2 + 12 * n] + struct.pack("<HHII", 50_000, 4, 1 << 30, 0) + b"\0\0\0\0"
+    (tags,) = tiff.directories(bytes(body))
+    assert 50_000 not in tags and tiff.page_samples(bytes(body), tags).tobytes() == bytes(range(200)) * 6

@@ -8,6 +8,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from ipaddress import ip_address
 
 import numpy as np
 import pyarrow as pa
@@ -169,7 +170,7 @@ class Surrogates:
         """text with each letter and digit replaced by one of its class, but at places to keep; all are drawn together from the strings of this pattern that are allowed."""
         places = [(i, a) for i, a in enumerate(map(class_of, text)) if a and not keep(i)]
         if len(places) > LONG:
-            return self._long_letters(kind, text, places)
+            return self._long_letters(kind, text, places, allowed)
         size, x = 1, 0
         for i, alphabet in places:
             size *= len(alphabet)
@@ -187,16 +188,18 @@ class Surrogates:
 
         return spelled(self.permute(f"{kind}|{kept}|{','.join(a[0] for _, a in places)}", size, x, (lambda x: allowed(spelled(x))) if allowed else lambda x: True))
 
-    def _long_letters(self, kind: str, text: str, places: list[tuple[int, str]]) -> str:
+    def _long_letters(self, kind: str, text: str, places: list[tuple[int, str]], allowed: Callable[[str], bool] | None) -> str:
         out = list(text)
         for i, _ in places:
             out[i] = "*"
         pattern = hashlib.blake2b(f"{''.join(out)}|{','.join(a[0] for _, a in places)}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
-        values = np.array([a.index(text[i]) for i, a in places])
-        new = self.permute.long(f"{kind}|{pattern}", values, np.array([len(a) for _, a in places]))
-        for (i, a), x in zip(places, new.tolist()):
-            out[i] = a[x]
-        return "".join(out)
+        values, sizes = np.array([a.index(text[i]) for i, a in places]), np.array([len(a) for _, a in places])
+        while True:  # on along the ring, as for short ones, until one is allowed
+            values = self.permute.long(f"{kind}|{pattern}", values, sizes)
+            for (i, a), x in zip(places, values.tolist()):
+                out[i] = a[x]
+            if allowed is None or allowed("".join(out)):
+                return "".join(out)
 
     def digits(self, kind: str, digits: str, allowed: Callable[[str], bool] = lambda d: True) -> str:
         n = len(digits)
@@ -214,11 +217,24 @@ class Surrogates:
         return "".join(n.upper() if o.isupper() else n for n, o in zip(new, text))
 
     def phone(self, text: str) -> str:
+        """A country's code stays, and so does the zero that national numbers begin with, and the first of nine digits, which tells mobile from other numbers; others begin with no zero."""
         d = re.sub(r"\D", "", text)
-        head = 0 if text[0] != "+" else 1 if d[0] in "17" else 2
-        return self.fill(text, d[:head] + self.digits("phone" + d[:head] * (head > 0), d[head:]))
+        if text[0] == "+":
+            head = 1 if d[0] in "17" else 2
+            return self.fill(text, d[:head] + self.digits("phone" + d[:head], d[head:]))
+        if d[0] == "0":
+            return self.fill(text, "0" + self.digits("phone0", d[1:]))
+        if len(d) == 9:
+            return self.fill(text, d[0] + self.digits("phone9" + d[0], d[1:]))
+        return self.fill(text, self.digits("phone", d, lambda x: x[0] != "0"))
 
     def ip(self, text: str) -> str:
+        if ":" in text:
+            base = "0123456789ABCDEF" if text != text.lower() else "0123456789abcdef"
+            held = text.replace(":", "")
+            form = "".join(c if c == ":" else "*" for c in text)
+            new = iter(format(self.permute(f"ip6{form}{base[-1]}", 16 ** len(held), int(held, 16)), f"0{len(held)}{'X' if base[-1] == 'F' else 'x'}"))
+            return "".join(c if c == ":" else next(new) for c in text)
         octets = [int(x) for x in text.split(".")]
         common = lambda first: 0 < first < 224
         x = self.permute("ip", 1 << 32, int.from_bytes(bytes(octets), "big"), lambda x: common(x >> 24) == common(octets[0]))
@@ -235,6 +251,8 @@ class Surrogates:
         return self.fill(text, self.digits("ssn", re.sub(r"\D", "", text)))
 
     def iban(self, text: str) -> str:
+        if text[0].islower():
+            return self.iban(text.upper()).lower()
         bare = text.replace(" ", "")
         rest = self.letters("iban" + bare[:2], bare[4:])
         it = iter(bare[:2] + iban_check(bare[:2], rest) + rest)
@@ -246,7 +264,12 @@ class Surrogates:
         for base in ("0123456789", "0123456789abcdef", "0123456789ABCDEF"):
             if not set(text) - set(base):
                 if n > LONG:
-                    return "".join(base[x] for x in self.permute.long(base, np.array([base.index(c) for c in text]), np.full(n, len(base))).tolist())
+                    values = np.array([base.index(c) for c in text])
+                    while True:
+                        values = self.permute.long(base, values, np.full(n, len(base)))
+                        new = "".join(base[x] for x in values.tolist())
+                        if len(base) == 10 or not new.isdigit():
+                            return new
                 if len(base) == 10:
                     return self.digits("secret", text)
                 form = f"0{n}{'x' if base[-1] == 'f' else 'X'}"
@@ -310,15 +333,41 @@ class Surrogates:
 
 
 _HEX = re.compile("[0-9a-f]+|[0-9A-F]+")
+_RUN = re.compile(r"\w+")
 _APOSTROPHE = re.compile("(['’])")
+#: What stands before a secret's value, which ends with its quote or, without one, at white space.
+_SECRET = r"\b(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)\b[\"']?\s{0,3}[:=]\s{0,3}"
+_HEXTETS = re.compile("[0-9A-Fa-f]{1,4}")
+
+
+def _is_secret(value: str) -> bool:
+    return len(value) >= 8 and any(c.isdigit() for c in value)
+
+
+def _is_ip6(value: str) -> bool:
+    """An address with three groups or more, and a digit among them, so that no word at colons is one."""
+    parts = _HEXTETS.findall(value)
+    if len(parts) < 3 or not any(c.isdigit() for c in value):
+        return False
+    try:
+        return ip_address(value).version == 6
+    except ValueError:
+        return False
+
+
 PATTERNS: list[tuple[str, re.Pattern, int, Callable[[str], bool]]] = [
-    ("secret", re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_\-/+]+(?:[.~%=]+[A-Za-z0-9_\-/+]+)*)"), 1, lambda s: len(s) >= 8 and any(c.isdigit() for c in s)),
+    ("secret", re.compile(rf"(?i){_SECRET}\"([^\"\n]+)\""), 1, _is_secret),
+    ("secret", re.compile(rf"(?i){_SECRET}'([^'\n]+)'"), 1, _is_secret),
+    ("secret", re.compile(rf"(?i){_SECRET}([^\s\"']*[^\s\"'.,;:!?)\]}}>])"), 1, _is_secret),
     ("secret", re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])"), 0, lambda s: not s.isdigit()),
-    ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), 0, lambda s: iban_check(s[:2], s.replace(" ", "")[4:]) == s[2:4]),
+    ("iban", re.compile(r"\b(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)\b"), 0, lambda s: iban_check(s[:2], s.replace(" ", "")[4:]) == s[2:4]),
+    ("ip", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|(?:[0-9A-Fa-f]{1,4}:){2,7}:|::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){2,6})(?![\w:]|\.\d)"), 0, _is_ip6),
     ("ip", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"), 0, lambda s: all(int(x) < 256 and str(int(x)) == x for x in s.split("."))),
     ("card", re.compile(r"(?<![\d+-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\d]|-\d)"), 0, lambda s: len(re.sub(r"\D", "", s)) == 16 or luhn(re.sub(r"\D", "", s))),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), 0, lambda s: True),
     ("phone", re.compile(r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d.+-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)"), 0, lambda s: 8 <= len(re.sub(r"\D", "", s)) <= 15),
+    # national forms: of French (01 23 45 67 89), German ((030) 123456, 0171/1234567) and Spanish (612 345 678, 91 123 45 67) numbers
+    ("phone", re.compile(r"(?<![\w.,+-])(?:0[1-9](?:[ .-]?\d{2}){4}|\(0\d{2,4}\)[ /-]?\d{3,5}(?:[ -]?\d{2,5}){0,2}|0\d{2,4}[ /-]\d{3,5}(?:[ -]?\d{2,5}){0,2}|[679]\d{2} \d{3} \d{3}|[679]\d{2}(?: \d{2}){3}|9\d \d{3} \d{2} \d{2})(?![\w-]|[.,]\d| \d)"), 0, lambda s: 8 <= len(re.sub(r"\D", "", s)) <= 13),
 ]
 #: Read backwards from the @; and forwards.
 _LOCAL, _DOMAIN = re.compile(r"[\w.+%-]*"), re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -354,6 +403,23 @@ def name_words(text: str, at: int) -> list[tuple[int, int]]:
         at = between.end()
 
 
+def _again(text: str, words: set[str]) -> Iterator[tuple[int, int]]:
+    """(start, end) of all mentions of words of two letters or more in a text, the longest where several begin at a place: one walk, whatever their number."""
+    sizes: dict[str, set[int]] = {}
+    for word in words:
+        if len(word) > 1:
+            sizes.setdefault(_RUN.match(word)[0], set()).add(len(word))
+    longest = {first: sorted(n, reverse=True) for first, n in sizes.items()}
+    reached = 0
+    for run in _RUN.finditer(text):
+        at = run.start()
+        for n in longest.get(run[0], ()) if at >= reached else ():
+            if text[at : at + n] in words and not _RUN.match(text, at + n):
+                yield at, at + n
+                reached = at + n
+                break
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a whole text, in order, without overlaps; of overlapping ones the kind listed first counts. A name begins after a title or with a listed given name (name_words() says how far it goes); its words, but for initials, are found again wherever they stand in the text, spelled alike."""
     found: list[tuple[int, int, str]] = []
@@ -376,11 +442,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
             spans.update(name)
             reached = name[-1][1] if name else reached
     if spans:
-        words = {text[a:b] for a, b in spans}
-        again = {w for w in words if len(w) > 1}
-        if again:
-            pattern = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(again, key=len, reverse=True))) + r")(?!\w)")
-            spans |= {m.span() for m in pattern.finditer(text)}
+        spans.update(_again(text, {text[a:b] for a, b in spans}))
         found += [(a, b, "name") for a, b in sorted(spans)]
     out, end = [], 0
     taken: list[tuple[int, int, str, int]] = []

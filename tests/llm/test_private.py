@@ -51,6 +51,74 @@ ENTITIES = [
 ]
 
 
+VALUES = [
+    ("password=%s x", "hunter22!secretpart9", "secret"),
+    ("token=%s", "abcdef12#rest99", "secret"),
+    ("pwd=%s,", "12345678@home", "secret"),
+    ("secret: %s", "AAAAAAAA1,BBBB2222", "secret"),
+    ("password: %s.", "Pa$$w0rd!x9", "secret"),
+    ("password=%s", "hünter2222", "secret"),
+    ('api_key="%s" z', "abc def123456", "secret"),
+    ("{'token': '%s', 'x': 1}", "a b.c,d 12", "secret"),
+    ("(token=%s)", "xyz12345", "secret"),
+    ("call %s.", "+49 30 123456-78", "phone"),
+    ("call %s.", "+1 (017) 555-7713", "phone"),
+    ("Tel. %s, bitte", "030 1234567", "phone"),
+    ("Tel. %s, bitte", "(030) 123456", "phone"),
+    ("Tel. %s, bitte", "0171/1234567", "phone"),
+    ("tél %s.", "01 23 45 67 89", "phone"),
+    ("tel %s;", "612 345 678", "phone"),
+    ("tel %s;", "91 123 45 67", "phone"),
+    ("at %s,", "2001:db8::1", "ip"),
+    ("at %s.", "FE80:0:0:0:1:2:3:4", "ip"),
+    ("iban %s", "de89370400440532013000", "iban"),
+    ("IBAN %s", "DE89 3704 0044 0532 0130 00", "iban"),
+]
+
+
+@pytest.mark.parametrize("frame, entity, kind", VALUES)
+def test_whole_values(frame, entity, kind):
+    text = frame % entity
+    assert [(text[a:b], k) for a, b, k in surrogates.find(text)] == [(entity, kind)]
+    new = getattr(surrogates.Surrogates(b"k"), kind)(entity)
+    form = lambda s: "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in s) if kind not in ("ip", "iban") else len(s)
+    assert new != entity and form(new) == form(entity) and [k for *_, k in surrogates.find(frame % new)] == [kind]
+
+
+@pytest.mark.parametrize("text", ["in 2019-2020 or 1000 000 000", "at 12:34:56", "std::vector a::b ::", "version 1.0.12 34", "03 12 2024", "pages 01-23", "the token: none", "password: see below", "x" * 30 + ":1:2"])
+def test_what_is_nobodys_stays(text):
+    assert surrogates.find(text) == []
+
+
+def test_long_secrets_follow_the_rules_of_short_ones():
+    """What isn't hex never comes out as hex, whatever its length; hex with letters keeps some."""
+    s = surrogates.Surrogates(b"k")
+    p = s.permute
+    calls = []
+
+    class Watched(surrogates.Permutation):
+        def long(self, kind, values, sizes):
+            calls.append(kind)
+            return np.zeros_like(values) if len(calls) == 1 else surrogates.Permutation.long(self, kind, values, sizes)
+
+    s.permute = Watched(p.key)
+    new = s.letters("secret", "g1" * 600, allowed=lambda x: not surrogates._HEX.fullmatch(x))
+    assert len(calls) == 2 and not surrogates._HEX.fullmatch(new)
+    calls.clear()
+    assert not s.secret("a1" * 600).isdigit() and len(calls) == 2
+
+
+def test_many_names_take_one_walk():
+    r = random.Random(1)
+    names = ["".join(r.choices("abcdefghijklmnop", k=r.randint(3, 9))).capitalize() for _ in range(60_000)]
+    text = "".join(f"Mr. {n} met O'Brien. " for n in ["O'Brien", *names])
+    began = time.time()
+    found = surrogates.find(text)
+    assert len(found) > 1.99 * len(names) and time.time() - began < 30
+    text = "Mr. O'Brien, Mr. O and Mr. Ann. O'Briens O'Brien O Ann Anna xAnn Ann's"
+    assert [text[a:b] for a, b, _ in surrogates.find(text)] == ["O'Brien", "O", "Ann", "O'Brien", "Ann", "Anna", "Ann"]
+
+
 @pytest.mark.parametrize("frame, entity, kind", ENTITIES)
 def test_whole_entities(frame, entity, kind):
     text = frame % entity

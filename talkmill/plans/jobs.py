@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,17 +103,30 @@ def backfill(collection: store.Collection, assignments: DataFrame, expect: int)
     return after.where("coalesce(speaker_id, '') != ''").groupBy(F.col("speaker_id").alias("person")).agg(F.count("*").alias("records"))
 
 
-def nightly(shows: list[str], run: Callable[[str], dict]) -> dict[str, dict]:
-    """run(show) for each show, whatever becomes of the others; what each gave. Shows that failed are told, with their errors, once all have had their turn."""
-    done, failed = {}, {}
-    for show in shows:
+def nightly(shows: list[str], run: Callable[[str], dict], *, at_once: int = 4) -> dict[str, dict]:
+    """run(show) for each show, up to at_once side by side, whatever becomes of the others; what each gave. Shows that failed are told, with their errors, once all have had their turn.
+
+    Each show's jobs go to a scheduler pool of its own name, and its thread has the session's properties; so where spark.scheduler.mode is FAIR, a show with much to do takes no other's share. Shows that write to one collection wait for each other there (Collection's wait_s), and nowhere else.
+    """
+    spark, done, failed = SparkSession.active(), {}, {}
+
+    def turn(show: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", show)
         try:
             done[show] = run(show)
         except Exception as e:  # noqa: BLE001  a show's failure is its own
             failed[show] = e
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        # each turn inherits the caller's local properties, and leaves none behind for the next on its thread
+        for each in [pool.submit(inheritable_thread_target(spark)(turn), show) for show in shows]:
+            each.result()
     if failed:
-        raise ExceptionGroup(f"{len(failed)} of {len(shows)} shows failed: {', '.join(sorted(failed))}", list(failed.values()))
-    return done
+        told = [s for s in shows if s in failed]
+        raise ExceptionGroup(f"{len(told)} of {len(shows)} shows failed: {', '.join(sorted(told))}", [failed[s] for s in told])
+    return {s: done[s] for s in shows}
 
 
 def run_show(spark: SparkSession, show: str, folder: str, feed: DataFrame, collection: store.Collection, exclusions: DataFrame, encode: Callable[[pd.Series], pd.Series], *, threshold: int = 10, cap: int = 0) -> dict:

@@ -1,5 +1,7 @@
 """Jobs from end to end over small collections."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +102,38 @@ def test_a_failing_show_doesnt_stop_the_others(spark, show):
     ran = []
     with pytest.raises(ExceptionGroup, match="1 of 2 shows failed: T") as e:
         jobs.nightly(["T", "S"], lambda s: ran.append(s) or run(s))
-    assert ran == ["T", "S"] and isinstance(e.value.exceptions[0], Refused)
+    assert sorted(ran) == ["S", "T"] and isinstance(e.value.exceptions[0], Refused)
     assert c.read().where("episode_number = '3'").count() == 5
     assert jobs.nightly(["S"], run) == {"S": {"IDENTIFY_ONLY": 2, "written": 0, "pruned": 0}}
+
+
+def test_shows_run_side_by_side(spark):
+    """Each waits for all others, which only ends if none waits for its turn; each has a pool of its own and what its caller set."""
+    together, seen = threading.Barrier(3, timeout=60), {}
+    spark.sparkContext.setLocalProperty("talkmill.night", "7")
+
+    def run(show):
+        together.wait()
+        get = spark.sparkContext.getLocalProperty
+        seen[show] = (get("spark.scheduler.pool"), get("talkmill.night"), spark.range(1000).where("id % 2 = 0").count())
+        if show == "b":
+            raise ValueError("b is broken")
+        return {"show": show}
+
+    with pytest.raises(ExceptionGroup, match="1 of 3 shows failed: b") as e:
+        jobs.nightly(["a", "b", "c"], run, at_once=3)
+    assert [str(x) for x in e.value.exceptions] == ["b is broken"]
+    assert seen == {s: (s, "7", 500) for s in "abc"} and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    slow = threading.Event()
+    order = []
+
+    def turn(show):
+        if show == "slow":
+            assert slow.wait(60)
+        order.append(show)
+        if len(order) == 4:
+            slow.set()
+        return {}
+
+    assert list(jobs.nightly(["slow", "w", "x", "y", "z"], turn, at_once=2)) == ["slow", "w", "x", "y", "z"] and order[-1] == "slow"
+    spark.sparkContext.setLocalProperty("talkmill.night", None)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import struct
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -289,6 +291,49 @@ def s15(spark, d):
     return out.select("episode", "cluster", F.col("draw").cast("long").alias("draw"), "length_s", "error_kind", F.get("vector", F.lit(1)).cast("double").alias("y"))
 
 
+def _waves(vectors: pd.Series) -> pd.Series:
+    """WAV files of one second: each entry of a vector is a stretch of equal samples. Every second file has one channel at 16 kHz, the others two at 48 kHz."""
+
+    def one(v, at: int) -> bytes:
+        rate, channels = ((16_000, 1), (48_000, 2))[at % 2]
+        x = np.floor(np.asarray(v[:64], float) * 32_767).astype("<i2")
+        body = np.repeat(np.repeat(x, rate // 64), channels).tobytes()
+        return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", 36 + len(body), b"WAVE", b"fmt ", 16, 1, channels, rate, rate * channels * 2, channels * 2, 16, b"data", len(body)) + body
+
+    return vectors.map(lambda r: one(r["embedding"], r["vec_id"]))
+
+
+@query("s15_cut_crops", "SELECT vec_id, place, CASE WHEN place = 0 THEN 8000 ELSE 1600 END AS n_samples, CASE WHEN vec_id % 2 = 0 THEN 16000 ELSE 48000 END AS native_rate, CASE WHEN place = 0 AND vec_id % 2 = 0 THEN round(list_avg(list_transform(embedding[17:48], lambda x: floor(CAST(x AS DOUBLE) * 32767) / 32768)), 6) END AS mean FROM embeddings CROSS JOIN (SELECT unnest([0, 1]) AS place)")
+def s15c(spark, d):
+    """Crops from the middle of files and over their ends, at a rate of their own or another."""
+    from .sources.audio import cut_crops
+    from .sources.readers import with_model
+
+    rows = table(spark, d, "embeddings")
+    files = with_model(rows.select(F.col("vec_id").cast("string").alias("path"), F.struct("vec_id", "embedding").alias("v")), lambda v: _waves(pd.Series(v.to_dict("records"))), "v", "content", "binary")
+    place = F.explode(F.array(F.struct(F.lit(0).alias("place"), F.lit(0.25).alias("crop_start_s")), F.struct(F.lit(1).alias("place"), F.lit(0.9).alias("crop_start_s"))))
+    plan = rows.select("vec_id", F.col("vec_id").cast("string").alias("audio_path"), place.alias("c")).select("vec_id", "audio_path", "c.*", F.lit(0.5).alias("crop_length_s"))
+    mean = F.round(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size("samples"), 6)
+    return cut_crops(plan, files).select("vec_id", "place", F.size("samples").alias("n_samples"), "native_rate", F.when((F.col("place") == 0) & (F.col("native_rate") == 16_000), mean).alias("mean"))
+
+
+@query("p7_k13_resumed_stream", f"WITH {_LONG_CROPS} SELECT episode, cluster, draw, length_s, error_kind, CASE WHEN error_kind IS NULL THEN y END AS y FROM heard")
+def p7s(spark, d):
+    """Plans are sent in parts, and again; two runs take each crop once."""
+    from .sources.readers import embedded_crops
+    from .streaming.resume import embed_stream, read_log, send_plan
+
+    plan, at = crops(spark, d), place(spark, "stream")
+    plan = plan.select("episode", "cluster", F.col("draw").cast("long").alias("draw"), "length_s", "crop_start_s", "crop_length_s", "audio_path")
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in plan.schema)}, attempt int"
+    for wanted in (F.col("episode") % 3 == 0, F.col("episode") % 3 < 2), (F.lit(True), F.col("episode") % 3 == 1):
+        for part in wanted:
+            send_plan(plan.where(part), f"{at}/plans")
+        embed_stream(spark, f"{at}/plans", f"{at}/log", f"{at}/held", schema, lambda batch: embedded_crops(batch, _voice))
+    log = read_log(spark, f"{at}/log", f"{schema}, vector array<double>, error string, error_kind string")
+    return log.select("episode", "cluster", "draw", "length_s", "error_kind", F.get("vector", F.lit(1)).alias("y"))
+
+
 _CENTRE = "un AS (SELECT episode, cluster, sum(duration_s) / sum(duration_s) AS mx, sum(y * duration_s) / sum(duration_s) AS my FROM heard WHERE error_kind IS NULL GROUP BY episode, cluster), sc AS (SELECT episode, cluster, mx / sqrt(mx * mx + my * my) AS near_x, (mx * 0.6 + my * 0.8) / sqrt(mx * mx + my * my) AS near_y FROM un)"
 
 

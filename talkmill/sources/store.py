@@ -8,6 +8,7 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import json
+import threading
 import time
 import uuid
 from collections.abc import Iterator
@@ -65,6 +66,24 @@ class Files:
         stream.close()
         return True
 
+    def settle(self, name: str, text: str) -> bool:
+        """Writes a whole file unless there is one, so that none is ever seen in part; of several that try, one does."""
+        part = f"{name}.{uuid.uuid4().hex}"
+        stream = self.fs.create(self.path(part), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        options = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        kept = self.spark.sparkContext._gateway.new_array(options, 1)
+        kept[0] = options.NONE
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(name).toUri(), self.spark._jsc.hadoopConfiguration()).rename(self.path(part), self.path(name), kept)
+        except Exception as e:
+            self.remove(part)
+            if "AlreadyExists" in str(e) or self.fs.exists(self.path(name)):
+                return False
+            raise
+        return True
+
     def names(self) -> list[str]:
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.path(""))) if self.fs.exists(self.path("")) else []
 
@@ -77,30 +96,38 @@ class Files:
 
 
 class Collection:
-    """Records by id. One writer at a time: another one that tries meanwhile is refused.
+    """Records by id. One writer at a time: another one that tries meanwhile waits for up to wait_s seconds and is refused then.
+
+    The lock, which a writer renews, saves work; that no write is lost doesn't rest on it. Manifests are numbered, and each number is taken once: a writer whose manifest would follow one that another has followed meanwhile is refused, with nothing changed.
 
-    buckets: how many, fixed when the collection is begun. A write costs the buckets that it touches; so there should be so many that one is a few hundred MB.
+    buckets: how many; a collection that is there keeps its number until it is replaced. A write costs the buckets that it touches; Spark splits large ones into several files.
     """
 
-    #: Seconds after which a writer's lock counts as left behind.
-    LOCK_S = 6 * 3600
+    #: Seconds after which a writer's lock counts as left behind; it is renewed four times as often.
+    LOCK_S = 600
 
-    def __init__(self, spark: SparkSession, root: str, name: str, allowed: tuple[str, ...] | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, name: str, allowed: tuple[str, ...] | None = None, buckets: int = 64, wait_s: float = 0):
         if allowed is not None and name not in allowed:
             raise ValueError(f"writes go to {', '.join(allowed)}, not {name}")
         self.spark, self.name, self.at, self.buckets = spark, name, f"{root.rstrip('/')}/{name}", buckets
-        self.files = Files(spark, self.at)
+        self.files, self.wait_s = Files(spark, self.at), wait_s
 
     def _manifest(self) -> dict | None:
-        name = self.files.read("CURRENT")
-        return json.loads(self.files.read(f"manifests/{name}") or "{}") if name else None
+        """The manifest that counts: that which CURRENT names, or one that has followed it where a writer broke off before it moved CURRENT."""
+        name, found = self.files.read("CURRENT") or self.files.read(f"commits/{1:012d}"), None
+        while name:
+            found = json.loads(self.files.read(f"manifests/{name}") or "{}")
+            name = self.files.read(f"commits/{found.get('version', 0) + 1:012d}")
+        return found
 
     def exists(self) -> bool:
-        return self.files.read("CURRENT") is not None
+        return self._manifest() is not None
 
     def read(self, buckets: list[int] | None = None) -> DataFrame:
         """The current records, or those of some buckets; a collection that isn't there raises."""
-        manifest = self._manifest()
+        return self._read(self._manifest(), buckets)
+
+    def _read(self, manifest: dict | None, buckets: list[int] | None) -> DataFrame:
         if manifest is None:
             raise LookupError(f"no collection {self.name}")
         schema = T.StructType.fromJson(manifest["schema"])
@@ -109,59 +136,84 @@ class Collection:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def lookup(self, ids: list[str]) -> DataFrame:
+        """The records of a few ids: of the buckets that they fall in, the row groups whose filters and bounds don't rule them out."""
+        manifest = self._manifest()
+        if manifest is None:
+            raise LookupError(f"no collection {self.name}")
+        wanted = self.spark.createDataFrame([(i,) for i in ids], "id string").select(_bucket("id", manifest["of"]).alias("b")).distinct()
+        return self._read(manifest, [r["b"] for r in wanted.collect()]).where(F.col("id").isin(list(ids)))
+
     def metadata(self) -> dict:
         return (self._manifest() or {}).get("metadata", {})
 
     def bucket(self, id_col: str = "id") -> Column:
         """The bucket that a record lies in."""
-        n = (self._manifest() or {}).get("of", self.buckets)
-        return F.pmod(F.xxhash64(F.regexp_replace(F.col(id_col).cast("string"), "-[^-]*$", "")), F.lit(n)).cast("int")
+        return _bucket(id_col, (self._manifest() or {}).get("of", self.buckets))
 
     def replace(self, records: DataFrame, metadata: dict | None = None, **keep) -> None:
-        """All records anew."""
-        with self._writer():
-            self._put(records, None, metadata, **keep)
+        """All records anew, in as many buckets as this Collection says."""
+        with self._writer() as base:
+            self._put(records, base, None, metadata, **keep)
 
     def merge(self, new: DataFrame | None = None, drop: DataFrame | None = None, **keep) -> int:
         """Merges records in (merged()), and takes those of the ids in drop out, but for the new ones. Only buckets with such ids are read and written; their number is returned."""
-        with self._writer():
-            if not self.exists():
-                self._put(new, None, None, **keep)
+        with self._writer() as base:
+            if base is None:
+                self._put(new, None, None, None, **keep)
                 return self.buckets
             ids = [df.select("id") for df in (new, drop) if df is not None]
-            touched = sorted(r[0] for r in reduce(DataFrame.unionByName, ids).select(self.bucket().alias("b")).distinct().collect())  # as many as there are buckets, at most
+            touched = sorted(r[0] for r in reduce(DataFrame.unionByName, ids).select(_bucket("id", base["of"]).alias("b")).distinct().collect())  # as many as there are buckets, at most
             if touched:
-                rows = self.read(touched)
+                rows = self._read(base, touched)
                 if drop is not None:
                     rows = rows.join(drop.select("id"), "id", "left_anti")
-                self._put(rows if new is None else merged(rows, new), touched, None, **keep)
+                self._put(rows if new is None else merged(rows, new), base, touched, None, **keep)
             return len(touched)
 
     @contextlib.contextmanager
-    def _writer(self) -> Iterator[None]:
-        mine = f"{uuid.uuid4().hex} {time.time():.0f}"
-        if not self.files.claim("LOCK", mine):
+    def _writer(self) -> Iterator[dict | None]:
+        """Holds the lock; gives the manifest that a write starts from."""
+        mine, until, over = uuid.uuid4().hex, time.time() + self.wait_s, threading.Event()
+        stamp = lambda: f"{mine} {time.time():.0f}"
+        while not self.files.claim("LOCK", stamp()):
             held = (self.files.read("LOCK") or "").split()
-            if len(held) < 2 or time.time() - float(held[1]) < self.LOCK_S:
-                raise Refused(f"{self.name} is being written")
-            self.files.remove("LOCK")
-            if not self.files.claim("LOCK", mine):
+            if len(held) == 2 and time.time() - float(held[1]) >= self.LOCK_S:
+                self.files.remove("LOCK")
+            elif time.time() >= until:
                 raise Refused(f"{self.name} is being written")
+            else:
+                time.sleep(min(1.0, self.wait_s / 10))
+
+        def renew() -> None:
+            while not over.wait(self.LOCK_S / 4):
+                self.files.write("LOCK", stamp())
+
+        keeper = threading.Thread(target=renew, daemon=True)
+        keeper.start()
         try:
-            yield
+            yield self._manifest()
         finally:
-            if self.files.read("LOCK") == mine:
+            over.set()
+            keeper.join()
+            if (self.files.read("LOCK") or "").startswith(mine):
                 self.files.remove("LOCK")
 
-    def _put(self, records: DataFrame, touched: list[int] | None, metadata: dict | None, keep: int = 2, grace_s: float = 24 * 3600) -> None:
-        """Writes records, which are all of the buckets touched, and makes them count."""
-        old = self._manifest() or {"buckets": {}, "metadata": {}, "of": self.buckets}
-        snapshot = f"v-{time.time_ns():020d}"
-        records.withColumn("bucket_", self.bucket()).repartition(F.col("bucket_")).write.partitionBy("bucket_").parquet(f"{self.at}/{snapshot}")
+    def _put(self, records: DataFrame, base: dict | None, touched: list[int] | None, metadata: dict | None, keep: int = 2, grace_s: float = 24 * 3600) -> None:
+        """Writes records, which are all of the buckets touched (all there are, if None), and makes them count after base, if nothing else has come after it."""
+        old = base or {"buckets": {}, "metadata": {}}
+        snapshot, of = f"v-{time.time_ns():020d}", self.buckets if touched is None else old["of"]
+        laid = records.withColumn("bucket_", _bucket("id", of)).hint("rebalance", "bucket_").sortWithinPartitions("bucket_", "id")  # so that lookup() skips pages and row groups
+        laid.write.option("parquet.bloom.filter.enabled#id", "true").partitionBy("bucket_").parquet(f"{self.at}/{snapshot}")
         there = {n.split("=")[1]: snapshot for n in Files(self.spark, f"{self.at}/{snapshot}").names() if n.startswith("bucket_=")}
         stay = {} if touched is None else {b: at for b, at in old["buckets"].items() if int(b) not in touched}
-        manifest = {"buckets": stay | there, "of": old["of"], "schema": json.loads(records.schema.json()), "metadata": metadata if metadata is not None else old["metadata"]}
+        version = old.get("version", 0) + 1
+        manifest = {"version": version, "buckets": stay | there, "of": of, "schema": json.loads(records.schema.json()), "metadata": metadata if metadata is not None else old["metadata"]}
         self.files.write(f"manifests/{snapshot}", json.dumps(manifest))
+        if not self.files.settle(f"commits/{version:012d}", snapshot):
+            self.files.remove(f"manifests/{snapshot}")
+            self.files.remove(snapshot)
+            raise Refused(f"{self.name} was written meanwhile")
         self.files.write("CURRENT", snapshot)
         self._clean(keep, grace_s)
 
@@ -182,11 +234,19 @@ class Collection:
             for at in {at for _, at in lost} - {at for at, _ in named}:
                 self.files.remove(at)
             self.files.remove(f"manifests/{n}")
+        first = min(json.loads(self.files.read(f"manifests/{n}")).get("version", 1) for n in names if n not in gone)
+        for n in Files(self.spark, f"{self.at}/commits").names():
+            if n.isdigit() and int(n) < first:
+                self.files.remove(f"commits/{n}")
 
     def count(self) -> int:
         return self.read().count() if self.exists() else 0
 
 
+def _bucket(id_col: str, of: int) -> Column:
+    return F.pmod(F.xxhash64(F.regexp_replace(F.col(id_col).cast("string"), "-[^-]*$", "")), F.lit(of)).cast("int")
+
+
 def merged(current: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Upsert: a new record's values win, its missing ones leave what was there. A value can thus be added and changed, not removed."""
     b = new.select(F.col(key).alias("k_"), *(F.col(c).alias(f"{c}_n") for c in new.columns if c != key))

@@ -1,7 +1,10 @@
 """Plans, audits, snapshots, exports, readers and the stream."""
 
 import json
+import threading
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -382,3 +385,98 @@ def test_search_over_vectors_of_any_size(spark, dim):
 
     got = [x["id"] for x in nearest(spark.createDataFrame(rows, "id int, embedding array<double>"), query, 5).collect()]
     assert got == [i for i, _ in sorted(rows, key=lambda x: -cosine(x[1]))[:5]]
+
+
+def _rows(spark, ids, value):
+    return spark.createDataFrame([(f"e{i}-0", value) for i in ids], "id string, value string")
+
+
+def test_two_writers_that_both_took_a_lock_for_left_behind(spark, tmp_path, monkeypatch):
+    """Both get in, from the same records; the one that ends last is refused, and nothing of the first one's is lost."""
+    a, b = (store.Collection(spark, f"file://{tmp_path}", "c", buckets=4) for _ in range(2))
+    a.replace(_rows(spark, range(10), "old"))
+    with b._writer() as base:
+        b.files.remove("LOCK")  # as if it had been taken for left behind
+        a.merge(_rows(spark, [1, 20], "a"))
+        with pytest.raises(planning.Refused, match="meanwhile"):
+            b._put(_rows(spark, range(5), "b"), base, None, None)
+    got = {r["id"]: r["value"] for r in a.read().collect()}
+    assert got == {f"e{i}-0": "a" if i in (1, 20) else "old" for i in [*range(10), 20]}
+    assert len([n for n in a.files.names() if n.startswith("v-")]) == 2
+    b.merge(_rows(spark, [2], "b"))
+    assert a.read().where("value = 'b'").count() == 1
+
+
+def test_a_write_that_broke_off_before_current_moved(spark, tmp_path, monkeypatch):
+    c = store.Collection(spark, f"file://{tmp_path}", "c", buckets=2)
+    c.replace(_rows(spark, range(3), "old"))
+    write = c.files.write
+
+    def breaks(name, text):
+        if name == "CURRENT":
+            raise OSError("gone")
+        write(name, text)
+
+    monkeypatch.setattr(c.files, "write", breaks)
+    with pytest.raises(OSError):
+        c.merge(_rows(spark, [1], "new"))
+    again = store.Collection(spark, f"file://{tmp_path}", "c")
+    assert again.read().where("value = 'new'").count() == 1 and again.count() == 3  # what was settled counts
+    again.merge(_rows(spark, [2], "later"))
+    assert {r["value"] for r in again.read().collect()} == {"old", "new", "later"}
+
+
+def test_a_lock_is_renewed_and_waited_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store.Collection, "LOCK_S", 4)
+    a, b = store.Collection(spark, f"file://{tmp_path}", "c"), store.Collection(spark, f"file://{tmp_path}", "c", wait_s=30)
+    with a._writer():
+        first = a.files.read("LOCK")
+        time.sleep(5)
+        assert a.files.read("LOCK") != first
+        with pytest.raises(planning.Refused):
+            store.Collection(spark, f"file://{tmp_path}", "c").replace(_rows(spark, [1], "x"))
+        waiting = threading.Thread(target=lambda: b.replace(_rows(spark, [1], "waited")))
+        waiting.start()
+        time.sleep(1)
+        assert not a.exists()
+    waiting.join()
+    assert a.read().first()["value"] == "waited" and a.files.read("LOCK") is None
+
+
+def test_buckets_change_when_all_is_replaced(spark, tmp_path):
+    store.Collection(spark, f"file://{tmp_path}", "c", buckets=2).replace(_rows(spark, range(40), "x"))
+    more = store.Collection(spark, f"file://{tmp_path}", "c", buckets=16)
+    more.merge(_rows(spark, [3], "y"))
+    assert more._manifest()["of"] == 2
+    more.replace(more.read())
+    assert more._manifest()["of"] == 16 and len(more._manifest()["buckets"]) > 2 and more.count() == 40
+    assert more.merge(_rows(spark, [3], "z")) == 1 and more.read().where("value = 'z'").count() == 1
+
+
+def test_a_lookup_reads_little(spark, tmp_path):
+    c = store.Collection(spark, f"file://{tmp_path}", "c", buckets=64)
+    c.replace(spark.range(64_000).selectExpr("concat('e', id % 6400, '-', id) as id", "repeat(cast(id as string), 20) as document"))
+    ids = [f"e{i}-{i}" for i in range(0, 50, 5)] + ["e1-none"]
+    found = c.lookup(ids)
+    assert sorted(r["id"] for r in found.collect()) == sorted(ids[:-1])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "In(id" in plan
+    scanned = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            scanned.append((node.metrics().apply("numFiles").value(), node.metrics().apply("numOutputRows").value()))
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        for child in inner or [node.children().apply(i) for i in range(node.children().size())]:
+            walk(child)
+
+    found._jdf.collectToPython()
+    walk(found._jdf.queryExecution().executedPlan())
+    assert scanned and sum(files for files, _ in scanned) <= 11 and sum(rows for _, rows in scanned) < 0.2 * 64_000
+    (footer,) = {f for p in tmp_path.rglob("*.parquet") for f in [pq.ParquetFile(p).metadata.row_group(0).column(0).path_in_schema]}
+    assert footer == "id"
+    names = [pq.read_table(p, columns=["id"]).column(0).to_pylist() for p in tmp_path.rglob("*.parquet")]
+    assert all(n == sorted(n) for n in names)
+    with pytest.raises(LookupError):
+        store.Collection(spark, f"file://{tmp_path}", "none").lookup(["x"])

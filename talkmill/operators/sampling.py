@@ -49,11 +49,11 @@ def substitute_unavailable(picks: DataFrame, by: str = "stratum") -> DataFrame:
 
     Picks that wait for a place are served in their order. Along the places of a stratum, the line of those that wait grows by one at an unavailable pick and shrinks by one at a free place, if any wait; so the place that ends the i-th wait is the i-th pick's. Two running sums find these places, and a join by number hands them out.
     """
-    gone = F.array_contains(F.coalesce("unavailable", F.array().cast(picks.schema["unavailable"].dataType)), F.col("index"))
-    rows = picks.select(by, F.col("index").cast("long").alias("index"), gone.alias("gone"))
-    of = picks.groupBy(by).agg(F.max("count").alias("count"), F.first("unavailable").alias("unavailable"))
-    every = of.where("count > 0").select(by, "unavailable", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count").cast("long") - 1)).alias("index"))
-    free = every.where(~F.coalesce(F.array_contains("unavailable", F.col("index")), F.lit(False))).select(by, "index").join(rows.select(by, "index"), [by, "index"], "left_anti")
+    lost = picks.select(by, F.explode("unavailable").alias("index")).select(by, F.col("index").cast("long").alias("index")).distinct()
+    rows = picks.select(by, F.col("index").cast("long").alias("index")).join(lost.withColumn("gone", F.lit(True)), [by, "index"], "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+    of = picks.groupBy(by).agg(F.max("count").alias("count"))
+    every = of.where("count > 0").select(by, F.explode(F.sequence(F.lit(0).cast("long"), F.col("count").cast("long") - 1)).alias("index"))
+    free = every.join(lost, [by, "index"], "left_anti").join(rows.select(by, "index"), [by, "index"], "left_anti")
     steps = rows.where("gone").select(by, "index", F.lit(1).alias("step")).unionByName(free.select(by, "index", F.lit(-1).alias("step")))
     along = Window.partitionBy(by).orderBy("index")
     steps = steps.withColumn("sum_", F.sum("step").over(along.rowsBetween(Window.unboundedPreceding, 0)))

@@ -360,22 +360,6 @@ def s16(spark, d):
     return out.select("conv_id", "turn", F.size("vector").cast("long").alias("dimension"), F.round(norm(F.col("vector")), 4).alias("length"), F.count("*").over(same).alias("alike"))
 
 
-_ENVS = [("whole", {"STORE_URL": "https://x", "STORE_TOKEN": "t"}), ("no token", {"STORE_URL": "https://x"}), ("nothing", {}), ("far and plain", {"STORE_URL": "http://x", "STORE_TOKEN": "t"}), ("near and plain", {"STORE_URL": "http://localhost:8", "STORE_TOKEN": "t"})]
-
-
-@query("s18_settings", "SELECT * FROM (VALUES ('whole', 'https://x'), ('no token', 'set STORE_TOKEN'), ('nothing', 'set STORE_URL and STORE_TOKEN'), ('far and plain', 'the store must be reached by https'), ('near and plain', 'http://localhost:8')) AS t(env, outcome)")
-def s18(spark, d):
-    from .sources.readers import settings
-
-    rows = []
-    for name, env in _ENVS:
-        try:
-            rows.append((name, settings(env)["url"]))
-        except (KeyError, ValueError) as e:
-            rows.append((name, str(e.args[0])))
-    return spark.createDataFrame(rows, "env string, outcome string")
-
-
 # ---- collections: embeddings as records ----
 
 _RECORD = "id, show, episode_number, date, speaker_id, md5(document) AS document_md5, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total"
@@ -452,6 +436,21 @@ def k8(spark, d):
     return spark.createDataFrame([(n, load_export(spark, f"{root}/{n}").count()) for n in names], "name string, records long")
 
 
+@query("j16_k9_mended_copy", f"SELECT id, show, date_ts, speaker_id FROM ({STORE_SQL}) WHERE id % 97 <> 5")
+def j16m(spark, d):
+    """A copy with records changed, lacking and too many is mended by its digests; it then agrees, and holds what its source holds."""
+    from .operators import digests
+
+    at, rows = place(spark, "laid"), STORE(spark, d).where("id % 97 <> 5").select("id", "show", "date_ts", "speaker_id")
+    wrong = rows.where("id % 251 <> 7").withColumn("show", F.when(F.col("id") % 113 == 2, "another").otherwise(F.col("show"))).unionByName(STORE(spark, d).where("id % 97 = 5").select(*rows.columns))
+    digests.lay_out(rows, f"{at}/a")
+    digests.lay_out(wrong, f"{at}/b")
+    digests.mend(spark, f"{at}/a", f"{at}/b", f"{at}/c")
+    if digests.differing(spark, f"{at}/a", f"{at}/c"):
+        raise RuntimeError("the mended copy differs")
+    return digests.read_ranges(spark, f"{at}/c")
+
+
 @query("k9_k10_copied", _RECORDS_SQL)
 def k9(spark, d):
     from .sources.store import Collection, copy_collection, create_destination

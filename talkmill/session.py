@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -63,3 +64,13 @@ def drop_written(df: DataFrame) -> None:
     spark, at = df.sparkSession, df._talkmill_at
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_written(spark: SparkSession, older_s: float = 2 * 24 * 3600) -> int:
+    """Deletes what jobs have left in the library's part of the shared folder over older_s seconds ago: tables that cut lineage, and stores, feeds and files of queries. Results are read from them, so that a job can't delete its last ones itself. Returns how many folders went."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/talkmill")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [x for x in (files.listStatus(path) if files.exists(path) else []) if time.time() - x.getModificationTime() / 1000 > older_s]
+    for x in old:
+        files.delete(x.getPath(), True)
+    return len(old)

@@ -6,6 +6,7 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,10 @@ from ..operators.turns import merge_turns, non_monotonic, speech_shares
 from ..session import prepared
 
 
+#: Requests to a file system that the driver makes at a time.
+AT_ONCE = 16
+
+
 def transcripts(spark: SparkSession, folder: str, show: str | None = None) -> DataFrame:
     """Text files of a folder whole: name, show, episode_number, date, year ("unparsed" if the name isn't a transcript's), title, text."""
     glob = f"{show} - Episode *.txt" if show else "*.txt"
@@ -99,19 +104,22 @@ def write_transcripts(segs: DataFrame, folder: str) -> int:
     named = whole.select(file_name(F.col("show"), F.col("episode_number"), F.col("date")).alias("name"), text.alias("value"))
     part = f".partial-{uuid.uuid4().hex}"
     named.repartition("name").write.partitionBy("name").text(f"{folder}/{part}")
-    files, n = Files(spark, folder), 0
+    files, made = Files(spark, folder), Files(spark, f"{folder}/{part}")
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    for at in Files(spark, f"{folder}/{part}").names():
-        if at.startswith("name="):
-            name = unescape(at[5:])
-            if "/" in name:
-                raise ValueError(f"{name!r} can't be a file's name")
-            (found,) = (f for f in Files(spark, f"{folder}/{part}/{at}").names() if f.startswith("part-"))
-            files.remove(name)
-            files.move(f"{part}/{at}/{found}", name)
-            n += 1
+    there = {at: unescape(at[5:]) for at in made.names() if at.startswith("name=")}
+    for name in there.values():
+        if "/" in name:
+            raise ValueError(f"{name!r} can't be a file's name")
+
+    def settle(at: str) -> None:
+        (found,) = (f for f in Files(spark, f"{folder}/{part}/{at}").names() if f.startswith("part-"))
+        files.remove(there[at])
+        files.move(f"{part}/{at}/{found}", there[at])
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:  # names of one folder: a store answers many requests at a time
+        list(pool.map(settle, there))
     files.remove(part)
-    return n
+    return len(there)
 
 
 def book_pages(texts: DataFrame, page_end: str = "\f") -> DataFrame:

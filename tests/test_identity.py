@@ -196,3 +196,22 @@ def test_vectors_are_assigned_like_their_scores(spark, monkeypatch, few):
     for people in (p, p.where("person = 'c'"), p.where("person = 'x'")):
         want = identity.assign(identity.score(v, people, ["k"]), ["k"], 0.7, 0.1)
         assert sorted(map(tuple, identity.assign_vectors(v, people, ["k"], 0.7, 0.1).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sums_of_single_precision_in_other_orders(spark):
+    """Stored vectors have 24 bits, sums 53: whatever order rows come in, centroids and scores agree far below the tolerance that copies are compared with, though sums of single precision would not."""
+    r = np.random.default_rng(6)
+    x = (r.normal(size=(4000, 6)) * 10.0 ** r.integers(-3, 4, (4000, 1))).astype(np.float32)
+    found = []
+    for order in (np.arange(4000), np.arange(4000)[::-1], r.permutation(4000)):
+        df = spark.createDataFrame([(1, x[i].tolist(), 1.0) for i in order], "k int, vector array<float>, w double").repartition(3)
+        found.append(np.array(V.centroids(df, ["k"], "vector", "w").first()["centroid"]))
+    exact = x.astype(float).sum(axis=0)
+    exact /= np.linalg.norm(exact)
+    assert all(np.abs(c - exact).max() < 1e-12 for c in found)
+    single = np.zeros(6, np.float32)
+    for row in x:
+        single += row
+    assert np.abs(single / np.linalg.norm(single) - exact).max() > 1e-9
+    close = spark.createDataFrame([(found[0].tolist(), found[1].tolist())], "a array<double>, b array<double>").select(V.all_close(F.col("a"), F.col("b"), 0.0).alias("ok")).first()["ok"]
+    assert close

@@ -73,3 +73,19 @@ def test_people_are_broadcast_only_up_to_a_count(spark, monkeypatch):
 def test_state_is_marked_where_records_disagree(spark):
     df = spark.createDataFrame([("S", "1", "d", "p-0", 2), ("S", "1", "d", "p-1", 3)], "show string, episode_number string, date string, id string, n_chunks int")
     assert reconcile.completeness(df).select("is_uniform", F.col("stored_n")).first()["is_uniform"] is False
+
+
+def test_first_people_are_picked_before_the_shuffle(spark):
+    """Of all people's scores, each task keeps two for a vector; only these are shuffled and sorted together."""
+    v = spark.createDataFrame([(1, [1.0, 0.0])], "k int, vector array<double>")
+    p = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.6, 0.8])], "person string, centroid array<double>")
+    text = plan(identity.assign(identity.score(v, p, ["k"]), ["k"], 0.5, 0.1))
+    assert "WindowGroupLimit" in text and text.index("WindowGroupLimit") < text.rindex("WindowGroupLimit")
+
+
+def test_old_tables_go(spark):
+    from talkmill.session import clear_written, shared_dir, written
+
+    kept = written(spark.range(3), "kept")
+    assert clear_written(spark, 3600) == 0 and kept.count() == 3
+    assert clear_written(spark, -1) >= 1 and clear_written(spark, -1) == 0 and shared_dir(spark)

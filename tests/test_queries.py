@@ -29,7 +29,7 @@ def plain(rows):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
-@pytest.mark.parametrize("name", ["s1_k4_written_transcripts", "s3_feed", "s10_k13_appended_log", "s13_audio_rates", "s15_embedded_crops", "p9_identified", "k18_p8_bulk_embed", "k1_replaced_episodes", "s11_k5_k6_export", "k8_backups", "k16_uploaded_book", "p3_nightly", "j21_w9_nearest_clusters", "h8_substitutes", "a32_offset_scan", "w4_assign"])
+@pytest.mark.parametrize("name", ["s1_k4_written_transcripts", "s3_feed", "s10_k13_appended_log", "s13_audio_rates", "s15_embedded_crops", "p9_identified", "k18_p8_bulk_embed", "k1_replaced_episodes", "s11_k5_k6_export", "k8_backups", "k16_uploaded_book", "p3_nightly", "j21_w9_nearest_clusters", "h8_substitutes", "a32_offset_scan", "w4_assign", "j15_w7_speaker_at", "s8_nearest_many", "s3_feeds_stream", "s15_cut_crops", "p7_k13_resumed_stream", "j16_k9_mended_copy", "c2_chunks_folded"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 

@@ -436,13 +436,13 @@ def k8(spark, d):
     return spark.createDataFrame([(n, load_export(spark, f"{root}/{n}").count()) for n in names], "name string, records long")
 
 
-@query("j16_k9_mended_copy", f"SELECT id, show, date_ts, speaker_id FROM ({STORE_SQL}) WHERE id % 97 <> 5")
+@query("j16_k9_mended_copy", f"SELECT id, show, date_ts, speaker_id FROM ({STORE_SQL})")
 def j16m(spark, d):
     """A copy with records changed, lacking and too many is mended by its digests; it then agrees, and holds what its source holds."""
     from .operators import digests
 
-    at, rows = place(spark, "laid"), STORE(spark, d).where("id % 97 <> 5").select("id", "show", "date_ts", "speaker_id")
-    wrong = rows.where("id % 251 <> 7").withColumn("show", F.when(F.col("id") % 113 == 2, "another").otherwise(F.col("show"))).unionByName(STORE(spark, d).where("id % 97 = 5").select(*rows.columns))
+    at, rows = place(spark, "laid"), STORE(spark, d).select("id", "show", "date_ts", "speaker_id")
+    wrong = rows.where("id % 251 <> 7").withColumn("show", F.when(F.col("id") % 113 == 2, "another").otherwise(F.col("show"))).unionByName(rows.where("id % 97 = 5").withColumn("id", -F.col("id") - 1))
     digests.lay_out(rows, f"{at}/a")
     digests.lay_out(wrong, f"{at}/b")
     digests.mend(spark, f"{at}/a", f"{at}/b", f"{at}/c")

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import norm
-from ..session import prepared, shared_dir, written
+from ..session import prepared, shared_dir
 from . import cells as around
 from .search import nearest
 
 #: Rows and queries in a block, about, where many queries are asked at once.
 ROWS, QUERIES = 2048, 512
+#: Rows of a resident index that one task searches; up to so many, a query isn't compiled.
+HELD = 20_000
 #: Rows that probes are chosen by, at most.
 ASKED = 200
 #: The cell of rows that no pivot is near: without a vector of the index's length.
@@ -48,8 +50,9 @@ class VectorIndex:
         return [(int(c), float(angles[c])) for c in np.argsort(angles, kind="stable") if int(c) in self.sizes]
 
     def resident(self) -> VectorIndex:
-        """The same, with its rows held in the executors' memory; what is lost there is read again from the table."""
-        self.table.persist().count()
+        """The same, with its rows held in the executors' memory, HELD to a task; what is lost there is read again from the table."""
+        self.table = self.table.coalesce(max(1, -(-sum(self.sizes.values()) // HELD))).persist()
+        self.table.count()
         return self
 
     def within(self, cells: list[int]) -> DataFrame:
@@ -108,7 +111,8 @@ def indexed(index: VectorIndex, query: list[float], n: int, tree: dict | None =
     """
     order = index.nearest_cells(query)
     first = [c for c, _ in order[: probes or index.probes]]
-    found = nearest(index.within(first), query, n, tree, index.vector, index.id_col)
+    few = sum(index.sizes[c] for c in first) <= HELD
+    found = nearest(index.within(first), query, n, tree, index.vector, index.id_col, few=few)
     if not exact and tree is None and sum(index.sizes[c] for c in first) >= n:
         return found
     held = [r["distance"] for r in found.select("distance").collect()]  # n at most
@@ -180,12 +184,31 @@ def recall(found: DataFrame, exact: DataFrame) -> float:
 
 
 def tuned(index: VectorIndex, target: float = 0.99, n: int = 10) -> int:
-    """The least power of two of probes, or all, that reaches the target recall of n hits, measured on ASKED rows of the index at most, those with the least hashes of their ids, asked back against all rows."""
-    most = sum(c != ASIDE for c in index.sizes)
-    rows = index.table.where(F.col(index.cell) != ASIDE).orderBy(F.xxhash64(index.id_col), index.id_col).limit(ASKED)
-    asked = written(rows.select(F.col(index.id_col).alias("query_id"), F.col(index.vector).alias("vector")), "asked")
-    exact = written(nearest_many(index, asked, n, exact=True), "exact")
-    probes = 1
-    while probes < most and recall(nearest_many(index, asked, n, probes=probes), exact) < target:
-        probes *= 2
-    return max(1, min(probes, most))
+    """The least number of probes that reaches the target recall of n hits, measured on ASKED rows of the index at most, those with the least hashes of their ids, asked back against all rows.
+
+    One pass over the rows, which go nowhere: each batch is multiplied with the rows asked, and keeps its best n. A hit is found if its cell is among those probed; so its cell's place in the query's order of cells tells from how many probes on.
+    """
+    there = np.array(sorted(c for c in index.sizes if c != ASIDE), int)
+    if len(there) < 2:
+        return 1
+    rows = index.table.where(F.col(index.cell) != ASIDE).select(F.col(index.id_col).alias("id"), F.col(index.vector).cast("array<double>").alias("v"), F.col(index.cell).alias("cell"))
+    asked = np.array([r["v"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(ASKED).collect()])
+    asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                s = np.round(asked @ x.T / np.linalg.norm(x, axis=1), 9)
+                best = np.argpartition(-s, min(n, s.shape[1]) - 1, axis=1)[:, :n]
+                q = np.repeat(np.arange(len(asked)), best.shape[1])
+                at = pa.array(best.ravel())
+                yield pa.RecordBatch.from_arrays([pa.array(q), batch.column(0).take(at), pa.array(s[q, best.ravel()]), batch.column(2).take(at)], ["q", "id", "s", "cell"])
+
+    found = rows.mapInArrow(run, f"q long, id {rows.schema['id'].dataType.simpleString()}, s double, cell int")
+    first = found.withColumn("no", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "id"))).where(F.col("no") <= n).select("q", "cell").collect()
+    order = np.argsort(-(asked @ index.pivots[there].T), axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(len(there))[None, :], axis=1)
+    needed = np.sort([place[r["q"], np.searchsorted(there, r["cell"])] + 1 for r in first])
+    return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])

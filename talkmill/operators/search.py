@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import display_speaker, strip_speaker, to_places
-from ..functions.vectors import dot_with, norm
+from ..functions.vectors import dot, dot_with, norm
 
 if TYPE_CHECKING:
     from .index import VectorIndex
@@ -40,12 +40,13 @@ def filters(show: str | None = None, after_date: str | None = None, before_date:
     return None if not parts else parts[0] if len(parts) == 1 else {"$and": parts}
 
 
-def nearest(records: DataFrame, query: list[float], n: int, tree: dict | None = None, vector: str = "embedding", id_col: str = "id") -> DataFrame:
-    """The n records nearest to the query by cosine distance, ties by id: each partition keeps n, the driver merges them. Filters reach the scan."""
+def nearest(records: DataFrame, query: list[float], n: int, tree: dict | None = None, vector: str = "embedding", id_col: str = "id", *, few: bool = False) -> DataFrame:
+    """The n records nearest to the query by cosine distance, ties by id: each partition keeps n, the driver merges them. Filters reach the scan. Where there are few records, the query is walked along rather than written into code, which would be compiled anew for each one."""
     length = sum(x * x for x in query) ** 0.5
     if length == 0:
         raise ValueError("the query vector has no length")
-    similarity = F.coalesce(F.try_divide(dot_with(F.col(vector), query), norm(F.col(vector)) * length), F.lit(0.0))
+    product = dot(F.col(vector), F.array(*(F.lit(float(x)) for x in query))) if few else dot_with(F.col(vector), query)
+    similarity = F.coalesce(F.try_divide(product, norm(F.col(vector)) * length), F.lit(0.0))
     return records.where(where(tree)).where(F.col(vector).isNotNull()).withColumn("distance", 1 - similarity).orderBy("distance", id_col).limit(n)
 
 

@@ -46,6 +46,15 @@ def test_every_row_is_in_a_cell_and_few_cells_are_probed(built, records):
     assert "PartitionFilters: [cell_#" in plan and "IN (3,5,-1)" in plan.replace("INSET", "IN").replace(" ", "").replace("IN(3,5,-1)", "IN (3,5,-1)")
 
 
+def test_probes_are_the_least_that_reach_the_target(built, records):
+    rows = records.where("id like 'r%'").orderBy(F.xxhash64("id"), "id").limit(index.ASKED).select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+    exact = index.nearest_many(built, rows, 10, exact=True)
+    at = index.tuned(built, 0.9)
+    assert index.recall(index.nearest_many(built, rows, 10, probes=at), exact) >= 0.9
+    assert at == 1 or index.recall(index.nearest_many(built, rows, 10, probes=at - 1), exact) < 0.9
+    assert index.tuned(built, 1.0) >= built.probes >= at
+
+
 def test_recall_and_exact_search(built, records, vectors):
     r = np.random.default_rng(9)
     got = 0
@@ -87,6 +96,9 @@ def test_an_index_is_read_back(spark, built, vectors):
     again = index.load(spark, built.at, probes=built.probes)
     query = vectors[77].tolist()
     assert [x["id"] for x in index.indexed(again, query, 7).collect()] == [x["id"] for x in index.indexed(built, query, 7).collect()]
+    held = index.load(spark, built.at, probes=built.probes).resident()
+    assert [x["id"] for x in index.indexed(held, query, 7).collect()] == [x["id"] for x in index.indexed(built, query, 7).collect()]
+    held.table.unpersist()
     assert search.search(again, query, 5, show="S0").columns == search.search(again.table.drop("cell_"), query, 5, show="S0").columns
 
 

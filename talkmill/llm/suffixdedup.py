@@ -17,7 +17,7 @@ WINDOW, ANCHOR = 200, 64
 #: Texts of a bucket that one order takes; larger buckets are split and their parts compared.
 BUCKET = 64
 #: Bytes of texts that are measured at once, and symbols that are ordered at once.
-PIECE, ORDERED = 1 << 18, 3 << 20
+PIECE, ORDERED = 1 << 18, 3 << 19
 _PLACE = 20
 _ANCHORS = "th long, h long, c long, lo long, n int"
 _ORDERS = "h long, c long, runs array<int>, off int, w1 long, w2 long, alone boolean"

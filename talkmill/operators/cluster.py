@@ -13,10 +13,14 @@ from ..functions.vectors import unit
 from ..session import drop_written, prepared, written
 from . import cells
 
-#: Vectors in a block, about; a pair of blocks is one task's matrix product.
+#: Vectors in a block, about.
 BLOCK = 512
 #: Pivots to which each block's least and largest angles are kept, at most.
 SEEN_FROM = 32
+#: Groups that blocks are dealt to, and numbers that a group may hold; above that there are more groups.
+GROUPS, HELD = 16, 4 << 20
+#: Numbers of a product that are held at a time.
+PRODUCT = 4 << 20
 #: Angles that differ by less may be equal: cosines are rounded.
 SLACK = 1e-6
 
@@ -69,29 +73,64 @@ def block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     return met.where(rings & ~apart).select("block_i", "block_j")
 
 
+def _products(blocks: list[tuple], threshold: float) -> Iterator[pa.RecordBatch]:
+    """The pairs x, y, similarity at the threshold of blocks (name, keys, matrix, names of blocks to meet), each block's vectors against those of all that it meets, PRODUCT numbers at a time."""
+    at = {name: i for i, (name, *_) in enumerate(blocks)}
+    for name, keys, a, others in blocks:
+        met = sorted(at[x] for x in others)
+        step = max(1, PRODUCT // max(1, len(a)))
+        while met:
+            n, size = 0, 0
+            while n < len(met) and (not n or size + len(blocks[met[n]][2]) <= step):
+                size += len(blocks[met[n]][2])
+                n += 1
+            some, met = [blocks[i] for i in met[:n]], met[n:]
+            s = a @ np.concatenate([x[2] for x in some]).T
+            from_ = 0
+            for other, _, b, _ in some:
+                if other == name:  # each pair once
+                    s[:, from_ : from_ + len(b)][np.tri(len(a), dtype=bool)] = -2
+                from_ += len(b)
+            x, y = np.nonzero(s >= threshold)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(x)), pa.concat_arrays([o[1] for o in some]).take(pa.array(y)), pa.array(s[x, y])], ["x", "y", "similarity"])
+
+
 def similar_pairs(vectors: DataFrame, key: str, vector: str, threshold: float) -> DataFrame:
     """Exact theta join: (a, b, similarity) for keys a < b whose cosine is threshold or more.
 
-    Vectors lie in blocks around pivots (laid_in_blocks); only blocks that can hold a pair meet (block_pairs), in one row, and are multiplied as matrices. Memory holds two blocks, whatever the input. On vectors in clusters few blocks meet; on vectors that spread evenly in many dimensions, all do.
+    Vectors lie in blocks around pivots (laid_in_blocks); only blocks that can hold a pair by block_pairs are multiplied as matrices. Blocks are dealt to groups, and two groups meet in one task: a vector is sent to as many tasks as there are groups, GROUPS unless these would hold more than HELD numbers, and not once for each block that it meets. Memory holds two groups, whatever the input. On vectors in clusters few blocks meet; on vectors that spread evenly in many dimensions, all do.
     """
     blocks = laid_in_blocks(vectors, key, vector, threshold)
     kind = blocks.schema["rows"].dataType.elementType["k"].dataType.simpleString()
-    held = lambda x: blocks.select(F.col("block").alias(f"block_{x}"), F.transform("rows", lambda r: r["k"]).alias(f"k{x}"), F.flatten(F.transform("rows", lambda r: r["v"])).alias(f"v{x}"))
-    both = block_pairs(blocks, threshold).join(held("i"), "block_i").join(held("j"), "block_j").select("ki", "vi", "kj", "vj")
+    size = blocks.agg(F.coalesce(F.sum(F.size("rows")), F.lit(0)).alias("n"), F.coalesce(F.max(F.size(F.col("rows")[0]["v"])), F.lit(0)).alias("dim")).first()
+    n = max(1, min(GROUPS, -(-size["n"] // (4 * BLOCK))), -(-size["n"] * size["dim"] // HELD))
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(n))
+    near = written(block_pairs(blocks, threshold), "near")
+    near = near.withColumn("task", F.least(group("block_i"), group("block_j")) * n + F.greatest(group("block_i"), group("block_j")))
+    roles = near.select("task", F.col("block_i").alias("block"), F.col("block_j").alias("other")).unionByName(near.select("task", F.col("block_j").alias("block"), F.lit(None).alias("other")))
+    roles = roles.groupBy("task", "block").agg(F.collect_list("other").alias("others"))
+    flat = blocks.select("block", F.transform("rows", lambda r: r["k"]).alias("k"), F.flatten(F.transform("rows", lambda r: r["v"])).alias("v"))
+    sent = roles.join(flat, "block").repartition(n * (n + 1) // 2, "task").sortWithinPartitions("task").select("task", "block", "others", "k", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held = None, []
         for batch in batches:
+            tasks, names, others = (batch.column(i).to_pylist() for i in range(3))
             for i in range(batch.num_rows):
-                ka, kb = batch.column(0)[i].values, batch.column(2)[i].values
-                a = batch.column(1)[i].values.to_numpy(zero_copy_only=False).reshape(len(ka), -1)
-                b = batch.column(3)[i].values.to_numpy(zero_copy_only=False).reshape(len(kb), -1)
-                s = a @ b.T
-                x, y = np.nonzero(s >= threshold)
-                first, second, value = ka.take(pa.array(x)), kb.take(pa.array(y)), s[x, y]
-                yield pa.RecordBatch.from_arrays([first, second, pa.array(value)], ["x", "y", "similarity"])
-
-    found = both.mapInArrow(run, f"x {kind}, y {kind}, similarity double")
+                if tasks[i] != task:
+                    yield from _products(held, threshold)
+                    task, held = tasks[i], []
+                keys = batch.column(3)[i].values
+                rows = batch.column(4)[i].values.to_numpy(zero_copy_only=False).reshape(len(keys), -1)
+                held.append((tuple(names[i].values()), keys, rows, [tuple(x.values()) for x in others[i]]))
+        yield from _products(held, threshold)
+
+    found = sent.mapInArrow(run, f"x {kind}, y {kind}, similarity double")
     pairs = found.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
+    keys = blocks.select(F.explode("rows.k").alias("k"))
+    if keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return pairs
     return pairs.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
@@ -104,9 +143,44 @@ def similar_pairs_within(vectors: DataFrame, keys: list[str], key: str, vector:
     return a.join(b, keys).where("a < b").select(*keys, "a", "b", cosine(F.col("va"), F.col("vb")).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges u, v of a partition without those that join what earlier ones have joined: fewer than the nodes that it has seen, which is also what it holds."""
+    at: dict = {}
+    root: list[int] = []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        both = pa.concat_arrays([batch.column(0), batch.column(1)]).dictionary_encode()
+        ids = []
+        for k in both.dictionary.to_pylist():
+            if k not in at:
+                at[k] = len(root)
+                root.append(len(root))
+            ids.append(at[k])
+        top = np.array([find(i) for i in ids])[both.indices.to_numpy()].reshape(2, -1)
+        kept = []
+        for i in np.flatnonzero(top[0] != top[1]).tolist():
+            a, b = find(int(top[0, i])), find(int(top[1, i]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                kept.append(i)
+        yield batch.take(pa.array(kept, pa.int64()))
+
+
 def groups(nodes: DataFrame, key: str, edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(key, component: least key reachable over the edges a, b) of all nodes. Each round gives every node the least label among its neighbours and then that label's own label; rounds are written tables, of the order of log n, each of which replaces the one before."""
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v").distinct(), "edges")
+    """(key, component: least key reachable over the edges a, b) of all nodes. Partitions keep a forest of their edges first, so that no more is shuffled than nodes for each of them. Each round gives every node the least label among its neighbours and then that label's own label; rounds are written tables, of the order of log n, each of which replaces the one before."""
+    prepared(edges.sparkSession)
+    some = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u is not null and v is not null")
+    forest = written(some.mapInArrow(_forest, some.schema), "forest")
+    both = written(forest.union(forest.select("v", "u")).distinct(), "edges")
+    drop_written(forest)
     held = written(nodes.select(F.col(key).alias("u"), F.col(key).alias("l"), F.col(key).alias("n")).distinct(), "labels")
     for _ in range(rounds):
         labels = held.select("u", F.col("n").alias("l"))

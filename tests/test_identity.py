@@ -1,6 +1,7 @@
 """Centroids, assignment, conflicts, and how identity is stamped, carried and repaired."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -169,6 +170,46 @@ def test_few_blocks_meet_on_clusters(spark, monkeypatch):
     assert n >= 60 and n <= met < 0.1 * n * (n + 1) / 2, (n, met)
 
 
+def shuffled(spark):
+    """Bytes so far, once all listeners have heard of them."""
+    time.sleep(0.5)
+    spark.range(1).count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+def test_vectors_are_not_sent_once_for_each_block_that_they_meet(spark, monkeypatch):
+    """All blocks meet, with keys that are there twice, and text keys; what is shuffled is so many times the vectors as there are groups."""
+    monkeypatch.setattr(cluster, "BLOCK", 16)
+    monkeypatch.setattr(cluster, "GROUPS", 4, raising=False)
+    monkeypatch.setattr(cluster, "PRODUCT", 2000, raising=False)
+    n, dim = 2400, 32
+    x = np.random.default_rng(6).normal(size=(n, dim))
+    df = spark.createDataFrame([(f"k{i % (n - 5)}", v.tolist()) for i, v in enumerate(x)], "k string, v array<double>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    before = shuffled(spark)
+    got = {(p["a"], p["b"]): p["similarity"] for p in cluster.similar_pairs(df, "k", "v", 0.5).collect()}
+    sent = shuffled(spark) - before
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    s = u @ u.T
+    want = {}
+    for i, j in zip(*np.nonzero(np.triu(s, 1) >= 0.5)):
+        pair = tuple(sorted((f"k{i % (n - 5)}", f"k{j % (n - 5)}")))
+        if pair[0] != pair[1]:
+            want[pair] = max(s[i, j], want.get(pair, -1))
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert sent < 12 * n * dim * 8, sent
+
+
+def test_partitions_hand_on_forests():
+    import pyarrow as pa
+
+    edges = [(i, j) for i in range(40) for j in range(i)] + [(100, 101), (101, 100), (7, 7)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([e[0] for e in part]), pa.array([e[1] for e in part])], ["u", "v"]) for part in (edges[:300], edges[300:])]
+    assert sum(b.num_rows for b in cluster._forest(iter(batches))) == 39 + 1
+
+
 def test_leave_one_out_skips_singletons(spark):
     rows = [("a1", "A", [1.0, 0.1]), ("a2", "A", [1.0, -0.1]), ("b1", "B", [0.0, 1.0]), ("b2", "B", [0.1, 1.0]), ("c", "C", [-1.0, 0.0])]
     df = spark.createDataFrame(rows, "clip_id string, person string, vector array<double>")

@@ -142,10 +142,12 @@ def hashed_encoder(dim: int = 64) -> Callable[[pd.Series], pd.Series]:
     def encode(texts: pd.Series) -> pd.Series:
         out = []
         for text in texts:
-            v = [0.0] * dim
-            for w in (text or "").lower().split():
+            v, words = [0.0] * dim, (text or "").lower().split()
+            for w in words:
                 h = hashlib.blake2b(w.encode(), digest_size=8).digest()
                 v[int.from_bytes(h[:4], "big") % dim] += 1.0 if h[4] & 1 else -1.0
+            if words and not any(v):  # they cancel each other out
+                v[int.from_bytes(hashlib.blake2b(" ".join(words).encode(), digest_size=4).digest(), "big") % dim] = 1.0
             n = math.sqrt(sum(x * x for x in v)) or 1.0
             out.append([x / n for x in v])
         return pd.Series(out)

@@ -24,6 +24,8 @@ ROWS, QUERIES = 2048, 512
 HELD = 20_000
 #: Rows that probes are chosen by, at most.
 ASKED = 200
+#: Standard errors by which the recall measured on them has to exceed the target.
+ERRORS = 3.0
 #: The cell of rows that no pivot is near: without a vector of the index's length.
 ASIDE = -1
 _SLACK = 1e-6
@@ -71,7 +73,7 @@ def _cell_name(columns: list[str]) -> str:
 def build(records: DataFrame, *, id_col: str = "id", vector: str = "embedding", cells: int | None = None, probes: int | None = None, target: float = 0.99, n: int = 10, at: str | None = None) -> VectorIndex:
     """An index of all records, whatever their vectors, in a folder of its own in the shared folder, or at `at`.
 
-    Pivots are fitted on a sample of around.SAMPLE rows at most; each row then goes to the cell of its nearest pivot. Cells are partitions of the table, so that a search reads those that it probes; Spark splits large cells into several files. Unless probes are given, as many are taken as reach the target recall of n hits on a sample of ASKED rows asked back.
+    Pivots are fitted on a sample of around.SAMPLE rows at most; each row then goes to the cell of its nearest pivot. Cells are partitions of the table, so that a search reads those that it probes; Spark splits large cells into several files. Unless probes are given, as many are taken as reach the target recall of n hits on a sample of ASKED rows asked back, by ERRORS standard errors, so that other queries reach it too.
     """
     spark = prepared(records.sparkSession)
     rows = records.count()
@@ -90,7 +92,7 @@ def build(records: DataFrame, *, id_col: str = "id", vector: str = "embedding",
     spark.createDataFrame([(placed.schema.json(),)], "value string").write.text(f"{at}/schema")
     index = load(spark, at, id_col=id_col, vector=vector, probes=probes or 1)
     if probes is None:
-        index.probes = tuned(index, target, n)
+        index.probes = tuned(index, target, n, ERRORS)
     return index
 
 
@@ -183,8 +185,8 @@ def recall(found: DataFrame, exact: DataFrame) -> float:
     return 1.0 if got is None else float(got)
 
 
-def tuned(index: VectorIndex, target: float = 0.99, n: int = 10) -> int:
-    """The least number of probes that reaches the target recall of n hits, measured on ASKED rows of the index at most, those with the least hashes of their ids, asked back against all rows.
+def tuned(index: VectorIndex, target: float = 0.99, n: int = 10, errors: float = 0.0) -> int:
+    """The least number of probes that reaches the target recall of n hits, measured on ASKED rows of the index at most, those with the least hashes of their ids, asked back against all rows. With errors, the measured recall less so many of its standard errors (rows asked differ from each other) has to reach the target.
 
     One pass over the rows, which go nowhere: each batch is multiplied with the rows asked, and keeps its best n. A hit is found if its cell is among those probed; so its cell's place in the query's order of cells tells from how many probes on.
     """
@@ -210,5 +212,10 @@ def tuned(index: VectorIndex, target: float = 0.99, n: int = 10) -> int:
     order = np.argsort(-(asked @ index.pivots[there].T), axis=1, kind="stable")
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(len(there))[None, :], axis=1)
-    needed = np.sort([place[r["q"], np.searchsorted(there, r["cell"])] + 1 for r in first])
-    return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])
+    got = np.zeros(place.shape)
+    for r in first:
+        got[r["q"], place[r["q"], np.searchsorted(there, r["cell"])]] += 1
+    got = np.cumsum(got, axis=1)  # hits of each row asked, by the number of probes
+    shares = got / np.maximum(got[:, -1:], 1)
+    sure = got.sum(axis=0) / got[:, -1].sum() - errors * shares.std(axis=0) / np.sqrt(len(shares))
+    return int(np.argmax(sure >= target - 1e-12)) + 1

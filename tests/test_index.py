@@ -107,3 +107,13 @@ def test_small_and_empty_tables(spark, records):
         small = index.build(part)
         assert [x["id"] for x in index.indexed(small, [1.0] * 24, 3).collect() if x["id"] != "none"] == [x["id"] for x in part.where("id != 'none'").collect()]
         assert index.nearest_many(small, part.select(F.col("id").alias("query_id"), F.col("embedding").alias("vector")), 3, exact=True).count() == part.where("id != 'none'").count()
+
+
+def test_an_index_reaches_its_target_on_other_queries(spark):
+    """On vectors without clusters, where each cell adds little."""
+    x = np.random.default_rng(3).normal(size=(4000, 24))
+    records = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>")
+    built = index.build(records, target=0.95)
+    assert built.probes > index.tuned(built, 0.95)
+    asked = records.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
+    assert index.recall(index.nearest_many(built, asked, 10), index.nearest_many(built, asked, 10, exact=True)) >= 0.95

@@ -128,10 +128,16 @@ def book_pages(texts: DataFrame, page_end: str = "\f") -> DataFrame:
     return parts.select("book", (F.col("i") + 1).alias("page"), "text").where(F.trim("text") != "")
 
 
-def with_model(df: DataFrame, model: Callable[[pd.Series], pd.Series], column: str, out: str, kind: str = "array<float>") -> DataFrame:
-    """The seam for any model: it gets batches of a column, and out holds what it returns."""
+def with_model(df: DataFrame, model: Callable[[pd.Series], pd.Series], column: str, out: str, kind: str = "array<float>", at_once: int = 1024) -> DataFrame:
+    """The seam for any model: it gets batches of a column, of at_once rows at most, and out holds what it returns. No more than that is in memory, so that at_once should be small where results are large."""
     prepared(df.sparkSession)
-    return df.withColumn(out, F.pandas_udf(kind)(model)(F.col(column)))
+
+    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            for i in range(0, len(batch), at_once):
+                yield model(batch.iloc[i : i + at_once])
+
+    return df.withColumn(out, F.pandas_udf(pieces, kind, F.PandasUDFType.SCALAR_ITER)(F.col(column)))
 
 
 def hashed_encoder(dim: int = 64) -> Callable[[pd.Series], pd.Series]:

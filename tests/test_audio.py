@@ -5,6 +5,7 @@ import struct
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from talkmill.sources import audio
 
@@ -97,3 +98,13 @@ def test_crops_of_a_plan(spark, tmp_path):
     got = {(r["episode"], r["draw"]): (len(r["samples"] or []), r["native_rate"], r["error_kind"]) for r in out.collect()}
     assert got == {("e", 0): (16_000, 48_000, None), ("e", 1): (8000, 48_000, None), ("f", 0): (8000, 44_100, None), ("g", 0): (0, None, "crop"), ("h", 0): (0, None, "download"), ("i", 0): (0, None, "download"), ("e", 2): (0, None, "crop"), ("e", 3): (0, None, "crop"), ("e", 4): (0, None, "crop")}
     assert audio.cut_crops(df.limit(0), files).collect() == []
+
+
+def test_contents_are_not_broadcast(spark):
+    """However small a table seems to Spark, of which each row becomes a file."""
+    files = spark.range(300).selectExpr("cast(id as string) as path").withColumn("content", F.lit(wav(sine(8000, 0.1), 8000)))
+    plan = spark.range(300).selectExpr("cast(id as string) as audio_path", "0.0D as crop_start_s", "0.05D as crop_length_s")
+    out = audio.cut_crops(plan, files)
+    assert out.where("size(samples) = 800").count() == 300
+    shown = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown and "hashpartitioning(path_" in shown

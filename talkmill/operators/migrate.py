@@ -28,8 +28,10 @@ def remap_ids(records: DataFrame) -> DataFrame:
 
 def classification_counts(remapped: DataFrame, samples: int = 5) -> DataFrame:
     """By classification: records, and up to `samples` ids, the least ones."""
-    ranked = remapped.withColumn("no_", F.row_number().over(Window.partitionBy("classification").orderBy("id")))
-    return ranked.groupBy("classification").agg(F.count("*").alias("records"), F.array_sort(F.collect_list(F.when(F.col("no_") <= samples, F.col("id")))).alias("sample"))
+    counts = remapped.groupBy("classification").agg(F.count("*").alias("records"))
+    first = remapped.select("classification", "id").withColumn("no_", F.row_number().over(Window.partitionBy("classification").orderBy("id"))).where(F.col("no_") <= samples)  # those that partitions keep meet
+    sample = first.groupBy("classification").agg(F.array_sort(F.collect_list("id")).alias("sample"))
+    return counts.join(sample.withColumnRenamed("classification", "c_"), F.col("classification").eqNullSafe(F.col("c_")), "left").select("classification", "records", F.coalesce("sample", F.array().cast("array<string>")).alias("sample"))
 
 
 def episode_facts(expected: DataFrame, guids: DataFrame, rules_version: str = "1") -> DataFrame:

@@ -46,7 +46,12 @@ def items(feed: str, timeout: float) -> Iterator[tuple]:
     """A feed's items as rows of SCHEMA, one after the other; no more of the file than an item is held."""
     with opened(feed, timeout) as source:
         at = 0
-        for _, found in ElementTree.iterparse(source):
+        above: list[ElementTree.Element] = []
+        for event, found in ElementTree.iterparse(source, ("start", "end")):
+            if event == "start":
+                above.append(found)
+                continue
+            above.pop()
             if found.tag != "item":
                 continue
             own = {"title": None, "pubDate": None, "guid": None}
@@ -64,6 +69,8 @@ def items(feed: str, timeout: float) -> Iterator[tuple]:
             yield feed, at, own["title"], own["pubDate"], own["guid"], is_link, itunes, marked or enclosed, None
             at += 1
             found.clear()
+            if above:
+                above[-1].remove(found)
 
 
 class _Reading:
@@ -128,13 +135,14 @@ class FeedSource(DataSource):
         return _Stream(self.options)
 
 
-def read_feeds(spark: SparkSession, feeds: dict[str, str], *, stream: bool = False, mode: str = "FAILFAST") -> DataFrame:
-    """Episodes of the feeds of shows (show to address), as readers.feed() gives those of one file: show, feed_pos, title, episode_number, audio_url, date, guid, published. Feeds are read side by side, one task each. A stream gives what came since the last batch."""
+def read_feeds(spark: SparkSession, feeds: dict[str, str | list[str]], *, stream: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """Episodes of the feeds of shows (show to address, or to those of its pages, each with feed_pos of its own), as readers.feed() gives those of one file: show, feed_pos, title, episode_number, audio_url, date, guid, published. Feeds are read side by side, one task each. A stream gives what came since the last batch."""
     prepared(spark).dataSource.register(FeedSource)
-    rows = (spark.readStream if stream else spark.read).format("rss_feeds").option("feeds", json.dumps(sorted(set(feeds.values())))).option("mode", mode).load()
     shows: dict[str, list[str]] = {}
-    for show, at in feeds.items():
-        shows.setdefault(at, []).append(show)
+    for show, found in feeds.items():
+        for at in [found] if isinstance(found, str) else found:
+            shows.setdefault(at, []).append(show)
+    rows = (spark.readStream if stream else spark.read).format("rss_feeds").option("feeds", json.dumps(sorted(shows))).option("mode", mode).load()
     named = F.create_map(*(F.lit(x) for at, s in shows.items() for x in (at, s)))  # as long as the call's own list
     of = F.explode(F.element_at(named, F.col("feed"))) if feeds else F.lit(None).cast("string")
     is_link = F.when(F.col("is_link") == "false", False).when(F.col("is_link") == "true", True)

@@ -57,8 +57,14 @@ FEED_ITEM = T.StructType(
 
 
 def feed(spark: SparkSession, path: str, show: str) -> DataFrame:
-    """Items of an RSS file: show, feed_pos, title, episode_number, audio_url, date, guid, published. Those without audio are left out; a link that says enclosure comes before the enclosure itself."""
-    df = spark.read.format("xml").option("rowTag", "item").schema(FEED_ITEM).load(path).withColumn("feed_pos", F.monotonically_increasing_id())
+    """Items of an RSS file, or of the files of a folder, in order of their names: show, feed_pos, title, episode_number, audio_url, date, guid, published. Those without audio are left out; a link that says enclosure comes before the enclosure itself."""
+    df = spark.read.format("xml").option("rowTag", "item").schema(FEED_ITEM).load(path)
+    at, files = F.monotonically_increasing_id(), sorted(df.inputFiles())
+    if len(files) > 1:  # partitions follow the files' sizes
+        ranks = F.broadcast(spark.createDataFrame(list(enumerate(files)), "rank_ long, file_ string"))  # a row for each file
+        at = (F.shiftleft(F.col("rank_"), 46)) + F.col("at_")
+        df = df.withColumns({"file_": F.input_file_name(), "at_": F.monotonically_increasing_id()}).join(ranks, "file_", "left").drop("file_")
+    df = df.withColumn("feed_pos", at)
     marked = F.filter("link", lambda x: x["_rel"] == "enclosure")
     url = F.coalesce(F.get(marked, F.lit(0))["_href"], F.get("enclosure", F.lit(0))["_url"])
     is_link = F.when(F.col("guid._isPermaLink") == "false", False).when(F.col("guid._isPermaLink") == "true", True)

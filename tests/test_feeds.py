@@ -78,3 +78,49 @@ def test_segments_in_sql(spark):
     feeds.register_segments(spark)
     got = spark.sql("SELECT d.name, s.* FROM {d} d, LATERAL transcript_segments(d.text) s", d=df)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, segments(df).select("name", "seq", "speaker", "start", "text").collect())) and got.count() >= 3
+
+
+def test_items_leave_nothing_behind(tmp_path):
+    """Memory doesn't grow with the number of items."""
+    import tracemalloc
+
+    from talkmill.sources import feeds
+
+    def peak(n):
+        (tmp_path / "f.xml").write_text("<rss><channel>" + "<item><title>t</title></item>\n" * n + "</channel></rss>")
+        tracemalloc.start()
+        assert sum(1 for _ in feeds.items(str(tmp_path / "f.xml"), 1)) == n
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        return most
+
+    peak(100)
+    assert peak(40_000) < 2 * peak(4000) + 300_000
+
+
+def test_a_feed_in_pages_keeps_its_order(spark, tmp_path):
+    """Pages of a folder follow their names, whatever their sizes; a show may have pages as feeds of their own."""
+    from talkmill.sources import feeds, readers
+
+    for page, n in enumerate((1, 300, 20)):
+        (tmp_path / f"{page}.xml").write_text('<?xml version="1.0"?>\n<rss><channel>\n' + "".join(f'<item><title>{page}-{i:03}</title><enclosure url="u{page}-{i:03}"/></item>\n' for i in range(n)) + "</channel></rss>\n")
+    got = [r["title"] for r in readers.feed(spark, str(tmp_path), "S").orderBy("feed_pos").collect()]
+    assert got == [f"{page}-{i:03}" for page, n in enumerate((1, 300, 20)) for i in range(n)]
+    paged = feeds.read_feeds(spark, {"S": [str(tmp_path / f"{i}.xml") for i in range(3)]})
+    assert sorted(r["title"] for r in paged.where("show = 'S'").collect()) == got
+
+
+@pytest.mark.parametrize("name", ["s3_feed", "s4_audio_urls", "s3_feeds_source", "s3_feeds_stream"])
+def test_queries_over_pages_equal_their_sql(spark, monkeypatch, name):
+    """No task gets a feed whole: small pages give the same rows."""
+    import duckdb
+
+    from talkmill import queries, queries_io
+
+    monkeypatch.setattr(queries_io, "PAGE", 1000)
+    sf = "/root/testdata/sf0.001"
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{sf}/orders.parquet')")
+        found = c.execute(queries.SQL[name])
+        columns, want = [x[0] for x in found.description], sorted(map(repr, found.fetchall()))
+    assert sorted(repr(tuple(r)) for r in queries.QUERIES[name](spark, sf).select(columns).collect()) == want and want

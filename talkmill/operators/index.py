@@ -20,6 +20,8 @@ from .search import nearest
 
 #: Rows and queries in a block, about, where many queries are asked at once.
 ROWS, QUERIES = 2048, 512
+#: Rows of queries, once for each cell that they probe, that a task makes at a time.
+COPIES = 4096
 #: Rows of a resident index that one task searches; up to so many, a query isn't compiled.
 HELD = 20_000
 #: Rows that probes are chosen by, at most.
@@ -165,17 +167,19 @@ def nearest_many(index: VectorIndex, queries: DataFrame, n: int, *, query_id: st
 def _probing(asked: DataFrame, index: VectorIndex, k: int) -> DataFrame:
     """asked (id, v) once for each of the k cells with rows whose pivots are nearest."""
     pivots, there = index.pivots, np.array(sorted(c for c in index.sizes if c != ASIDE), int)
-    schema = asked.withColumn("cell", F.lit(0)).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and len(there):
-                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                best = there[np.argsort(-(x @ pivots[there].T), axis=1, kind="stable")[:, :k]]
-                took = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), best.shape[1])))
-                yield pa.RecordBatch.from_arrays([*took.columns, pa.array(best.ravel().astype(np.int32))], [*batch.schema.names, "cell"])
-
-    return asked.mapInArrow(run, schema)
+    return asked.mapInArrow(lambda batches: _probed(batches, pivots, there, k), asked.withColumn("cell", F.lit(0)).schema)
+
+
+def _probed(batches: Iterator[pa.RecordBatch], pivots: np.ndarray, there: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """What _probing() gives, COPIES rows or one query's at a time: each query is there k times."""
+    step = max(1, COPIES // max(1, min(k, len(there))))
+    for whole in batches:
+        for at in range(0, whole.num_rows if len(there) else 0, step):
+            batch = whole.slice(at, step)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            best = there[np.argsort(-(x @ pivots[there].T), axis=1, kind="stable")[:, :k]]
+            took = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), best.shape[1])))
+            yield pa.RecordBatch.from_arrays([*took.columns, pa.array(best.ravel().astype(np.int32))], [*batch.schema.names, "cell"])
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

@@ -117,3 +117,20 @@ def test_an_index_reaches_its_target_on_other_queries(spark):
     assert built.probes > index.tuned(built, 0.95)
     asked = records.where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("vector"))
     assert index.recall(index.nearest_many(built, asked, 10), index.nearest_many(built, asked, 10, exact=True)) >= 0.95
+
+
+def test_queries_go_to_their_cells_in_pieces():
+    """Ten thousand queries that probe all of a thousand cells aren't copied at once."""
+    import pyarrow as pa
+
+    x = np.random.default_rng(2).normal(size=(500, 8))
+    pivots = np.random.default_rng(5).normal(size=(900, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(x.tolist())], ["id", "v"])
+    n, seen = 0, set()
+    for b in index._probed(iter([batch]), pivots, np.arange(0, 900, 3), 300):
+        assert b.num_rows <= index.COPIES
+        n += b.num_rows
+        seen |= set(zip(b.column(0).to_pylist(), b.column(2).to_pylist()))
+    assert n == len(seen) == 500 * 300
+    (first,) = index._probed(iter([batch.slice(0, 1)]), pivots, np.arange(900), 1)
+    assert first.column(2).to_pylist() == [int((pivots @ x[0]).argmax())]

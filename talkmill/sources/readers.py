@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,18 +24,42 @@ from ..session import prepared
 AT_ONCE = 16
 
 
+#: Where a folder of transcripts has its packs; readers of files pass over such names.
+PACKS = "_packs"
+
+
+def _packs(spark: SparkSession, folder: str) -> list[str]:
+    """The packs of a folder, oldest first."""
+    from .store import Files
+
+    return [n for n in Files(spark, f"{folder}/{PACKS}").names() if n[0].isdigit()]
+
+
 def transcripts(spark: SparkSession, folder: str, show: str | None = None) -> DataFrame:
-    """Text files of a folder whole: name, show, episode_number, date, year ("unparsed" if the name isn't a transcript's), title, text."""
+    """Text files of a folder whole, and the texts of its packs: name, show, episode_number, date, year ("unparsed" if the name isn't a transcript's), title, text. Of a name that comes from several writes the last one counts."""
     glob = f"{show} - Episode *.txt" if show else "*.txt"
-    df = spark.read.text(folder, wholetext=True, pathGlobFilter=glob).select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
-    df = df.withColumn("name", F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))).withColumn("k", file_triple(F.col("name")))
+    loose = spark.read.text(folder, wholetext=True, pathGlobFilter=glob)
+    packs = _packs(spark, folder)
+    df = loose.select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"), F.col("_metadata.file_modification_time").alias("at_"))
+    df = df.withColumn("name", F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))))
+    if packs:
+        whose = F.col("name").startswith(f"{show} - Episode ") if show else F.lit(True)
+        of = [spark.read.schema("name string, text string").parquet(f"{folder}/{PACKS}/{n}").where(whose).withColumn("at_", F.timestamp_micros(F.lit(int(n.split("-")[0]) // 1000))) for n in packs]
+        of += [df] if loose.inputFiles() else []
+        df = reduce(DataFrame.unionByName, of)
+        if len(of) > 1:
+            df = df.join(df.groupBy("name").agg(F.max("at_").alias("at_")), ["name", "at_"], "left_semi")
+    df = df.withColumn("k", file_triple(F.col("name")))
     blank = lambda c: F.coalesce(c, F.lit(""))
     return df.select("name", blank(F.col("k.show")).alias("show"), blank(F.col("k.episode_number")).alias("episode_number"), blank(F.col("k.date")).alias("date"), F.coalesce(F.substring("k.date", 1, 4), F.lit("unparsed")).alias("year"), title_of(F.col("text")).alias("title"), "text")
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
-    """(show, episode_number, date) of a folder's transcripts, from their names alone: contents aren't read."""
+    """(show, episode_number, date) of a folder's transcripts, from their names alone: contents of files and of packs aren't read."""
     names = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select(F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B"))).alias("name"))
+    packs = _packs(spark, folder)
+    if packs:
+        names = names.unionByName(spark.read.schema("name string").parquet(*(f"{folder}/{PACKS}/{n}" for n in packs)))
     return names.select(file_triple(F.col("name")).alias("k")).where("k is not null").select("k.*").distinct()
 
 
@@ -98,14 +124,19 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def _lines() -> Column:
+    from ..functions.text import to_places
+
+    return F.format_string("[%s] %ss - %s", "speaker", to_places(F.col("start").cast("double"), 1).cast("decimal(30,1)").cast("string"), "text")
+
+
 def write_transcripts(segs: DataFrame, folder: str) -> int:
-    """One text file per episode, by its name, as transcripts() reads it: segs (show, episode_number, title, date, seq, speaker, start, text), a header and a line per segment. Files are written beside first and then moved, over those of an earlier write. Returns how many."""
-    from ..functions.text import file_name, header, to_places
+    """One text file per episode, by its name, as transcripts() reads it: segs (show, episode_number, title, date, seq, speaker, start, text), a header and a line per segment. Files are written beside first and then moved, over those of an earlier write. Returns how many. A file costs some requests to the file system, in the driver and when it is read; for many episodes there is pack_transcripts."""
+    from ..functions.text import file_name, header
     from .store import Files
 
     spark = segs.sparkSession
-    line = F.format_string("[%s] %ss - %s", "speaker", to_places(F.col("start").cast("double"), 1).cast("decimal(30,1)").cast("string"), "text")
-    whole = segs.groupBy("show", "episode_number", "title", "date").agg(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))).alias("l"))
+    whole = segs.groupBy("show", "episode_number", "title", "date").agg(F.array_sort(F.collect_list(F.struct("seq", _lines().alias("line")))).alias("l"))
     text = F.concat(header(F.col("show"), F.col("episode_number"), F.col("title"), F.col("date")), F.array_join(F.transform("l", lambda x: x["line"]), "\n"))
     named = whole.select(file_name(F.col("show"), F.col("episode_number"), F.col("date")).alias("name"), text.alias("value"))
     part = f".partial-{uuid.uuid4().hex}"
@@ -128,6 +159,27 @@ def write_transcripts(segs: DataFrame, folder: str) -> int:
     return len(there)
 
 
+def pack_transcripts(segs: DataFrame, folder: str) -> int:
+    """The texts of write_transcripts under the same names, as rows of a pack instead of a file each, so that requests grow with the tasks that write and not with the episodes. transcripts() and listing() read packs and files alike; ingest_available() watches files alone. A pack is written beside and then named; its texts stand for those of earlier writes. Returns how many.
+
+    Rows lie in order of names, so that those of a show are read without the others; a group of rows holds 16 MB, so that readers hold no more at a time.
+    """
+    from ..functions.text import file_name, header
+    from .store import Files
+
+    spark, at = segs.sparkSession, f"{folder}/{PACKS}"
+    key = ("show", "episode_number", "date")
+    whole = segs.groupBy(*key).agg(F.min("title").alias("title"), F.array_sort(F.collect_list(F.struct("title", "seq", _lines().alias("line")))).alias("l"))
+    text = F.concat(header(F.col("show"), F.col("episode_number"), F.col("title"), F.col("date")), F.array_join(F.transform("l", lambda x: x["line"]), "\n"))
+    name = file_name(*(F.col(k) for k in key))
+    name = F.when(name.contains("/"), F.raise_error(F.concat(name, F.lit(" can't be a file's name")))).otherwise(name)
+    part, files = f".partial-{uuid.uuid4().hex}", Files(spark, at)
+    whole.select(name.alias("name"), text.alias("text")).sortWithinPartitions("name").write.option("parquet.block.size", 16 << 20).parquet(f"{at}/{part}")
+    pack = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    files.move(part, pack)
+    return spark.read.schema("name string").parquet(f"{at}/{pack}").count()
+
+
 def book_pages(texts: DataFrame, page_end: str = "\f") -> DataFrame:
     """(book, page from 1, text) of texts with page ends, blank pages left out."""
     parts = texts.select("book", F.posexplode(F.split("text", page_end)).alias("i", "text"))

@@ -37,7 +37,12 @@ class Files:
     def read(self, name: str) -> str | None:
         if not self.fs.exists(self.path(name)):
             return None
-        stream = self.fs.open(self.path(name))
+        try:
+            stream = self.fs.open(self.path(name))
+        except Exception:
+            if not self.fs.exists(self.path(name)):  # it went meanwhile
+                return None
+            raise
         try:
             return bytes(stream.readAllBytes()).decode()
         finally:
@@ -95,10 +100,18 @@ class Files:
         self.fs.delete(self.path(name), True)
 
 
+#: Threads of one driver look at locks one at a time, since local file systems don't keep two from making one file.
+_LOCKS = threading.Lock()
+
+
+class Overtaken(Refused):
+    """Another write has come in between; nothing was changed."""
+
+
 class Collection:
     """Records by id. One writer at a time: another one that tries meanwhile waits for up to wait_s seconds and is refused then.
 
-    The lock, which a writer renews, saves work; that no write is lost doesn't rest on it. Manifests are numbered, and each number is taken once: a writer whose manifest would follow one that another has followed meanwhile is refused, with nothing changed.
+    The lock, which a writer renews, saves work; that no write is lost doesn't rest on it. Manifests are numbered, and each number is taken once: a writer whose manifest would follow one that another has followed meanwhile is refused, with nothing changed. A merge that is overtaken so starts again from what the other has written, for as long as it may wait.
 
     buckets: how many; a collection that is there keeps its number until it is replaced. A write costs the buckets that it touches; Spark splits large ones into several files.
     """
@@ -158,6 +171,15 @@ class Collection:
 
     def merge(self, new: DataFrame | None = None, drop: DataFrame | None = None, **keep) -> int:
         """Merges records in (merged()), and takes those of the ids in drop out, but for the new ones. Only buckets with such ids are read and written; their number is returned."""
+        until = time.time() + self.wait_s
+        while True:
+            try:
+                return self._merge(new, drop, **keep)
+            except Overtaken:  # some file systems let two claim one lock
+                if time.time() >= until:
+                    raise
+
+    def _merge(self, new: DataFrame | None, drop: DataFrame | None, **keep) -> int:
         with self._writer() as base:
             if base is None:
                 self._put(new, None, None, None, **keep)
@@ -176,18 +198,26 @@ class Collection:
         """Holds the lock; gives the manifest that a write starts from."""
         mine, until, over = uuid.uuid4().hex, time.time() + self.wait_s, threading.Event()
         stamp = lambda: f"{mine} {time.time():.0f}"
-        while not self.files.claim("LOCK", stamp()):
-            held = (self.files.read("LOCK") or "").split()
-            if len(held) == 2 and time.time() - float(held[1]) >= self.LOCK_S:
-                self.files.remove("LOCK")
-            elif time.time() >= until:
+
+        def claimed() -> bool:
+            with _LOCKS:
+                if self.files.claim("LOCK", stamp()):
+                    return True
+                held = (self.files.read("LOCK") or "").split()
+                if len(held) == 2 and time.time() - float(held[1]) >= self.LOCK_S:
+                    self.files.remove("LOCK")
+                    return self.files.claim("LOCK", stamp())
+                return False
+
+        while not claimed():
+            if time.time() >= until:
                 raise Refused(f"{self.name} is being written")
-            else:
-                time.sleep(min(1.0, self.wait_s / 10))
+            time.sleep(min(1.0, self.wait_s / 10))
 
         def renew() -> None:
             while not over.wait(self.LOCK_S / 4):
-                self.files.write("LOCK", stamp())
+                with _LOCKS:
+                    self.files.write("LOCK", stamp())
 
         keeper = threading.Thread(target=renew, daemon=True)
         keeper.start()
@@ -196,8 +226,9 @@ class Collection:
         finally:
             over.set()
             keeper.join()
-            if (self.files.read("LOCK") or "").startswith(mine):
-                self.files.remove("LOCK")
+            with _LOCKS:
+                if (self.files.read("LOCK") or "").startswith(mine):
+                    self.files.remove("LOCK")
 
     def _put(self, records: DataFrame, base: dict | None, touched: list[int] | None, metadata: dict | None, keep: int = 2, grace_s: float = 24 * 3600) -> None:
         """Writes records, which are all of the buckets touched (all there are, if None), and makes them count after base, if nothing else has come after it."""
@@ -213,7 +244,7 @@ class Collection:
         if not self.files.settle(f"commits/{version:012d}", snapshot):
             self.files.remove(f"manifests/{snapshot}")
             self.files.remove(snapshot)
-            raise Refused(f"{self.name} was written meanwhile")
+            raise Overtaken(f"{self.name} was written meanwhile")
         self.files.write("CURRENT", snapshot)
         self._clean(keep, grace_s)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -80,11 +81,8 @@ def percentile(values: Column, q: float) -> Column:
 RANGES = 128
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
-    """Percentiles as above for groups of any size. Values are counted first; distinct ones are cut into RANGES by approximate percentiles, ranked within a range, and ranges are put in order by their totals. So no task ranks a group whole, and the result is exact wherever the cuts fall."""
-    name = lambda i: f"k{i}_"
-    on = [name(i) for i in range(len(keys))]
-    counts = df.where(F.col(value).isNotNull()).groupBy(*(F.col(k).alias(o) for k, o in zip(keys, on)), F.col(value).alias("x_")).agg(F.count("*").alias("n_"))
+def _ranked(counts: DataFrame, on: list[str]) -> DataFrame:
+    """counts (on, distinct values x_, n_) with upto_, the number of a group's values up to x_, and all_, that of all."""
     cuts = counts.groupBy(*on).agg(F.percentile_approx("x_", [i / RANGES for i in range(1, RANGES)], 1000).alias("cuts_"))
     joined = counts.join(cuts, on) if on else counts.crossJoin(F.broadcast(cuts))  # one row
     ranged = joined.withColumn("r_", F.size(F.filter("cuts_", lambda c: c < F.col("x_")))).drop("cuts_")
@@ -92,7 +90,47 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     totals = ranged.groupBy(*on, "r_").agg(F.sum("n_").alias("t_"))
     totals = totals.withColumn("before_", F.coalesce(F.sum("t_").over(by.orderBy("r_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("all_", F.sum("t_").over(by)).drop("t_")
     within = Window.partitionBy(*on, "r_").orderBy("x_")
-    ranked = ranged.withColumn("upto_", F.sum("n_").over(within)).join(totals, [*on, "r_"])
+    return ranged.withColumn("upto_", F.sum("n_").over(within)).join(totals, [*on, "r_"]).withColumn("upto_", F.col("before_") + F.col("upto_"))
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
+    """Percentiles as above for groups of any size. Values are counted first; distinct ones are cut into RANGES by approximate percentiles, ranked within a range, and ranges are put in order by their totals. So no task ranks a group whole, and the result is exact wherever the cuts fall."""
+    name = lambda i: f"k{i}_"
+    on = [name(i) for i in range(len(keys))]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*(F.col(k).alias(o) for k, o in zip(keys, on)), F.col(value).alias("x_")).agg(F.count("*").alias("n_"))
+    ranked = _ranked(counts, on)
     at = lambda q: F.least(F.floor(F.lit(q) * F.col("all_")), F.col("all_") - 1)
-    out = ranked.groupBy(*on).agg(*(F.min(F.when(F.col("before_") + F.col("upto_") > at(q), F.col("x_"))).alias(n) for n, q in qs.items()))
+    out = ranked.groupBy(*on).agg(*(F.min(F.when(F.col("upto_") > at(q), F.col("x_"))).alias(n) for n, q in qs.items()))
     return out.select(*(F.col(o).alias(k) for k, o in zip(keys, on)), *qs)
+
+
+#: Slots of a unit by which values are counted before any of them is moved.
+SLOTS = 1 << 14
+
+
+def at_ranks(df: DataFrame, value: str, ranks: dict[str, Callable[[Column], Column]], counted: dict[str, Column] | None = None) -> DataFrame:
+    """One row: n, the number of values that aren't null, counts `counted` over df's rows, and for each name the value at the rank (from 0) that its function gives for n; null where there is none. For many values that are cheap to make and of a small range, as cosines: df is gone over twice, first to count values by slots, then for the values of the slots that the ranks fall in, which alone are moved and ranked."""
+    x = F.col(value)
+    slot = F.when(F.isnan(x), F.lit((1 << 63) - 1)).otherwise(F.floor(x * SLOTS))  # in order of values
+    more = counted or {}
+    slots = df.groupBy(slot.alias("s_")).agg(F.count(value).alias("c_"), *(c.alias(k) for k, c in more.items()))
+    held = slots.agg(F.array_sort(F.collect_list(F.when(F.col("s_").isNotNull(), F.struct("s_", "c_")))).alias("l_"), F.coalesce(F.sum("c_"), F.lit(0)).alias("n"), *(F.sum(k).alias(k) for k in more)).first()  # no more than slots
+    n, wanted = held["n"], {}
+    whole = df.sparkSession.range(1).select(F.lit(n).cast("long").alias("n"), *(F.lit(held[k] or 0).alias(k) for k in more))
+    places = df.sparkSession.range(1).select(*(f(F.lit(n)).cast("long").alias(k) for k, f in ranks.items())).first().asDict()
+    for k, place in places.items():
+        before = 0
+        for s, c in held["l_"]:
+            if before <= place < before + c:
+                wanted[k] = (s, place - before)
+            before += c
+    if not wanted:
+        return whole.select("*", *(F.lit(None).cast("double").alias(k) for k in ranks))
+    kept = df.where(slot.isin(sorted({s for s, _ in wanted.values()}))).groupBy(slot.alias("s_"), x.alias("x_")).agg(F.count("*").alias("n_"))
+    pick = lambda k: F.min(F.when((F.col("s_") == wanted[k][0]) & (F.col("upto_") > wanted[k][1]), F.col("x_"))) if k in wanted else F.lit(None).cast("double")
+    return whole.crossJoin(F.broadcast(_ranked(kept, ["s_"]).agg(*(pick(k).alias(k) for k in ranks))))  # one row each
+
+
+def percentile_rank(q: float) -> Callable[[Column], Column]:
+    """The place that percentile() looks at."""
+    return lambda n: F.least(F.floor(F.lit(q) * n), n - 1)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.vectors import centroids, cosine, dot, doubles, exact_percentiles, norm, unit
+from ..functions.vectors import at_ranks, centroids, cosine, dot, doubles, exact_percentiles, norm, percentile_rank, unit
+from ..session import prepared
 from .identity import assign
 from .turns import speaker_at
 
@@ -70,11 +76,56 @@ def precision(assigned: DataFrame, truth: DataFrame, keys: list[str]) -> DataFra
     return rows.agg(F.count("*").alias("clusters"), F.count_if(same).alias("correct"), F.count_if(F.col("person").isNull()).alias("refused"), F.count_if(~same).alias("wrong"))
 
 
+#: Rows of a cluster's draws that are multiplied with as many others at a time.
+BLOCK = 1000
+
+
+def _cosines(a: pa.Table, b: pa.Table) -> np.ndarray:
+    """cosine() of each row of a with each of b, as a matrix: products of vectors over products of lengths, 0 where there is no length or sizes differ."""
+    out = np.zeros((a.num_rows, b.num_rows))
+    of = []
+    for t in (a, b):
+        length = t["length"].to_numpy(zero_copy_only=False).astype(float)  # null as nan
+        fine = t["length"].is_valid().to_numpy(zero_copy_only=False) & (length != 0)
+        of.append((t["vector"].combine_chunks(), t["size"].to_numpy(zero_copy_only=False), length, fine))
+    (va, sa, la, fa), (vb, sb, lb, fb) = of
+    for size in np.intersect1d(sa[fa], sb[fb]):
+        i, j = np.flatnonzero(fa & (sa == size)), np.flatnonzero(fb & (sb == size))
+        matrix = lambda v, at: v.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(at), int(size))
+        with np.errstate(all="ignore"):
+            lengths = la[i][:, None] * lb[j][None, :]
+            found = (matrix(va, i) @ matrix(vb, j).T) / lengths
+        out[np.ix_(i, j)] = np.where(lengths == 0, 0.0, found)
+    return out
+
+
 def draw_pairs(crops: DataFrame, keys: tuple[str, ...] = ("episode", "cluster")) -> DataFrame:
-    """(keys, a, b, cosine) of each two draws of a cluster."""
-    a = crops.select(*keys, F.col("draw").alias("a"), F.col("vector").alias("va"))
-    b = crops.select(*keys, F.col("draw").alias("b"), F.col("vector").alias("vb"))
-    return a.join(b, list(keys)).where("a < b").select(*keys, "a", "b", cosine(F.col("va"), F.col("vb")).alias("cosine"))
+    """(keys, a, b, cosine) of each two draws of a cluster. A cluster's draws lie in blocks of some BLOCK rows, of which each two are multiplied as matrices in a task; so a large cluster is many tasks, and a task holds two blocks and their product."""
+    prepared(crops.sparkSession)
+    there = F.col("draw").isNotNull()
+    for k in keys:
+        there = there & F.col(k).isNotNull()
+    rows = crops.where(there).select(*keys, "draw", "vector", norm(F.col("vector")).alias("length"), F.size("vector").alias("size"))
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).alias("of"))
+    rows = rows.join(sizes, list(keys)).withColumn("block", F.pmod(F.xxhash64("draw"), "of")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    met = rows.select(*keys, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).alias("second"), "draw", "vector", "length", "size")
+
+    def pairs(met: pa.Table) -> pa.Table:
+        first, second = met.filter(pc.invert(met["second"])), met.filter(met["second"])
+        same = met["lo"][0] == met["hi"][0]
+        second = first if same else second
+        x, y = (t["draw"].to_numpy(zero_copy_only=False) for t in (first, second))
+        less = x[:, None] < y[None, :]
+        i, j = np.nonzero(less if same else x[:, None] != y[None, :])
+        values, up = _cosines(first, second)[i, j] if len(i) else np.zeros(0), less[i, j].astype(bool)
+        draws = pa.concat_arrays([c for t in (first, second) for c in t["draw"].chunks]) if first.num_rows + second.num_rows else pa.array([], types[-3])
+        j = j + first.num_rows
+        columns = [*(pa.repeat(met[k][0], len(i)) for k in keys), draws.take(pa.array(np.where(up, i, j))), draws.take(pa.array(np.where(up, j, i))), pa.array(values)]
+        return pa.Table.from_arrays([c.cast(t) for c, t in zip(columns, types)], names)
+
+    kinds = [*(crops.schema[k].dataType for k in keys), crops.schema["draw"].dataType, crops.schema["draw"].dataType, T.DoubleType()]
+    names, types = [*keys, "a", "b", "cosine"], [to_arrow_type(k) for k in kinds]
+    return met.groupBy(*keys, "lo", "hi").applyInArrow(pairs, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)]))
 
 
 def cluster_pairs(clusters: DataFrame) -> DataFrame:
@@ -86,9 +137,9 @@ def cluster_pairs(clusters: DataFrame) -> DataFrame:
 
 def cohesion(pairs: DataFrame, threshold: float, value: str = "cosine") -> DataFrame:
     """One row: how many pairs, percentiles of their cosine, and the share below the threshold."""
-    q = exact_percentiles(pairs, [], value, {"p05": 0.05, "p50": 0.5, "p95": 0.95})
-    n = pairs.agg(F.count("*").alias("pairs"), F.coalesce(F.try_divide(F.count_if(F.col(value) < threshold), F.count("*")), F.lit(0.0)).alias("below"))
-    return n.crossJoin(q)  # one row each
+    qs = {name: percentile_rank(q) for name, q in (("p05", 0.05), ("p50", 0.5), ("p95", 0.95))}
+    out = at_ranks(pairs, value, qs, {"pairs": F.count("*"), "below": F.count_if(F.col(value) < threshold)})
+    return out.select(F.coalesce("pairs", F.lit(0)).cast("long").alias("pairs"), F.coalesce(F.try_divide("below", "pairs"), F.lit(0.0)).alias("below"), *qs)
 
 
 def lengths_agree(crops: DataFrame, short: float = 10.0, long: float = 30.0) -> DataFrame:
@@ -99,7 +150,8 @@ def lengths_agree(crops: DataFrame, short: float = 10.0, long: float = 30.0) ->
 
 def conflict_verdict(same_person: DataFrame, control: DataFrame) -> DataFrame:
     """One row: conflicting cluster pairs, those whose cosine is under the median of the control's, and that median."""
-    median = control.agg(F.median("cosine").alias("control_median"))
+    middle = at_ranks(control, "cosine", {"lo": lambda n: F.floor((n - 1) / 2), "hi": lambda n: F.floor(n / 2)})
+    median = middle.select((F.col("lo") * 0.5 + F.col("hi") * 0.5).alias("control_median"))
     return same_person.crossJoin(F.broadcast(median)).groupBy("control_median").agg(F.count("*").alias("pairs"), F.count_if(F.col("cosine") < F.col("control_median")).alias("below"))  # one row
 
 

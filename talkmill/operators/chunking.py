@@ -165,23 +165,33 @@ def expected_chunks(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *
     return _cuts(rows, keys, max_words, overlap).select(*keys, F.size("c").cast("long").alias("n_chunks")).where("n_chunks > 0")
 
 
+def _between(body: Column, a: Column, b: Column) -> Column:
+    """The words from place a (from 0) up to b of a text whose words have one space between them."""
+    upto = F.call_function("substring_index", body, F.lit(" "), b.cast("int"))
+    return F.call_function("substring_index", upto, F.lit(" "), -(b - a).cast("int"))
+
+
 def build_chunks_streamed(segments: DataFrame, keys: tuple[str, ...] = ("episode",), *, max_words: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
-    """The same chunks for episodes too long for one row. Cuts are found from numbers of words; words are numbered by running sums over segments; each segment's words then go to the cuts that hold some of them, which meet in a join by stretches of max_words words, and each chunk is put together by itself. So a row holds an episode's numbers, a segment or a chunk."""
-    rows = _segments(segments, keys)
-    numbers = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "start", "n"))).alias("s"))
-    cuts = _cuts(numbers, keys, max_words, overlap).select(*keys, F.size("c").alias("n_chunks"), F.posexplode("c").alias("chunk_index", "k"))
+    """The same chunks for episodes too long for one row. Cuts and places of segments are found from numbers of words, and meet in a join by stretches of max_words words, which tells which words of a segment go to which cuts. Only then do texts move, as strings: to the cuts' places, and what is cut from them to its chunk, which is put together by itself. So a row holds an episode's numbers, a segment or a chunk."""
+    rows = _segments(segments, keys).withColumn("h", F.xxhash64("w"))
+    own = F.struct(*keys, "seq", "h").alias("own")  # equal where keys are null too; segments alike in it have one text
+    before = Window.partitionBy(*keys).orderBy("seq", "speaker", "start", "n", "h").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = rows.select(*keys, "seq", "speaker", "start", "n", "h").withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    whole = numbers.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", "speaker", "start", "n", "h", "at"))).alias("s"))  # with all columns, so that both uses read one shuffle
+    cuts = _cuts(whole, keys, max_words, overlap).select(*keys, F.size("c").alias("n_chunks"), F.posexplode("c").alias("chunk_index", "k"))
     stretch = lambda first, n: F.sequence(F.floor(first / max_words), F.floor((first + n - 1) / max_words))
     cuts = cuts.select(*(F.col(k).alias(f"{k}_c") for k in keys), "chunk_index", "n_chunks", "k.*").withColumn("stretch_c", F.explode(stretch(F.col("first"), F.col("n_words"))))
-    before = Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    held = rows.where("n > 0").withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("speaker", "start")
+    held = numbers.where("n > 0").select(*keys, own, "n", "at")
     held = held.withColumn("stretch", F.explode(stretch(F.col("at"), F.col("n"))))
     on = [F.col(k).eqNullSafe(F.col(f"{k}_c")) for k in keys] + [F.col("stretch") == F.col("stretch_c")]
     lo, hi = F.greatest("at", "first"), F.least(F.col("at") + F.col("n"), F.col("first") + F.col("n_words"))
     once = F.col("stretch") == F.floor(lo / max_words)  # two that meet in several stretches count where their common words begin
-    pieces = held.join(cuts, on).where(once & (lo < hi)).select(*keys, "chunk_index", "n_chunks", "speaker", "start_time", "n_words", F.struct(lo.alias("lo"), F.slice("w", (lo - F.col("at") + 1).cast("int"), (hi - lo).cast("int")).alias("w")).alias("p"))
-    whole = pieces.groupBy(*keys, "chunk_index", "n_chunks", "speaker", "start_time", "n_words").agg(F.array_sort(F.collect_list("p")).alias("p"))
-    body = F.array_join(F.flatten(F.transform("p", lambda x: x["w"])), " ")
-    return whole.select(*keys, "chunk_index", "n_chunks", "speaker", "start_time", F.concat(F.lit("["), F.col("speaker"), F.lit("] "), body).alias("text"), "n_words")
+    parts = held.join(cuts, on).where(once & (lo < hi)).select("own", "chunk_index", "n_chunks", "speaker", "start_time", "n_words", lo.alias("lo"), (lo - F.col("at")).alias("a"), (hi - F.col("at")).alias("b"))
+    texts = rows.where("n > 0").select(own, F.array_join("w", " ").alias("body")).groupBy("own").agg(F.first("body").alias("body"))
+    pieces = parts.join(texts, "own").select(*(F.col(f"own.{k}").alias(k) for k in keys), "chunk_index", "n_chunks", "speaker", "start_time", "n_words", F.struct("lo", _between(F.col("body"), F.col("a"), F.col("b")).alias("t")).alias("p"))
+    put = pieces.groupBy(*keys, "chunk_index", "n_chunks", "speaker", "start_time", "n_words").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    body = F.array_join(F.transform("p", lambda x: x["t"]), " ")
+    return put.select(*keys, "chunk_index", "n_chunks", "speaker", "start_time", F.concat(F.lit("["), F.col("speaker"), F.lit("] "), body).alias("text"), "n_words")
 
 
 def chunk_metadata(chunks: DataFrame, rules_version: str = "1") -> DataFrame:
@@ -195,23 +205,23 @@ def chunk_metadata(chunks: DataFrame, rules_version: str = "1") -> DataFrame:
 def book_chunks(pages: DataFrame, book: str = "book", page: str = "page", text: str = "text", *, size: int = MAX_WORDS, overlap: int = OVERLAP) -> DataFrame:
     """Windows of `size` words every size - overlap words over a book's pages laid end to end: book, chunk_index, page (of its first word), n_words, text.
 
-    Words are numbered by running sums over the pages' numbers of words; the pages with their words then meet these sums by page. Each page's words go to the windows that hold them, and windows are put together. So a task gets a book's numbers, a page or a window. Of pages with one number, the order is that of a hash of their texts; those alike in that too stand one after the other.
+    Words are numbered by running sums over the pages' numbers of words; the pages' texts, as strings, then meet these sums by page. Each page's words go to the windows that hold them, and windows are put together. So a task gets a book's numbers, a page or a window. Of pages with one number, the order is that of a hash of their texts; those alike in that too stand one after the other.
     """
     step = size - overlap
     w = words(F.col(text))
-    df = pages.select(F.col(book).alias("book"), F.col(page).alias("page"), w.alias("w")).withColumn("n", F.size("w")).where("n > 0")
-    df = df.withColumn("h", F.xxhash64("w")).groupBy("book", "page", "h").agg(F.first("w").alias("w"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    df = pages.select(F.col(book).alias("book"), F.col(page).alias("page"), w.alias("w")).withColumn("n", F.size("w")).where("n > 0").withColumn("h", F.xxhash64("w"))
+    own = F.struct("book", "page", "h").alias("own")  # equal where book or page are null too
     by = Window.partitionBy("book").orderBy("page", "h").rowsBetween(Window.unboundedPreceding, -1)
-    places = df.select(F.col("book").alias("b_"), F.col("page").alias("p_"), F.col("h").alias("h_"), F.coalesce(F.sum(F.col("n") * F.col("copies")).over(by), F.lit(0)).alias("before"))
-    df = df.join(places, F.col("book").eqNullSafe(F.col("b_")) & F.col("page").eqNullSafe(F.col("p_")) & (F.col("h") == F.col("h_")))
-    df = df.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn("upto", F.col("before") + F.col("k") * F.col("n"))
+    places = df.groupBy("book", "page", "h").agg(F.first("n").alias("n"), F.count("*").alias("copies"))
+    places = places.select(own, "n", "copies", F.coalesce(F.sum(F.col("n") * F.col("copies")).over(by), F.lit(0)).alias("before"))
+    texts = df.select(own, F.array_join("w", " ").alias("body")).groupBy("own").agg(F.first("body").alias("body"))
+    df = texts.join(places, "own").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).withColumn("upto", F.col("before") + F.col("k") * F.col("n"))
     first = F.col("upto") - F.col("n")
     lo = F.greatest(F.floor((first - size) / step) + 1, F.lit(0)).cast("long")
     hi = F.floor((F.col("upto") - 1) / step).cast("long")
     part = df.withColumn("first", first).withColumn("i", F.explode(F.sequence(lo, hi)))
     a = F.greatest(F.col("i") * step - F.col("first"), F.lit(0)).cast("int")
     b = F.least(F.col("i") * step + size - F.col("first"), F.col("n")).cast("int")
-    part = part.withColumn("piece", F.slice("w", a + 1, F.greatest(b - a, F.lit(0))))
-    got = part.groupBy("book", "i").agg(F.array_sort(F.collect_list(F.struct("first", "piece"))).alias("p"), F.min("page").alias("page"))
-    joined = F.flatten(F.transform("p", lambda x: x["piece"]))
-    return got.select("book", F.col("i").alias("chunk_index"), "page", F.size(joined).alias("n_words"), F.array_join(joined, " ").alias("text"))
+    part = part.select(F.col("own.book").alias("book"), F.col("own.page").alias("page"), "i", (b - a).alias("n"), F.struct("first", _between(F.col("body"), a, b).alias("t")).alias("p"))
+    got = part.groupBy("book", "i").agg(F.array_sort(F.collect_list("p")).alias("p"), F.min("page").alias("page"), F.sum("n").cast("int").alias("n_words"))
+    return got.select("book", F.col("i").alias("chunk_index"), "page", "n_words", F.array_join(F.transform("p", lambda x: x["t"]), " ").alias("text"))

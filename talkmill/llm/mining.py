@@ -1,8 +1,9 @@
-"""Hard negatives by a block matrix product in two dimensions: rows and chunks of dimensions are dealt to a grid of cells, partial tiles of scores are added by a shuffle."""
+"""Hard negatives by a block matrix product in two dimensions: blocks of anchors and of rows, in chunks of dimensions, meet in the cells of a grid, which add the partial tiles of scores and keep the best."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -10,23 +11,27 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.best import Best
 from . import common
 from .whitening import matrices
 
-#: Anchors and rows in a tile, and dimensions in a chunk; vectors are cut in PARTS chunks at most, so that few partial tiles meet.
+#: Anchors and rows in a tile, and dimensions in a chunk; vectors are cut in PARTS chunks at most.
 ANCHORS, ROWS, CHUNK, PARTS = 256, 1024, 32, 8
-#: Blocks of rows in a column of the grid.
-COLUMN = 8
+#: Blocks of rows in a column of the grid, until there are COLUMNS; after that columns grow, which costs no memory.
+COLUMN, COLUMNS = 8, 64
+#: Anchors in a line of the grid, and numbers that they may have; a cell holds a line's anchors and their best rows.
+LINE, HELD = 1 << 15, 4 << 20
+#: Rows of a batch that a cell gives.
+GIVEN = 1 << 16
 #: Scores must stay below this, so that a hundred of one is still a long.
 LIMIT = (1 << 63) // 100 - 1
 _BLOCK = "block long, chunk int, ids binary, labels binary, part binary"
-_TILE = "anchors long, rows long, anchor_ids binary, anchor_labels binary, row_ids binary, row_labels binary, scores binary"
 _NEAR = "anchors long, anchor_id long, id long, score long"
 _FOUND = "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long"
 
 
-def _cut(size: int, width: int):
-    """Blocks of up to size rows of a partition, sorted by id, in chunks of width dimensions; a block's number holds the partition's."""
+def _cut(size: int, width: int, kind: str):
+    """Blocks of up to size rows of a partition, sorted by id, in chunks of width dimensions of integers of a kind; a block's number holds the partition's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, labels, parts, held, made = [], [], [], 0, 0
@@ -50,7 +55,7 @@ def _cut(size: int, width: int):
             for part, x in matrices(batch, 2):
                 ids.append(batch.column(0).to_numpy()[part])
                 labels.append(batch.column(1).to_numpy()[part])
-                parts.append(x.astype(np.int64))
+                parts.append(x.astype(kind))
                 held += len(part)
                 while held >= size:
                     yield from emit(size)
@@ -60,72 +65,122 @@ def _cut(size: int, width: int):
     return run
 
 
-def _product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The partial tile of each pair of blocks: exact, in doubles where sums stay below 2**53."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            n, m = len(row["anchor_ids"]) // 8, len(row["row_ids"]) // 8
-            a, b = (np.frombuffer(row[k], np.int64).reshape(r, -1) for k, r in (("a_part", n), ("part", m)))
-            most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-            scores = (a.astype(float) @ b.T.astype(float)).astype(np.int64) if most < 1 << 53 else a @ b.T
-            cells = [row[k] for k in ("anchors", "block", "anchor_ids", "anchor_labels", "row_ids", "row_labels")] + [scores.tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([c]) if isinstance(c, bytes) else pa.array([c], pa.int64()) for c in cells], ["anchors", "rows", "anchor_ids", "anchor_labels", "row_ids", "row_labels", "scores"])
+@dataclass
+class Side:
+    """Anchors, or rows, of a cell: for each its block, id and label; for each chunk of dimensions a matrix, the same in doubles, and its largest entry; and the windows of anchors."""
+
+    blocks: np.ndarray
+    ids: np.ndarray
+    labels: np.ndarray
+    parts: list[tuple[np.ndarray, np.ndarray, int]]
+    windows: list[dict]
 
 
-def _added(table: pa.Table) -> pa.Table:
-    """The sum of a tile's partial tiles."""
-    total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("scores"))
-    return table.slice(0, 1).set_column(6, "scores", pa.array([total.tobytes()]))
+def _side(blocks: list[list[dict]], kind: str) -> Side:
+    ids, labels = ([np.frombuffer(b[0][k], np.int64) for b in blocks] for k in ("ids", "labels"))
+    parts = [np.concatenate([np.frombuffer(b[c]["part"], kind).reshape(len(i), -1) for b, i in zip(blocks, ids)]) for c in range(len(blocks[0]))]
+    numbers = np.repeat([b[0]["block"] for b in blocks], [len(i) for i in ids])
+    return Side(numbers, np.concatenate(ids), np.concatenate(labels), [(x, x.astype(float), max(int(x.max(initial=0)), -int(x.min(initial=0)))) for x in parts], [w for b in blocks for w in b[0].get("windows") or []])
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _sides(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[int, Side]]:
+    """Of a cell's chunks of blocks, in order: its anchors (0), whole, then its rows (1), ROWS or so at a time."""
+    held: list[list[dict]] = []
     for batch in batches:
         for i in range(batch.num_rows):
             row = {k: batch.column(k)[i].as_py() for k in batch.schema.names}
-            ids, labels, a_ids, a_labels = (np.frombuffer(row[k], np.int64) for k in ("row_ids", "row_labels", "anchor_ids", "anchor_labels"))
-            yield row, a_ids, a_labels, ids, labels, np.frombuffer(row["scores"], np.int64).reshape(len(a_ids), len(ids))
-
-
-def _nearest(k: int):
-    """The k best other rows of the anchor's label in each tile; rows of a tile are sorted by id, so that a stable sort breaks ties."""
+            if row["chunk"]:
+                held[-1].append(row)
+                continue
+            side = held[0][0]["side"] if held else row["side"]
+            if row["side"] != side or (side and sum(len(b[0]["ids"]) for b in held) >= 8 * ROWS):  # of 8 bytes each
+                yield side, _side(held, kind)
+                held = []
+            held.append([row])
+    if held:
+        yield held[0][0]["side"], _side(held, kind)
+
+
+def _tiles(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[Side, np.ndarray, Side, np.ndarray]]:
+    """A cell's anchors, places of ANCHORS of them at most, some rows, and their scores: the sum of the chunks' partial tiles, each exact, in doubles where sums stay below 2**53."""
+    anchors = None
+    for side, rows in _sides(batches, kind):
+        if not side:
+            anchors = rows
+        elif anchors is not None:  # a line may have none
+            for at in range(0, len(anchors.ids), ANCHORS):
+                scores = np.zeros((min(ANCHORS, len(anchors.ids) - at), len(rows.ids)), np.int64)
+                for (a, a_doubles, a_most), (b, b_doubles, b_most) in zip(anchors.parts, rows.parts):
+                    if a_most * b_most * max(1, a.shape[1]) < 1 << 53:
+                        scores += (a_doubles[at : at + ANCHORS] @ b_doubles.T).astype(np.int64)
+                    else:
+                        scores += a[at : at + ANCHORS].astype(np.int64) @ b.T.astype(np.int64)
+                yield anchors, np.arange(at, at + len(scores)), rows, scores
+
+
+def _given(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), GIVEN):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + GIVEN]) for c in columns], names)
+
+
+def _nearest(k: int, kind: str):
+    """The k best other rows of each anchor's label in a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, a_ids, a_labels, ids, labels, scores in _tiles(batches):
-            out: list[tuple[np.ndarray, ...]] = []
-            for i in range(len(a_ids)):
-                same = np.flatnonzero((labels == a_labels[i]) & (ids != a_ids[i]))
-                best = same[np.argsort(-scores[i, same], kind="stable")[:k]]
-                out.append((np.full(len(best), row["anchors"]), np.full(len(best), a_ids[i]), ids[best], scores[i, best]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["anchors", "anchor_id", "id", "score"])
+        best = None
+        for anchors, at, rows, scores in _tiles(batches, kind):
+            best = best or Best(len(anchors.ids), k, np.int64, np.int64)
+            best.offer_tile(at, scores, rows.ids, (anchors.labels[at][:, None] == rows.labels) & (anchors.ids[at][:, None] != rows.ids))
+        if best:
+            of, score, ids = best.rows()
+            yield from _given([anchors.blocks[of], anchors.ids[of], ids, score], ["anchors", "anchor_id", "id", "score"])
 
     return run
 
 
-def _inside(k: int, low: tuple[int, int], high: tuple[int, int]):
-    """The k best rows of other labels in each tile for each window of an anchor and a positive."""
+def _inside(k: int, low: tuple[int, int], high: tuple[int, int], kind: str):
+    """The k best rows of other labels in a cell for each window of an anchor and a positive."""
+
+    bounded = lambda x: max(-LIMIT - 1, min(LIMIT + 1, x))  # noqa: E731  as scores are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, a_ids, a_labels, ids, labels, scores in _tiles(batches):
-            place = {a: i for i, a in enumerate(a_ids.tolist())}
-            windows: dict[int, list[tuple[int, int]]] = {}
-            for w in row["windows"]:
-                windows.setdefault(place[w["anchor_id"]], []).append((w["id"], w["score"]))
-            out = [(np.empty(0, np.int64),) * 5]
-            for i, wanted in windows.items():
-                others = np.flatnonzero(labels != a_labels[i])
-                others = others[np.argsort(-scores[i, others], kind="stable")]
-                falling = -scores[i, others]
-                for positive, score in wanted:
-                    # negative * low[1] >= positive * low[0] and negative * high[1] <= positive * high[0]
-                    begin = np.searchsorted(falling, -(score * high[0] // high[1]), "left")
-                    end = np.searchsorted(falling, -(-(-score * low[0] // low[1])), "right")
-                    best = others[begin : min(end, begin + k)] if end > begin else others[:0]
-                    out.append((np.full(len(best), a_ids[i]), np.full(len(best), positive), np.full(len(best), score), ids[best], scores[i, best]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
+        best = None
+        for anchors, at, rows, scores in _tiles(batches, kind):
+            if best is None:
+                place, turn = {a: i for i, a in enumerate(anchors.ids.tolist())}, [0] * len(anchors.ids)
+                of, nth = np.empty(len(anchors.windows), np.int64), np.empty(len(anchors.windows), np.int64)
+                for w, window in enumerate(anchors.windows):
+                    of[w] = place[window["anchor_id"]]
+                    nth[w] = turn[of[w]]
+                    turn[of[w]] += 1
+                positive, score = (np.array([w[c] for w in anchors.windows], np.int64) for c in ("id", "score"))
+                # negative * low[1] >= positive * low[0] and negative * high[1] <= positive * high[0]
+                least = np.array([bounded(-(-s * low[0] // low[1])) for s in score.tolist()], np.int64)
+                most = np.array([bounded(s * high[0] // high[1]) for s in score.tolist()], np.int64)
+                best = Best(len(of), k, np.int64, np.int64)
+                each = [np.flatnonzero(nth == i) for i in range(max(turn, default=0))]
+                each = [w[np.argsort(of[w], kind="stable")] for w in each]  # an anchor's first windows, second ones, ...
+            other = anchors.labels[at][:, None] != rows.labels
+            for windows in each:
+                w = windows[np.searchsorted(of[windows], at[0]) : np.searchsorted(of[windows], at[-1], "right")]
+                mine = scores[of[w] - at[0]]
+                best.offer_tile(w, mine, rows.ids, other[of[w] - at[0]] & (mine >= least[w][:, None]) & (mine <= most[w][:, None]))
+        if best:
+            w, found, ids = best.rows()
+            yield from _given([anchors.ids[of[w]], positive[w], score[w], ids, found], ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
 
     return run
 
 
+def _dealt(left: DataFrame, right: DataFrame, lines: int, columns: int) -> DataFrame:
+    """The chunks of a cell in each partition, anchors first: a line's blocks of anchors (left) go to all its columns, a column's blocks of rows (right) to all its lines. Blocks of a partition go to neighbouring lines or columns, so that these are even."""
+    place = F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1)
+    a = left.select(F.lit(0).alias("side"), *left.columns, F.pmod(place, F.lit(lines)).alias("line"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("column"))
+    b = right.select(F.lit(1).alias("side"), *right.columns, F.pmod(place, F.lit(columns)).alias("column"), F.explode(F.sequence(F.lit(0), F.lit(lines - 1))).alias("line"))
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.repartitionById(lines * columns, (F.col("line") * columns + F.col("column")).cast("int")).sortWithinPartitions("side", "block", "chunk").drop("line", "column")
+
+
 def _first(rows: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     """The first k rows of each key with their rank; Spark keeps k of each task before it shuffles."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= k)
@@ -136,10 +191,10 @@ def mine(rows: DataFrame, *, anchors: Column, positives: int = 5, negatives: int
 
     A score is the inner product of two arrays of longs; higher ones come first, ties by the smaller id. Anchors are the rows for which the condition anchors holds. Positives are an anchor's first other rows with its label; negatives of the two the first rows with other labels whose score lies between low and high (numerator, denominator) times the positive's.
 
-    1. Rows and anchors are cut into blocks, and these into chunks of dimensions. Each chunk of anchors goes to all columns of a grid, each chunk of rows to all its lines; a cell multiplies the blocks that meet there, and a shuffle adds the partial tiles (long) of a pair of blocks. Tiles are written: ANCHORS x ROWS scores each.
-    2. Each tile gives its best positives for each anchor; these are reduced to the first ones.
-    3. Each tile, with the windows of its anchors, gives its best negatives for each window; these are reduced too.
-    No cell, tile or group grows with the table, whatever labels are frequent.
+    1. Rows and anchors are cut into blocks, and these into chunks of dimensions, and dealt to a grid: a line's anchors go to all its columns, a column's rows to all its lines. A cell holds its line's anchors (LINE at most); rows pass by in blocks, and the partial tiles of their chunks are added there. Scores are neither shuffled nor written.
+    2. Each cell gives its best positives for each anchor; these are reduced to the first ones.
+    3. The cells meet again, with the windows of their anchors, and give their best negatives for each window; these are reduced too.
+    Rows are shuffled once for each line and pass, anchors and what is kept for them once for each column, of which there are COLUMNS at most. No cell or group holds more than a line, whatever labels are frequent.
 
     Rows with a null id, label or vector or a null entry take no part. Of rows with equal id, the one of the least label, then vector counts. Shorter vectors count as if zeros followed. A table whose scores could pass 9.2e16 raises ValueError. No anchors, or an empty table, give no rows.
     """
@@ -155,25 +210,19 @@ def mine(rows: DataFrame, *, anchors: Column, positives: int = 5, negatives: int
         raise ValueError(f"vectors of {dim} entries up to {most} have scores that don't fit")
     width = max(CHUNK, -(-dim // PARTS))
     padded = held.withColumn("x", F.when(F.size("x") < dim, F.concat("x", F.array_repeat(F.lit(0).cast("long"), F.lit(dim) - F.size("x")))).otherwise(F.col("x")))
-    cells = max(1, -(-n // (ROWS * COLUMN)))
-    lines = max(1, -(-n_anchors // ANCHORS))
-    few = padded.where("anchor").select("id", "label", "x").repartition(lines, "id")  # blocks of anchors are full, however they lie among the rows
-    left = common.written(few.mapInArrow(common.lean(_cut(ANCHORS, width)), _BLOCK), "anchors")
-    right = common.written(padded.select("id", "label", "x").mapInArrow(common.lean(_cut(ROWS, width)), _BLOCK), "rows")
-    line = F.pmod(F.xxhash64("block"), F.lit(lines))
-    a = left.select(F.col("block").alias("anchors"), "chunk", F.col("ids").alias("anchor_ids"), F.col("labels").alias("anchor_labels"), F.col("part").alias("a_part"), line.alias("line"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("column"))
-    b = right.select("block", "chunk", F.col("ids").alias("row_ids"), F.col("labels").alias("row_labels"), "part", F.pmod(F.xxhash64("block"), F.lit(cells)).cast("int").alias("column"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lines - 1).cast("long"))).alias("line"))
-    met = a.join(b, ["line", "column", "chunk"]).select("anchors", "block", "anchor_ids", "anchor_labels", "row_ids", "row_labels", "a_part", "part")
-    tiles = met.mapInArrow(common.lean(_product), _TILE).groupBy("anchors", "rows").applyInArrow(_added, _TILE)
-    tiles = common.written(tiles, "tiles")
-
-    near = tiles.mapInArrow(common.lean(_nearest(positives)), _NEAR)
+    kind = next(k for k in ("int8", "int16", "int32", "int64") if most <= np.iinfo(k).max)
+    columns = max(1, min(COLUMNS, -(-n // (ROWS * COLUMN))))
+    lines = max(1, -(-n_anchors // max(1, min(LINE, HELD // max(1, dim)))))
+    few = padded.where("anchor").select("id", "label", "x").repartition(max(1, -(-n_anchors // ANCHORS)), "id")  # blocks of anchors are full, however they lie among the rows
+    left = common.written(few.mapInArrow(common.lean(_cut(ANCHORS, width, kind)), _BLOCK), "anchors")
+    right = common.written(padded.select("id", "label", "x").mapInArrow(common.lean(_cut(ROWS, width, kind)), _BLOCK), "rows")
+
+    near = _dealt(left, right, lines, columns).mapInArrow(common.lean(_nearest(positives, kind)), _NEAR)
     near = common.written(_first(near, ["anchors", "anchor_id"], [F.desc("score"), F.col("id")], positives).drop("rank"), "positives")
-    windows = near.groupBy("anchors").agg(F.collect_list(F.struct("anchor_id", "id", "score")).alias("windows"))  # of one block of anchors
-    windows = tiles.select("anchors", "rows").join(windows, "anchors")
-    found = tiles.join(windows, ["anchors", "rows"]).mapInArrow(common.lean(_inside(negatives, low, high)), _FOUND)
+    windows = near.groupBy(F.col("anchors").alias("block"), F.lit(0).alias("chunk")).agg(F.collect_list(F.struct("anchor_id", "id", "score")).alias("windows"))  # of one block of anchors, beside its first chunk
+    found = _dealt(left.join(windows, ["block", "chunk"], "left"), right, lines, columns).mapInArrow(common.lean(_inside(negatives, low, high, kind)), _FOUND)
     out = _first(found, ["anchor_id", "positive_id"], [F.desc("negative_score"), F.col("negative_id")], negatives)
     out = common.written(out.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score"), "negatives")
-    for table in (held, left, right, tiles, near):
+    for table in (held, left, right, near):
         common.drop_written(table)
     return out

@@ -33,10 +33,11 @@ class Best:
         self.scores[slots[first], place[first]], self.ids[slots[first], place[first]] = scores[first], ids[first]
         self.held[slots[begins]] = np.minimum(sizes, self.k)
 
-    def offer_tile(self, slots: np.ndarray, scores: np.ndarray, ids: np.ndarray, wanted: np.ndarray, digits: int | None = None) -> None:
-        """Scores of slots and rows where wanted; they are rounded to so many digits first, where given. Only those that can be among the best are looked at one by one."""
+    def offer_tile(self, slots: np.ndarray, scores: np.ndarray, ids: np.ndarray, wanted: np.ndarray | None = None, digits: int | None = None) -> None:
+        """Scores of slots and rows, all or where wanted; they are rounded to so many digits first, where given. Only those that can be among the best are looked at one by one."""
         slack = 0 if digits is None else 2 * 10.0**-digits  # twice as much as rounding can part two scores
-        wanted = wanted & (scores >= self.floor(slots)[:, None] - slack)
+        near = scores >= self.floor(slots)[:, None] - slack
+        wanted = near if wanted is None else wanted & near
         if np.count_nonzero(wanted) > 4 * self.k * len(slots) and scores.shape[1] > self.k:
             kth = np.partition(np.where(wanted, scores, self.least), -self.k, axis=1)[:, -self.k]
             wanted &= scores >= kth[:, None] - slack

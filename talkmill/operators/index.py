@@ -13,13 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import norm
+from ..functions.best import Best
 from ..session import prepared, shared_dir
 from . import cells as around
 from .search import nearest
 
-#: Rows and queries in a block, about, where many queries are asked at once.
+#: Rows and queries that are multiplied at a time, where many queries are asked at once.
 ROWS, QUERIES = 2048, 512
+#: Rows in a column of the grid where these meet, and lines times columns, about; where lines are many, there are so many columns nevertheless. A column may grow, which costs no memory.
+COLUMN, GRID, COLUMNS = 8192, 64, 16
+#: Queries in a line, and numbers that they may have; a task holds a line's queries and their best rows.
+LINE, NUMBERS = 1 << 16, 4 << 20
+#: Rows of a batch that a task gives there.
+GIVEN = 1 << 16
 #: Rows of queries, once for each cell that they probe, that a task makes at a time.
 COPIES = 4096
 #: Rows of a resident index that one task searches; up to so many, a query isn't compiled.
@@ -133,45 +139,102 @@ def indexed(index: VectorIndex, query: list[float], n: int, tree: dict | None =
 def nearest_many(index: VectorIndex, queries: DataFrame, n: int, *, query_id: str = "query_id", query_vector: str = "vector", probes: int | None = None, exact: bool = False, digits: int = 9) -> DataFrame:
     """query_id, rank, id, similarity: the n nearest records to each of many queries, ties by id. exact probes all cells.
 
-    Queries go to the cells that they probe and meet their rows there in blocks, which are multiplied as matrices: no cell is in one task, whatever its size. Each block gives its best n for each query. Similarities are rounded to so many digits before they are compared, so that the order doesn't rest on how products are summed. Records without a vector of the index's length have no similarity and are not found; queries without one find nothing.
+    Rows and queries are dealt to a grid: a line's queries go to the columns that hold rows of the cells that they probe, a column's rows to all lines, as they are. A task holds its line's queries and the best n of each; rows pass by cell by cell and are multiplied as matrices with the queries that probe them. So rows are shuffled once for each line, queries and their hits once for each column: as the input, not as queries times cells, and no cell is in one task, whatever its size. Similarities are rounded to so many digits before they are compared, so that the order doesn't rest on how products are summed. Records without a vector of the index's length have no similarity and are not found; queries without one find nothing.
     """
     prepared(index.table.sparkSession)
-    k, size = len(index.pivots) if exact else (probes or index.probes), index.pivots.shape[1]
+    size, there = index.pivots.shape[1], sorted(c for c in index.sizes if c != ASIDE)
+    k = len(there) if exact else min(probes or index.probes, len(there))
+    all_, total, n_asked = k == len(there), sum(index.sizes[c] for c in there), queries.count()
+    lines = max(-(-n_asked // max(1, min(LINE, NUMBERS // max(1, size)))), min(-(-n_asked // QUERIES), round((GRID * n_asked / max(1, total)) ** 0.5)), 1)
+    columns = max(1, min(-(-total // COLUMN), max(COLUMNS, -(-GRID // lines))))
     id_kind, query_kind = index.table.schema[index.id_col].dataType.simpleString(), queries.schema[query_id].dataType.simpleString()
-    unit = lambda v: F.transform(v.cast("array<double>"), lambda x: x / norm(v))
     fits = lambda v: (F.size(v) == size) & F.forall(v, lambda x: x.isNotNull()) & F.exists(v, lambda x: x != 0)
-    rows = index.table.where(F.col(index.cell) != ASIDE)
-    parts = F.create_map(*(F.lit(x) for c, m in (index.sizes or {0: 0}).items() for x in (c, max(1, -(-m // ROWS)))))  # of MOST cells at most
-    part = F.pmod(F.xxhash64(index.id_col), F.element_at(parts, F.col(index.cell)))
-    blocks = rows.groupBy(F.col(index.cell).alias("cell"), part.alias("part")).agg(F.collect_list(F.struct(F.col(index.id_col).alias("id"), unit(F.col(index.vector)).alias("v"))).alias("rows"))
-    asked = queries.select(F.col(query_id).alias("id"), F.col(query_vector).alias("v")).where(fits(F.col("v"))).select("id", unit(F.col("v")).alias("v"))
-    asked = _probing(asked, index, k)
-    dealt = asked.groupBy("cell", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-queries.count() // QUERIES)))).alias("share")).agg(F.collect_list(F.struct("id", "v")).alias("asked"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for left, right in zip(batch.column(0), batch.column(1)):
-                a, b = (x.values.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(x.values), -1) for x in (left, right))
-                s = np.round(a @ b.T, digits)
-                by_id = np.argsort(np.array(right.values.field("id").to_pylist(), object), kind="stable")
-                s = s[:, by_id]
-                best = np.argsort(-s, axis=1, kind="stable")[:, :n]
-                q = np.repeat(np.arange(len(a)), best.shape[1])
-                yield pa.RecordBatch.from_arrays([left.values.field("id").take(pa.array(q)), right.values.field("id").take(pa.array(by_id[best.ravel()])), pa.array(s[q, best.ravel()])], ["query_id", "id", "similarity"])
-
-    found = dealt.join(blocks, "cell").select("asked", "rows").mapInArrow(run, f"query_id {query_kind}, id {id_kind}, similarity double")
+    floats = {index.table.schema[index.vector].dataType.simpleString(), queries.schema[query_vector].dataType.simpleString()} == {"array<float>"}
+    vector = lambda v: F.col(v).cast("array<float>" if floats else "array<double>").alias("v")
+
+    first, dealt, parts = {}, 0, {c: -(-index.sizes[c] // ROWS) for c in there}  # parts of cells are dealt to columns in turn
+    for c in there:
+        first[c], dealt = dealt, dealt + parts[c]
+    at = lambda known: F.element_at(F.create_map(*(F.lit(x) for pair in (known or {0: 1}).items() for x in pair)), F.col(index.cell))  # noqa: E731  of MOST cells at most
+    hashed = F.xxhash64(index.id_col)
+    column = F.pmod(hashed, F.lit(columns)) if all_ else F.pmod(at(first) + F.pmod(hashed, at(parts)), F.lit(columns))
+    rows = index.table.where(F.col(index.cell) != ASIDE).select(F.lit(1).alias("side"), F.lit(0).alias("cell") if all_ else F.col(index.cell).alias("cell"), F.col(index.id_col).alias("id"), vector(index.vector), column.cast("int").alias("column"), F.explode(F.sequence(F.lit(0), F.lit(lines - 1))).alias("line"))
+    asked = queries.where(fits(F.col(query_vector))).select(F.col(query_id).alias("asked"), vector(query_vector))
+    if all_:
+        asked = asked.withColumns({"probed": F.lit(None).cast("binary"), "columns": F.sequence(F.lit(0), F.lit(columns - 1))})
+    else:
+        asked = _probing(asked, index, k, np.array([[(col - first[c]) % columns < parts[c] for col in range(columns)] for c in there]))
+    asked = asked.select(F.lit(0).alias("side"), "asked", "v", "probed", F.explode("columns").alias("column"), F.pmod(F.xxhash64("asked"), F.lit(lines)).cast("int").alias("line"))
+    both = asked.unionByName(rows, allowMissingColumns=True)
+    met = both.repartitionById(lines * columns, F.col("line") * columns + F.col("column")).sortWithinPartitions("side", "cell").select("side", "cell", "asked", "id", "v", "probed")
+    found = met.mapInArrow(lambda batches: _met(batches, n, digits, there), f"query_id {query_kind}, id {id_kind}, similarity double")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))).where(F.col("rank") <= n)
     return ranked.select("query_id", "rank", "id", "similarity")
 
 
-def _probing(asked: DataFrame, index: VectorIndex, k: int) -> DataFrame:
-    """asked (id, v) once for each of the k cells with rows whose pivots are nearest."""
+def _units(batch: pa.RecordBatch) -> np.ndarray:
+    x = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _met(batches: Iterator[pa.RecordBatch], n: int, digits: int, there: list[int]) -> Iterator[pa.RecordBatch]:
+    """query_id, id, similarity: the best n rows for each query of a task, which gets its queries first, then its rows by cell."""
+    asked, best, place = [], None, {c: i for i, c in enumerate(there)}
+    for batch in batches:
+        begin = int(np.searchsorted(batch.column("side").to_numpy(), 1))
+        if begin:
+            asked.append(batch.slice(0, begin))
+        rows = batch.slice(begin)
+        if not asked or not rows.num_rows:
+            continue
+        kind = rows.schema.field("id").type
+        if best is None:
+            names = pa.concat_arrays([b.column("asked") for b in asked])
+            queries = np.concatenate([_units(b) for b in asked])
+            bits = pa.concat_arrays([b.column("probed") for b in asked])
+            bits = None if bits.null_count else np.frombuffer(b"".join(bits.to_pylist()), np.uint8).reshape(len(names), -1)
+            best = Best(len(names), n, float, np.int64 if pa.types.is_integer(kind) else object)
+        cells = rows.column("cell").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+        for begin, end in zip(edges, edges[1:]):
+            if bits is None:
+                mine = np.arange(len(names))
+            else:
+                c = place[int(cells[begin])]
+                mine = np.flatnonzero(bits[:, c >> 3] >> (7 - (c & 7)) & 1)
+            for at in range(begin, end, ROWS):
+                block = rows.slice(at, min(ROWS, end - at))
+                x, ids = _units(block), block.column("id")
+                ids = ids.to_numpy().astype(np.int64) if pa.types.is_integer(kind) else np.array([*ids.to_pylist(), None], object)[:-1]
+                for q in range(0, len(mine), QUERIES):
+                    some = mine[q : q + QUERIES]
+                    best.offer_tile(some, queries[some] @ x.T, ids, digits=digits)
+    if best is not None:
+        of, similarity, ids = best.rows()
+        for at in range(0, len(of), GIVEN):
+            part = slice(at, at + GIVEN)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(of[part])), pa.array(ids[part].tolist(), kind), pa.array(similarity[part])], ["query_id", "id", "similarity"])
+
+
+def _probing(asked: DataFrame, index: VectorIndex, k: int, lies: np.ndarray) -> DataFrame:
+    """asked (asked, v) with bits of the k cells with rows whose pivots are nearest, and the columns where such rows lie; lies tells that for each cell with rows."""
     pivots, there = index.pivots, np.array(sorted(c for c in index.sizes if c != ASIDE), int)
-    return asked.mapInArrow(lambda batches: _probed(batches, pivots, there, k), asked.withColumn("cell", F.lit(0)).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _probed(batches, pivots, there, k):
+            m = batch.num_rows // k
+            probed = np.zeros((m, len(there)), bool)
+            np.put_along_axis(probed, np.searchsorted(there, batch.column(2).to_numpy()).reshape(m, k), True, axis=1)
+            once = batch.take(pa.array(np.arange(m) * k))
+            bits = pa.array([x.tobytes() for x in np.packbits(probed, axis=1)], pa.binary())
+            columns = pa.array([np.flatnonzero(x) for x in probed.astype(int) @ lies], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*once.columns[:2], bits, columns], ["asked", "v", "probed", "columns"])
+
+    return asked.mapInArrow(run, asked.withColumns({"probed": F.lit(b""), "columns": F.array(F.lit(0))}).schema)
 
 
 def _probed(batches: Iterator[pa.RecordBatch], pivots: np.ndarray, there: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    """What _probing() gives, COPIES rows or one query's at a time: each query is there k times."""
+    """Queries once for each of the k cells with rows whose pivots are nearest, COPIES rows or one query's at a time."""
     step = max(1, COPIES // max(1, min(k, len(there))))
     for whole in batches:
         for at in range(0, whole.num_rows if len(there) else 0, step):

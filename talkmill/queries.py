@@ -1088,9 +1088,10 @@ def s8m(spark, d):
 def s8r(spark, d):
     """How many hits all queries have, and whether the index, with the probes that it chose, finds 0.99 of them."""
     from .operators.index import nearest_many, recall
+    from .session import written
 
     index, asked = indexed_store(spark, d), every_twentieth(spark, d)
-    exact = nearest_many(index, asked, 10, exact=True)
+    exact = written(nearest_many(index, asked, 10, exact=True), "exact")
     reached = recall(nearest_many(index, asked, 10), exact) >= 0.99
     return exact.agg(F.count("*").alias("hits")).withColumn("reached", F.lit(reached))
 

@@ -38,9 +38,18 @@ class Best:
         slack = 0 if digits is None else 2 * 10.0**-digits  # twice as much as rounding can part two scores
         near = scores >= self.floor(slots)[:, None] - slack
         wanted = near if wanted is None else wanted & near
-        if np.count_nonzero(wanted) > 4 * self.k * len(slots) and scores.shape[1] > self.k:
-            kth = np.partition(np.where(wanted, scores, self.least), -self.k, axis=1)[:, -self.k]
-            wanted &= scores >= kth[:, None] - slack
+        many = 4 * self.k * len(slots) if scores.shape[1] > self.k else scores.size
+        if np.count_nonzero(wanted) > many:  # at the start
+            kth = np.partition(np.where(wanted, scores, self.least), -self.k, axis=1)[:, -self.k, None]
+            wanted &= scores >= kth - slack
+        if np.count_nonzero(wanted) > many:  # many are equal: of those the ones with the smallest ids
+            by_id = np.argsort(ids, kind="stable")
+            ids, wanted, scores = ids[by_id], wanted[:, by_id], scores[:, by_id]
+            scores, digits = scores if digits is None else np.round(scores, digits), None
+            scores = np.where(wanted, scores, self.least)
+            kth = np.partition(scores, -self.k, axis=1)[:, -self.k, None]
+            equal = wanted & (scores == kth)
+            wanted = wanted & (scores > kth) | equal & (np.cumsum(equal, axis=1) <= self.k)
         i, j = np.nonzero(wanted)
         found = scores[i, j] if digits is None else np.round(scores[i, j], digits)
         self.offer(slots[i], found, ids[j])
